@@ -393,3 +393,124 @@ def q_transductive_features(spark, sf):
                         use_power_age=True, use_age_detail=True, use_model_age_group_stats=True)
     prepared = feature_frame.prepare_features(train, test, cfg)
     return rounded(prepared.frame)
+
+
+# ===================================================================== K / D7
+from ..config import EncodingConfig  # noqa: E402
+from ..operators import encode, folds  # noqa: E402
+from ..operators.ranking import price_quantile_bin  # noqa: E402
+
+
+def _md5(seed) -> str:
+    return f"md5(CAST(SaleID AS VARCHAR) || ':{seed}')"
+
+
+def _train_sql(src: str = "base") -> str:
+    return f"SELECT * FROM {src} WHERE is_train"
+
+
+@query("price_quantile_bins", O.with_ctes(
+    "tr AS (SELECT SaleID, price FROM listings WHERE is_train)") + """
+SELECT SaleID, 'Q' || CAST(greatest(CAST(ceil((rk - 1) * 5.0 / (n - 1)) AS BIGINT) - 1, 0) + 1 AS VARCHAR) AS price_bin
+FROM (SELECT SaleID, row_number() OVER (ORDER BY price, SaleID) AS rk, count(*) OVER () AS n FROM tr) t
+""")
+def q_price_quantile_bins(spark, sf):
+    """D7 + R3: exact "first"-tie ranks by (price, id) without a
+    single-partition window, cut into 5 equal-count bins."""
+    train, _ = fixture.split_train_test(listings(spark, sf))
+    return price_quantile_bin(train.select(C.ID_COL, C.TARGET_COL), C.TARGET_COL, C.ID_COL, 5).select(
+        C.ID_COL, "price_bin")
+
+
+@query("sample_rows", O.with_ctes() + f"""
+SELECT SaleID, round(price, 9) + 0.0 AS price FROM (
+  SELECT SaleID, price, row_number() OVER (ORDER BY {_md5(7)}, SaleID) AS rk FROM listings) t
+WHERE rk <= 1000
+""")
+def q_sample_rows(spark, sf):
+    """K1: exactly 1000 rows, deterministic in (id, seed) (the sample size is
+    the operator's parameter, not a cap on the check)."""
+    return rounded(folds.sample_rows(listings(spark, sf).select(C.ID_COL, C.TARGET_COL), 1000, seed=7))
+
+
+@query("train_valid_split", O.with_ctes() + f"""
+SELECT SaleID, CASE WHEN rk <= CAST(ceil(n * 0.2) AS BIGINT) THEN 'valid' ELSE 'train' END AS split FROM (
+  SELECT SaleID, row_number() OVER (ORDER BY {_md5(42)}, SaleID) AS rk, count(*) OVER () AS n
+  FROM listings WHERE is_train) t
+""")
+def q_train_valid_split(spark, sf):
+    """K2: 20 % validation by hash rank (ceil of the fraction)."""
+    train, _ = fixture.split_train_test(listings(spark, sf))
+    return folds.train_valid_split(train.select(C.ID_COL), 0.2, seed=42).select(C.ID_COL, "split")
+
+
+def _kfold_cte(src: str, name: str, k: int = 5, seed: int = 42) -> str:
+    return (f"{name} AS (SELECT *, CAST((row_number() OVER (ORDER BY {_md5(seed)}, SaleID) - 1) % {k} + 1 AS INTEGER)"
+            f" AS fold FROM {src})")
+
+
+@query("kfold_assign", O.with_ctes("tr AS (SELECT SaleID FROM listings WHERE is_train)", _kfold_cte("tr", "kf")) + """
+SELECT SaleID, CAST(fold AS BIGINT) AS fold FROM kf
+""")
+def q_kfold_assign(spark, sf):
+    """K3: shuffled 5-fold assignment (round-robin in hash order)."""
+    train, _ = fixture.split_train_test(listings(spark, sf))
+    return rounded(folds.kfold_assign(train.select(C.ID_COL), 5, 42).select(C.ID_COL, "fold"))
+
+
+def _strat_label_ctes(src: str, k: int = 5, price_bins: int = 5) -> list[str]:
+    """K5 + K6 in SQL, directly on rows (brute force over windows)."""
+    pb = (f"CASE WHEN price IS NULL THEN '__PRICE_MISSING__' ELSE 'Q' || CAST(greatest(CAST(ceil((rk - 1) * "
+          f"{float(price_bins)} / greatest(n - 1, 1)) AS BIGINT) - 1, 0) + 1 AS VARCHAR) END")
+    lv0 = f"""sl0 AS (
+  SELECT SaleID, pbin, abin, fbin, pbin || '|' || abin || '|' || fbin AS lbl, pbin || '|' || abin AS pa FROM (
+    SELECT SaleID, {pb} AS pbin, {O.age_bin('car_age_years')} AS abin, {O.freq_bin('mcnt')} AS fbin FROM (
+      SELECT SaleID, price, car_age_years,
+             row_number() OVER (PARTITION BY price IS NULL ORDER BY price, SaleID) AS rk,
+             count(price) OVER () AS n,
+             count(*) OVER (PARTITION BY coalesce(trim(CAST(model AS VARCHAR)), '__MISSING__')) AS mcnt
+      FROM {src}) a) b)"""
+    ctes = [lv0]
+    prev = "sl0"
+    for i, fb in enumerate(["pa", "pbin", "abin"], start=1):
+        ctes.append(f"""sl{i} AS (
+  SELECT * EXCLUDE (lbl, rare_any), CASE WHEN rare_any THEN {fb} ELSE lbl END AS lbl FROM (
+    SELECT *, bool_or(rare) OVER (PARTITION BY {fb}) AS rare_any FROM (
+      SELECT *, count(*) OVER (PARTITION BY lbl) < {k} AS rare FROM {prev}) x) y)""".replace(
+            "SELECT * EXCLUDE (lbl, rare_any)", "SELECT * EXCLUDE (lbl, rare_any, rare)"))
+        prev = f"sl{i}"
+    ctes.append(f"""sl4 AS (
+  SELECT * EXCLUDE (lbl), CASE WHEN count(*) OVER (PARTITION BY lbl) < {k} THEN '__ALL__' ELSE lbl END AS lbl
+  FROM {prev})""")
+    ctes.append(f"""strat AS (
+  SELECT SaleID, CASE WHEN bool_or(c < {k}) OVER () THEN '__ALL__' ELSE lbl END AS strat_label FROM (
+    SELECT *, count(*) OVER (PARTITION BY lbl) AS c FROM sl4) z)""")
+    return ctes
+
+
+@query("collapse_labels", O.with_ctes(O.base_cte(), "tr AS (SELECT * FROM base WHERE is_train)",
+                                      *_strat_label_ctes("tr")) + """
+SELECT strat_label, count(*) AS n FROM strat GROUP BY strat_label
+""")
+def q_collapse_labels(spark, sf):
+    """K5 + K6: price|age|model-frequency labels with rare-label collapse,
+    reported as label sizes."""
+    train = base(spark, sf).where(F.col("is_train"))
+    lab = folds.stratification_labels(train.select(C.ID_COL, C.TARGET_COL, "car_age_years", "model"), 5, 5)
+    return lab.groupBy("strat_label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stratified_assign", O.with_ctes(O.base_cte(), "tr AS (SELECT * FROM base WHERE is_train)",
+                                        *_strat_label_ctes("tr"),
+                                        "rep AS (SELECT * FROM (VALUES (1), (2), (3)) v(repeat))") + """
+SELECT SaleID, CAST(repeat AS BIGINT) AS repeat, strat_label,
+       CAST((row_number() OVER (PARTITION BY repeat, strat_label
+             ORDER BY md5(CAST(SaleID AS VARCHAR) || ':' || CAST(41 + repeat AS VARCHAR)), SaleID) - 1) % 5 + 1 AS BIGINT) AS fold
+FROM strat, rep
+""")
+def q_stratified_assign(spark, sf):
+    """K4 + K5 + K6: 5 folds x 3 repeats, stratified on collapsed labels,
+    ranks inside labels via the range-partitioned global rank."""
+    train = base(spark, sf).where(F.col("is_train"))
+    plan = folds.stratified_assign(train, n_splits=5, repeats=3, seed=42, price_bins=5)
+    return rounded(plan.select(C.ID_COL, "repeat", "strat_label", "fold"))
