@@ -78,18 +78,19 @@ def fit_stats(fit: DataFrame, target: Column, key_exprs: dict[str, Column], fold
                       for n, e in key_exprs.items()])
     stacked = fit.select(fold.alias("fold"), target.cast("double").alias("__t"), F.inline(pairs))
     per_fold = stacked.groupBy("fold", "kname", "kval").agg(
-        F.sum("__t").alias("s"), F.count("__t").alias("n"), F.count(F.lit(1)).alias("r"))
-    per_fold = keyed.sized(per_fold)
-    totals = per_fold.groupBy("kname", "kval").agg(F.sum("s").alias("S"), F.sum("n").alias("N"),
-                                                   F.sum("r").alias("R"))
+        F.sum("__t").alias("own_s"), F.count("__t").alias("own_n"), F.count(F.lit(1)).alias("own_r"))
+    per_fold = per_fold.persist()
+    totals = per_fold.groupBy("kname", "kval").agg(
+        F.sum("own_s").alias("tot_s"), F.sum("own_n").alias("tot_n"), F.sum("own_r").alias("tot_r"))
     nf = folds if fold_col else 0
     grid = totals.withColumn("apply_fold", F.explode(F.sequence(F.lit(0), F.lit(nf))))
     own = per_fold.withColumnRenamed("fold", "apply_fold")
     lfo = grid.join(own, ["apply_fold", "kname", "kval"], "left").select(
         "apply_fold", "kname", "kval",
-        (F.col("S") - F.coalesce(F.col("s"), F.lit(0.0))).alias("sum_t"),
-        (F.col("N") - F.coalesce(F.col("n"), F.lit(0))).alias("cnt_t"),
-        (F.col("R") - F.coalesce(F.col("r"), F.lit(0))).alias("cnt_rows"))
+        (F.col("tot_s") - F.coalesce(F.col("own_s"), F.lit(0.0))).alias("sum_t"),
+        (F.col("tot_n") - F.coalesce(F.col("own_n"), F.lit(0))).alias("cnt_t"),
+        (F.col("tot_r") - F.coalesce(F.col("own_r"), F.lit(0))).alias("cnt_rows"))
+    lfo = lfo.persist()
     fg = fit.select(fold.alias("fold"), target.cast("double").alias("__t")).groupBy("fold").agg(
         F.sum("__t").alias("s"), F.count("__t").alias("n"))
     # one row per fold (+ fold 0): a bounded table, so the grand total is a

@@ -514,3 +514,234 @@ def q_stratified_assign(spark, sf):
     train = base(spark, sf).where(F.col("is_train"))
     plan = folds.stratified_assign(train, n_splits=5, repeats=3, seed=42, price_bins=5)
     return rounded(plan.select(C.ID_COL, "repeat", "strat_label", "fold"))
+
+
+# ===================================================================== T
+SMOOTH = 20.0
+
+
+def enc_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """Row-local listing features with category keys normalised (the key
+    space the trainer encodes), train flag kept."""
+    return clean.normalize_categorical_columns(base(spark, sf))
+
+
+def _enc_rows_cte(name: str = "er", target: str = "price") -> str:
+    cats = ", ".join(f"{O.cat_text(c)} AS {c}" for c in ("brand", "model"))
+    return (f"{name} AS (SELECT SaleID, is_train, {cats}, power, car_age_years, {target} AS t "
+            f"FROM base)")
+
+
+_SQL_KEYS = {
+    "brand": "brand",
+    "model": "model",
+    "brand_age": f"brand || '|' || {O.age_bin('car_age_years')}",
+    "model_age": f"model || '|' || {O.age_bin('car_age_years')}",
+    "model_power_age": f"model || '|' || {O.power_bin('power')} || '|' || {O.age_bin('car_age_years')}",
+    "power_bin": O.power_bin("power"),
+    "power_age": f"{O.power_bin('power')} || '|' || {O.age_bin('car_age_years')}",
+}
+
+
+def _enc_stat_ctes(fit: str, apply: str, keys: list[str]) -> list[str]:
+    """Per apply fold g: global mean and key statistics of fit rows with
+    fold <> g (g = 0 excludes nothing). Brute force, for the oracle."""
+    ctes = [f"ag AS (SELECT DISTINCT afold FROM {apply})",
+            f"gm AS (SELECT ag.afold, avg(f.t) AS gmean FROM ag JOIN {fit} f ON f.fold <> ag.afold GROUP BY ag.afold)"]
+    for k in keys:
+        e = _SQL_KEYS[k].replace("car_age_years", "f.car_age_years").replace("power)", "f.power)")
+        e = _sql_on(k, "f")
+        ctes.append(f"ks_{k} AS (SELECT ag.afold, {e} AS kval, sum(f.t) AS s, count(f.t) AS n, count(*) AS r "
+                    f"FROM ag JOIN {fit} f ON f.fold <> ag.afold GROUP BY 1, 2)")
+    return ctes
+
+
+def _sql_on(k: str, alias: str) -> str:
+    """Key expression with columns qualified by `alias`."""
+    a = alias
+    ab = O.age_bin(f"{a}.car_age_years")
+    pb = O.power_bin(f"{a}.power")
+    return {
+        "brand": f"{a}.brand", "model": f"{a}.model",
+        "brand_age": f"{a}.brand || '|' || {ab}", "model_age": f"{a}.model || '|' || {ab}",
+        "model_power_age": f"{a}.model || '|' || {pb} || '|' || {ab}",
+        "power_bin": pb, "power_age": f"{pb} || '|' || {ab}",
+    }[k]
+
+
+def _sm(k: str) -> str:
+    return f"(CASE WHEN coalesce(ks_{k}.n, 0) > 0 THEN (ks_{k}.s + gm.gmean * {SMOOTH}) / (ks_{k}.n + {SMOOTH}) ELSE gm.gmean END)"
+
+
+def _enc_joins(keys: list[str], apply_alias: str = "a") -> str:
+    js = ["JOIN gm ON gm.afold = a.afold"]
+    for k in keys:
+        js.append(f"LEFT JOIN ks_{k} ON ks_{k}.afold = a.afold AND ks_{k}.kval = {_sql_on(k, apply_alias)}")
+    return "\n".join(js)
+
+
+def _enc_exprs(min_count: int = 20) -> dict[str, str]:
+    mob = f"(CASE WHEN coalesce(ks_model.r, 0) >= {min_count} THEN {_sm('model')} ELSE {_sm('brand')} END)"
+    return {
+        "brand_target_mean": _sm("brand"),
+        "brand_age_target_mean": _sm("brand_age"),
+        "model_target_mean": _sm("model"),
+        "model_backoff_target_mean": mob,
+        "model_power_age_backoff_target_mean":
+            f"(CASE WHEN coalesce(ks_model_power_age.n, 0) >= {min_count} THEN {_sm('model_power_age')} ELSE {mob} END)",
+        "model_low_freq_flag": f"(CASE WHEN coalesce(ks_model.r, 0) < {min_count} THEN 1.0 ELSE 0.0 END)",
+        "model_age_target_mean":
+            f"(CASE WHEN coalesce(ks_model_age.n, 0) >= {min_count} THEN {_sm('model_age')} ELSE {mob} END)",
+        "power_age_bin_target_mean":
+            f"(CASE WHEN coalesce(ks_power_age.n, 0) >= {min_count} THEN {_sm('power_age')} ELSE {_sm('power_bin')} END)",
+    }
+
+
+_KEYS_FOR = {
+    "brand_target_mean": ["brand"], "brand_age_target_mean": ["brand_age"], "model_target_mean": ["model"],
+    "model_backoff_target_mean": ["model", "brand"],
+    "model_power_age_backoff_target_mean": ["model", "brand", "model_power_age"],
+    "model_low_freq_flag": ["model"], "model_age_target_mean": ["model", "brand", "model_age"],
+    "power_age_bin_target_mean": ["power_bin", "power_age"],
+}
+
+
+def _cv_enc_sql(cols: list[str], target: str, fit_roles: bool = False) -> str:
+    """Out-of-fold encodings on train rows with k-fold folds: validation rows
+    use their own fold; with `fit_roles`, fit rows of every fold too."""
+    keys = sorted({k for c in cols for k in _KEYS_FOR[c]})
+    apply = ("ap AS (SELECT kf.*, g.fold AS afold, CASE WHEN kf.fold = g.fold THEN 'valid' ELSE 'fit' END AS role "
+             "FROM kf, (SELECT DISTINCT fold FROM kf) g)") if fit_roles else \
+        "ap AS (SELECT kf.*, kf.fold AS afold, 'valid' AS role FROM kf)"
+    ex = _enc_exprs()
+    sel = ", ".join(f"{r(ex[c])} AS {c}" for c in cols)
+    return O.with_ctes(O.base_cte(), _enc_rows_cte("er", target), "tr AS (SELECT * FROM er WHERE is_train)",
+                       _kfold_cte("tr", "kf"), apply, *_enc_stat_ctes("kf", "ap", keys)) + f"""
+SELECT a.SaleID, CAST(a.afold AS BIGINT) AS fold, a.role, {sel}
+FROM ap a
+{_enc_joins(keys)}"""
+
+
+def _cv_enc(spark, sf, cfg: EncodingConfig, target_mode: str = "log1p", fit_roles: bool = False) -> DataFrame:
+    """Spark side: one stacked aggregation for all keys and folds, applied to
+    validation rows (own fold) and optionally to every fold's fit rows."""
+    from ..functions.targets import transform_target
+    rows = enc_frame(spark, sf).where(F.col("is_train"))
+    rows = folds.kfold_assign(rows, 5, 42)
+    keys = {k: v for k, v in encode.key_expressions().items()
+            if k in {x for c in encode.encoding_columns(cfg) for x in _KEYS_FOR[c]}}
+    stats = encode.fit_stats(rows, transform_target(F.col(C.TARGET_COL), target_mode), keys, "fold", 5)
+    if fit_roles:
+        apply = rows.withColumn("afold", F.explode(F.sequence(F.lit(1), F.lit(5)))).withColumn(
+            "role", F.when(F.col("fold") == F.col("afold"), "valid").otherwise("fit"))
+    else:
+        apply = rows.withColumn("afold", F.col("fold")).withColumn("role", F.lit("valid"))
+    out = encode.apply_encodings(apply, stats, cfg, F.col("afold"))
+    return rounded(out.select(C.ID_COL, F.col("afold").alias("fold"), "role", *encode.encoding_columns(cfg)))
+
+
+@query("te_brand_age", _cv_enc_sql(["brand_age_target_mean"], "ln(1 + " + O.clip0("price") + ")"))
+def q_te_brand_age(spark, sf):
+    """Brand x age-bin encoding of validation rows from the other folds (log1p target)."""
+    return _cv_enc(spark, sf, EncodingConfig(use_brand_age=True))
+
+
+@query("te_model_age", _cv_enc_sql(["model_age_target_mean", "power_age_bin_target_mean"],
+                                   "ln(1 + " + O.clip0("price") + ")"))
+def q_te_model_age(spark, sf):
+    """T11 + T12: model x age with model/brand back-off, power x age with power-bin back-off."""
+    return _cv_enc(spark, sf, EncodingConfig(use_model_age=True))
+
+
+@query("te_model_power_age", _cv_enc_sql(["model_backoff_target_mean", "model_power_age_backoff_target_mean"],
+                                         "ln(1 + " + O.clip0("price") + ")"))
+def q_te_model_power_age(spark, sf):
+    """T7 + T8: model encoding with brand back-off, model x power x age on top."""
+    return _cv_enc(spark, sf, EncodingConfig(use_model_backoff=True))
+
+
+@query("low_freq_flag", _cv_enc_sql(["model_low_freq_flag"], "ln(1 + " + O.clip0("price") + ")"))
+def q_low_freq_flag(spark, sf):
+    """1.0 when the model has fewer than 20 fit rows."""
+    return _cv_enc(spark, sf, EncodingConfig(use_model_low_freq_flag=True))
+
+
+_ALL_COLS = list(_KEYS_FOR)
+
+
+@query("te_all", _cv_enc_sql(_ALL_COLS, "ln(1 + " + O.clip0("price") + ")", fit_roles=True))
+def q_te_all(spark, sf):
+    """T13 + T14: all eight encodings for every fold: validation rows from the
+    other folds, fit rows self-included (trainer semantics)."""
+    cfg = EncodingConfig(use_brand=True, use_brand_age=True, use_model=True, use_model_age=True,
+                         use_model_backoff=True, use_model_low_freq_flag=True)
+    return _cv_enc(spark, sf, cfg, fit_roles=True)
+
+
+def _full_enc_sql(cols: list[str], target: str) -> str:
+    keys = sorted({k for c in cols for k in _KEYS_FOR[c]})
+    ex = _enc_exprs()
+    sel = ", ".join(f"{r(ex[c])} AS {c}" for c in cols)
+    return O.with_ctes(O.base_cte(), _enc_rows_cte("er", target),
+                       "ft AS (SELECT *, 1 AS fold FROM er WHERE is_train)",
+                       "ap AS (SELECT *, 0 AS afold FROM er WHERE NOT is_train)",
+                       *_enc_stat_ctes("ft", "ap", keys)) + f"""
+SELECT a.SaleID, {sel}
+FROM ap a
+{_enc_joins(keys)}"""
+
+
+@query("te_backoff", _full_enc_sql(["model_backoff_target_mean", "model_power_age_backoff_target_mean"], "price"))
+def q_te_backoff(spark, sf):
+    """T3 + T7 + T8 full-train -> test (raw price)."""
+    df = enc_frame(spark, sf)
+    train, test = df.where(F.col("is_train")), df.where(~F.col("is_train"))
+    cfg = EncodingConfig(use_model_backoff=True)
+    keys = {k: encode.key_expressions()[k] for k in ("model", "brand", "model_power_age")}
+    stats = encode.fit_stats(train, F.col(C.TARGET_COL), keys)
+    out = encode.apply_encodings(test, stats, cfg)
+    return rounded(out.select(C.ID_COL, *encode.encoding_columns(cfg)))
+
+
+def _proxy_sql(space_expr: str, suffix: str, oof: bool) -> str:
+    ex = {"brand": _sm("brand"), "model": _sm("model")}
+    if oof:
+        ctes = ["tr AS (SELECT * FROM er WHERE is_train)", _kfold_cte("tr", "kf"),
+                "ap AS (SELECT kf.*, kf.fold AS afold FROM kf)"]
+        fit = "kf"
+    else:
+        ctes = ["kf AS (SELECT *, 1 AS fold FROM er WHERE is_train)",
+                "ap AS (SELECT *, 0 AS afold FROM er WHERE NOT is_train)"]
+        fit = "kf"
+    return O.with_ctes(O.base_cte(), _enc_rows_cte("er", space_expr), *ctes,
+                       *_enc_stat_ctes(fit, "ap", ["brand", "model"])) + f"""
+SELECT a.SaleID, {r(ex['brand'])} AS brand{suffix}, {r(ex['model'])} AS model{suffix}
+FROM ap a
+{_enc_joins(['brand', 'model'])}"""
+
+
+@query("smoothed_te", _proxy_sql("price", "_price_mean", oof=False))
+def q_smoothed_te(spark, sf):
+    """T2 + T5: full-train smoothed brand/model price means applied to test rows."""
+    df = enc_frame(spark, sf)
+    train, test = df.where(F.col("is_train")), df.where(~F.col("is_train"))
+    enc = encode.fit_price_proxy_encoder(train, C.TARGET_COL, ("brand", "model"), SMOOTH)
+    return rounded(enc.transform(test).select(C.ID_COL, "brand_price_mean", "model_price_mean"))
+
+
+@query("oof_te", _proxy_sql("price", "_price_mean", oof=True))
+def q_oof_te(spark, sf):
+    """T4: strict out-of-fold brand/model price means for train rows (5 folds)."""
+    rows = folds.kfold_assign(enc_frame(spark, sf).where(F.col("is_train")), 5, 42)
+    out = encode.build_oof_price_proxy_features(rows, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH)
+    return rounded(out.select(C.ID_COL, "brand_price_mean", "model_price_mean"))
+
+
+@query("te_target_spaces", _proxy_sql("sqrt(" + O.clip0("price") + ")", "_sqrt_mean", oof=True))
+def q_te_target_spaces(spark, sf):
+    """T1 + T6: encodings fitted in sqrt(price) space, out-of-fold for train rows."""
+    rows = folds.kfold_assign(enc_frame(spark, sf).where(F.col("is_train")), 5, 42)
+    test = enc_frame(spark, sf).where(~F.col("is_train"))
+    tr, _, _ = encode.build_oof_and_apply_price_proxy_features(
+        rows, test, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH, "_sqrt_mean", "sqrt")
+    return rounded(tr.select(C.ID_COL, "brand_sqrt_mean", "model_sqrt_mean"))
