@@ -745,3 +745,247 @@ def q_te_target_spaces(spark, sf):
     tr, _, _ = encode.build_oof_and_apply_price_proxy_features(
         rows, test, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH, "_sqrt_mean", "sqrt")
     return rounded(tr.select(C.ID_COL, "brand_sqrt_mean", "model_sqrt_mean"))
+
+
+# ===================================================================== M / E
+from ..config import SampleWeightConfig  # noqa: E402
+from ..functions.targets import inverse_target, transform_target  # noqa: E402
+from ..operators import metrics, routing, weights  # noqa: E402
+
+PRED_COLS = ["p_brand", "p_model", "p_median", "p_noisy"]
+
+
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Prediction fixture for metric/blend operators: out-of-fold brand and
+    model price means (5 folds), the train median, and a scaled price. All
+    derived by Spark from the tables; fold kept for meta-CV."""
+    rows = folds.kfold_assign(enc_frame(spark, sf).where(F.col("is_train")), 5, 42)
+    oof = encode.build_oof_price_proxy_features(rows, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH)
+    med = metrics.exact_quantiles(rows, C.TARGET_COL, [0.5], C.ID_COL)[0.5]
+    return oof.select(
+        C.ID_COL, C.TARGET_COL, "fold", "car_age_years",
+        F.col("brand_price_mean").alias("p_brand"), F.col("model_price_mean").alias("p_model"),
+        F.lit(med).alias("p_median"),
+        (F.col(C.TARGET_COL) * (F.lit(0.8) + F.lit(0.4) * (F.col(C.ID_COL) % 7) / F.lit(6.0))).alias("p_noisy"))
+
+
+def _pred_ctes() -> list[str]:
+    ex = {"brand": _sm("brand"), "model": _sm("model")}
+    return [O.base_cte(), _enc_rows_cte("er", "price"), "tr AS (SELECT * FROM er WHERE is_train)",
+            _kfold_cte("tr", "kf"), "ap AS (SELECT kf.*, kf.fold AS afold FROM kf)",
+            *_enc_stat_ctes("kf", "ap", ["brand", "model"]),
+            f"""preds AS (
+  SELECT a.SaleID, a.t AS price, a.fold, a.car_age_years, {ex['brand']} AS p_brand, {ex['model']} AS p_model,
+         (SELECT quantile_cont(t, 0.5) FROM kf) AS p_median,
+         a.t * (0.8 + 0.4 * (a.SaleID % 7) / 6.0) AS p_noisy
+  FROM ap a
+  {_enc_joins(['brand', 'model'])})"""]
+
+
+@query("target_roundtrip", O.with_ctes(O.base_cte()) + f"""
+SELECT SaleID, {r('ln(1 + ' + O.clip0('price') + ')')} AS t_log1p,
+       {r(O.clip0('exp(ln(1 + ' + O.clip0('price') + ')) - 1'), 4)} AS back_log1p,
+       {r('sqrt(' + O.clip0('price') + ')')} AS t_sqrt,
+       {r('sqrt(' + O.clip0('price') + ') * sqrt(' + O.clip0('price') + ')', 4)} AS back_sqrt,
+       {r('pow(' + O.clip0('price') + ', 0.75)')} AS t_pow075,
+       {r('pow(pow(' + O.clip0('price') + ', 0.75), 1.0 / 0.75)', 4)} AS back_pow075,
+       {r('price')} AS t_price
+FROM base WHERE is_train
+""")
+def q_target_roundtrip(spark, sf):
+    """M1: forward transforms and their clipped inverses."""
+    df = base(spark, sf).where(F.col("is_train"))
+    y = F.col(C.TARGET_COL)
+    out = df.select(C.ID_COL, *[c for m in ("log1p", "sqrt", "pow075") for c in (
+        F.round(transform_target(y, m), 9).alias(f"t_{m}"),
+        F.round(inverse_target(transform_target(y, m), m), 4).alias(f"back_{m}"))],
+        F.round(transform_target(y, "price"), 9).alias("t_price"))
+    return rounded(out)
+
+
+def _weights_sql(mode: str) -> str:
+    if mode == "legacy":
+        w = ("(CASE WHEN price >= (SELECT quantile_cont(price, 0.8) FROM tr) THEN 1.5 ELSE 1.0 END) * "
+             "(CASE WHEN car_age_years <= 3 THEN 1.3 ELSE 1.0 END)")
+        flag = "(price >= (SELECT quantile_cont(price, 0.8) FROM tr) OR coalesce(car_age_years <= 3, false))"
+        src = "tr"
+    else:
+        pb = "'Q' || CAST(greatest(CAST(ceil((rk - 1) * 5.0 / (n - 1)) AS BIGINT) - 1, 0) + 1 AS VARCHAR)"
+        key = f"{pb} || '|' || {O.age_bin('car_age_years')}"
+        hit = f"({key} IN ('Q5|8y_plus', 'Q4|8y_plus', 'Q5|5_8y', 'Q3|8y_plus', 'Q5|3_5y'))"
+        w = f"(CASE WHEN {hit} THEN 1.1 ELSE 1.0 END)"
+        flag = hit
+        src = "(SELECT *, row_number() OVER (ORDER BY price, SaleID) AS rk, count(*) OVER () AS n FROM tr) z"
+    return O.with_ctes(O.base_cte(), "tr AS (SELECT * FROM base WHERE is_train)",
+                       f"w AS (SELECT SaleID, {w} AS w0, {flag} AS flagged FROM {src})") + f"""
+SELECT SaleID, {r('w0 / (SELECT avg(w0) FROM w)')} AS sample_weight FROM w"""
+
+
+@query("weights_legacy", _weights_sql("legacy"))
+def q_weights_legacy(spark, sf):
+    """M2 legacy: x1.5 at/above the 0.8 price quantile, x1.3 for age <= 3, mean 1."""
+    df = base(spark, sf).where(F.col("is_train"))
+    out = weights.build_sample_weights(df, SampleWeightConfig(mode="legacy"))
+    return rounded(out.select(C.ID_COL, "sample_weight"))
+
+
+@query("weights_slice", _weights_sql("slice"))
+def q_weights_slice(spark, sf):
+    """M2 + M3 price_age_slice: x1.1 on the configured (price quintile, age bin) pairs."""
+    df = base(spark, sf).where(F.col("is_train"))
+    out = weights.build_sample_weights(df, SampleWeightConfig(mode="price_age_slice"))
+    return rounded(out.select(C.ID_COL, "sample_weight"))
+
+
+@query("weight_summary", _weights_sql("legacy").replace(
+    f"SELECT SaleID, {r('w0 / (SELECT avg(w0) FROM w)')} AS sample_weight FROM w", """
+SELECT CAST(sum(CASE WHEN flagged THEN 1 ELSE 0 END) AS BIGINT) AS weighted_sample_count,
+       round(avg(sw), 9) + 0.0 AS weight_mean, round(min(sw), 9) + 0.0 AS weight_min,
+       round(max(sw), 9) + 0.0 AS weight_max,
+       CAST(sum(CASE WHEN abs(sw - 1.0) > 1e-12 THEN 1 ELSE 0 END) AS BIGINT) AS weight_non_default_count
+FROM (SELECT *, w0 / (SELECT avg(w0) FROM w) AS sw FROM w) t"""))
+def q_weight_summary(spark, sf):
+    """M4: weighted rows, mean/min/max, rows with weight != 1 (after normalising)."""
+    df = base(spark, sf).where(F.col("is_train"))
+    out = weights.build_sample_weights(df, SampleWeightConfig(mode="legacy"))
+    return rounded(weights.summarize_sample_weights(out))
+
+
+def _route_sql_cols() -> str:
+    thr = "(SELECT quantile_cont(price, 0.8) FROM preds)"
+    ab = O.age_bin("car_age_years")
+    return (f"coalesce(price >= {thr} AND {ab} IN ('5_8y', '8y_plus'), false) AS actual_segment, "
+            f"coalesce(p_brand >= {thr} AND {ab} IN ('5_8y', '8y_plus'), false) AS routed")
+
+
+@query("segment_routing", O.with_ctes(*_pred_ctes()) + f"""
+SELECT SaleID, {_route_sql_cols()} FROM preds
+""")
+def q_segment_routing(spark, sf):
+    """M8 + M9: actual segment (price) and routed rows (predicted price) at
+    the 0.8 train-price quantile, ages 5 years and up."""
+    return _routed(spark, sf).select(C.ID_COL, "actual_segment", "routed")
+
+
+def _routed(spark, sf) -> DataFrame:
+    p = predictions(spark, sf)
+    thr = metrics.exact_quantiles(p, C.TARGET_COL, [0.8], C.ID_COL)[0.8]
+    ab = age_bin("car_age_years")
+    return p.withColumns({"actual_segment": routing.segment_mask(F.col(C.TARGET_COL), ab, thr),
+                          "routed": routing.routing_mask(F.col("p_brand"), ab, thr)})
+
+
+_FM_SQL = f"""
+fm_rows AS (SELECT *, CASE WHEN routed THEN p_model ELSE p_brand END AS pred, p_brand AS global_pred
+            FROM (SELECT *, {_route_sql_cols()} FROM preds) x),
+fm AS (
+  SELECT 1 AS repeat, fold, avg(abs(price - pred)) AS mae, avg(abs(price - global_pred)) AS global_mae,
+    CAST(sum(CASE WHEN actual_segment THEN 1 ELSE 0 END) AS BIGINT) AS actual_segment_count,
+    CAST(sum(CASE WHEN routed THEN 1 ELSE 0 END) AS BIGINT) AS routed_count,
+    sum(CASE WHEN routed THEN 1 ELSE 0 END) / count(*) AS segment_coverage_rate,
+    CAST(sum(CASE WHEN routed AND actual_segment THEN 1 ELSE 0 END) AS DOUBLE) / nullif(sum(CASE WHEN routed THEN 1 ELSE 0 END), 0) AS routing_precision,
+    CAST(sum(CASE WHEN routed AND actual_segment THEN 1 ELSE 0 END) AS DOUBLE) / nullif(sum(CASE WHEN actual_segment THEN 1 ELSE 0 END), 0) AS routing_recall,
+    avg(CASE WHEN actual_segment THEN abs(price - pred) END) AS segment_mae,
+    avg(CASE WHEN actual_segment THEN abs(price - global_pred) END) AS global_segment_mae,
+    avg(CASE WHEN NOT actual_segment THEN abs(price - pred) END) AS non_segment_mae,
+    count(*) AS valid_rows
+  FROM fm_rows GROUP BY fold)"""
+
+_FM_COLS = ["mae", "global_mae", "segment_coverage_rate", "routing_precision", "routing_recall", "segment_mae",
+            "global_segment_mae", "non_segment_mae"]
+
+
+def _fold_metrics_spark(spark, sf) -> DataFrame:
+    rows = _routed(spark, sf).withColumns({
+        "pred": F.when(F.col("routed"), F.col("p_model")).otherwise(F.col("p_brand")),
+        "global_pred": F.col("p_brand"), "repeat": F.lit(1)})
+    return routing.fold_metrics(rows)
+
+
+@query("fold_metrics", O.with_ctes(*_pred_ctes()) + "," + _FM_SQL + f"""
+SELECT CAST(repeat AS BIGINT) AS repeat, CAST(fold AS BIGINT) AS fold, {', '.join(f"{r(c)} AS {c}" for c in _FM_COLS)},
+       actual_segment_count, routed_count, valid_rows FROM fm
+""")
+def q_fold_metrics(spark, sf):
+    """Per-fold MAE, global MAE, segment MAEs, routing precision/recall
+    (routed rows take the model-mean prediction)."""
+    return rounded(_fold_metrics_spark(spark, sf))
+
+
+@query("cv_summary", O.with_ctes(*_pred_ctes()) + "," + _FM_SQL + f"""
+SELECT {r('avg(mae)')} AS mae_mean, {r('stddev_pop(mae)')} AS mae_std, {r('avg(global_mae)')} AS global_mae_mean,
+       {r('stddev_pop(global_mae)')} AS global_mae_std, count(*) AS total_folds FROM fm
+""")
+def q_cv_summary(spark, sf):
+    """Mean and population std of the fold MAEs."""
+    return rounded(metrics.cv_summary(_fold_metrics_spark(spark, sf)))
+
+
+@query("oof_aggregate", O.with_ctes(O.base_cte(), "tr AS (SELECT * FROM base WHERE is_train)",
+                                    *_strat_label_ctes("tr"),
+                                    "rep AS (SELECT * FROM (VALUES (1), (2), (3)) v(repeat))",
+                                    "pl AS (SELECT s.SaleID, rep.repeat FROM strat s, rep)",
+                                    """pp AS (SELECT pl.SaleID, tr.price * (0.8 + 0.4 * ((pl.SaleID + pl.repeat) % 7) / 6.0) AS pred,
+       CASE WHEN (pl.SaleID + pl.repeat) % 3 = 0 THEN 1.0 ELSE 0.0 END AS routed_flag
+  FROM pl JOIN tr ON tr.SaleID = pl.SaleID)""") + f"""
+SELECT SaleID, {r('avg(pred)')} AS oof_pred, {r('avg(routed_flag)')} AS segmented_replaced_flag,
+       count(*) AS cv_prediction_count
+FROM pp GROUP BY SaleID
+""")
+def q_oof_aggregate(spark, sf):
+    """Per-row mean over the repeats that validated it (stratified 5 x 3
+    plan), with the count; the per-repeat values are a deterministic
+    function of price and (id, repeat)."""
+    train = base(spark, sf).where(F.col("is_train"))
+    plan = folds.stratified_assign(train, 5, 3, 42, 5)
+    rows = plan.join(train.select(C.ID_COL, C.TARGET_COL), C.ID_COL).withColumns({
+        "oof_pred": F.col(C.TARGET_COL) * (F.lit(0.8) + F.lit(0.4) * ((F.col(C.ID_COL) + F.col("repeat")) % 7) / 6.0),
+        "segmented_replaced_flag": F.when((F.col(C.ID_COL) + F.col("repeat")) % 3 == 0, 1.0).otherwise(0.0)})
+    return rounded(metrics.oof_aggregate(rows, C.ID_COL, ["oof_pred", "segmented_replaced_flag"]))
+
+
+@query("regression_metrics", O.with_ctes(*_pred_ctes()) + " " + " UNION ALL ".join(f"""
+SELECT '{p}' AS model, {r(f'avg(abs(price - {p}))')} AS mae, {r(f'sqrt(avg((price - {p}) * (price - {p})))')} AS rmse,
+       {r(f'1 - sum((price - {p}) * (price - {p})) / nullif(var_pop(price) * count(price), 0)')} AS r2, count(*) AS rows
+FROM preds""" for p in PRED_COLS))
+def q_regression_metrics(spark, sf):
+    """MAE / RMSE / R2 of each fixture predictor (one aggregate each)."""
+    p = predictions(spark, sf).persist()
+    out = None
+    for c in PRED_COLS:
+        m = metrics.regression_metrics(p, C.TARGET_COL, c).select(F.lit(c).alias("model"), "*")
+        out = m if out is None else out.unionByName(m)
+    return rounded(out)
+
+
+@query("error_report", O.with_ctes(*_pred_ctes(), "ae AS (SELECT SaleID, abs(price - p_brand) AS e FROM preds)") + f"""
+SELECT * FROM (VALUES
+  ('aggregated_oof_mae', (SELECT {r('avg(e)')} FROM ae)),
+  ('abs_error_median', (SELECT {r('quantile_cont(e, 0.5)')} FROM ae)),
+  ('abs_error_p75', (SELECT {r('quantile_cont(e, 0.75)')} FROM ae)),
+  ('abs_error_p90', (SELECT {r('quantile_cont(e, 0.9)')} FROM ae)),
+  ('abs_error_p95', (SELECT {r('quantile_cont(e, 0.95)')} FROM ae)),
+  ('abs_error_p99', (SELECT {r('quantile_cont(e, 0.99)')} FROM ae)),
+  ('worst_10pct_abs_error_share', (SELECT {r('sum(e) FILTER (WHERE rk <= greatest(1, CAST(floor(n * 0.1) AS BIGINT))) / sum(e)')}
+      FROM (SELECT e, row_number() OVER (ORDER BY e DESC, SaleID DESC) AS rk, count(*) OVER () AS n FROM ae) z))
+) v(metric, value)
+""")
+def q_error_report(spark, sf):
+    """Abs-error quantiles and the worst-10 % share, from one distributed ranking."""
+    p = predictions(spark, sf).withColumn("abs_error", F.abs(F.col(C.TARGET_COL) - F.col("p_brand")))
+    return rounded(metrics.error_report(p, "abs_error", C.ID_COL))
+
+
+@query("profile_report", O.with_ctes(O.base_cte(), "tr AS (SELECT * FROM base WHERE is_train)") + f"""
+SELECT * FROM (VALUES
+  ('train_rows', (SELECT CAST(count(*) AS DOUBLE) FROM tr)),
+  ('target_min', (SELECT {r('min(price)')} FROM tr)),
+  ('target_median', (SELECT {r('quantile_cont(price, 0.5)')} FROM tr)),
+  ('target_mean', (SELECT {r('avg(price)')} FROM tr)),
+  ('target_max', (SELECT {r('max(price)')} FROM tr))
+) v(metric, value)
+""")
+def q_profile_report(spark, sf):
+    """Train size and target summary as a long-form table."""
+    train = base(spark, sf).where(F.col("is_train"))
+    return rounded(metrics.profile_report(train, C.TARGET_COL, C.ID_COL))
