@@ -989,3 +989,152 @@ def q_profile_report(spark, sf):
     """Train size and target summary as a long-form table."""
     train = base(spark, sf).where(F.col("is_train"))
     return rounded(metrics.profile_report(train, C.TARGET_COL, C.ID_COL))
+
+
+# ===================================================================== B
+from ..operators import blend  # noqa: E402
+
+BLEND_STEP = 0.1
+BLEND_MODELS = len(PRED_COLS)
+
+
+def oof_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """B1: the four fixture OOF tables (id, price, oof_pred) inner-joined on
+    (id, price), plus the prediction array and the meta-CV fold."""
+    p = predictions(spark, sf).persist()
+    tables = [(c, p.select(C.ID_COL, C.TARGET_COL, F.col(c).alias("oof_pred"))) for c in PRED_COLS]
+    m = blend.load_oof_matrix(tables)
+    m = blend.with_pred_array(m, PRED_COLS)
+    return folds.kfold_assign(m, 5, 7, fold_col="meta_fold")
+
+
+_GRID_SQL = """grid AS (
+  SELECT row_number() OVER (ORDER BY a, b, c) - 1 AS cand_id, a / 10.0 AS w1, b / 10.0 AS w2, c / 10.0 AS w3,
+         (10 - a - b - c) / 10.0 AS w4
+  FROM range(0, 11) ta(a), range(0, 11) tb(b), range(0, 11) tc(c) WHERE a + b + c <= 10)"""
+
+_MATRIX_SQL = "mx AS (SELECT *, CAST((row_number() OVER (ORDER BY md5(CAST(SaleID AS VARCHAR) || ':7'), SaleID) - 1) % 5 + 1 AS INTEGER) AS meta_fold FROM preds)"
+
+_BLEND_EXPR = "greatest(p_brand * g.w1 + p_model * g.w2 + p_median * g.w3 + p_noisy * g.w4, 0)"
+
+
+def _w_cols(prefix: str = "g.") -> str:
+    return ", ".join(f"{r(prefix + f'w{i + 1}')} AS w_{c}" for i, c in enumerate(PRED_COLS))
+
+
+def _w_split(df: DataFrame, col: str = "w") -> DataFrame:
+    return df.select(*[c for c in df.columns if c != col],
+                     *[F.col(col)[i].alias(f"w_{c}") for i, c in enumerate(PRED_COLS)])
+
+
+@query("oof_matrix", O.with_ctes(*_pred_ctes()) + f"""
+SELECT SaleID, {r('price')} AS price, {', '.join(f"{r(c)} AS {c}" for c in PRED_COLS)} FROM preds
+""")
+def q_oof_matrix(spark, sf):
+    """B1: inner join of the per-model OOF tables on (SaleID, price)."""
+    return rounded(oof_matrix(spark, sf).select(C.ID_COL, C.TARGET_COL, *PRED_COLS))
+
+
+@query("weight_grid", O.with_ctes(_GRID_SQL) + f"""
+SELECT cand_id, {_w_cols('')} FROM grid
+""".replace("g.", ""))
+def q_weight_grid(spark, sf):
+    """The 4-model simplex grid at step 0.1 (286 vectors) with
+    lexicographic ids. Its size is fixed by (models, step), not data."""
+    del sf
+    return rounded(_w_split(blend.weight_grid(spark, BLEND_MODELS, BLEND_STEP).select("cand_id", "w")))
+
+
+@query("blend_grid", O.with_ctes(*_pred_ctes(), _GRID_SQL) + f"""
+SELECT rank, cand_id, {', '.join(f"w_{c}" for c in PRED_COLS)}, mae FROM (
+  SELECT row_number() OVER (ORDER BY round(avg(abs(price - {_BLEND_EXPR})), 6), g.cand_id) AS rank, g.cand_id,
+         {_w_cols()}, round(avg(abs(price - {_BLEND_EXPR})), 6) + 0.0 AS mae
+  FROM preds, grid g GROUP BY g.cand_id, g.w1, g.w2, g.w3, g.w4) t
+WHERE rank <= 10
+""")
+def q_blend_grid(spark, sf):
+    """B4 + B5: every grid vector scored on every OOF row (partial sums per
+    task, no row x candidate materialisation); top 10 by MAE, ties in grid order."""
+    m = oof_matrix(spark, sf)
+    top = blend.search_best_weights(m, BLEND_MODELS, BLEND_STEP, top_k=10)
+    out = _w_split(top.withColumn("mae", F.round("mae", 6) + F.lit(0.0)))
+    return rounded(out.select("rank", "cand_id", *[f"w_{c}" for c in PRED_COLS], "mae"))
+
+
+_META_SQL = f"""
+sc AS (SELECT m.meta_fold AS f, g.cand_id, g.w1, g.w2, g.w3, g.w4, sum(abs(price - {_BLEND_EXPR})) AS err, count(*) AS n
+       FROM mx m, grid g GROUP BY 1, 2, 3, 4, 5, 6),
+tt AS (SELECT cand_id, sum(err) AS te, sum(n) AS tn FROM sc GROUP BY cand_id),
+pf AS (SELECT sc.*, (tt.te - sc.err) / (tt.tn - sc.n) AS train_mae, sc.err / sc.n AS valid_mae,
+              row_number() OVER (PARTITION BY sc.f ORDER BY (tt.te - sc.err) / (tt.tn - sc.n), sc.cand_id) AS rk
+       FROM sc JOIN tt USING (cand_id)),
+ch AS (SELECT * FROM pf WHERE rk = 1)"""
+
+
+@query("meta_cv", O.with_ctes(*_pred_ctes(), _GRID_SQL, _MATRIX_SQL) + "," + _META_SQL + f"""
+SELECT CAST(f AS BIGINT) AS meta_fold, cand_id, {r('train_mae', 6)} AS train_mae, {r('valid_mae', 6)} AS valid_mae,
+       {_w_cols('')} FROM ch
+""")
+def q_meta_cv(spark, sf):
+    """Per meta fold, the grid vector that is best on the other folds and
+    its error on this fold, from one scoring pass (train error = total - fold)."""
+    m = oof_matrix(spark, sf)
+    choices, _ = blend.run_meta_cv(m, BLEND_MODELS, "meta_fold", BLEND_STEP)
+    out = _w_split(choices).withColumns({"train_mae": F.round("train_mae", 6), "valid_mae": F.round("valid_mae", 6)})
+    return rounded(out.select("meta_fold", "cand_id", "train_mae", "valid_mae", *[f"w_{c}" for c in PRED_COLS]))
+
+
+@query("blend_report", O.with_ctes(*_pred_ctes(), _GRID_SQL, _MATRIX_SQL) + "," + _META_SQL + f""",
+best AS (SELECT cand_id, avg(abs(price - {_BLEND_EXPR})) AS mae FROM preds, grid g GROUP BY cand_id ORDER BY mae, cand_id LIMIT 1),
+moof AS (SELECT m.price, greatest(m.p_brand * ch.w1 + m.p_model * ch.w2 + m.p_median * ch.w3 + m.p_noisy * ch.w4, 0) AS pred
+         FROM mx m JOIN ch ON ch.f = m.meta_fold)
+SELECT * FROM (
+  SELECT 'n_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM preds
+  UNION ALL SELECT 'grid_size', CAST(count(*) AS DOUBLE) FROM grid
+  {''.join(f"UNION ALL SELECT 'base_oof_mae_{c}', {r(f'avg(abs(price - greatest({c}, 0)))', 6)} FROM preds " for c in PRED_COLS)}
+  UNION ALL SELECT 'best_full_mae', {r('mae', 6)} FROM best
+  UNION ALL SELECT 'meta_cv_mae', {r('avg(abs(price - pred))', 6)} FROM moof
+  UNION ALL SELECT 'meta_cv_valid_mean', {r('avg(valid_mae)', 6)} FROM ch
+  UNION ALL SELECT 'meta_cv_valid_std', {r('stddev_samp(valid_mae)', 6)} FROM ch) t
+""")
+def q_blend_report(spark, sf):
+    """Base MAE per model, best grid MAE, meta-CV MAE and the sample std
+    of the meta fold MAEs, as a long-form table."""
+    m = oof_matrix(spark, sf).persist()
+    rows = [("n_rows", float(m.count())), ("grid_size", float(blend.grid_size(BLEND_MODELS, BLEND_STEP)))]
+    for i, c in enumerate(PRED_COLS):
+        unit = [1.0 if j == i else 0.0 for j in range(BLEND_MODELS)]
+        rows.append((f"base_oof_mae_{c}", round(blend.mae_for_weights(m, unit), 6)))
+    best = blend.search_best_weights(m, BLEND_MODELS, BLEND_STEP, top_k=1).first()
+    rows.append(("best_full_mae", round(float(best["mae"]), 6)))
+    choices, oof = blend.run_meta_cv(m, BLEND_MODELS, "meta_fold", BLEND_STEP)
+    mcv = oof.agg(F.avg(F.abs(F.col(C.TARGET_COL) - F.col("oof_pred")))).first()[0]
+    st = choices.agg(F.avg("valid_mae"), F.stddev_samp("valid_mae")).first()
+    rows += [("meta_cv_mae", round(float(mcv), 6)), ("meta_cv_valid_mean", round(float(st[0]), 6)),
+             ("meta_cv_valid_std", round(float(st[1]), 6))]
+    return rounded(spark.createDataFrame(rows, "metric string, value double"))
+
+
+@query("blend_local_search")
+def q_blend_local_search(spark, sf):
+    """B6 + B7 + B8: distributed local search from the uniform / unit starts
+    over rounded neighbourhoods until no gain (no SQL oracle: iterative)."""
+    m = oof_matrix(spark, sf).persist()
+    w, mae, hist = blend.local_search(m, BLEND_MODELS, 0.05)
+    rows = [(h["round"], float(h["mae"]), [float(x) for x in h["w"]]) for h in hist]
+    return _w_split(spark.createDataFrame(rows, "round int, mae double, w array<double>"))
+
+
+@query("neighbor_grids")
+def q_neighbor_grids(spark, sf):
+    """B6 + B7: centre = inverse-MAE weights of the fixture models, rounded
+    to the 0.05 grid by largest remainder; rounded (radius 2) and pairwise
+    neighbourhoods (no SQL oracle)."""
+    m = oof_matrix(spark, sf).persist()
+    maes = [blend.mae_for_weights(m, [1.0 if j == i else 0.0 for j in range(BLEND_MODELS)])
+            for i in range(BLEND_MODELS)]
+    center = blend.normalize_weights([1.0 / x for x in maes])
+    a = blend.rounded_neighbor_grid(center, 0.05, 2)
+    b = blend.pairwise_neighbor_grid(center, 0.05, 2)
+    rows = [("rounded", [float(x) for x in r_]) for r_ in a] + [("pairwise", [float(x) for x in r_]) for r_ in b]
+    return _w_split(spark.createDataFrame(rows, "kind string, w array<double>"))
