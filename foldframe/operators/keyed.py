@@ -15,17 +15,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_EXECUTION
+from ..session import cut_lineage
 
 
 def sized(stats: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Persist `stats`, count it, and hint broadcast only under the bound."""
+    """Materialise `stats` with a reliable checkpoint (shared checkpoint
+    folder: survives executor loss and keeps later plans small), count it,
+    and hint broadcast only under the bound."""
     limit = DEFAULT_EXECUTION.broadcast_max_rows if max_rows is None else max_rows
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+    stats = cut_lineage(stats)
     n = stats.count()
     return F.broadcast(stats) if n <= limit else stats
 

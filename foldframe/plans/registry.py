@@ -1138,3 +1138,90 @@ def q_neighbor_grids(spark, sf):
     b = blend.pairwise_neighbor_grid(center, 0.05, 2)
     rows = [("rounded", [float(x) for x in r_]) for r_ in a] + [("pairwise", [float(x) for x in r_]) for r_ in b]
     return _w_split(spark.createDataFrame(rows, "kind string, w array<double>"))
+
+
+# ===================================================================== M5-M14
+from ..config import ModelConfig, SegmentConfig  # noqa: E402
+from ..operators import ml  # noqa: E402
+
+NUM_FEATURES = ["power", "kilometer", "v_0", "v_1", "v_2", "v_3", "v_4", "car_age_years", "power_outlier_flag",
+                "power_is_zero", "reg_year", "create_year"]
+CAT_FEATURES = list(C.CATEGORICAL_COLUMNS)
+SMALL_MODEL = ModelConfig(n_estimators=10, num_leaves=15, learning_rate=0.1)
+
+
+@query("median_impute", O.with_ctes(O.base_cte(), "tr AS (SELECT * FROM base WHERE is_train)",
+                                    "med AS (SELECT " + ", ".join(
+                                        f"quantile_cont({c}, 0.5) AS m_{c}" for c in NUM_FEATURES) + " FROM tr)") +
+       "\nSELECT b.SaleID, " + ", ".join(f"{r(f'coalesce(CAST(b.{c} AS DOUBLE), med.m_{c})')} AS {c}"
+                                         for c in NUM_FEATURES) + "\nFROM base b, med WHERE NOT b.is_train")
+def q_median_impute(spark, sf):
+    """M5 numeric side: exact train medians of all numeric features from one
+    stacked ranking, imputed into the test rows."""
+    df = base(spark, sf)
+    meds = ml.exact_medians(df.where(F.col("is_train")), NUM_FEATURES)
+    test = df.where(~F.col("is_train"))
+    return rounded(test.select(C.ID_COL, *[F.coalesce(F.col(c).cast("double"), F.lit(meds[c])).alias(c)
+                                           for c in NUM_FEATURES]))
+
+
+@query("ordinal_codes", O.with_ctes(
+    O.base_cte(),
+    "cb AS (SELECT SaleID, is_train, " + ", ".join(f"{O.cat_text(c)} AS {c}" for c in CAT_FEATURES) + " FROM base)",
+    *[f"d_{c} AS (SELECT v, CAST(row_number() OVER (ORDER BY v) - 1 AS DOUBLE) AS code FROM "
+      f"(SELECT DISTINCT {c} AS v FROM cb WHERE is_train) x)" for c in CAT_FEATURES]) +
+       "\nSELECT a.SaleID, " + ", ".join(f"coalesce(d_{c}.code, -1.0) AS {c}__code" for c in CAT_FEATURES) +
+       "\nFROM cb a " + " ".join(f"LEFT JOIN d_{c} ON d_{c}.v = a.{c}" for c in CAT_FEATURES) +
+       "\nWHERE NOT a.is_train")
+def q_ordinal_codes(spark, sf):
+    """M5 categorical side: sorted-order codes fitted on train rows (one
+    ranking over all columns' distinct values), unseen test values -> -1."""
+    df = enc_frame(spark, sf)
+    codes = ml.fit_ordinal_codes(df.where(F.col("is_train")), CAT_FEATURES)
+    pre = ml.Preprocessor({}, codes, (), tuple(CAT_FEATURES))
+    out = pre.transform(df.where(~F.col("is_train")))
+    return rounded(out.select(C.ID_COL, *[f"{c}__code" for c in CAT_FEATURES]))
+
+
+def _model_rows(spark, sf):
+    return enc_frame(spark, sf)
+
+
+@query("gbt_full_predict")
+def q_gbt_full_predict(spark, sf):
+    """M6 + M7 + M10: GBT fitted on all train rows (log1p target), test rows
+    predicted (rows-only check)."""
+    df = _model_rows(spark, sf)
+    pred, _ = ml.fit_full_and_predict(df.where(F.col("is_train")), df.where(~F.col("is_train")),
+                                      NUM_FEATURES, CAT_FEATURES, SMALL_MODEL)
+    return pred.select(C.ID_COL, F.round("prediction", 6).alias("price"))
+
+
+@query("gbt_segmented")
+def q_gbt_segmented(spark, sf):
+    """Global model plus a segment model that overwrites routed test
+    predictions (rows-only check)."""
+    df = _model_rows(spark, sf)
+    pred, _ = ml.fit_full_and_predict(df.where(F.col("is_train")), df.where(~F.col("is_train")),
+                                      NUM_FEATURES, CAT_FEATURES, SMALL_MODEL, SegmentConfig(enabled=True))
+    return pred.select(C.ID_COL, "routed", F.round("prediction", 6).alias("price"))
+
+
+@query("gbt_cv_oof")
+def q_gbt_cv_oof(spark, sf):
+    """M11 + M12 + M13: 3-fold stratified CV with brand/model encodings and
+    segment routing; OOF table per row (rows-only check)."""
+    train = _model_rows(spark, sf).where(F.col("is_train"))
+    plan = folds.stratified_assign(train, n_splits=3, repeats=1, seed=42, price_bins=5)
+    preds, _ = ml.cross_validate(train, plan, NUM_FEATURES, CAT_FEATURES, SMALL_MODEL,
+                                 EncodingConfig(use_brand=True, use_model_backoff=True),
+                                 SegmentConfig(enabled=True))
+    return ml.oof_table(preds)
+
+
+@query("gbt_tune")
+def q_gbt_tune(spark, sf):
+    """2 x 1 x 1 grid over 2 folds, ranked by mean fold MAE (rows-only)."""
+    train = _model_rows(spark, sf).where(F.col("is_train"))
+    plan = folds.cv_plan(train, n_splits=2, strategy="kfold", seed=42)
+    return ml.tune(train, plan, NUM_FEATURES, CAT_FEATURES, [0.05, 0.1], [5], [7], SMALL_MODEL)
