@@ -127,7 +127,7 @@ def stratified_assign(df: DataFrame, n_splits: int = 5, repeats: int = 3, seed:
     if repeats < 1:
         raise ValueError("cv_repeats must be at least 1.")
     labelled = stratification_labels(df.select(id_col, target_col, "car_age_years", "model"), n_splits,
-                                     price_bins, target_col, id_col, label_col=label_col)
+                                     price_bins, target_col, id_col, label_col=label_col).persist()
     per_repeat = labelled.select(id_col, label_col).withColumn(
         "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     per_repeat = per_repeat.withColumn("__h", hash_order(id_col, F.col("repeat") + F.lit(seed - 1)))

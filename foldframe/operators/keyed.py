@@ -22,11 +22,22 @@ from ..config import DEFAULT_EXECUTION
 from ..session import cut_lineage
 
 
+LOCAL_MAX_ROWS = 50_000
+
+
 def sized(stats: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Materialise `stats` with a reliable checkpoint (shared checkpoint
-    folder: survives executor loss and keeps later plans small), count it,
-    and hint broadcast only under the bound."""
+    """Decide the join strategy of a statistic table from its actual size.
+
+    One job fetches at most LOCAL_MAX_ROWS + 1 rows. A table within that
+    bound is rebuilt as a local relation and broadcast (the broadcast would
+    ship it through the driver anyway; this also cuts its lineage). A larger
+    table is materialised with a reliable checkpoint in the shared
+    checkpoint folder, counted, and broadcast only under `max_rows`;
+    otherwise the join is left to a shuffle join."""
     limit = DEFAULT_EXECUTION.broadcast_max_rows if max_rows is None else max_rows
+    head = stats.limit(LOCAL_MAX_ROWS + 1).collect()
+    if len(head) <= min(LOCAL_MAX_ROWS, limit):
+        return F.broadcast(stats.sparkSession.createDataFrame(head, stats.schema))
     stats = cut_lineage(stats)
     n = stats.count()
     return F.broadcast(stats) if n <= limit else stats

@@ -38,8 +38,10 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "r
     (end it with the id column)."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     parts = _partitions(df, num_partitions)
+    # range partitioning reads its input twice (bound sampling, shuffle)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
     tagged = (
-        df.repartitionByRange(parts, *cols)
+        src.repartitionByRange(parts, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id())
@@ -63,14 +65,11 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
     (group, order) minus the group's start offset. `group` must have a
     bounded number of distinct values (labels, repeats): the offset table is
     broadcast."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = global_rank(df, [*group, *order], "__grank", num_partitions)
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__gn"))
     w = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*group, F.coalesce(F.sum("__gn").over(w), F.lit(0)).alias("__gstart"))
-    cond = None
-    for g in group:
-        c = ranked[g].eqNullSafe(starts[g])
-        cond = c if cond is None else cond & c
     out = ranked.join(F.broadcast(starts.withColumnsRenamed({g: f"__s_{g}" for g in group})),
                       [ranked[g].eqNullSafe(F.col(f"__s_{g}")) for g in group])
     return (out.withColumn(rank_col, F.col("__grank") - F.col("__gstart"))
@@ -84,7 +83,7 @@ def price_quantile_bin(df: DataFrame, price_col: str, id_col: str, bucket_count:
     missing price -> `__PRICE_MISSING__`."""
     if bucket_count < 2:
         raise ValueError("bucket_count must be at least 2.")
-    present = df.where(F.col(price_col).isNotNull())
+    present = df.where(F.col(price_col).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     n = present.count()
     missing = df.where(F.col(price_col).isNull()).withColumn(out_col, F.lit(C.PRICE_MISSING))
     if n == 0:

@@ -1225,3 +1225,54 @@ def q_gbt_tune(spark, sf):
     train = _model_rows(spark, sf).where(F.col("is_train"))
     plan = folds.cv_plan(train, n_splits=2, strategy="kfold", seed=42)
     return ml.tune(train, plan, NUM_FEATURES, CAT_FEATURES, [0.05, 0.1], [5], [7], SMALL_MODEL)
+
+
+# ===================================================================== S
+from ..sources import io as sio  # noqa: E402
+
+
+@query("csv_roundtrip", O.with_ctes() + f"""
+SELECT SaleID, name, regDate, creatDate, {r('model')} AS model, brand, {r('bodyType')} AS bodyType,
+       {r('power')} AS power, {r('kilometer')} AS kilometer, notRepairedDamage, {r('price')} AS price
+FROM listings WHERE is_train
+""")
+def q_csv_roundtrip(spark, sf):
+    """S1-S5 + S11: train listings written as a single-space separated file
+    with header, read back with the typed raw reader (empty fields -> NULL)."""
+    train, _ = fixture.split_train_test(listings(spark, sf))
+    cols = ["SaleID", "name", "regDate", "creatDate", "model", "brand", "bodyType", "power", "kilometer",
+            "notRepairedDamage", "price"]
+    path = sio.scratch_path(spark, "csv_roundtrip")
+    sio.save_raw_listing(train.select(*cols), path)
+    back = sio.read_raw_listing(spark, path, schema=sio.schema_of(train.select(*cols)))
+    return rounded(back)
+
+
+@query("submission_projection", _proxy_sql("price", "_price_mean", oof=False).replace(
+    f"SELECT a.SaleID, {r(_sm('brand'))} AS brand_price_mean, {r(_sm('model'))} AS model_price_mean",
+    f"SELECT a.SaleID, {r(_sm('brand'))} AS price"))
+def q_submission_projection(spark, sf):
+    """Test predictions (full-train brand price means) written as a
+    submission (SaleID, price), read back with the submission loader."""
+    df = enc_frame(spark, sf)
+    train, test = df.where(F.col("is_train")), df.where(~F.col("is_train")).drop(C.TARGET_COL)
+    enc = encode.fit_price_proxy_encoder(train, C.TARGET_COL, ("brand",), SMOOTH)
+    pred = enc.transform(test).withColumnRenamed("brand_price_mean", "price")
+    path = sio.scratch_path(spark, "submission")
+    sio.save_csv(clean.submission_projection(pred), path)
+    return rounded(sio.load_submission(spark, "price", path))
+
+
+# ===================================================================== flagship
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """listings -> default feature frame (counts, group statistics, dates,
+    power) -> repeated stratified folds (one repeat) -> strict out-of-fold
+    smoothed brand/model price means."""
+    train, _ = fixture.split_train_test(listings(spark, sf))
+    feats = feature_frame.build_train_features(train, FeatureConfig(use_power_age=True, use_age_detail=True))
+    plan = folds.stratified_assign(feats, n_splits=5, repeats=1, seed=42, price_bins=5)
+    rows = feats.join(plan.select(C.ID_COL, "fold"), C.ID_COL)
+    oof = encode.build_oof_price_proxy_features(rows, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH)
+    return rounded(oof.select(C.ID_COL, "fold", "brand", "model", "brand_count", "model_count",
+                              "brand_power_mean", "car_age_years", "power_per_age_year",
+                              "brand_price_mean", "model_price_mean"))

@@ -55,4 +55,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor
     loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persisted first so the checkpoint write does not recompute the plan
+    return df.persist().checkpoint(eager=True)
