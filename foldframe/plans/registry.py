@@ -1035,14 +1035,19 @@ def q_oof_matrix(spark, sf):
     return rounded(oof_matrix(spark, sf).select(C.ID_COL, C.TARGET_COL, *PRED_COLS))
 
 
-@query("weight_grid", O.with_ctes(_GRID_SQL) + f"""
-SELECT cand_id, {_w_cols('')} FROM grid
-""".replace("g.", ""))
+@query("weight_grid", O.with_ctes(*_pred_ctes(), _GRID_SQL) + f"""
+SELECT g.cand_id, {_w_cols()}, round(avg(abs(price - {_BLEND_EXPR})), 6) + 0.0 AS mae
+FROM preds, grid g GROUP BY g.cand_id, g.w1, g.w2, g.w3, g.w4
+""")
 def q_weight_grid(spark, sf):
-    """The 4-model simplex grid at step 0.1 (286 vectors) with
-    lexicographic ids. Its size is fixed by (models, step), not data."""
-    del sf
-    return rounded(_w_split(blend.weight_grid(spark, BLEND_MODELS, BLEND_STEP).select("cand_id", "w")))
+    """B3 + B4: the 4-model simplex grid at step 0.1 (286 vectors, built in
+    Spark with lexicographic ids), each scored on every OOF row."""
+    m = oof_matrix(spark, sf)
+    scores = blend.score_candidates(m, BLEND_MODELS, BLEND_STEP)
+    per = scores.groupBy("cand_id").agg(F.round(F.sum("err") / F.sum("n"), 6).alias("mae"))
+    grid = blend.weight_grid(spark, BLEND_MODELS, BLEND_STEP).select("cand_id", "w")
+    out = _w_split(grid.join(per, "cand_id")).withColumn("mae", F.col("mae") + F.lit(0.0))
+    return rounded(out.select("cand_id", *[f"w_{c}" for c in PRED_COLS], "mae"))
 
 
 @query("blend_grid", O.with_ctes(*_pred_ctes(), _GRID_SQL) + f"""
