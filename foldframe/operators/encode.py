@@ -93,15 +93,15 @@ def fit_stats(fit: DataFrame, target: Column, key_exprs: dict[str, Column], fold
     lfo = lfo.persist()
     fg = fit.select(fold.alias("fold"), target.cast("double").alias("__t")).groupBy("fold").agg(
         F.sum("__t").alias("s"), F.count("__t").alias("n"))
-    # one row per fold (+ fold 0): a bounded table, so the grand total is a
-    # window over it and the join is a broadcast by construction
-    fold_list = fit.sparkSession.range(0, max(nf, 1) + 1).select(F.col("id").cast("int").alias("apply_fold"))
+    # one row per fold: the grand total is a window over this bounded
+    # table; "without fold g" = total - fold g, and g = 0 keeps everything
     everything = Window.partitionBy()
-    glob = (fold_list.join(F.broadcast(fg.withColumnRenamed("fold", "apply_fold")), "apply_fold", "left")
-            .select("apply_fold",
-                    F.try_divide(F.sum(F.coalesce("s", F.lit(0.0))).over(everything) - F.coalesce("s", F.lit(0.0)),
-                                 (F.sum(F.coalesce("n", F.lit(0))).over(everything)
-                                  - F.coalesce("n", F.lit(0))).cast("double")).alias("gmean")))
+    tot_s, tot_n = F.sum("s").over(everything), F.sum("n").over(everything)
+    per_g = fg.select(F.col("fold").alias("apply_fold"),
+                      F.try_divide(tot_s - F.col("s"), (tot_n - F.col("n")).cast("double")).alias("gmean"))
+    all_g = fg.agg(F.lit(0).alias("apply_fold"),
+                   F.try_divide(F.sum("s"), F.sum("n").cast("double")).alias("gmean"))
+    glob = (per_g.unionByName(all_g) if fold_col else all_g)
     return FittedStats(keys=lfo, globals=glob, key_exprs=key_exprs)
 
 
