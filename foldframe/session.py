@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,14 +38,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by `spark.checkpoint.dir`.
 
-    On a cluster this is set by the deployment to shared storage and is only
-    read here. Only when it is unset (local runs, tests) a scratch folder is
-    created for this process.
+    On a cluster the deployment sets it to storage that the driver and all
+    executors share; without it a run on a cluster raises. Only a local master
+    (one machine, as in tests) gets a scratch folder of its own.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="foldframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -51,9 +53,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/foldframe-tables/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as Parquet into the shared checkpoint folder and read it back.
+
+    Cuts the lineage, survives lost executors, and unlike a checkpointed RDD
+    the reread table has a known size and prunes columns."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package's code, once per session: functions sent
+    to Python workers refer to it by name."""
+    sc = spark.sparkContext
+    if sc.master.split("[")[0] == "local" or getattr(sc, "_foldframe_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="foldframe-code-"), "foldframe.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("foldframe", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    sc._foldframe_shipped = True
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor
     loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
-    # persisted first so the checkpoint write does not recompute the plan
-    return df.persist().checkpoint(eager=True)
+    return df.checkpoint(eager=True)

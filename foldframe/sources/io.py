@@ -3,15 +3,13 @@ OOF / submission tables."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
 from ..operators import validate as V
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path  # noqa: F401
 
 RAW_SEPARATOR = " "
 
@@ -32,12 +30,6 @@ def schema_of(df: DataFrame) -> T.StructType:
     return df.schema
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never a
-    machine-local temp folder on a cluster)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/foldframe-tables/{name}-{uuid.uuid4().hex}"
-
-
 def read_raw_listing(spark: SparkSession, path: str, schema: T.StructType | None = None,
                      dataset_name: str = "data", validate: bool = False, require_target: bool | None = None) -> DataFrame:
     """Exactly one space between fields, header row; consecutive
