@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import mixing, sharding, urlfilter
+from . import mixing, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -25,6 +25,11 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights=(1.0, 2.0, 3.0), max_copies=3, preference=mixing.longer_first(F.col("text")))
 
 
+def op4_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that repeat 50 words of a smaller document."""
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50, keep_text=False)
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 8 shards of nearly equal bytes, by 4096 virtual slots."""
     records, _ = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
@@ -40,6 +45,7 @@ def op7_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op4_cover_anchors": op4_cover_anchors,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_redirect_equivalence": op7_redirect_equivalence,
 }
