@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import mixing, sharding, substring, urlfilter
+from . import bagminhash, mixing, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -43,11 +43,18 @@ def op7_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), rules).drop("alias_rule")
 
 
+def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document: five-word shingles with their counts,
+    weighted Jaccard similarity of 0.8 or more."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"), similarity=0.8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op4_cover_anchors": op4_cover_anchors,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_redirect_equivalence": op7_redirect_equivalence,
+    "op10_bag_minhash": op10_bag_minhash,
 }
 
 ORACLE: dict[str, str] = {}
