@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bagminhash, mixing, sharding, substring, urlfilter
+from . import bagminhash, mixing, packing, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -30,6 +30,18 @@ def op4_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50, keep_text=False)
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """The installed vocabulary file; workers have it at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op5_exact_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(), size=2048)
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 8 shards of nearly equal bytes, by 4096 virtual slots."""
     records, _ = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
@@ -52,6 +64,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op4_cover_anchors": op4_cover_anchors,
+    "op5_exact_complement_packing": op5_exact_complement_packing,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_redirect_equivalence": op7_redirect_equivalence,
     "op10_bag_minhash": op10_bag_minhash,
