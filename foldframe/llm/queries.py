@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bagminhash, mixing, packing, sharding, substring, urlfilter
+from . import bagminhash, exacttopk, mixing, packing, permutation, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -25,6 +25,11 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights=(1.0, 2.0, 3.0), max_copies=3, preference=mixing.longer_first(F.col("text")))
 
 
+def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every 20th vector by the permutation index."""
+    return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_cover_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words that repeat 50 words of a smaller document."""
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50, keep_text=False)
@@ -55,6 +60,11 @@ def op7_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"), rules).drop("alias_rule")
 
 
+def op8_no_random_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector, exactly."""
+    return exacttopk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: five-word shingles with their counts,
     weighted Jaccard similarity of 0.8 or more."""
@@ -63,10 +73,12 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op3_permutation_index": op3_permutation_index,
     "op4_cover_anchors": op4_cover_anchors,
     "op5_exact_complement_packing": op5_exact_complement_packing,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_redirect_equivalence": op7_redirect_equivalence,
+    "op8_no_random_access": op8_no_random_access,
     "op10_bag_minhash": op10_bag_minhash,
 }
 
