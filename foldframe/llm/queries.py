@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bagminhash, exacttopk, mixing, packing, permutation, sharding, substring, urlfilter
+from . import bagminhash, exacttopk, linetemplates, mixing, packing, permutation, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -25,6 +25,12 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, weights=(1.0, 2.0, 3.0), max_copies=3, preference=mixing.longer_first(F.col("text")))
 
 
+def op2_log_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of templates that recur across documents."""
+    d = linetemplates.drop_recurring(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found of every 20th vector by the permutation index."""
     return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
@@ -73,6 +79,7 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op2_log_templates": op2_log_templates,
     "op3_permutation_index": op3_permutation_index,
     "op4_cover_anchors": op4_cover_anchors,
     "op5_exact_complement_packing": op5_exact_complement_packing,
