@@ -155,9 +155,10 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFram
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
-        for batch in batches:
+        # a few pairs at a time: texts may be long
+        for part in (batch.slice(at, 128) for batch in batches for at in range(0, batch.num_rows, 128)):
             out = []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for a, b, x, y in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 if last != a:
                     last, held = a, bag(x)
                 (s1, c1), (s2, c2) = held, bag(y)
@@ -277,6 +278,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """`docs` with one document of each near-duplicate class, the one with the
-    smallest doc_id; all columns are kept."""
+    smallest doc_id; all columns are kept. Rows with a null doc_id stay."""
     classes = near_duplicates(docs, similarity).where("doc_id = class_id").select(F.col("doc_id").alias("keep_id")).distinct()
-    return docs.join(classes.hint("shuffle_merge"), docs["doc_id"] == F.col("keep_id"), "left_semi")
+    known = docs.join(classes.hint("shuffle_merge"), docs["doc_id"] == F.col("keep_id"), "left_semi")
+    return known.unionByName(docs.where("doc_id is null"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bagminhash, exacttopk, linetemplates, mixing, packing, permutation, sharding, substring, urlfilter
+from . import bagminhash, exacttopk, linetemplates, mixing, packing, permutation, quality, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -71,6 +71,17 @@ def op8_no_random_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exacttopk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def acceptable() -> Column:
+    """What the labels call a good document: of quality and not toxic."""
+    return (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+
+
+def op9_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of every document; its source stands for the host, its source
+    and language for the path. Fitted on at most 20,000 labelled rows."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), acceptable(), F.col("source"), F.col("lang"))
+
+
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: five-word shingles with their counts,
     weighted Jaccard similarity of 0.8 or more."""
@@ -86,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_virtual_slots": op6_virtual_slots,
     "op7_redirect_equivalence": op7_redirect_equivalence,
     "op8_no_random_access": op8_no_random_access,
+    "op9_empirical_bayes": op9_empirical_bayes,
     "op10_bag_minhash": op10_bag_minhash,
 }
 

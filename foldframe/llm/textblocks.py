@@ -71,6 +71,19 @@ class Block(NamedTuple):
         return np.diff(self.word_from)
 
 
+def block_of(first: int, data: np.ndarray, offsets: np.ndarray) -> Block:
+    """The block of texts that lie in `data` one after the other."""
+    word = ~SPACE[data]
+    head, tail = word.copy(), word.copy()
+    head[1:] &= ~word[:-1]
+    tail[:-1] &= ~word[1:]
+    full = offsets[:-1] < offsets[1:]
+    a, b = offsets[:-1][full], offsets[1:][full] - 1
+    head[a], tail[b] = word[a], word[b]
+    starts = np.flatnonzero(head)
+    return Block(first, data, offsets, starts, np.flatnonzero(tail) + 1, np.searchsorted(starts, offsets))
+
+
 def blocks(texts: pa.Array) -> Iterator[Block]:
     """Blocks of a string column in order; a null text has no words."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -84,15 +97,7 @@ def blocks(texts: pa.Array) -> Iterator[Block]:
     while i < n:
         j = min(n, max(i + 1, int(np.searchsorted(off, off[i] + BLOCK_BYTES, "right")) - 1))
         part, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
-        word = ~SPACE[part]
-        head, tail = word.copy(), word.copy()
-        head[1:] &= ~word[:-1]
-        tail[:-1] &= ~word[1:]
-        full = o[:-1] < o[1:]
-        a, b = o[:-1][full], o[1:][full] - 1
-        head[a], tail[b] = word[a], word[b]
-        starts = np.flatnonzero(head)
-        yield Block(i, part, o, starts, np.flatnonzero(tail) + 1, np.searchsorted(starts, o))
+        yield block_of(i, part, o)
         i = j
 
 
