@@ -8,7 +8,9 @@ documents are dropped from all of them.
 
 Copies of one document repeat all its lines, which makes none of them a
 template: recurrence is counted over families of documents, told apart by the
-smallest leaf hash of a document, which copies share.
+smallest leaf hash of a document, which copies share. As a recurring line may itself
+have the smallest hash, families are told apart in several ways and the largest
+count holds.
 
 Only DataFrame and SQL functions are used.
 """
@@ -25,6 +27,8 @@ FIELD = "<*>"
 LEAD, MIN_TOKENS = 3, 4
 # a template needs so many families, in so large a part of its documents, and so many constant tokens
 MIN_FAMILIES, FAMILY_SHARE, CONSTANT_SHARE = 8, 0.15, 0.6
+# orders of the leaf hashes by which families are told apart: digits to turn them by
+TURNS = (0, 8, 16, 24)
 
 
 def tokens_of(line: Column) -> Column:
@@ -39,15 +43,21 @@ def _masked(token: Column) -> Column:
 def leaf_of(tokens: Column, lead: int = LEAD, min_tokens: int = MIN_TOKENS) -> Column:
     """Leaf of a line in the tree, by token count and leading tokens; null for shorter lines."""
     path = F.array_join(F.transform(F.slice(tokens, 1, lead), _masked), " ")
-    return F.when(F.size(tokens) >= min_tokens, F.substring(F.md5(F.encode(F.concat(F.size(tokens).cast("string"), F.lit(" "), path), "UTF-8")), 1, 16))
+    return F.when(F.size(tokens) >= min_tokens, F.md5(F.encode(F.concat(F.size(tokens).cast("string"), F.lit(" "), path), "UTF-8")))
+
+
+def family_of(leaves: Column) -> Column:
+    """For each way to tell families apart, a document's smallest leaf hash, in one string."""
+    turned = lambda n: F.array_min(F.transform(leaves, lambda x: F.concat(F.substring(x, n + 1, 8), F.substring(x, 1, 16))))
+    return F.concat_ws(" ", *[turned(n) for n in TURNS])
 
 
 def parsed(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
     """(doc_id, family, pos, leaf, tokens) of every line that has a leaf."""
     lines = docs.select("doc_id", F.transform(F.split("text", "\n"), tokens_of).alias("lines"))
     leaves = lines.withColumn("leaves", F.transform("lines", lambda t: leaf_of(t, lead, min_tokens)))
-    each = leaves.select("doc_id", F.array_min("leaves").alias("family"), F.posexplode(F.arrays_zip("leaves", "lines")).alias("pos", "line"))
-    return each.select("doc_id", "family", "pos", F.col("line.leaves").alias("leaf"), F.col("line.lines").alias("tokens")).where("leaf is not null")
+    each = leaves.select("doc_id", family_of(F.col("leaves")).alias("family"), F.posexplode(F.arrays_zip("leaves", "lines")).alias("pos", "line"))
+    return each.select("doc_id", "family", "pos", F.substring("line.leaves", 1, 16).alias("leaf"), F.col("line.lines").alias("tokens")).where("leaf is not null")
 
 
 def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOKENS, min_families: int = MIN_FAMILIES,
@@ -79,9 +89,11 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
     found = saved(live.join(of_line.hint("shuffle_merge"), (F.col("leaf") == F.col("l_leaf")) & (F.col("tokens") == F.col("l_tokens")))
                   .select("doc_id", "pos", "family", "template"), "lines-found")
 
-    families = (found.groupBy("template", "family", "doc_id").agg(F.lit(1).alias("one"))
-                .groupBy("template", "family").agg(F.count(F.lit(1)).alias("docs"))
-                .groupBy("template").agg(F.count(F.lit(1)).alias("families"), F.sum("docs").alias("docs")))
+    docs_of = saved(found.select("template", "doc_id", "family").distinct(), "lines-docs")
+    families = (docs_of.select("template", F.posexplode(F.split("family", " ")).alias("way", "family"))
+                .groupBy("template", "way", "family").agg(F.count(F.lit(1)).alias("docs"))
+                .groupBy("template", "way").agg(F.count(F.lit(1)).alias("families"), F.sum("docs").alias("docs"))
+                .groupBy("template").agg(F.max("families").alias("families"), F.max("docs").alias("docs")))
     recurring = saved(families.where((F.col("families") >= min_families) & (F.col("families") >= F.col("docs") * family_share))
                       .select(F.col("template").alias("r_template")), "lines-recurring")
     return found.join(recurring.hint("shuffle_merge"), F.col("template") == F.col("r_template"), "left_semi").select("doc_id", "pos", "template")
