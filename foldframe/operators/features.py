@@ -2,15 +2,15 @@
 (F4, G1-G3, D6).
 
 Row-local steps are single projections (`withColumns`) and stay inside one
-whole-stage-codegen span. Group statistics are one grouped aggregate per key,
-attached back by `keyed.attach` (size-checked broadcast, null key = own group).
+whole-stage-codegen span. The keyed statistics of all steps come from one stacked
+aggregate (`keyed.KeyStatistics`), joined lazily once per key and step.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -129,21 +129,40 @@ def add_interaction_features(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ keyed counts
+def group_age_key() -> Column:
+    """G2 key: raw model text and age bin, NULL when the model is missing."""
+    return concat_key(F.col("model"), age_bin("car_age_years"))
+
+
+def listing_statistics(source: DataFrame, counts: Sequence[str] = (), groups: bool = False, relative: bool = False,
+                       model_age: bool = False) -> keyed.KeyStatistics:
+    """All keyed statistics that the chosen steps need, from one pass over `source`:
+    F4 for `counts`, G1 (`groups`), F6/G3 (`relative`), G2 (`model_age`)."""
+    keys = {c: F.col(c) for c in counts if c in source.columns}
+    medians: list[tuple[str, str]] = []
+    has = lambda *c: _has(source, *c)
+    if (groups or relative or model_age) and has("brand"):
+        keys["brand"] = F.col("brand")
+        medians += [("brand", "power")] if groups and has("power") else []
+    if (groups or model_age) and has("model", "power"):
+        keys["model"] = F.col("model")
+    if model_age and has(*MODEL_AGE_NEEDS):
+        keys |= {"model_age": group_age_key(), keyed.KeyStatistics.ALL: F.lit("all")}
+        medians += [(k, v) for k in ("model_age", "model", keyed.KeyStatistics.ALL) for v in ("power", "kilometer")]
+    values = [v for v in ("power", "kilometer", "car_age_years") if has(v)]
+    return keyed.KeyStatistics(source, keys, values, medians)
+
+
 def add_count_encoding(df: DataFrame, columns: Sequence[str] | None = None,
-                       source: DataFrame | None = None) -> DataFrame:
-    """`{col}_count` = rows sharing the key (missing key counted), double.
-
-    `source` is the frame the statistics are computed from (default `df`);
-    plans pass their persisted row-local base so that no statistic re-runs
-    the joins of earlier steps."""
-    src = df if source is None else source
-    out = df
-    for col in columns or C.FREQUENCY_COLUMNS:
-        if col not in out.columns:
-            continue
-        stats = src.groupBy(col).agg(F.count(F.lit(1)).cast("double").alias(f"{col}_count"))
-        out = keyed.attach(out, stats, [col])
-    return out
+                       stats: keyed.KeyStatistics | None = None) -> DataFrame:
+    """`{col}_count` = rows sharing the key (missing key counted), double."""
+    columns = [c for c in columns or C.FREQUENCY_COLUMNS if c in df.columns]
+    if not columns:
+        return df
+    stats = stats or listing_statistics(df, counts=columns)
+    for col in columns:
+        df = stats.onto(df, col, {f"{col}_count": "count"})
+    return df
 
 
 def add_model_frequency_bin(df: DataFrame, model_col: str = "model",
@@ -152,51 +171,50 @@ def add_model_frequency_bin(df: DataFrame, model_col: str = "model",
     if model_col not in df.columns:
         return df
     key = F.coalesce(F.trim(F.col(model_col).cast("string")), F.lit(C.MISSING_CATEGORY))
-    out = df.withColumn("__mkey", key)
-    stats = out.groupBy("__mkey").agg(F.count(F.lit(1)).cast("double").alias("__mcount"))
-    out = keyed.attach(out, stats, ["__mkey"])
-    return out.withColumn(output_col, frequency_bin("__mcount")).drop("__mkey", "__mcount")
+    counts = df.groupBy(key.alias("__mkey")).agg(F.count(F.lit(1)).cast("double").alias("__mcount"))
+    out = keyed.attach(df, counts, [(key, "__mkey")])
+    return out.withColumn(output_col, frequency_bin("__mcount")).drop("__mcount")
 
 
 # ------------------------------------------------------------ group stats
-def add_group_statistics(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+def add_group_statistics(df: DataFrame, stats: keyed.KeyStatistics | None = None) -> DataFrame:
     """G1: brand power mean/median, brand kilometer mean, model power mean."""
-    src = df if source is None else source
-    out = df
-    if "brand" in out.columns:
-        aggs = []
-        if "power" in out.columns:
-            aggs += [F.avg("power").alias("brand_power_mean"), F.median("power").alias("brand_power_median")]
-        if "kilometer" in out.columns:
-            aggs.append(F.avg("kilometer").alias("brand_kilometer_mean"))
-        if aggs:
-            out = keyed.attach(out, src.groupBy("brand").agg(*aggs), ["brand"])
-    if _has(out, "model", "power"):
-        out = keyed.attach(out, src.groupBy("model").agg(F.avg("power").alias("model_power_mean")), ["model"])
-    return out
-
-
-def add_brand_relative_features(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    if not (_has(df, "brand") or _has(df, "model", "power")):
+        return df
+    stats = stats or listing_statistics(df, groups=True)
+    brand = {}
+    if _has(df, "power"):
+        brand |= {"brand_power_mean": "power_mean", "brand_power_median": "power_median"}
+    if _has(df, "kilometer"):
+        brand |= {"brand_kilometer_mean": "kilometer_mean"}
+    if _has(df, "brand") and brand:
+        df = stats.onto(df, "brand", brand)
+    if _has(df, "model", "power"):
+        df = stats.onto(df, "model", {"model_power_mean": "power_mean"})
+    return df
+
+
+def add_brand_relative_features(df: DataFrame, stats: keyed.KeyStatistics | None = None) -> DataFrame:
     """F6 (+G3): power and mileage against brand means; brand mean of age."""
-    src = df if source is None else source
     exprs = {}
-    if _has(df, "brand_power_mean", "power"):
-        exprs["power_minus_brand_power_mean"] = F.col("power") - F.col("brand_power_mean")
-        exprs["power_ratio_brand_power_mean"] = safe_div("power", F.col("brand_power_mean") + F.lit(C.RATIO_EPS))
-    if _has(df, "brand_kilometer_mean", "kilometer"):
-        exprs["kilometer_minus_brand_kilometer_mean"] = F.col("kilometer") - F.col("brand_kilometer_mean")
-        exprs["kilometer_ratio_brand_kilometer_mean"] = safe_div(
-            "kilometer", F.col("brand_kilometer_mean") + F.lit(C.RATIO_EPS))
+    for value in ("power", "kilometer"):
+        mean = f"brand_{value}_mean"
+        if _has(df, mean, value):
+            exprs[f"{value}_minus_{mean}"] = F.col(value) - F.col(mean)
+            exprs[f"{value}_ratio_{mean}"] = safe_div(value, F.col(mean) + F.lit(C.RATIO_EPS))
     out = df.withColumns(exprs) if exprs else df
     if _has(out, "brand", "car_age_years"):
-        stats = src.groupBy("brand").agg(F.avg("car_age_years").alias("brand_car_age_years_mean"))
-        out = keyed.attach(out, stats, ["brand"])
+        stats = stats or listing_statistics(df, relative=True)
+        out = stats.onto(out, "brand", {"brand_car_age_years_mean": "car_age_years_mean"})
         out = out.withColumn("car_age_minus_brand_age_mean",
                              F.col("car_age_years") - F.col("brand_car_age_years_mean"))
     return out
 
 
-def add_model_age_group_stats(df: DataFrame, min_count: int = 20, source: DataFrame | None = None) -> DataFrame:
+MODEL_AGE_NEEDS = ("model", "brand", "car_age_years", "power", "kilometer")
+
+
+def add_model_age_group_stats(df: DataFrame, min_count: int = 20, stats: keyed.KeyStatistics | None = None) -> DataFrame:
     """Model x age-bin support and peer statistics with back-off.
 
     Key = `model|age_bin` on the raw model text, NULL when the model is missing
@@ -205,30 +223,16 @@ def add_model_age_group_stats(df: DataFrame, min_count: int = 20, source: DataFr
     The group value is used when the group has >= min_count rows, even if it
     is itself NULL (then the later levels fill it).
     """
-    if not _has(df, "model", "brand", "car_age_years", "power", "kilometer", "model_count"):
+    if not _has(df, *MODEL_AGE_NEEDS, "model_count"):
         return df
-    gkey = concat_key(F.col("model"), age_bin("car_age_years"))
-    out = df.withColumn("__gkey", gkey)
-    src = (df if source is None else source).withColumn("__gkey", gkey)
+    stats = stats or listing_statistics(df, model_age=True)
     p, k = F.col("power"), F.col("kilometer")
-    g = src.groupBy("__gkey").agg(
-        F.count(F.lit(1)).cast("double").alias("model_age_count"),
-        F.median(p).alias("__g_pmed"), F.median(k).alias("__g_kmed"),
-        F.avg(p).alias("__g_pmean"), F.avg(k).alias("__g_kmean"),
-        F.stddev_samp(p).alias("__g_pstd"), F.stddev_samp(k).alias("__g_kstd"))
-    m = src.groupBy("model").agg(
-        F.median(p).alias("__m_pmed"), F.median(k).alias("__m_kmed"),
-        F.avg(p).alias("__m_pmean"), F.avg(k).alias("__m_kmean"),
-        F.stddev_samp(p).alias("__m_pstd"), F.stddev_samp(k).alias("__m_kstd"))
-    b = src.groupBy("brand").agg(
-        F.avg(p).alias("__b_pmean"), F.avg(k).alias("__b_kmean"),
-        F.stddev_samp(p).alias("__b_pstd"), F.stddev_samp(k).alias("__b_kstd"))
-    glob = keyed.scalars(src, F.median(p).alias("pmed"), F.median(k).alias("kmed"),
-                         F.avg(p).alias("pmean"), F.avg(k).alias("kmean"),
-                         F.stddev_samp(p).alias("pstd"), F.stddev_samp(k).alias("kstd"))
-    out = keyed.attach(out, g, ["__gkey"])
-    out = keyed.attach(out, m, ["model"])
-    out = keyed.attach(out, b, ["brand"])
+    short = {f"{v[0]}{m}": f"{v}_{s}" for v in ("power", "kilometer") for m, s in (("med", "median"), ("mean", "mean"), ("std", "std"))}
+    out = stats.onto(df, "model_age", {"model_age_count": "count"} | {f"__g_{a}": b for a, b in short.items()})
+    out = stats.onto(out, "model", {f"__m_{a}": b for a, b in short.items()})
+    out = stats.onto(out, "brand", {f"__b_{a}": b for a, b in short.items() if not b.endswith("median")})
+    everything = stats.table.where(F.col("kname") == stats.ALL).first()
+    glob = {a: everything[b] if everything else None for a, b in short.items()}
 
     def lit(v):
         return F.lit(v).cast("double")
@@ -259,4 +263,4 @@ def add_model_age_group_stats(df: DataFrame, min_count: int = 20, source: DataFr
             k, F.col("model_age_kilometer_mean") + F.lit(C.RATIO_EPS)),
     })
     return out.drop(*[c for c in out.columns if c.startswith("__g_") or c.startswith("__m_")
-                      or c.startswith("__b_")], "__gkey")
+                      or c.startswith("__b_")])

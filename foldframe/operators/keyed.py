@@ -1,14 +1,14 @@
 """Keyed statistics re-attached to rows.
 
-The pandas idiom `groupby(key, dropna=False).transform(f)` / `value_counts`
-+ `map` becomes: one `groupBy(key).agg(...)` (partial aggregation on the map
-side, only partial buffers are shuffled) and a null-safe left join back.
-
-Join strategy: the statistic table is persisted and counted. When the count
-is within `broadcast_max_rows` it is broadcast, so the wide row table is never
-shuffled for the join; beyond the bound the join is left to Spark's shuffle
-(sort-merge) join, with AQE skew handling on. A full-row window per key would
-shuffle the wide table once per key, which is what this avoids.
+The pandas idiom `groupby(key, dropna=False).transform(f)` / `value_counts` + `map`
+becomes a grouped aggregate (partial aggregation in the map tasks, only partial
+buffers are shuffled) and one lazy null-safe left join per key. How a join runs is
+left to Spark: adaptive execution broadcasts a statistic table whose measured
+size allows it and splits hot keys of a shuffled one otherwise.
+
+`KeyStatistics` computes the statistics of several keys in one pass: rows are
+stacked to (key name, key value) pairs and aggregated once; the table is written to
+the shared scratch folder, so that its joins see its size.
 """
 
 from __future__ import annotations
@@ -18,57 +18,49 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_EXECUTION
-from ..session import cut_lineage
-
-
-LOCAL_MAX_ROWS = 50_000
-
+from ..session import saved
+from .quantiles import grouped_quantiles
 
-def sized(stats: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Decide the join strategy of a statistic table from its actual size.
 
-    One job fetches at most LOCAL_MAX_ROWS + 1 rows. A table within that
-    bound is rebuilt as a local relation and broadcast (the broadcast would
-    ship it through the driver anyway; this also cuts its lineage). A larger
-    table is materialised with a reliable checkpoint in the shared
-    checkpoint folder, counted, and broadcast only under `max_rows`;
-    otherwise the join is left to a shuffle join."""
-    limit = DEFAULT_EXECUTION.broadcast_max_rows if max_rows is None else max_rows
-    head = stats.limit(LOCAL_MAX_ROWS + 1).collect()
-    if len(head) <= min(LOCAL_MAX_ROWS, limit):
-        return F.broadcast(stats.sparkSession.createDataFrame(head, stats.schema))
-    stats = cut_lineage(stats)
-    n = stats.count()
-    return F.broadcast(stats) if n <= limit else stats
-
-
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str | tuple[Column, str]],
-           max_rows: int | None = None, bounded: bool = False) -> DataFrame:
+def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str | tuple[Column, str]], bounded: bool = False) -> DataFrame:
     """Left-join `stats` (key columns + value columns) onto `df`.
 
     `keys` are column names present in both frames, or `(expr_on_df, name_in_stats)`
     pairs. NULL keys match NULL keys (`<=>`), as pandas groups missing keys.
     `bounded=True` means the caller has a proof of the size of `stats` (a
-    label domain, the number of folds): it is broadcast without a count.
-    """
-    renamed = stats
-    conds = []
-    tmp_names = []
+    label domain, the number of folds): it is broadcast."""
+    renamed, on = stats, []
     for i, k in enumerate(keys):
-        left_expr, right_name = (F.col(k), k) if isinstance(k, str) else k
-        tmp = f"__key{i}__"
-        renamed = renamed.withColumnRenamed(right_name, tmp)
-        conds.append(left_expr.eqNullSafe(F.col(tmp)))
-        tmp_names.append(tmp)
-    right = F.broadcast(renamed) if bounded else sized(renamed, max_rows)
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond & c
-    return df.join(right, cond, "left").drop(*tmp_names)
-
-
-def scalars(df: DataFrame, *aggs: Column) -> dict:
-    """One-row aggregate returned to the driver as a dict (bounded: a row)."""
-    row = df.agg(*aggs).first()
-    return row.asDict() if row is not None else {}
+        left, right = (F.col(k), k) if isinstance(k, str) else k
+        renamed = renamed.withColumnRenamed(right, f"__key{i}__")
+        on.append(left.eqNullSafe(F.col(f"__key{i}__")))
+    out = df.join(F.broadcast(renamed) if bounded else renamed, on, "left")
+    return out.drop(*[f"__key{i}__" for i in range(len(on))])
+
+
+class KeyStatistics:
+    """Row count, mean, sample deviation and median of value columns by several keys.
+
+    `keys`: name -> key expression; `values`: the columns to average; `medians`:
+    (key name, value) pairs that also need the exact median."""
+
+    ALL = "__all__"
+
+    def __init__(self, source: DataFrame, keys: dict[str, Column], values: Sequence[str], medians: Sequence[tuple[str, str]] = ()):
+        pairs = F.array(*[F.struct(F.lit(n).alias("kname"), k.cast("string").alias("kval")) for n, k in keys.items()])
+        stacked = source.select(F.inline(pairs), *[F.col(v).cast("double").alias(v) for v in values])
+        aggs = [F.count(F.lit(1)).cast("double").alias("count")]
+        for v in values:
+            aggs += [F.avg(v).alias(f"{v}_mean"), F.stddev_samp(v).alias(f"{v}_std")]
+        table = stacked.groupBy("kname", "kval").agg(*aggs)
+        if medians:
+            names, cols = sorted({n for n, _ in medians}), sorted({v for _, v in medians})
+            found = grouped_quantiles(stacked.where(F.col("kname").isin(names)), ["kname", "kval"], cols, [0.5])
+            wide = found.groupBy("kname", "kval").agg(*[F.max(F.when(F.col("vname") == v, F.col("value"))).alias(f"{v}_median") for v in cols])
+            table = attach(table, wide, ["kname", "kval"])
+        self.keys, self.table = keys, saved(table, "key-statistics")
+
+    def onto(self, df: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
+        """`df` with statistics of the key `name`; `columns`: new column -> statistic."""
+        part = self.table.where(F.col("kname") == name).select("kval", *[F.col(s).alias(c) for c, s in columns.items()])
+        return attach(df, part, [(self.keys[name].cast("string"), "kval")])

@@ -1,48 +1,23 @@
 """Exact quantiles, regression metrics and reports.
 
-Quantiles are exact (linear interpolation, as pandas `quantile`) but never
-gather a column into one buffer: the column is ranked with the distributed
-global rank and only the rows at the needed rank positions are read back.
+Quantiles are exact (linear interpolation, as pandas `quantile`) and come from
+`quantiles`, which orders only a narrow band of the values.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import whole_quantiles
 from .ranking import global_rank
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], id_col: str | None = None,
-                    ranked: DataFrame | None = None) -> dict[float, float | None]:
-    """pandas-compatible quantiles of a non-null column: value at position
-    q * (n - 1) of the sorted values, linearly interpolated. `ranked` may be
-    a frame already carrying `__qrank` over the non-null values of `col`;
-    otherwise `id_col` breaks ties for the ranking."""
-    if ranked is None:
-        if id_col is None:
-            raise ValueError("id_col is required to rank the values")
-        vals = df.where(F.col(col).isNotNull()).select(col, id_col)
-        ranked = global_rank(vals, [F.col(col), F.col(id_col)], "__qrank")
-    n = ranked.count()
-    if n == 0:
-        return {q: None for q in qs}
-    need = {}
-    for q in qs:
-        pos = q * (n - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        need[q] = (pos, lo, hi)
-    positions = sorted({p for _, lo, hi in need.values() for p in (lo, hi)})
-    rows = ranked.where(F.col("__qrank").isin([p + 1 for p in positions])).select("__qrank", col).collect()
-    at = {int(r["__qrank"]) - 1: float(r[col]) for r in rows}
-    out = {}
-    for q, (pos, lo, hi) in need.items():
-        a, b = at[lo], at[hi]
-        out[q] = a + (b - a) * (pos - lo)
-    return out
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float]) -> dict[float, float | None]:
+    """pandas-compatible quantiles of a column's non-null values, linearly interpolated."""
+    return {q: v for (_, q), v in whole_quantiles(df, [col], list(qs)).items()}
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
@@ -70,7 +45,7 @@ def error_report(df: DataFrame, abs_error: str, id_col: str) -> DataFrame:
     ranked = global_rank(vals, [F.col(abs_error), F.col(id_col)], "__qrank").persist()
     n = ranked.count()
     qs = [0.5, 0.75, 0.9, 0.95, 0.99]
-    qv = exact_quantiles(vals, abs_error, qs, ranked=ranked)
+    qv = exact_quantiles(vals, abs_error, qs)
     k = max(1, int(n * 0.1))
     agg = ranked.agg(F.avg(abs_error).alias("mae"), F.sum(abs_error).alias("total"),
                      F.sum(F.when(F.col("__qrank") > n - k, F.col(abs_error))).alias("worst")).first()
@@ -97,12 +72,12 @@ def profile_report(train: DataFrame, target: str, id_col: str, preds: DataFrame
     (medians exact via the distributed rank)."""
     t = train.agg(F.count(F.lit(1)).alias("n"), F.min(target).alias("mn"),
                   F.avg(target).alias("mean"), F.max(target).alias("mx")).first()
-    md = exact_quantiles(train, target, [0.5], id_col)[0.5]
+    md = exact_quantiles(train, target, [0.5])[0.5]
     rows = [("train_rows", float(t["n"])), ("target_min", t["mn"]), ("target_median", md),
             ("target_mean", t["mean"]), ("target_max", t["mx"])]
     if preds is not None:
         p = preds.agg(F.count(F.lit(1)).alias("n"), F.min(pred_col).alias("mn"), F.max(pred_col).alias("mx")).first()
-        pmd = exact_quantiles(preds, pred_col, [0.5], id_col)[0.5]
+        pmd = exact_quantiles(preds, pred_col, [0.5])[0.5]
         rows += [("test_rows", float(p["n"])), ("test_prediction_min", p["mn"]),
                  ("test_prediction_median", pmd), ("test_prediction_max", p["mx"])]
     if n_numeric is not None:

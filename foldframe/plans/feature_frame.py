@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,22 +42,21 @@ def add_price_proxy_features(df: DataFrame) -> DataFrame:
     return df
 
 
-def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), persist_base: bool = True) -> DataFrame:
+def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     """the fixed step order. Group keys are still numeric codes here; they
-    become category strings only in the final step."""
+    become category strings only in the final step. The keyed statistics of all
+    switched-on steps are one aggregate over the row-local columns."""
     out = features.add_date_features(features.normalize_numeric_columns(df, cfg.use_power_bin))
-    if persist_base:
-        # Every keyed statistic below is computed from this row-local base
-        # (persisted once), never from the frame that already carries the
-        # earlier join-backs.
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-    src = out
+    stats = None
+    if cfg.add_count_encoding or cfg.use_group_stats or cfg.use_brand_relative or cfg.use_model_age_group_stats:
+        stats = features.listing_statistics(out, C.FREQUENCY_COLUMNS if cfg.add_count_encoding else (), cfg.use_group_stats,
+                                            cfg.use_brand_relative, cfg.use_model_age_group_stats)
     if cfg.add_count_encoding:
-        out = features.add_count_encoding(out, source=src)
+        out = features.add_count_encoding(out, stats=stats)
     if cfg.use_group_stats:
-        out = features.add_group_statistics(out, source=src)
+        out = features.add_group_statistics(out, stats)
     if cfg.use_brand_relative:
-        out = features.add_brand_relative_features(out, source=src)
+        out = features.add_brand_relative_features(out, stats)
     if cfg.use_depreciation_features:
         out = features.add_depreciation_features(out)
     if cfg.use_power_age:
@@ -66,7 +64,7 @@ def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), persist_
     if cfg.use_age_detail:
         out = features.add_age_detail_features(out)
     if cfg.use_model_age_group_stats:
-        out = features.add_model_age_group_stats(out, cfg.model_age_group_min_count, source=src)
+        out = features.add_model_age_group_stats(out, cfg.model_age_group_min_count, stats)
     if cfg.use_interactions:
         out = features.add_interaction_features(out)
     out = add_price_proxy_features(out)

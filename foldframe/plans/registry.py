@@ -761,7 +761,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     derived by Spark from the tables; fold kept for meta-CV."""
     rows = folds.kfold_assign(enc_frame(spark, sf).where(F.col("is_train")), 5, 42)
     oof = encode.build_oof_price_proxy_features(rows, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH)
-    med = metrics.exact_quantiles(rows, C.TARGET_COL, [0.5], C.ID_COL)[0.5]
+    med = metrics.exact_quantiles(rows, C.TARGET_COL, [0.5])[0.5]
     return oof.select(
         C.ID_COL, C.TARGET_COL, "fold", "car_age_years",
         F.col("brand_price_mean").alias("p_brand"), F.col("model_price_mean").alias("p_model"),
@@ -869,7 +869,7 @@ def q_segment_routing(spark, sf):
 
 def _routed(spark, sf) -> DataFrame:
     p = predictions(spark, sf)
-    thr = metrics.exact_quantiles(p, C.TARGET_COL, [0.8], C.ID_COL)[0.8]
+    thr = metrics.exact_quantiles(p, C.TARGET_COL, [0.8])[0.8]
     ab = age_bin("car_age_years")
     return p.withColumns({"actual_segment": routing.segment_mask(F.col(C.TARGET_COL), ab, thr),
                           "routed": routing.routing_mask(F.col("p_brand"), ab, thr)})

@@ -73,7 +73,7 @@ def test_global_rank_ties_and_quantile_bins(spark):
 def test_exact_quantiles_match_numpy(spark):
     vals = [float(x) for x in np.random.default_rng(1).integers(0, 50, 101)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
-    q = exact_quantiles(df, "v", [0.5, 0.8, 0.99], "id")
+    q = exact_quantiles(df, "v", [0.5, 0.8, 0.99])
     for k, v in q.items():
         assert math.isclose(v, float(np.quantile(vals, k)))
 
