@@ -4,28 +4,27 @@
 Encoded value of a key = (sum_k + global_mean * s) / (n_k + s) over fit rows
 with a non-null target; unseen key -> global mean.
 
-Aggregate once (R2): every requested key is stacked into (key name, key
-value) pairs and aggregated in a single grouped pass to per-(fold, key)
-sums, target counts and row counts. The statistics "without fold g" are then
-the key total minus fold g's part, for every g at once (g = 0 means "no
-fold excluded", used for full-train -> test). Apply rows carry the fold
-whose statistics they need (`apply_fold`): their own fold for out-of-fold
-validation rows, another fold for the fit rows of a CV fold (T14), 0 for
-holdout/test rows. The statistic tables hold (folds + 1) x keys rows and are
-joined back with a size-checked broadcast.
+Aggregate once (R2): every requested key is stacked into (key name, key value) pairs
+and aggregated in a single pass to its totals and to the part of each fold that holds
+it. The fitted table has one row per key, with the folds' parts as a map of at most
+as many entries as there are folds. Rows join it by key alone, and "without fold g"
+is the total minus entry g, taken at the row. Apply rows carry the fold that must not
+count (`apply_fold`): their own one for out-of-fold validation rows, another for the
+fit rows of a CV fold (T14), 0 for holdout and test rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import EncodingConfig
 from ..functions.dates import age_bin, power_bin
 from ..functions.targets import transform_target_for_encoding
+from ..session import saved
 from . import keyed
 
 NO_FOLD = 0
@@ -54,62 +53,60 @@ def key_expressions(age_col: str = "car_age_years", power_col: str = "power") ->
 
 @dataclass
 class FittedStats:
-    """Fitted encoder state: per (apply_fold, key name, key value) the sum and
-    count of the target and the row count, plus per apply_fold the global
-    mean. Persistable as two parquet tables."""
+    """Fitted encoder state: per (key name, key value) the target sum, target count and
+    row count over all fit rows and by fold, and the global mean without each fold
+    (0: none left out)."""
 
     keys: DataFrame
-    globals: DataFrame
+    means: dict[int, float | None]
     key_exprs: dict[str, Column] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
         self.keys.write.mode("overwrite").parquet(f"{path}/keys")
-        self.globals.write.mode("overwrite").parquet(f"{path}/globals")
+        rows = [(int(g), m) for g, m in self.means.items()]
+        self.keys.sparkSession.createDataFrame(rows, "fold int, mean double").write.mode("overwrite").parquet(f"{path}/means")
 
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, key_exprs: dict[str, Column]) -> "FittedStats":
+        means = {r["fold"]: r["mean"] for r in spark.read.parquet(f"{path}/means").collect()}
+        return cls(spark.read.parquet(f"{path}/keys"), means, key_exprs)
 
-def fit_stats(fit: DataFrame, target: Column, key_exprs: dict[str, Column], fold_col: str | None = None,
-              folds: int | None = None) -> FittedStats:
-    """One stacked aggregation over the fit rows.
+    def mean_of(self, fold: Column) -> Column:
+        """Global mean for the rows of `fold`: a literal map of one entry per fold."""
+        pairs = [F.lit(x).cast(t) for g, m in self.means.items() for x, t in ((g, "int"), (m, "double"))]
+        return F.try_element_at(F.create_map(*pairs), fold)
 
-    With `fold_col`, statistics are produced for every "all folds but g"
-    (g = 1..folds) and for g = 0 (all fit rows)."""
-    fold = F.col(fold_col).cast("int") if fold_col else F.lit(1)
+
+def fit_stats(fit: DataFrame, target: Column, key_exprs: dict[str, Column], fold_col: str | None = None) -> FittedStats:
+    """One stacked aggregation over the fit rows, written to the shared scratch folder."""
+    fold = F.col(fold_col).cast("int") if fold_col else F.lit(NO_FOLD)
     pairs = F.array(*[F.struct(F.lit(n).alias("kname"), e.cast("string").alias("kval"))
                       for n, e in key_exprs.items()])
     stacked = fit.select(fold.alias("fold"), target.cast("double").alias("__t"), F.inline(pairs))
-    per_fold = stacked.groupBy("fold", "kname", "kval").agg(
-        F.sum("__t").alias("own_s"), F.count("__t").alias("own_n"), F.count(F.lit(1)).alias("own_r"))
-    per_fold = per_fold.persist()
-    totals = per_fold.groupBy("kname", "kval").agg(
-        F.sum("own_s").alias("tot_s"), F.sum("own_n").alias("tot_n"), F.sum("own_r").alias("tot_r"))
-    nf = folds if fold_col else 0
-    grid = totals.withColumn("apply_fold", F.explode(F.sequence(F.lit(0), F.lit(nf))))
-    own = per_fold.withColumnRenamed("fold", "apply_fold")
-    lfo = grid.join(own, ["apply_fold", "kname", "kval"], "left").select(
-        "apply_fold", "kname", "kval",
-        (F.col("tot_s") - F.coalesce(F.col("own_s"), F.lit(0.0))).alias("sum_t"),
-        (F.col("tot_n") - F.coalesce(F.col("own_n"), F.lit(0))).alias("cnt_t"),
-        (F.col("tot_r") - F.coalesce(F.col("own_r"), F.lit(0))).alias("cnt_rows"))
-    lfo = lfo.persist()
-    fg = fit.select(fold.alias("fold"), target.cast("double").alias("__t")).groupBy("fold").agg(
-        F.sum("__t").alias("s"), F.count("__t").alias("n"))
-    # one row per fold: the grand total is a window over this bounded
-    # table; "without fold g" = total - fold g, and g = 0 keeps everything
-    everything = Window.partitionBy()
-    tot_s, tot_n = F.sum("s").over(everything), F.sum("n").over(everything)
-    per_g = fg.select(F.col("fold").alias("apply_fold"),
-                      F.try_divide(tot_s - F.col("s"), (tot_n - F.col("n")).cast("double")).alias("gmean"))
-    all_g = fg.agg(F.lit(0).alias("apply_fold"),
-                   F.try_divide(F.sum("s"), F.sum("n").cast("double")).alias("gmean"))
-    glob = (per_g.unionByName(all_g) if fold_col else all_g)
-    return FittedStats(keys=lfo, globals=glob, key_exprs=key_exprs)
+    part = stacked.groupBy("kname", "kval", "fold").agg(
+        F.sum("__t").alias("s"), F.count("__t").alias("n"), F.count(F.lit(1)).alias("r"))
+    entry = F.struct(F.col("fold"), F.struct(F.coalesce("s", F.lit(0.0)).alias("s"), "n", "r"))
+    keys = part.groupBy("kname", "kval").agg(
+        F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("r").alias("r"), F.map_from_entries(F.collect_list(entry)).alias("folds"))
+    # one row per fold comes to the driver
+    sums = {r["fold"]: (r["s"] or 0.0, r["n"]) for r in fit.select(fold.alias("fold"), target.cast("double").alias("__t"))
+            .groupBy("fold").agg(F.sum("__t").alias("s"), F.count("__t").alias("n")).collect()}
+    total, count = sum(s for s, _ in sums.values()), sum(n for _, n in sums.values())
+    left = {NO_FOLD: (total, count)} | ({g: (total - s, count - n) for g, (s, n) in sums.items()} if fold_col else {})
+    return FittedStats(saved(keys, "encoder-keys"), {g: s / n if n else None for g, (s, n) in left.items()}, key_exprs)
 
 
 def _attach_key(df: DataFrame, stats: FittedStats, name: str, prefix: str) -> DataFrame:
-    sub = stats.keys.where(F.col("kname") == name).select(
-        "apply_fold", F.col("kval"), F.col("sum_t").alias(f"{prefix}_s"),
-        F.col("cnt_t").alias(f"{prefix}_n"), F.col("cnt_rows").alias(f"{prefix}_r"))
-    return keyed.attach(df, sub, [(F.col("__afold"), "apply_fold"), (stats.key_exprs[name], "kval")])
+    """Sum, count and rows of the row's key without the fold in `__afold`."""
+    sub = stats.keys.where(F.col("kname") == name).select("kval", F.struct("s", "n", "r", "folds").alias("__k"))
+    out = keyed.attach(df, sub, [(stats.key_exprs[name].cast("string"), "kval")])
+    own = F.try_element_at("__k.folds", F.when(F.col("__afold") != NO_FOLD, F.col("__afold")))
+    return out.withColumns({f"{prefix}_{x}": F.col(f"__k.{x}") - F.coalesce(own[x], F.lit(0)) for x in ("s", "n", "r")}).drop("__k")
+
+
+def _with_fold(df: DataFrame, stats: FittedStats, fold: Column) -> DataFrame:
+    out = df.withColumn("__afold", fold.cast("int"))
+    return out.withColumn("__gmean", stats.mean_of(F.col("__afold")))
 
 
 def _smoothed(prefix: str, smoothing: float) -> Column:
@@ -124,9 +121,7 @@ def apply_encodings(apply: DataFrame, stats: FittedStats, cfg: EncodingConfig,
     if cfg.smoothing < 0:
         raise ValueError("smoothing must be non-negative.")
     s = cfg.smoothing
-    df = apply.withColumn("__afold", (apply_fold if apply_fold is not None else F.lit(NO_FOLD)).cast("int"))
-    df = df.join(F.broadcast(stats.globals.withColumnRenamed("apply_fold", "__gf").withColumnRenamed("gmean", "__gmean")),
-                 F.col("__afold") == F.col("__gf"), "left").drop("__gf")
+    df = _with_fold(apply, stats, apply_fold if apply_fold is not None else F.lit(NO_FOLD))
     need = set()
     if cfg.use_brand:
         need |= {"brand"}
@@ -196,9 +191,7 @@ def smoothed_target_encoding(fit: DataFrame, apply: DataFrame, key: Column, targ
     if smoothing < 0:
         raise ValueError("smoothing must be non-negative.")
     stats = fit_stats(fit, target, {"k": key})
-    df = apply.withColumn("__afold", F.lit(NO_FOLD))
-    df = df.join(F.broadcast(stats.globals.withColumnRenamed("apply_fold", "__gf").withColumnRenamed("gmean", "__gmean")),
-                 F.col("__afold") == F.col("__gf"), "left").drop("__gf")
+    df = _with_fold(apply, stats, F.lit(NO_FOLD))
     df = _attach_key(df, stats, "k", "__k")
     return df.withColumn(out_col, _smoothed("__k", smoothing)).drop(
         "__afold", "__gmean", "__k_s", "__k_n", "__k_r")
@@ -212,9 +205,7 @@ def smoothed_target_encoding_with_backoff(fit: DataFrame, apply: DataFrame, key:
     if min_count < 1:
         raise ValueError("min_count must be positive.")
     stats = fit_stats(fit, target, {"k": key})
-    df = apply.withColumn("__afold", F.lit(NO_FOLD)).withColumn("__fb", fallback)
-    df = df.join(F.broadcast(stats.globals.withColumnRenamed("apply_fold", "__gf").withColumnRenamed("gmean", "__gmean")),
-                 F.col("__afold") == F.col("__gf"), "left").drop("__gf")
+    df = _with_fold(apply, stats, F.lit(NO_FOLD)).withColumn("__fb", fallback)
     df = _attach_key(df, stats, "k", "__k")
     n = F.coalesce(F.col("__k_n"), F.lit(0))
     fb = F.coalesce(F.col("__fb"), F.col("__gmean"))
@@ -239,9 +230,7 @@ class PriceProxyEncoder:
 
 def _proxy_apply(df: DataFrame, stats: FittedStats, columns, suffix: str, smoothing: float,
                  apply_fold: Column) -> DataFrame:
-    out = df.withColumn("__afold", apply_fold.cast("int"))
-    out = out.join(F.broadcast(stats.globals.withColumnRenamed("apply_fold", "__gf").withColumnRenamed("gmean", "__gmean")),
-                   F.col("__afold") == F.col("__gf"), "left").drop("__gf")
+    out = _with_fold(df, stats, apply_fold)
     for col in columns:
         out = _attach_key(out, stats, col, f"__p_{col}")
         out = out.withColumn(f"{col}{suffix}", _smoothed(f"__p_{col}", smoothing)).drop(
@@ -276,7 +265,7 @@ def build_oof_price_proxy_features(train: DataFrame, fold_col: str, n_splits: in
     if smoothing < 0:
         raise ValueError("smoothing must be non-negative.")
     stats = fit_stats(train, _proxy_target(train, target_col, target_space),
-                      {c: norm_key(c) for c in columns}, fold_col, n_splits)
+                      {c: norm_key(c) for c in columns}, fold_col)
     return _proxy_apply(train, stats, columns, feature_suffix, smoothing, F.col(fold_col))
 
 
@@ -288,7 +277,7 @@ def build_oof_and_apply_price_proxy_features(train: DataFrame, apply: DataFrame,
     apply fold 0 is the full-train statistic."""
     _check_columns(train, columns)
     stats = fit_stats(train, _proxy_target(train, target_col, target_space),
-                      {c: norm_key(c) for c in columns}, fold_col, n_splits)
+                      {c: norm_key(c) for c in columns}, fold_col)
     from ..functions.targets import normalize_target_space
     enc = PriceProxyEncoder(tuple(columns), feature_suffix, smoothing, normalize_target_space(target_space), stats)
     train_out = _proxy_apply(train, stats, columns, feature_suffix, smoothing, F.col(fold_col))

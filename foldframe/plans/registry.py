@@ -630,7 +630,7 @@ def _cv_enc(spark, sf, cfg: EncodingConfig, target_mode: str = "log1p", fit_role
     rows = folds.kfold_assign(rows, 5, 42)
     keys = {k: v for k, v in encode.key_expressions().items()
             if k in {x for c in encode.encoding_columns(cfg) for x in _KEYS_FOR[c]}}
-    stats = encode.fit_stats(rows, transform_target(F.col(C.TARGET_COL), target_mode), keys, "fold", 5)
+    stats = encode.fit_stats(rows, transform_target(F.col(C.TARGET_COL), target_mode), keys, "fold")
     if fit_roles:
         apply = rows.withColumn("afold", F.explode(F.sequence(F.lit(1), F.lit(5)))).withColumn(
             "role", F.when(F.col("fold") == F.col("afold"), "valid").otherwise("fit"))
@@ -737,14 +737,20 @@ def q_oof_te(spark, sf):
     return rounded(out.select(C.ID_COL, "brand_price_mean", "model_price_mean"))
 
 
-@query("te_target_spaces", _proxy_sql("sqrt(" + O.clip0("price") + ")", "_sqrt_mean", oof=True))
+_SQRT_PRICE = "sqrt(" + O.clip0("price") + ")"
+
+
+@query("te_target_spaces", "SELECT * FROM (" + _proxy_sql(_SQRT_PRICE, "_sqrt_mean", oof=True) + ") UNION ALL SELECT * FROM ("
+       + _proxy_sql(_SQRT_PRICE, "_sqrt_mean", oof=False) + ")")
 def q_te_target_spaces(spark, sf):
-    """T1 + T6: encodings fitted in sqrt(price) space, out-of-fold for train rows."""
+    """T1 + T6: encodings fitted in sqrt(price) space, out-of-fold for train rows and
+    from all train rows for test rows."""
     rows = folds.kfold_assign(enc_frame(spark, sf).where(F.col("is_train")), 5, 42)
     test = enc_frame(spark, sf).where(~F.col("is_train"))
-    tr, _, _ = encode.build_oof_and_apply_price_proxy_features(
+    tr, te, _ = encode.build_oof_and_apply_price_proxy_features(
         rows, test, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH, "_sqrt_mean", "sqrt")
-    return rounded(tr.select(C.ID_COL, "brand_sqrt_mean", "model_sqrt_mean"))
+    cols = [C.ID_COL, "brand_sqrt_mean", "model_sqrt_mean"]
+    return rounded(tr.select(*cols).unionByName(te.select(*cols)))
 
 
 # ===================================================================== M / E
