@@ -11,6 +11,7 @@ their place in it by their rank among pieces of equal length.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
@@ -24,46 +25,99 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import saved
+from .textblocks import SPACE, Block, blocks
 
 # words longer than this and more than so many words are not remembered by the tokenizer's memo
-MEMO_WORD, MEMO_WORDS = 40, 300_000
+MEMO_WORD, MEMO_WORDS = 40, 600_000
+_byte = np.arange(256)
+# ASCII letters and digits; signs that may end a word; capitals to small letters
+PLAIN = ((_byte >= 48) & (_byte <= 57)) | ((_byte >= 65) & (_byte <= 90)) | ((_byte >= 97) & (_byte <= 122))
+TAIL = np.isin(_byte, np.frombuffer(b".,!?;:%$#&*", dtype=np.uint8))
+FOLD = np.where((_byte >= 65) & (_byte <= 90), _byte + 32, _byte).astype(np.uint8)
 # pieces of one length are ranked in so many groups
 RANK_GROUPS = 1024
 
 
 @lru_cache(maxsize=1)
 def _tokenizer(path: str):
+    # a worker has one core: threads of its own would only wait for each other
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
 class WordEncoder:
-    """Token ids of a text as little-endian 32-bit bytes.
+    """Token ids of texts, word by word.
 
-    For tokenizers that drop white space and never join pieces across it: a text
-    is cut at blanks and line ends, and the ids of each part are remembered."""
+    For tokenizers that drop white space and never join pieces across it. The
+    different words of a block are looked up in a memo; the others are encoded many
+    at a time with a sign between them that has an id of its own. Where the tokenizer
+    parts letters from signs or ignores case, so do the words of the memo; it is asked
+    for that once. Signs that special tokens are written with stay as they are."""
+
+    SIGN, TOGETHER = "|", 500
 
     def __init__(self, path: str):
-        self.tokenizer, self.memo = _tokenizer(path), {"": b""}
-
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        memo = self.memo
-        try:
-            return b"".join([memo[p] for p in parts])
-        except KeyError:
-            new = list({p for p in parts if p not in memo})
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo = self.memo = {"": b""}
-                new = [p for p in set(parts) if p]
-            known = dict(zip(new, self._ids(new), strict=True))
-            out = b"".join([memo[p] if p in memo else known[p] for p in parts])
-            memo.update((p, v) for p, v in known.items() if len(p) <= MEMO_WORD)
-            return out
+        self.tokenizer, self.memo = _tokenizer(path), {}
+        self.sign, upper, lower, both, core, tail = self._each([self.SIGN, "Ab", "ab", "ab.,", "ab", ".,"])
+        self.joins, self.folds, self.parts = len(self.sign) == 4, upper == lower, both == core + tail
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        ids = self._each([f" {self.SIGN} ".join(words)])[0]
+        cut = np.flatnonzero(np.frombuffer(ids, dtype="<u4") == np.frombuffer(self.sign, dtype="<u4")) * 4
+        return [ids[x:y] for x, y in zip([0, *(cut + 4).tolist()], [*cut.tolist(), len(ids)], strict=True)]
+
+    def _learned(self, words: list[str]) -> dict[str, bytes]:
+        plain = [w for w in words if self.joins and self.SIGN not in w]
+        odd = [w for w in words if not (self.joins and self.SIGN not in w)]
+        found = dict(zip(odd, self._each(odd), strict=True)) if odd else {}
+        for at in range(0, len(plain), self.TOGETHER):
+            some = plain[at:at + self.TOGETHER]
+            found.update(zip(some, self._together(some), strict=True))
+        return found
+
+    def _words(self, b: Block) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """The block's words, and the index of each text's first one."""
+        starts, ends, data = b.starts, b.ends, b.data
+        if self.parts and len(starts):
+            e = ends.copy()
+            for _ in range(8):
+                e -= (e - 1 > starts) & TAIL[data[e - 1]]
+            last, before = data[e - 1], data[np.maximum(e - 2, 0)]
+            letter = PLAIN[last] | ((before == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7))
+            e = e[(e < ends) & letter]
+            # a word's end is where its signs start
+            starts, ends = np.sort(np.concatenate([starts, e])), np.sort(np.concatenate([ends, e]))
+        if self.folds and not (data == ord(self.SIGN)).any():
+            data = FOLD[data]
+        where, body = np.concatenate([[0], np.cumsum(ends - starts)]), data[~SPACE[data]]
+        return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(where), pa.py_buffer(body)), np.searchsorted(starts, b.offsets)
+
+    def encode(self, b: Block) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of the block one after the other, where each text's start)."""
+        words, word_from = self._words(b)
+        if not len(words):
+            return np.zeros(0, dtype="<u4"), np.zeros(len(b.offsets), dtype=np.int64)
+        words = words.dictionary_encode()
+        different, index = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        ids = list(map(self.memo.get, different))
+        new = [k for k, v in enumerate(ids) if v is None]
+        found = self._learned([different[k] for k in new])
+        for k in new:
+            ids[k] = found[different[k]]
+        if len(self.memo) + len(new) > MEMO_WORDS:
+            self.memo.clear()
+        self.memo.update((w, v) for w, v in found.items() if len(w) <= MEMO_WORD)
+        n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        first, count = (np.cumsum(n) - n)[index], n[index]
+        total = np.concatenate([[0], np.cumsum(count)])
+        take = np.repeat(first - total[:-1], count) + np.arange(total[-1])
+        return np.frombuffer(b"".join(ids), dtype="<u4")[take], total[word_from]
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, size: int, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
@@ -75,13 +129,15 @@ def tokenized(docs: DataFrame, tokenizer_path: str, size: int, end_id: int = 0,
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer_path)
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encoder.encode(text.as_py() or "") + end
-                for k, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at:at + 4 * size]
-                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)) + ((part,) if keep_ids else ()))
-            if rows:
+            docs = batch.column(0).to_pylist()
+            for b in blocks(batch.column(1)):
+                all_ids, where = encoder.encode(b)
+                body, rows = all_ids.tobytes(), []
+                for i, (x, y) in enumerate(zip((where[:-1] * 4).tolist(), (where[1:] * 4).tolist(), strict=True)):
+                    ids = body[x:y] + end
+                    for k, at in enumerate(range(0, len(ids), 4 * size)):
+                        part = ids[at:at + 4 * size]
+                        rows.append((docs[b.first + i], k, at // 4, len(part) // 4, zlib.crc32(part)) + ((part,) if keep_ids else ()))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * keep_ids
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
