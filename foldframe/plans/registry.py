@@ -999,25 +999,29 @@ def q_profile_report(spark, sf):
 
 # ===================================================================== B
 from ..operators import blend  # noqa: E402
+from ..session import saved, scratch_path  # noqa: E402
+from ..sources import io as sio  # noqa: E402
+from . import jobs  # noqa: E402
 
-BLEND_STEP = 0.1
+BLEND_STEP = 0.025
+BLEND_UNITS = 40
 BLEND_MODELS = len(PRED_COLS)
 
 
 def oof_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """B1: the four fixture OOF tables (id, price, oof_pred) inner-joined on
     (id, price), plus the prediction array and the meta-CV fold."""
-    p = predictions(spark, sf).persist()
+    p = saved(predictions(spark, sf), "predictions")
     tables = [(c, p.select(C.ID_COL, C.TARGET_COL, F.col(c).alias("oof_pred"))) for c in PRED_COLS]
     m = blend.load_oof_matrix(tables)
     m = blend.with_pred_array(m, PRED_COLS)
     return folds.kfold_assign(m, 5, 7, fold_col="meta_fold")
 
 
-_GRID_SQL = """grid AS (
-  SELECT row_number() OVER (ORDER BY a, b, c) - 1 AS cand_id, a / 10.0 AS w1, b / 10.0 AS w2, c / 10.0 AS w3,
-         (10 - a - b - c) / 10.0 AS w4
-  FROM range(0, 11) ta(a), range(0, 11) tb(b), range(0, 11) tc(c) WHERE a + b + c <= 10)"""
+_GRID_SQL = f"""grid AS (
+  SELECT row_number() OVER (ORDER BY a, b, c) - 1 AS cand_id, a / {BLEND_UNITS}.0 AS w1, b / {BLEND_UNITS}.0 AS w2, c / {BLEND_UNITS}.0 AS w3,
+         ({BLEND_UNITS} - a - b - c) / {BLEND_UNITS}.0 AS w4
+  FROM range(0, {BLEND_UNITS + 1}) ta(a), range(0, {BLEND_UNITS + 1}) tb(b), range(0, {BLEND_UNITS + 1}) tc(c) WHERE a + b + c <= {BLEND_UNITS})"""
 
 _MATRIX_SQL = "mx AS (SELECT *, CAST((row_number() OVER (ORDER BY md5(CAST(SaleID AS VARCHAR) || ':7'), SaleID) - 1) % 5 + 1 AS INTEGER) AS meta_fold FROM preds)"
 
@@ -1046,12 +1050,12 @@ SELECT g.cand_id, {_w_cols()}, round(avg(abs(price - {_BLEND_EXPR})), 6) + 0.0 A
 FROM preds, grid g GROUP BY g.cand_id, g.w1, g.w2, g.w3, g.w4
 """)
 def q_weight_grid(spark, sf):
-    """B3 + B4: the 4-model simplex grid at step 0.1 (286 vectors, built in
+    """B3 + B4: the 4-model simplex grid at step 0.025 (12,341 vectors, built in
     Spark with lexicographic ids), each scored on every OOF row."""
     m = oof_matrix(spark, sf)
-    scores = blend.score_candidates(m, BLEND_MODELS, BLEND_STEP)
-    per = scores.groupBy("cand_id").agg(F.round(F.sum("err") / F.sum("n"), 6).alias("mae"))
     grid = blend.weight_grid(spark, BLEND_MODELS, BLEND_STEP).select("cand_id", "w")
+    scores = blend.score_candidates(m, grid)
+    per = scores.groupBy("cand_id").agg(F.round(F.sum("err") / F.sum("n"), 6).alias("mae"))
     out = _w_split(grid.join(per, "cand_id")).withColumn("mae", F.col("mae") + F.lit(0.0))
     return rounded(out.select("cand_id", *[f"w_{c}" for c in PRED_COLS], "mae"))
 
@@ -1061,14 +1065,15 @@ SELECT rank, cand_id, {', '.join(f"w_{c}" for c in PRED_COLS)}, mae FROM (
   SELECT row_number() OVER (ORDER BY round(avg(abs(price - {_BLEND_EXPR})), 6), g.cand_id) AS rank, g.cand_id,
          {_w_cols()}, round(avg(abs(price - {_BLEND_EXPR})), 6) + 0.0 AS mae
   FROM preds, grid g GROUP BY g.cand_id, g.w1, g.w2, g.w3, g.w4) t
-WHERE rank <= 10
+WHERE rank <= 200
 """)
 def q_blend_grid(spark, sf):
     """B4 + B5: every grid vector scored on every OOF row (partial sums per
-    task, no row x candidate materialisation); top 10 by MAE, ties in grid order."""
+    task, no row x candidate materialisation); top 200 by MAE, ties in grid order."""
     m = oof_matrix(spark, sf)
-    top = blend.search_best_weights(m, BLEND_MODELS, BLEND_STEP, top_k=10)
-    out = _w_split(top.withColumn("mae", F.round("mae", 6) + F.lit(0.0)))
+    grid = blend.weight_grid(spark, BLEND_MODELS, BLEND_STEP)
+    top = blend.best_of_scores(blend.score_candidates(m, grid), grid, 200, digits=6)
+    out = _w_split(top.withColumn("mae", F.col("mae") + F.lit(0.0)))
     return rounded(out.select("rank", "cand_id", *[f"w_{c}" for c in PRED_COLS], "mae"))
 
 
@@ -1090,7 +1095,7 @@ def q_meta_cv(spark, sf):
     """Per meta fold, the grid vector that is best on the other folds and
     its error on this fold, from one scoring pass (train error = total - fold)."""
     m = oof_matrix(spark, sf)
-    choices, _ = blend.run_meta_cv(m, BLEND_MODELS, "meta_fold", BLEND_STEP)
+    choices, _ = blend.run_meta_cv(m, blend.weight_grid(spark, BLEND_MODELS, BLEND_STEP), "meta_fold")
     out = _w_split(choices).withColumns({"train_mae": F.round("train_mae", 6), "valid_mae": F.round("valid_mae", 6)})
     return rounded(out.select("meta_fold", "cand_id", "train_mae", "valid_mae", *[f"w_{c}" for c in PRED_COLS]))
 
@@ -1111,44 +1116,73 @@ SELECT * FROM (
 def q_blend_report(spark, sf):
     """Base MAE per model, best grid MAE, meta-CV MAE and the sample std
     of the meta fold MAEs, as a long-form table."""
-    m = oof_matrix(spark, sf).persist()
-    rows = [("n_rows", float(m.count())), ("grid_size", float(blend.grid_size(BLEND_MODELS, BLEND_STEP)))]
-    for i, c in enumerate(PRED_COLS):
-        unit = [1.0 if j == i else 0.0 for j in range(BLEND_MODELS)]
-        rows.append((f"base_oof_mae_{c}", round(blend.mae_for_weights(m, unit), 6)))
-    best = blend.search_best_weights(m, BLEND_MODELS, BLEND_STEP, top_k=1).first()
-    rows.append(("best_full_mae", round(float(best["mae"]), 6)))
-    choices, oof = blend.run_meta_cv(m, BLEND_MODELS, "meta_fold", BLEND_STEP)
-    mcv = oof.agg(F.avg(F.abs(F.col(C.TARGET_COL) - F.col("oof_pred")))).first()[0]
-    st = choices.agg(F.avg("valid_mae"), F.stddev_samp("valid_mae")).first()
-    rows += [("meta_cv_mae", round(float(mcv), 6)), ("meta_cv_valid_mean", round(float(st[0]), 6)),
-             ("meta_cv_valid_std", round(float(st[1]), 6))]
-    return rounded(spark.createDataFrame(rows, "metric string, value double"))
+    m = saved(oof_matrix(spark, sf), "oof-matrix")
+    return rounded(jobs.blend_summary(m, PRED_COLS, "meta_fold", BLEND_STEP)[0].withColumn("value", F.round("value", 6)))
 
 
-@query("blend_local_search")
-def q_blend_local_search(spark, sf):
-    """B6 + B7 + B8: distributed local search from the uniform / unit starts
-    over rounded neighbourhoods until no gain (no SQL oracle: iterative)."""
-    m = oof_matrix(spark, sf).persist()
-    w, mae, hist = blend.local_search(m, BLEND_MODELS, 0.05)
-    rows = [(h["round"], float(h["mae"]), [float(x) for x in h["w"]]) for h in hist]
-    return _w_split(spark.createDataFrame(rows, "round int, mae double, w array<double>"))
+@query("submission_matrix", O.with_ctes(*_pred_ctes()) + f"""
+SELECT SaleID, {', '.join(f"{r(c)} AS {c}" for c in PRED_COLS)} FROM preds
+""")
+def q_submission_matrix(spark, sf):
+    """B2: inner join of the models' prediction tables on SaleID."""
+    p = saved(predictions(spark, sf), "predictions")
+    tables = {c: p.select(C.ID_COL, F.col(c).alias("price")) for c in reversed(PRED_COLS)}
+    return rounded(blend.load_submission_matrix(PRED_COLS, tables))
 
 
-@query("neighbor_grids")
+@query("blend_submission", O.with_ctes(*_pred_ctes(), _GRID_SQL) + f""",
+best AS (SELECT cand_id, round(avg(abs(price - {_BLEND_EXPR})), 6) AS mae, any_value(g.w1) AS w1, any_value(g.w2) AS w2, any_value(g.w3) AS w3, any_value(g.w4) AS w4
+         FROM preds, grid g GROUP BY cand_id ORDER BY mae, cand_id LIMIT 1)
+SELECT SaleID, {r(_BLEND_EXPR)} AS price FROM preds, best g
+""")
+def q_blend_submission(spark, sf):
+    """B10 + S10: the blend job writes top candidates, choices, blended OOF and
+    submissions; the submission is read back from its folder."""
+    p = saved(predictions(spark, sf), "predictions")
+    out = scratch_path(spark, "blend-job")
+    oof = [(c, p.select(C.ID_COL, C.TARGET_COL, F.col(c).alias("oof_pred"))) for c in PRED_COLS]
+    jobs.blend_job(oof, {c: p.select(C.ID_COL, F.col(c).alias("price")) for c in PRED_COLS}, out, BLEND_STEP)
+    return rounded(sio.read_csv(spark, f"{out}/submission", "SaleID long, price double"))
+
+
+@query("blend_local_search")
+def q_blend_local_search(spark, sf):
+    """B8 + B9 (optimize mode): searches from equal and single-model weights on ever
+    finer grids down to step 0.025, for all rows and without each meta fold (no SQL
+    oracle: iterative; the tests hold it against the full grid)."""
+    m = saved(oof_matrix(spark, sf), "oof-matrix")
+    return _w_split(blend.optimize(m, BLEND_MODELS, BLEND_STEP, "meta_fold"))
+
+
+_NEAR_UNITS = 20
+_CENTRE_SQL = f"""mae AS (SELECT {', '.join(f"avg(abs(price - greatest({c}, 0))) AS m{i + 1}" for i, c in enumerate(PRED_COLS))} FROM preds),
+raw AS (SELECT i, (1 / m) / (SELECT sum(1 / m) FROM (SELECT unnest([m1, m2, m3, m4]) AS m FROM mae)) * {_NEAR_UNITS} AS x
+        FROM (SELECT unnest([1, 2, 3, 4]) AS i, unnest([m1, m2, m3, m4]) AS m FROM mae)),
+flo AS (SELECT i, CAST(floor(x + 1e-9) AS INTEGER) AS u, round(x - floor(x + 1e-9), 9) AS rest FROM raw),
+rou AS (SELECT i, u + CASE WHEN row_number() OVER (ORDER BY rest DESC, i DESC) <= {_NEAR_UNITS} - (SELECT sum(u) FROM flo) THEN 1 ELSE 0 END AS u FROM flo),
+c AS (SELECT max(u) FILTER (WHERE i = 1) AS c1, max(u) FILTER (WHERE i = 2) AS c2, max(u) FILTER (WHERE i = 3) AS c3, max(u) FILTER (WHERE i = 4) AS c4 FROM rou),
+cells AS (SELECT a, b, e, {_NEAR_UNITS} - a - b - e AS f FROM range(0, {_NEAR_UNITS + 1}) t1(a), range(0, {_NEAR_UNITS + 1}) t2(b), range(0, {_NEAR_UNITS + 1}) t3(e)
+          WHERE a + b + e <= {_NEAR_UNITS})"""
+
+
+@query("neighbor_grids", O.with_ctes(*_pred_ctes()) + "," + _CENTRE_SQL + f"""
+SELECT kind, {', '.join(f"{r(f'{v} / {_NEAR_UNITS}.0')} AS w_{c}" for v, c in zip('abef', PRED_COLS))} FROM (
+  SELECT 'rounded' AS kind, a, b, e, f FROM cells, c WHERE abs(a - c1) <= 5 AND abs(b - c2) <= 5 AND abs(e - c3) <= 5
+  UNION ALL SELECT 'pairwise', a, b, e, f FROM cells, c
+  WHERE abs(a - c1) + abs(b - c2) + abs(e - c3) + abs(f - c4) <= 4
+    AND CAST(a <> c1 AS INT) + CAST(b <> c2 AS INT) + CAST(e <> c3 AS INT) + CAST(f <> c4 AS INT) <= 2) t
+""")
 def q_neighbor_grids(spark, sf):
-    """B6 + B7: centre = inverse-MAE weights of the fixture models, rounded
-    to the 0.05 grid by largest remainder; rounded (radius 2) and pairwise
-    neighbourhoods (no SQL oracle)."""
-    m = oof_matrix(spark, sf).persist()
-    maes = [blend.mae_for_weights(m, [1.0 if j == i else 0.0 for j in range(BLEND_MODELS)])
-            for i in range(BLEND_MODELS)]
-    center = blend.normalize_weights([1.0 / x for x in maes])
-    a = blend.rounded_neighbor_grid(center, 0.05, 2)
-    b = blend.pairwise_neighbor_grid(center, 0.05, 2)
-    rows = [("rounded", [float(x) for x in r_]) for r_ in a] + [("pairwise", [float(x) for x in r_]) for r_ in b]
-    return _w_split(spark.createDataFrame(rows, "kind string, w array<double>"))
+    """B6 + B7: centre = inverse-MAE weights of the models, rounded to the 0.05 grid
+    by largest remainder; its box (radius by the rule: 5) and transfer neighbourhoods."""
+    errors = oof_matrix(spark, sf).agg(F.array(*[
+        1.0 / F.avg(F.abs(F.col(C.TARGET_COL) - F.greatest(F.col(c), F.lit(0.0)))) for c in PRED_COLS]).alias("inverse"))
+    total = F.aggregate("inverse", F.lit(0.0), lambda a, x: a + x)
+    centre = saved(errors.select(blend.rounded_units(F.transform("inverse", lambda x: x / total), _NEAR_UNITS).alias("units")), "blend-centre")
+    box = blend.neighbours(centre, BLEND_MODELS, _NEAR_UNITS).select(F.lit("rounded").alias("kind"), "units")
+    moves = blend.transfer_neighbours(centre, BLEND_MODELS, 2).select(F.lit("pairwise").alias("kind"), "units")
+    both = box.unionByName(moves).select("kind", blend.weights_of(F.col("units"), _NEAR_UNITS).alias("w"))
+    return rounded(_w_split(both))
 
 
 # ===================================================================== M5-M14

@@ -147,19 +147,43 @@ def test_weight_grid_and_rounding(spark):
     assert all(abs(sum(r["w"]) - 1) < 1e-12 for r in g)
     units = [tuple(r["units"]) for r in g]
     assert units == sorted(units) and [r["cand_id"] for r in g] == list(range(15))
-    assert blend.round_to_grid([0.33, 0.33, 0.34], 0.1).sum() == pytest.approx(1.0)
-    assert list(blend.normalize_weights([0, 0])) == [0.5, 0.5]
+    given = [([0.33, 0.33, 0.34], [3, 3, 4]), ([0.25, 0.25, 0.5], [2, 3, 5]), ([0.0, 0.0, 0.0], [3, 3, 4]), ([2.0, -1.0, 1.0], [5, 0, 5])]
+    df = spark.createDataFrame([(w, u) for w, u in given], "w array<double>, want array<int>")
+    assert all(r["got"] == r["want"] for r in df.select("want", blend.rounded_units(F.col("w"), 10).alias("got")).collect())
+    with pytest.raises(ValueError):
+        blend.units_of(0.3)
+
+
+def test_neighbourhoods_and_local_search(spark):
+    centre = spark.createDataFrame([([2, 0, 2],)], "units array<int>")
+    box = {tuple(r[0]) for r in blend.box_neighbours(centre, 3, 4, 1).collect()}
+    assert box == {(a, b, 4 - a - b) for a in (1, 2, 3) for b in (0, 1) if 4 - a - b >= 0}
+    moves = {tuple(r[0]) for r in blend.transfer_neighbours(centre, 3, 2).collect()}
+    assert moves == {(2, 0, 2), (1, 1, 2), (0, 2, 2), (1, 0, 3), (0, 0, 4), (3, 0, 1), (4, 0, 0), (2, 1, 1), (2, 2, 0)}
+    rows = [(i, float(100 + i), [float(100 + i + (i % 5)), float(100 + i - (i % 3)), 80.0], i % 3 + 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "SaleID long, price double, preds array<double>, fold int")
+    found = {r["meta_fold"]: r["mae"] for r in blend.optimize(df, 3, 0.1, "fold", radius=2).collect()}
+    grid = blend.weight_grid(spark, 3, 0.1)
+    for f in (0, 1, 2, 3):
+        best = blend.search_best_weights(df.where(F.col("fold") != f), grid, 1).first()["mae"]
+        assert found[f] <= best + 1e-9
+
+
+def test_oof_tables_without_common_rows_raise(spark):
+    one = spark.createDataFrame([(1, 2.0, 3.0)], "SaleID long, price double, oof_pred double")
+    with pytest.raises(ValueError):
+        blend.load_oof_matrix([("a", one), ("b", one.withColumn("SaleID", F.lit(2).cast("long")))])
 
 
 def test_blend_beats_single_models(spark):
     rows = [(i, float(100 + i), [float(100 + i + (i % 5)), float(100 + i - (i % 3)), 50.0]) for i in range(60)]
     df = spark.createDataFrame(rows, "SaleID long, price double, preds array<double>")
-    top = blend.search_best_weights(df, 3, 0.1, top_k=3).orderBy("rank").collect()
+    top = blend.search_best_weights(df, blend.weight_grid(spark, 3, 0.1), top_k=3).orderBy("rank").collect()
     singles = [blend.mae_for_weights(df, w) for w in np.eye(3)]
     assert top[0]["mae"] <= min(singles) + 1e-12
     assert top[0]["mae"] <= top[1]["mae"]
     brute = min(float(np.mean([abs(r[1] - max(np.dot(r[2], w), 0)) for r in rows]))
-                for w in (np.asarray(u) / 10 for u in blend._grid_chunks(3, 10, 10_000).__next__()[1]))
+                for w in ((a / 10, b / 10, (10 - a - b) / 10) for a in range(11) for b in range(11 - a)))
     assert top[0]["mae"] == pytest.approx(brute)
 
 
@@ -167,10 +191,10 @@ def test_meta_cv_single_pass_equals_per_fold_search(spark):
     rows = [(i, float(100 + i), [float(100 + i + (i % 5)), float(100 + i - (i % 3)), 80.0], i % 3 + 1)
             for i in range(45)]
     df = spark.createDataFrame(rows, "SaleID long, price double, preds array<double>, fold int")
-    choices, _ = blend.run_meta_cv(df, 3, "fold", 0.25)
+    choices, _ = blend.run_meta_cv(df, blend.weight_grid(spark, 3, 0.25), "fold")
     got = {r["meta_fold"]: r["cand_id"] for r in choices.collect()}
     for f in (1, 2, 3):
-        best = blend.search_best_weights(df.where(F.col("fold") != f), 3, 0.25, top_k=1).first()
+        best = blend.search_best_weights(df.where(F.col("fold") != f), blend.weight_grid(spark, 3, 0.25), top_k=1).first()
         assert got[f] == best["cand_id"]
 
 
