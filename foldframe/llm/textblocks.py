@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 # texts are worked on in blocks of about so many bytes; a longer text is a block of its own
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
