@@ -15,15 +15,16 @@ fit rows of a CV fold (T14), 0 for holdout and test rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..config import EncodingConfig
+from ..config import Encodings
 from ..functions.dates import age_bin, power_bin
-from ..functions.targets import transform_target_for_encoding
+from ..functions.targets import scale, transform_target_for_encoding
 from ..session import saved
 from . import keyed
 
@@ -115,81 +116,58 @@ def _smoothed(prefix: str, smoothing: float) -> Column:
     return F.when(n > 0, enc).otherwise(F.col("__gmean"))
 
 
-def apply_encodings(apply: DataFrame, stats: FittedStats, cfg: EncodingConfig,
+def _plain(key: str):
+    return lambda cfg: _smoothed(f"__{key}", cfg.smoothing)
+
+
+def _with_backoff(key: str, count: str, other):
+    """Encoding of `key` where it has enough (`count`: n targets or r rows), else `other`."""
+    return lambda cfg: F.when(F.coalesce(F.col(f"__{key}_{count}"), F.lit(0)) >= cfg.min_count,
+                              _smoothed(f"__{key}", cfg.smoothing)).otherwise(other(cfg))
+
+
+_model_or_brand = _with_backoff("model", "r", _plain("brand"))
+
+# output column -> (keys that it reads, formula)
+ENCODINGS = {
+    "brand_target_mean": (("brand",), _plain("brand")),
+    "brand_age_target_mean": (("brand_age",), _plain("brand_age")),
+    "model_target_mean": (("model",), _plain("model")),
+    "model_backoff_target_mean": (("model", "brand"), _model_or_brand),
+    "model_power_age_backoff_target_mean": (("model", "brand", "model_power_age"), _with_backoff("model_power_age", "n", _model_or_brand)),
+    "model_low_freq_flag": (("model",), lambda cfg: (F.coalesce(F.col("__model_r"), F.lit(0)) < cfg.rare_below).cast("double")),
+    "model_age_target_mean": (("model", "brand", "model_age"), _with_backoff("model_age", "n", _model_or_brand)),
+    "power_age_bin_target_mean": (("power_bin", "power_age"), _with_backoff("power_age", "n", _plain("power_bin"))),
+}
+
+
+def keys_for(outputs: Sequence[str]) -> dict[str, Column]:
+    """The key expressions that the encodings in `outputs` read."""
+    need = {k for o in outputs for k in ENCODINGS[o][0]}
+    return {k: e for k, e in key_expressions().items() if k in need}
+
+
+def apply_encodings(apply: DataFrame, stats: FittedStats, cfg: Encodings,
                     apply_fold: Column | None = None) -> DataFrame:
-    """Append the switched-on encodings to `apply` (trainer semantics)."""
-    if cfg.smoothing < 0:
-        raise ValueError("smoothing must be non-negative.")
-    s = cfg.smoothing
+    """Append the encodings of `cfg` to `apply` (trainer semantics)."""
+    _check_smoothing(cfg.smoothing)
     df = _with_fold(apply, stats, apply_fold if apply_fold is not None else F.lit(NO_FOLD))
-    need = set()
-    if cfg.use_brand:
-        need |= {"brand"}
-    if cfg.use_brand_age:
-        need |= {"brand_age"}
-    if cfg.use_model:
-        need |= {"model"}
-    if cfg.use_model_backoff:
-        need |= {"model", "brand", "model_power_age"}
-    if cfg.use_model_low_freq_flag:
-        need |= {"model"}
-    if cfg.use_model_age:
-        need |= {"model", "brand", "model_age", "power_bin", "power_age"}
-    for name in sorted(need):
+    for name in keys_for(cfg.outputs):
         df = _attach_key(df, stats, name, f"__{name}")
-    out = {}
-    model_rows = F.coalesce(F.col("__model_r"), F.lit(0)) if "model" in need else None
-    model_or_brand = None
-    if "model" in need and "brand" in need:
-        model_or_brand = F.when(model_rows >= cfg.backoff_min_count, _smoothed("__model", s)) \
-            .otherwise(_smoothed("__brand", s))
-    if cfg.use_brand:
-        out["brand_target_mean"] = _smoothed("__brand", s)
-    if cfg.use_brand_age:
-        out["brand_age_target_mean"] = _smoothed("__brand_age", s)
-    if cfg.use_model:
-        out["model_target_mean"] = _smoothed("__model", s)
-    if cfg.use_model_backoff:
-        out["model_backoff_target_mean"] = model_or_brand
-        n = F.coalesce(F.col("__model_power_age_n"), F.lit(0))
-        out["model_power_age_backoff_target_mean"] = F.when(
-            n >= cfg.backoff_min_count, _smoothed("__model_power_age", s)).otherwise(model_or_brand)
-    if cfg.use_model_low_freq_flag:
-        out["model_low_freq_flag"] = (model_rows < cfg.low_freq_min_count).cast("double")
-    if cfg.use_model_age:
-        n = F.coalesce(F.col("__model_age_n"), F.lit(0))
-        out["model_age_target_mean"] = F.when(
-            n >= cfg.backoff_min_count, _smoothed("__model_age", s)).otherwise(model_or_brand)
-        n2 = F.coalesce(F.col("__power_age_n"), F.lit(0))
-        out["power_age_bin_target_mean"] = F.when(
-            n2 >= cfg.backoff_min_count, _smoothed("__power_age", s)).otherwise(_smoothed("__power_bin", s))
-    df = df.withColumns(out)
-    return df.drop(*[c for c in df.columns if c.startswith("__") and c != C.TRAIN_FLAG])
-
-
-def encoding_columns(cfg: EncodingConfig) -> list[str]:
-    cols = []
-    if cfg.use_brand:
-        cols.append("brand_target_mean")
-    if cfg.use_brand_age:
-        cols.append("brand_age_target_mean")
-    if cfg.use_model:
-        cols.append("model_target_mean")
-    if cfg.use_model_backoff:
-        cols += ["model_backoff_target_mean", "model_power_age_backoff_target_mean"]
-    if cfg.use_model_low_freq_flag:
-        cols.append("model_low_freq_flag")
-    if cfg.use_model_age:
-        cols += ["model_age_target_mean", "power_age_bin_target_mean"]
-    return cols
+    df = df.withColumns({o: ENCODINGS[o][1](cfg) for o in cfg.outputs})
+    return df.drop(*[c for c in df.columns if c.startswith("__") and c not in apply.columns])
+
+
+def _check_smoothing(smoothing: float) -> None:
+    if smoothing < 0:
+        raise ValueError(f"smoothing is {smoothing}; it must be 0 or more")
 
 
 # ----------------------------------------------------------- simple forms
 def smoothed_target_encoding(fit: DataFrame, apply: DataFrame, key: Column, target: Column, smoothing: float,
                              out_col: str) -> DataFrame:
     """One key, full fit -> apply."""
-    if smoothing < 0:
-        raise ValueError("smoothing must be non-negative.")
+    _check_smoothing(smoothing)
     stats = fit_stats(fit, target, {"k": key})
     df = _with_fold(apply, stats, F.lit(NO_FOLD))
     df = _attach_key(df, stats, "k", "__k")
@@ -247,11 +225,9 @@ def fit_price_proxy_encoder(train: DataFrame, target_col: str = C.TARGET_COL, co
                             target_space="raw") -> PriceProxyEncoder:
     """T5 fit: full-train mappings for holdout/test rows."""
     _check_columns(train, columns)
-    if smoothing < 0:
-        raise ValueError("smoothing must be non-negative.")
-    from ..functions.targets import normalize_target_space
+    _check_smoothing(smoothing)
     stats = fit_stats(train, _proxy_target(train, target_col, target_space), {c: norm_key(c) for c in columns})
-    return PriceProxyEncoder(tuple(columns), feature_suffix, smoothing, normalize_target_space(target_space), stats)
+    return PriceProxyEncoder(tuple(columns), feature_suffix, smoothing, scale(target_space).label, stats)
 
 
 def build_oof_price_proxy_features(train: DataFrame, fold_col: str, n_splits: int, target_col: str = C.TARGET_COL,
@@ -262,8 +238,7 @@ def build_oof_price_proxy_features(train: DataFrame, fold_col: str, n_splits: in
     _check_columns(train, columns)
     if n_splits < 2:
         raise ValueError("n_splits must be at least 2 for OOF target encoding.")
-    if smoothing < 0:
-        raise ValueError("smoothing must be non-negative.")
+    _check_smoothing(smoothing)
     stats = fit_stats(train, _proxy_target(train, target_col, target_space),
                       {c: norm_key(c) for c in columns}, fold_col)
     return _proxy_apply(train, stats, columns, feature_suffix, smoothing, F.col(fold_col))
@@ -278,8 +253,7 @@ def build_oof_and_apply_price_proxy_features(train: DataFrame, apply: DataFrame,
     _check_columns(train, columns)
     stats = fit_stats(train, _proxy_target(train, target_col, target_space),
                       {c: norm_key(c) for c in columns}, fold_col)
-    from ..functions.targets import normalize_target_space
-    enc = PriceProxyEncoder(tuple(columns), feature_suffix, smoothing, normalize_target_space(target_space), stats)
+    enc = PriceProxyEncoder(tuple(columns), feature_suffix, smoothing, scale(target_space).label, stats)
     train_out = _proxy_apply(train, stats, columns, feature_suffix, smoothing, F.col(fold_col))
     return train_out, enc.transform(apply), enc
 

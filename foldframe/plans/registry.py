@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..config import FeatureConfig
 from ..functions.dates import age_bin, power_bin
 from ..operators import clean, features, validate
 from ..sources import fixture
@@ -356,7 +355,7 @@ def q_feature_frame(spark, sf):
     """F0 + P2: default feature steps on the train table alone (statistics per
     table), categorical keys normalised at the end."""
     train, _ = fixture.split_train_test(listings(spark, sf))
-    df = feature_frame.build_train_features(train, FeatureConfig())
+    df = feature_frame.build_train_features(train)
     return rounded(df.drop("seller", "offerType"))
 
 
@@ -389,14 +388,13 @@ def q_transductive_features(spark, sf):
     """Train and test unioned, every statistic over both, all feature
     switches on, unused columns dropped."""
     train, test = fixture.split_train_test(listings(spark, sf))
-    cfg = FeatureConfig(use_power_bin=True, use_interactions=True, use_brand_relative=True,
-                        use_power_age=True, use_age_detail=True, use_model_age_group_stats=True)
-    prepared = feature_frame.prepare_features(train, test, cfg)
+    steps = ["group_stats", "interactions", "brand_relative", "power_age", "age_detail", "model_age_stats"]
+    prepared = feature_frame.prepare_features(train, test, steps, power_bin=True)
     return rounded(prepared.frame)
 
 
 # ===================================================================== K / D7
-from ..config import EncodingConfig  # noqa: E402
+from ..config import Encodings  # noqa: E402
 from ..operators import encode, folds  # noqa: E402
 from ..operators.ranking import price_quantile_bin  # noqa: E402
 
@@ -622,48 +620,46 @@ FROM ap a
 {_enc_joins(keys)}"""
 
 
-def _cv_enc(spark, sf, cfg: EncodingConfig, target_mode: str = "log1p", fit_roles: bool = False) -> DataFrame:
+def _cv_enc(spark, sf, outputs: list[str], target_mode: str = "log1p", fit_roles: bool = False) -> DataFrame:
     """Spark side: one stacked aggregation for all keys and folds, applied to
     validation rows (own fold) and optionally to every fold's fit rows."""
     from ..functions.targets import transform_target
     rows = enc_frame(spark, sf).where(F.col("is_train"))
     rows = folds.kfold_assign(rows, 5, 42)
-    keys = {k: v for k, v in encode.key_expressions().items()
-            if k in {x for c in encode.encoding_columns(cfg) for x in _KEYS_FOR[c]}}
-    stats = encode.fit_stats(rows, transform_target(F.col(C.TARGET_COL), target_mode), keys, "fold")
+    stats = encode.fit_stats(rows, transform_target(F.col(C.TARGET_COL), target_mode), encode.keys_for(outputs), "fold")
     if fit_roles:
         apply = rows.withColumn("afold", F.explode(F.sequence(F.lit(1), F.lit(5)))).withColumn(
             "role", F.when(F.col("fold") == F.col("afold"), "valid").otherwise("fit"))
     else:
         apply = rows.withColumn("afold", F.col("fold")).withColumn("role", F.lit("valid"))
-    out = encode.apply_encodings(apply, stats, cfg, F.col("afold"))
-    return rounded(out.select(C.ID_COL, F.col("afold").alias("fold"), "role", *encode.encoding_columns(cfg)))
+    out = encode.apply_encodings(apply, stats, Encodings(tuple(outputs)), F.col("afold"))
+    return rounded(out.select(C.ID_COL, F.col("afold").alias("fold"), "role", *outputs))
 
 
 @query("te_brand_age", _cv_enc_sql(["brand_age_target_mean"], "ln(1 + " + O.clip0("price") + ")"))
 def q_te_brand_age(spark, sf):
     """Brand x age-bin encoding of validation rows from the other folds (log1p target)."""
-    return _cv_enc(spark, sf, EncodingConfig(use_brand_age=True))
+    return _cv_enc(spark, sf, ["brand_age_target_mean"])
 
 
 @query("te_model_age", _cv_enc_sql(["model_age_target_mean", "power_age_bin_target_mean"],
                                    "ln(1 + " + O.clip0("price") + ")"))
 def q_te_model_age(spark, sf):
     """T11 + T12: model x age with model/brand back-off, power x age with power-bin back-off."""
-    return _cv_enc(spark, sf, EncodingConfig(use_model_age=True))
+    return _cv_enc(spark, sf, ["model_age_target_mean", "power_age_bin_target_mean"])
 
 
 @query("te_model_power_age", _cv_enc_sql(["model_backoff_target_mean", "model_power_age_backoff_target_mean"],
                                          "ln(1 + " + O.clip0("price") + ")"))
 def q_te_model_power_age(spark, sf):
     """T7 + T8: model encoding with brand back-off, model x power x age on top."""
-    return _cv_enc(spark, sf, EncodingConfig(use_model_backoff=True))
+    return _cv_enc(spark, sf, ["model_backoff_target_mean", "model_power_age_backoff_target_mean"])
 
 
 @query("low_freq_flag", _cv_enc_sql(["model_low_freq_flag"], "ln(1 + " + O.clip0("price") + ")"))
 def q_low_freq_flag(spark, sf):
     """1.0 when the model has fewer than 20 fit rows."""
-    return _cv_enc(spark, sf, EncodingConfig(use_model_low_freq_flag=True))
+    return _cv_enc(spark, sf, ["model_low_freq_flag"])
 
 
 _ALL_COLS = list(_KEYS_FOR)
@@ -673,9 +669,7 @@ _ALL_COLS = list(_KEYS_FOR)
 def q_te_all(spark, sf):
     """T13 + T14: all eight encodings for every fold: validation rows from the
     other folds, fit rows self-included (trainer semantics)."""
-    cfg = EncodingConfig(use_brand=True, use_brand_age=True, use_model=True, use_model_age=True,
-                         use_model_backoff=True, use_model_low_freq_flag=True)
-    return _cv_enc(spark, sf, cfg, fit_roles=True)
+    return _cv_enc(spark, sf, _ALL_COLS, fit_roles=True)
 
 
 def _full_enc_sql(cols: list[str], target: str) -> str:
@@ -696,11 +690,10 @@ def q_te_backoff(spark, sf):
     """T3 + T7 + T8 full-train -> test (raw price)."""
     df = enc_frame(spark, sf)
     train, test = df.where(F.col("is_train")), df.where(~F.col("is_train"))
-    cfg = EncodingConfig(use_model_backoff=True)
-    keys = {k: encode.key_expressions()[k] for k in ("model", "brand", "model_power_age")}
-    stats = encode.fit_stats(train, F.col(C.TARGET_COL), keys)
+    cfg = Encodings(("model_backoff_target_mean", "model_power_age_backoff_target_mean"))
+    stats = encode.fit_stats(train, F.col(C.TARGET_COL), encode.keys_for(cfg.outputs))
     out = encode.apply_encodings(test, stats, cfg)
-    return rounded(out.select(C.ID_COL, *encode.encoding_columns(cfg)))
+    return rounded(out.select(C.ID_COL, *cfg.outputs))
 
 
 def _proxy_sql(space_expr: str, suffix: str, oof: bool) -> str:
@@ -754,7 +747,6 @@ def q_te_target_spaces(spark, sf):
 
 
 # ===================================================================== M / E
-from ..config import SampleWeightConfig  # noqa: E402
 from ..functions.targets import inverse_target, transform_target  # noqa: E402
 from ..operators import metrics, routing, weights  # noqa: E402
 
@@ -831,7 +823,7 @@ SELECT SaleID, {r('w0 / (SELECT avg(w0) FROM w)')} AS sample_weight FROM w"""
 def q_weights_legacy(spark, sf):
     """M2 legacy: x1.5 at/above the 0.8 price quantile, x1.3 for age <= 3, mean 1."""
     df = base(spark, sf).where(F.col("is_train"))
-    out = weights.build_sample_weights(df, SampleWeightConfig(mode="legacy"))
+    out = weights.build_sample_weights(df, weights.WEIGHTINGS["legacy"])
     return rounded(out.select(C.ID_COL, "sample_weight"))
 
 
@@ -839,7 +831,7 @@ def q_weights_legacy(spark, sf):
 def q_weights_slice(spark, sf):
     """M2 + M3 price_age_slice: x1.1 on the configured (price quintile, age bin) pairs."""
     df = base(spark, sf).where(F.col("is_train"))
-    out = weights.build_sample_weights(df, SampleWeightConfig(mode="price_age_slice"))
+    out = weights.build_sample_weights(df, weights.WEIGHTINGS["price_age_slice"])
     return rounded(out.select(C.ID_COL, "sample_weight"))
 
 
@@ -853,7 +845,7 @@ FROM (SELECT *, w0 / (SELECT avg(w0) FROM w) AS sw FROM w) t"""))
 def q_weight_summary(spark, sf):
     """M4: weighted rows, mean/min/max, rows with weight != 1 (after normalising)."""
     df = base(spark, sf).where(F.col("is_train"))
-    out = weights.build_sample_weights(df, SampleWeightConfig(mode="legacy"))
+    out = weights.build_sample_weights(df, weights.WEIGHTINGS["legacy"])
     return rounded(weights.summarize_sample_weights(out))
 
 
@@ -1186,13 +1178,15 @@ def q_neighbor_grids(spark, sf):
 
 
 # ===================================================================== M5-M14
-from ..config import ModelConfig, SegmentConfig  # noqa: E402
-from ..operators import ml  # noqa: E402
+from ..config import Segment  # noqa: E402
+from ..operators import learners, ml  # noqa: E402
 
 NUM_FEATURES = ["power", "kilometer", "v_0", "v_1", "v_2", "v_3", "v_4", "car_age_years", "power_outlier_flag",
                 "power_is_zero", "reg_year", "create_year"]
 CAT_FEATURES = list(C.CATEGORICAL_COLUMNS)
-SMALL_MODEL = ModelConfig(n_estimators=10, num_leaves=15, learning_rate=0.1)
+# MLlib grows trees one after the other, so the registered queries fit few of them; folds,
+# repeats and grid sizes are the full ones
+FEW_TREES = learners.BoostedTrees(trees=5, rate=0.3, depth=4)
 
 
 @query("median_impute", O.with_ctes(O.base_cte(), "tr AS (SELECT * FROM base WHERE is_train)",
@@ -1234,42 +1228,114 @@ def _model_rows(spark, sf):
 
 @query("gbt_full_predict")
 def q_gbt_full_predict(spark, sf):
-    """M6 + M7 + M10: GBT fitted on all train rows (log1p target), test rows
-    predicted (rows-only check)."""
+    """M6 + M7 + M10: GBT with encodings and legacy weights fitted on all train rows
+    (log1p target), test rows predicted (rows-only check; 5 trees instead of 400)."""
     df = _model_rows(spark, sf)
-    pred, _ = ml.fit_full_and_predict(df.where(F.col("is_train")), df.where(~F.col("is_train")),
-                                      NUM_FEATURES, CAT_FEATURES, SMALL_MODEL)
+    pred, _ = ml.fit_full_and_predict(df.where(F.col("is_train")), df.where(~F.col("is_train")), NUM_FEATURES, CAT_FEATURES,
+                                      FEW_TREES, enc=_FULL_ENCODINGS, rules=weights.WEIGHTINGS["legacy"])
     return pred.select(C.ID_COL, F.round("prediction", 6).alias("price"))
 
 
+_FULL_ENCODINGS = Encodings(("brand_target_mean", "model_backoff_target_mean", "model_power_age_backoff_target_mean"))
+
+
 @query("gbt_segmented")
 def q_gbt_segmented(spark, sf):
-    """Global model plus a segment model that overwrites routed test
-    predictions (rows-only check)."""
+    """Global model plus a segment model (own encodings and weights) that
+    overwrites routed test predictions (rows-only check)."""
     df = _model_rows(spark, sf)
-    pred, _ = ml.fit_full_and_predict(df.where(F.col("is_train")), df.where(~F.col("is_train")),
-                                      NUM_FEATURES, CAT_FEATURES, SMALL_MODEL, SegmentConfig(enabled=True))
+    pred, _ = ml.fit_full_and_predict(df.where(F.col("is_train")), df.where(~F.col("is_train")), NUM_FEATURES, CAT_FEATURES,
+                                      FEW_TREES, Segment(enabled=True), enc=_FULL_ENCODINGS)
     return pred.select(C.ID_COL, "routed", F.round("prediction", 6).alias("price"))
 
 
 @query("gbt_cv_oof")
 def q_gbt_cv_oof(spark, sf):
-    """M11 + M12 + M13: 3-fold stratified CV with brand/model encodings and
-    segment routing; OOF table per row (rows-only check)."""
+    """M11 + M12: 5 stratified folds x 3 repeats with encodings and segment routing; OOF
+    table per row (rows-only check; 5 trees per fit instead of 400)."""
     train = _model_rows(spark, sf).where(F.col("is_train"))
-    plan = folds.stratified_assign(train, n_splits=3, repeats=1, seed=42, price_bins=5)
-    preds, _ = ml.cross_validate(train, plan, NUM_FEATURES, CAT_FEATURES, SMALL_MODEL,
-                                 EncodingConfig(use_brand=True, use_model_backoff=True),
-                                 SegmentConfig(enabled=True))
+    plan = folds.stratified_assign(train, n_splits=5, repeats=3, seed=42, price_bins=5)
+    preds, _ = ml.cross_validate(train, plan, NUM_FEATURES, CAT_FEATURES, FEW_TREES, Segment(enabled=True), enc=_FULL_ENCODINGS)
     return ml.oof_table(preds)
 
 
 @query("gbt_tune")
 def q_gbt_tune(spark, sf):
-    """2 x 1 x 1 grid over 2 folds, ranked by mean fold MAE (rows-only)."""
+    """3 x 3 x 3 grid over 3 folds, ranked by mean fold MAE (rows-only check; 1 to
+    3 trees per fit instead of hundreds)."""
+    train = _model_rows(spark, sf).where(F.col("is_train"))
+    plan = folds.cv_plan(train, n_splits=3, strategy="kfold", seed=42)
+    return ml.tune(train, plan, NUM_FEATURES, CAT_FEATURES, [0.1, 0.3, 0.5], [1, 2, 3], [4, 8, 16], FEW_TREES)
+
+
+# The plainest learner gives the whole of M10, M11 and M13 an exact counterpart in SQL:
+# fits are brand means of ln(1 + price), refitted on segment rows for routed ones.
+_IN_SEGMENT = f"{O.age_bin('car_age_years')} IN ('5_8y', '8y_plus')"
+
+
+def _means_sql(fits: str, applies: str, ids: str) -> list[str]:
+    """CTEs from `fits` (fold key f, price, brand, age) and `applies`: thresholds,
+    global and segment means, routed rows and predictions."""
+    return [
+        f"th AS (SELECT f, quantile_cont(price, 0.8) AS edge FROM {fits} GROUP BY f)",
+        f"ft AS (SELECT x.*, th.edge, coalesce(price >= edge AND {_IN_SEGMENT}, false) AS seg FROM {fits} x JOIN th USING (f))",
+        "gm AS (SELECT f, avg(ln(1 + greatest(price, 0))) AS m, avg(ln(1 + greatest(price, 0))) FILTER (WHERE seg) AS sm, count(*) FILTER (WHERE seg) AS sn FROM ft GROUP BY f)",
+        "bm AS (SELECT f, brand, avg(ln(1 + greatest(price, 0))) AS m, avg(ln(1 + greatest(price, 0))) FILTER (WHERE seg) AS sm FROM ft GROUP BY f, brand)",
+        f"ap AS (SELECT a.{ids}, a.price, a.f, a.car_age_years, th.edge, gm.sn, greatest(exp(coalesce(bm.m, gm.m)) - 1, 0) AS g, "
+        f"greatest(exp(coalesce(bm.sm, gm.sm)) - 1, 0) AS s FROM {applies} a JOIN th USING (f) JOIN gm USING (f) "
+        "LEFT JOIN bm ON bm.f = a.f AND bm.brand IS NOT DISTINCT FROM a.brand)",
+        f"pr AS (SELECT *, sn >= 20 AND coalesce(g >= edge AND {_IN_SEGMENT}, false) AS routed, coalesce(price >= edge AND {_IN_SEGMENT}, false) AS actual FROM ap)",
+        "fi AS (SELECT *, CASE WHEN routed THEN s ELSE g END AS pred FROM pr)"]
+
+
+def _mean_frames() -> list[str]:
+    return [O.base_cte(), _enc_rows_cte("e0", "price"), "er AS (SELECT *, t AS price FROM e0)", "tr AS (SELECT * FROM er WHERE is_train)"]
+
+
+@query("mean_full_segmented", O.with_ctes(*_mean_frames(), "fa AS (SELECT *, 0 AS f FROM tr)", "ta AS (SELECT *, 0 AS f FROM er WHERE NOT is_train)",
+                                          *_means_sql("fa", "ta", "SaleID")) + f"""
+SELECT SaleID, routed, {r('g')} AS global_pred, {r('pred')} AS prediction FROM fi""")
+def q_mean_full_segmented(spark, sf):
+    """M10 with brand means as the learner: test predictions, routed ones replaced."""
+    df = _model_rows(spark, sf)
+    pred, _ = ml.fit_full_and_predict(df.where(F.col("is_train")), df.where(~F.col("is_train")), [], [], learners.GroupMean("brand"), Segment(enabled=True))
+    return rounded(pred.select(C.ID_COL, "routed", "global_pred", "prediction"))
+
+
+def _cv_means_sql() -> list[str]:
+    return [*_mean_frames(), _kfold_cte("tr", "kf"), "fa AS (SELECT kf.*, g.f FROM kf, (SELECT DISTINCT fold AS f FROM kf) g WHERE kf.fold <> g.f)",
+            "va AS (SELECT *, fold AS f FROM kf)", *_means_sql("fa", "va", "SaleID")]
+
+
+def _mean_cv(spark, sf):
     train = _model_rows(spark, sf).where(F.col("is_train"))
-    plan = folds.cv_plan(train, n_splits=2, strategy="kfold", seed=42)
-    return ml.tune(train, plan, NUM_FEATURES, CAT_FEATURES, [0.05, 0.1], [5], [7], SMALL_MODEL)
+    plan = folds.kfold_assign(train.select(C.ID_COL), 5, 42).withColumn("repeat", F.lit(1))
+    return ml.cross_validate(train, plan, [], [], learners.GroupMean("brand"), Segment(enabled=True))
+
+
+@query("mean_cv_oof", O.with_ctes(*_cv_means_sql()) + f"""
+SELECT SaleID, {r('pred')} AS oof_pred, {r('g')} AS global_oof_pred, CAST(routed AS DOUBLE) AS segmented_replaced_flag,
+       CAST(actual AS DOUBLE) AS actual_segment_flag, CAST(routed AND actual AS DOUBLE) AS routing_hit_flag, {r('abs(price - pred)')} AS abs_error FROM fi""")
+def q_mean_cv_oof(spark, sf):
+    """M11 + M12 with brand means as the learner: 5-fold out-of-fold table."""
+    preds, _ = _mean_cv(spark, sf)
+    return rounded(ml.oof_table(preds).select(C.ID_COL, "oof_pred", "global_oof_pred", "segmented_replaced_flag", "actual_segment_flag",
+                                              "routing_hit_flag", "abs_error"))
+
+
+@query("mean_cv_folds", O.with_ctes(*_cv_means_sql()) + f"""
+SELECT CAST(f AS BIGINT) AS fold, {r('avg(abs(price - pred))')} AS mae, {r('avg(abs(price - g))')} AS global_mae,
+       CAST(sum(CAST(actual AS INT)) AS BIGINT) AS actual_segment_count, CAST(sum(CAST(routed AS INT)) AS BIGINT) AS routed_count,
+       {r('sum(CAST(routed AS INT)) * 1.0 / count(*)')} AS segment_coverage_rate,
+       {r('sum(CAST(routed AND actual AS INT)) * 1.0 / nullif(sum(CAST(routed AS INT)), 0)')} AS routing_precision,
+       {r('sum(CAST(routed AND actual AS INT)) * 1.0 / nullif(sum(CAST(actual AS INT)), 0)')} AS routing_recall,
+       {r('avg(abs(price - pred)) FILTER (WHERE actual)')} AS segment_mae, {r('avg(abs(price - g)) FILTER (WHERE actual)')} AS global_segment_mae,
+       {r('avg(abs(price - pred)) FILTER (WHERE NOT actual)')} AS non_segment_mae, count(*) AS valid_rows,
+       any_value(sn) AS segment_train_count, {r('any_value(edge)')} AS segment_threshold FROM fi GROUP BY f""")
+def q_mean_cv_folds(spark, sf):
+    """M11 + M13 with brand means as the learner: metrics of each fold."""
+    _, per_fold = _mean_cv(spark, sf)
+    return rounded(per_fold.drop("setting", "repeat", "weighted_sample_count", "weight_mean", "weight_min", "weight_max", "weight_non_default_count"))
 
 
 # ===================================================================== S
@@ -1314,7 +1380,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     power) -> repeated stratified folds (one repeat) -> strict out-of-fold
     smoothed brand/model price means."""
     train, _ = fixture.split_train_test(listings(spark, sf))
-    feats = feature_frame.build_train_features(train, FeatureConfig(use_power_age=True, use_age_detail=True))
+    feats = feature_frame.build_train_features(train, steps=(*feature_frame.DEFAULT_STEPS, "power_age", "age_detail"))
     plan = folds.stratified_assign(feats, n_splits=5, repeats=1, seed=42, price_bins=5)
     rows = feats.join(plan.select(C.ID_COL, "fold"), C.ID_COL)
     oof = encode.build_oof_price_proxy_features(rows, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH)

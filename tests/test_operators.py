@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldframe import config as C
-from foldframe.config import EncodingConfig, SampleWeightConfig
+from foldframe.config import Encodings, Segment
 from foldframe.functions.dates import age_bin, parse_compact_date, power_bin, power_bin_code
 from foldframe.functions.targets import inverse_target, transform_target
-from foldframe.operators import blend, clean, encode, features, folds, keyed, ml, weights
+from foldframe.operators import blend, clean, encode, features, folds, keyed, learners, ml, weights
 from foldframe.operators.metrics import exact_quantiles
+from foldframe.operators.quantiles import grouped_quantiles
 from foldframe.operators.ranking import global_rank, price_quantile_bin
 
 
@@ -118,7 +119,7 @@ def test_backoff_encodings(spark):
                                 [("m2", "b1", 100.0, 5.0, 30.0)],
                                 "model string, brand string, power double, car_age_years double, price double")
     stats = encode.fit_stats(fit, F.col("price"), encode.key_expressions())
-    cfg = EncodingConfig(use_model_backoff=True, use_model_low_freq_flag=True, backoff_min_count=3, smoothing=0.0)
+    cfg = Encodings(("model_backoff_target_mean", "model_power_age_backoff_target_mean", "model_low_freq_flag"), 0.0, 3)
     out = {r["model"]: r for r in encode.apply_encodings(fit.select("model", "brand", "power", "car_age_years"),
                                                          stats, cfg).collect()}
     assert out["m1"]["model_backoff_target_mean"] == pytest.approx(1.0)
@@ -136,9 +137,12 @@ def test_target_roundtrip(spark):
 def test_weights_normalised(spark):
     df = spark.createDataFrame([(i, float(i), float(i % 6)) for i in range(1, 51)],
                                "SaleID long, price double, car_age_years double")
-    out = weights.build_sample_weights(df, SampleWeightConfig(mode="legacy"))
+    out = weights.build_sample_weights(df, weights.WEIGHTINGS["legacy"])
     assert out.agg(F.avg("sample_weight")).first()[0] == pytest.approx(1.0)
-    assert weights.parse_price_age_slice_targets("Q5:age_missing, Q4|3_5y") == {("Q5", C.AGE_MISSING), ("Q4", "3_5y")}
+    assert weights.cells_from_text("Q5:age_missing, Q4|3_5y") == (("Q5", C.AGE_MISSING), ("Q4", "3_5y"))
+    for bad in ("", "Q5", "Q5:"):
+        with pytest.raises(ValueError):
+            weights.cells_from_text(bad)
 
 
 def test_weight_grid_and_rounding(spark):
@@ -211,3 +215,44 @@ def test_sized_join_keeps_null_keys(spark):
     st = spark.createDataFrame([(None, 5.0), ("x", 7.0)], "k string, v double")
     out = {r["id"]: r["v"] for r in keyed.attach(df, st, ["k"]).collect()}
     assert out == {1: 5.0, 2: 7.0}
+
+
+def listing_rows(spark, n=400):
+    rows = [(i, float(100 + 37 * (i % 23) + i), f"b{i % 5}", float(i % 12), float(i % 7)) for i in range(n)]
+    return spark.createDataFrame(rows, "SaleID long, price double, brand string, car_age_years double, x double")
+
+
+def test_nothing_is_routed_below_the_minimal_segment(spark):
+    df = listing_rows(spark)
+    plan = df.select("SaleID", F.lit(1).alias("repeat"), (F.col("SaleID") % 2 + 1).cast("int").alias("fold"))
+    for least, routed in ((20, True), (10_000, False)):
+        preds, per_fold = ml.cross_validate(df, plan, [], [], learners.GroupMean("brand"), Segment(True, 0.3, least))
+        rows = per_fold.collect()
+        assert all((r["routed_count"] > 0) == routed for r in rows)
+        if not routed:
+            assert all(r["mae"] == r["global_mae"] for r in rows) and preds.where("routed or pred != global_pred").count() == 0
+    with pytest.raises(ValueError):
+        ml.cross_validate(df, plan.where("SaleID > 5"), [], [], learners.GroupMean("brand"))
+
+
+def test_saved_model_predicts_alike_and_no_categories_are_fine(spark, tmp_path):
+    df = listing_rows(spark).withColumns({"model": F.col("brand"), "power": F.col("x")})
+    how = {"enc": Encodings(("brand_target_mean",), 5.0)}
+    for cats in ([], ["brand"]):
+        model = ml.fit_model(df, ["x", "car_age_years"], cats, learners.BoostedTrees(trees=2, depth=2), **how)
+        model.save(str(tmp_path / f"m{len(cats)}"))
+        back = ml.FittedModel.load(spark, str(tmp_path / f"m{len(cats)}"))
+        a, b = ({r["SaleID"]: r["prediction"] for r in m.predict(df).collect()} for m in (model, back))
+        assert a == b and len(a) == 400
+    with pytest.raises(ValueError):
+        learners.depth_for_leaves(1 << 40)
+
+
+def test_grouped_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(1)
+    rows = [(None if k == 3 else f"k{k}", float(v) if i % 11 else None) for k in range(4) for i, v in enumerate(rng.integers(0, 50 if k else 10**9, 700 * (k + 1)))]
+    got = {(r["k"], r["prob"]): r["value"] for r in grouped_quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], ["v"], [0.0, 0.5, 0.83, 1.0]).collect()}
+    for k in ("k0", "k1", "k2", None):
+        v = [x for key, x in rows if key == k and x is not None]
+        for p in (0.0, 0.5, 0.83, 1.0):
+            assert got[k, p] == pytest.approx(np.quantile(v, p))
