@@ -27,52 +27,53 @@ FIELD = "<*>"
 LEAD, MIN_TOKENS = 3, 4
 # a template needs so many families, in so large a part of its documents, and so many constant tokens
 MIN_FAMILIES, FAMILY_SHARE, CONSTANT_SHARE = 8, 0.15, 0.6
-# orders of the leaf hashes by which families are told apart: digits to turn them by
-TURNS = (0, 8, 16, 24)
+# ways to tell families apart
+WAYS = 4
 
 
 def tokens_of(line: Column) -> Column:
-    """Tokens of a line; a blank one has none."""
-    return F.filter(F.split(line, BLANKS), lambda t: t != "")
+    """Tokens of a line; a blank one has one empty token."""
+    return F.split(F.btrim(line, F.lit(" \t\n\x0b\f\r")), BLANKS)
 
 
-def _masked(token: Column) -> Column:
-    return F.when(token.rlike(r"[0-9]"), F.lit(FIELD)).otherwise(token)
+def leaf_of(tokens: Column, lead: int = LEAD) -> Column:
+    """Leaf of a line in the tree, by token count and leading tokens."""
+    path = F.regexp_replace(F.array_join(F.slice(tokens, 1, lead), " "), r"[^ ]*[0-9][^ ]*", FIELD)
+    return F.xxhash64(F.size(tokens), path)
 
 
-def leaf_of(tokens: Column, lead: int = LEAD, min_tokens: int = MIN_TOKENS) -> Column:
-    """Leaf of a line in the tree, by token count and leading tokens; null for shorter lines."""
-    path = F.array_join(F.transform(F.slice(tokens, 1, lead), _masked), " ")
-    return F.when(F.size(tokens) >= min_tokens, F.md5(F.encode(F.concat(F.size(tokens).cast("string"), F.lit(" "), path), "UTF-8")))
-
-
-def family_of(leaves: Column) -> Column:
-    """For each way to tell families apart, a document's smallest leaf hash, in one string."""
-    turned = lambda n: F.array_min(F.transform(leaves, lambda x: F.concat(F.substring(x, n + 1, 8), F.substring(x, 1, 16))))
-    return F.concat_ws(" ", *[turned(n) for n in TURNS])
+def parsed(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
+    """(doc_id, pos, leaf) of every line that has enough tokens."""
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    tokens = lines.select("doc_id", "pos", tokens_of(F.col("line")).alias("tokens")).where(F.size("tokens") >= min_tokens)
+    return tokens.select("doc_id", "pos", leaf_of(F.col("tokens"), lead).alias("leaf"))
 
 
-def parsed(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
-    """(doc_id, family, pos, leaf, tokens) of every line that has a leaf."""
-    lines = docs.select("doc_id", F.transform(F.split("text", "\n"), tokens_of).alias("lines"))
-    leaves = lines.withColumn("leaves", F.transform("lines", lambda t: leaf_of(t, lead, min_tokens)))
-    each = leaves.select("doc_id", family_of(F.col("leaves")).alias("family"), F.posexplode(F.arrays_zip("leaves", "lines")).alias("pos", "line"))
-    return each.select("doc_id", "family", "pos", F.substring("line.leaves", 1, 16).alias("leaf"), F.col("line.lines").alias("tokens")).where("leaf is not null")
+def families(leaves: DataFrame) -> DataFrame:
+    """(f_id, family): for each way to tell families apart, a document's smallest leaf hash."""
+    least = [F.min(F.xxhash64("leaf", F.lit(way))) for way in range(WAYS)]
+    return leaves.groupBy("doc_id").agg(F.array(*least).alias("family")).select(F.col("doc_id").alias("f_id"), "family")
 
 
 def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOKENS, min_families: int = MIN_FAMILIES,
                     family_share: float = FAMILY_SHARE, constant_share: float = CONSTANT_SHARE) -> DataFrame:
     """(doc_id, pos, template): the lines of recurring templates."""
-    lines = parsed(docs, lead, min_tokens)
-    # leaves that cannot hold a recurring template end here: most of the text is not shuffled
-    busy = (lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("family").alias("lo"), F.max("family").alias("hi"))
-            .where((F.col("n") >= min_families) & (F.col("lo") < F.col("hi"))).select(F.col("leaf").alias("b_leaf")))
-    busy = saved(busy, "lines-leaves")
-    live = saved(lines.join(busy, F.col("leaf") == F.col("b_leaf"), "left_semi"), "lines-live")
+    leaves = saved(parsed(docs, lead, min_tokens), "lines-leaves")
+    known = saved(families(leaves).withColumn("whole", F.xxhash64("family")), "lines-families")
+    lines = leaves.join(known.select("f_id", "whole").hint("shuffle_merge"), F.col("doc_id") == F.col("f_id")).drop("f_id")
+    # leaves that cannot hold a recurring template end here: most lines are not looked at again
+    busy = saved(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("lo"), F.max("whole").alias("hi"))
+                 .where((F.col("n") >= min_families) & (F.col("lo") < F.col("hi"))).select(F.col("leaf").alias("b_leaf")), "lines-busy")
+    at = (leaves.join(busy.hint("shuffle_merge"), F.col("leaf") == F.col("b_leaf"), "left_semi")
+          .groupBy("doc_id").agg(F.collect_list(F.struct("pos", "leaf")).alias("at")).select(F.col("doc_id").alias("a_id"), "at"))
+    with_at = docs.select("doc_id", "text").join(at.hint("shuffle_merge"), F.col("doc_id") == F.col("a_id"))
+    one = with_at.select("doc_id", F.split("text", "\n").alias("lines"), F.explode("at").alias("at"))
+    live = one.select("doc_id", F.col("at.pos").alias("pos"), F.col("at.leaf").alias("leaf"), tokens_of(F.element_at("lines", F.col("at.pos") + 1)).alias("tokens"))
+    live = saved(live.join(known.hint("shuffle_merge"), F.col("doc_id") == F.col("f_id")).drop("f_id"), "lines-live")
 
     # equal lines are put together before tokens are counted by position
-    distinct = saved(live.groupBy("leaf", "tokens").agg(F.count(F.lit(1)).alias("n"), F.min("family").alias("lo"), F.max("family").alias("hi"))
-                     .withColumn("line", F.md5(F.encode(F.concat_ws("\n", "leaf", "tokens"), "UTF-8"))), "lines-distinct")
+    distinct = saved(live.groupBy("leaf", "tokens").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("lo"), F.max("whole").alias("hi"))
+                     .withColumn("line", F.md5(F.encode(F.concat_ws("\n", F.col("leaf").cast("string"), "tokens"), "UTF-8"))), "lines-distinct")
     token = distinct.select("line", "leaf", "n", "lo", "hi", F.posexplode("tokens").alias("at", "token"))
     constant = saved(token.where(~F.col("token").rlike(r"[0-9]")).groupBy("leaf", "at", "token")
                      .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
@@ -90,11 +91,11 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
                   .select("doc_id", "pos", "family", "template"), "lines-found")
 
     docs_of = saved(found.select("template", "doc_id", "family").distinct(), "lines-docs")
-    families = (docs_of.select("template", F.posexplode(F.split("family", " ")).alias("way", "family"))
-                .groupBy("template", "way", "family").agg(F.count(F.lit(1)).alias("docs"))
-                .groupBy("template", "way").agg(F.count(F.lit(1)).alias("families"), F.sum("docs").alias("docs"))
-                .groupBy("template").agg(F.max("families").alias("families"), F.max("docs").alias("docs")))
-    recurring = saved(families.where((F.col("families") >= min_families) & (F.col("families") >= F.col("docs") * family_share))
+    spread = (docs_of.select("template", F.posexplode("family").alias("way", "family"))
+              .groupBy("template", "way", "family").agg(F.count(F.lit(1)).alias("docs"))
+              .groupBy("template", "way").agg(F.count(F.lit(1)).alias("families"), F.sum("docs").alias("docs"))
+              .groupBy("template").agg(F.max("families").alias("families"), F.max("docs").alias("docs")))
+    recurring = saved(spread.where((F.col("families") >= min_families) & (F.col("families") >= F.col("docs") * family_share))
                       .select(F.col("template").alias("r_template")), "lines-recurring")
     return found.join(recurring.hint("shuffle_merge"), F.col("template") == F.col("r_template"), "left_semi").select("doc_id", "pos", "template")
 

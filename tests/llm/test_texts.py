@@ -82,9 +82,14 @@ def test_shingles_count_repeats(texts):
 
 def brute_templates(docs, min_families):
     """The rule of linetemplates on plain lists, one step after the other."""
-    import hashlib
     from collections import defaultdict
 
+    import xxhash
+
+    def xx(seed, raw):
+        h = xxhash.xxh64(raw, seed=seed % 2**64).intdigest()
+        return h - 2**64 if h >= 2**63 else h
+
     lines = []
     for i, t in docs.items():
         rows = []
@@ -92,8 +97,9 @@ def brute_templates(docs, min_families):
             w = words(line)
             if len(w) >= linetemplates.MIN_TOKENS:
                 lead = " ".join("<*>" if any(c in "0123456789" for c in x) else x for x in w[:linetemplates.LEAD])
-                rows.append((i, p, hashlib.md5(f"{len(w)} {lead}".encode()).hexdigest(), tuple(w)))
-        family = tuple(min(x[2][n:n + 8] + x[2][:16] for x in rows) for n in linetemplates.TURNS) if rows else ()
+                rows.append((i, p, xx(xx(42, len(w).to_bytes(4, "little")), lead.encode()), tuple(w)))
+        leaf = lambda x, way: xx(xx(42, x.to_bytes(8, "little", signed=True)), way.to_bytes(4, "little"))
+        family = tuple(min(leaf(x[2], way) for x in rows) for way in range(linetemplates.WAYS)) if rows else ()
         lines += [(*r, family) for r in rows]
     busy, tokens = defaultdict(list), defaultdict(list)
     for _, _, leaf, _, fam in lines:
@@ -110,7 +116,7 @@ def brute_templates(docs, min_families):
         if sum((leaf, at, x) in fixed for at, x in enumerate(w)) >= linetemplates.CONSTANT_SHARE * len(w):
             found.append((i, p, " ".join(t)))
             of[" ".join(t)].add((i, fam))
-    ways = range(len(linetemplates.TURNS))
+    ways = range(linetemplates.WAYS)
     good = {t for t, v in of.items() if (n := max(len({f[k] for _, f in v}) for k in ways)) >= min_families and n >= linetemplates.FAMILY_SHARE * len(v)}
     return {(i, p) for i, p, t in found if t in good}
 
