@@ -101,4 +101,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bag_minhash": op10_bag_minhash,
 }
 
-ORACLE: dict[str, str] = {}
+# The others are beyond SQL (hashes of Spark's own, fitted models, tokenizers, components)
+# and are held against brute force in tests/llm.
+ORACLE: dict[str, str] = {
+    "op4_cover_anchors": r"""
+WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS word,
+                  generate_subscripts(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''), 1) AS pos FROM documents),
+k AS (SELECT doc_id, pos, md5(array_to_string(list(word) OVER win, ' ')) AS h, count(*) OVER win AS n FROM w
+      WINDOW win AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+m AS (SELECT h, min(doc_id) AS least FROM k WHERE n = 50 GROUP BY h),
+g AS (SELECT DISTINCT k.doc_id, unnest(range(k.pos, k.pos + 50)) AS pos FROM k JOIN m USING (h) WHERE k.n = 50 AND m.least < k.doc_id),
+r AS (SELECT w.doc_id, count(*) AS n_words, count(g.pos) AS n_removed, string_agg(w.word, ' ' ORDER BY w.pos) FILTER (WHERE g.pos IS NULL) AS kept
+      FROM w LEFT JOIN g ON g.doc_id = w.doc_id AND g.pos = w.pos GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN r USING (doc_id)""",
+    "op8_no_random_access": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE len(embedding) = (SELECT mode(len(embedding)) FROM embeddings)
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
