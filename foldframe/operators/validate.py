@@ -68,7 +68,7 @@ def validate_raw_dataframe(df: DataFrame, dataset_name: str = "data", require_ta
         raise ValueError(f"{dataset_name} is empty.")
     validate_required_columns(df, C.COMMON_REQUIRED_COLUMNS, dataset_name)
     if require_target is None:
-        require_target = "train" in dataset_name.lower()
+        require_target = dataset_name.strip().lower() in ("train", "training")
     if require_target and C.TARGET_COL not in df.columns:
         raise ValueError(f"{dataset_name} must contain target column '{C.TARGET_COL}'.")
     return validate_value_ranges(df, dataset_name, strict)

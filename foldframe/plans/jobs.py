@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators import blend, folds
+from ..operators import blend, clean, folds
 from ..operators.quantiles import whole_quantiles
 from ..session import saved
 from ..sources import io
+from . import feature_frame
 
 
 # ------------------------------------------------------------ B10 + S10
@@ -81,3 +82,29 @@ def blend_job(oof: Sequence[tuple[str, DataFrame]], submissions: dict[str, DataF
         summary = summary.union(m.sparkSession.createDataFrame(rows, "metric string, value double"))
     io.save_csv(summary, f"{out_dir}/summary")
     return summary
+
+
+# ------------------------------------------------------------ S11 / S12 / S8
+def make_data(spark: SparkSession, train_path: str, test_path: str, out_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Raw train and test files, checked and cleaned, to out_dir/train and out_dir/test."""
+    parts = (("train", io.load_train_data(spark, train_path), clean.clean_train_data),
+             ("test", io.load_test_data(spark, test_path), clean.clean_test_data))
+    for name, raw, tidy in parts:
+        io.save_parquet(tidy(raw), f"{out_dir}/{name}")
+    return io.read_parquet(spark, f"{out_dir}/train"), io.read_parquet(spark, f"{out_dir}/test")
+
+
+def make_features(spark: SparkSession, data_dir: str, out_dir: str, **choice) -> tuple[DataFrame, DataFrame]:
+    """Features of the tables that make_data wrote, each with its own statistics (P3),
+    to out_dir/train and out_dir/test."""
+    train, test = (io.read_parquet(spark, f"{data_dir}/{name}") for name in ("train", "test"))
+    for name, df in zip(("train", "test"), feature_frame.build_train_test_features(train, test, **choice), strict=True):
+        io.save_parquet(df, f"{out_dir}/{name}")
+    return io.read_parquet(spark, f"{out_dir}/train"), io.read_parquet(spark, f"{out_dir}/test")
+
+
+def make_submission(predictions: DataFrame, *paths: str) -> None:
+    """(SaleID, price) of a prediction table, written to every path."""
+    table = saved(clean.submission_projection(predictions), "submission")
+    for path in paths:
+        io.save_csv(table, path)

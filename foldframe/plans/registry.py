@@ -1339,39 +1339,72 @@ def q_mean_cv_folds(spark, sf):
 
 
 # ===================================================================== S
-from ..sources import io as sio  # noqa: E402
+
+_RAW_COLUMNS = list(C.COMMON_REQUIRED_COLUMNS) + ["price", *[f"v_{i}" for i in range(5)]]
+
+
+def _raw_files(spark, sf) -> tuple[str, str]:
+    """The listings written as raw files: single spaces, header, columns in another order
+    than the reader's, mileage within its range."""
+    train, test = fixture.split_train_test(listings(spark, sf).withColumn("kilometer", F.least("kilometer", F.lit(15.0))))
+    out = scratch_path(spark, "raw")
+    sio.save_raw_listing(train.select(*reversed(_RAW_COLUMNS)), f"{out}/train")
+    sio.save_raw_listing(test.select(*reversed([c for c in _RAW_COLUMNS if c != "price"])), f"{out}/test")
+    return f"{out}/train", f"{out}/test"
+
+
+_RAW_SQL = f"""SaleID, name, regDate, creatDate, {r('model')} AS model, brand, {r('bodyType')} AS bodyType,
+       {r('power')} AS power, {r('least(kilometer, 15)')} AS kilometer, notRepairedDamage"""
 
 
 @query("csv_roundtrip", O.with_ctes() + f"""
-SELECT SaleID, name, regDate, creatDate, {r('model')} AS model, brand, {r('bodyType')} AS bodyType,
-       {r('power')} AS power, {r('kilometer')} AS kilometer, notRepairedDamage, {r('price')} AS price
-FROM listings WHERE is_train
+SELECT {_RAW_SQL}, {r('price')} AS price FROM listings WHERE is_train
+UNION ALL SELECT {_RAW_SQL}, NULL FROM listings WHERE NOT is_train
 """)
 def q_csv_roundtrip(spark, sf):
-    """S1-S5 + S11: train listings written as a single-space separated file
-    with header, read back with the typed raw reader (empty fields -> NULL)."""
-    train, _ = fixture.split_train_test(listings(spark, sf))
-    cols = ["SaleID", "name", "regDate", "creatDate", "model", "brand", "bodyType", "power", "kilometer",
-            "notRepairedDamage", "price"]
-    path = sio.scratch_path(spark, "csv_roundtrip")
-    sio.save_raw_listing(train.select(*cols), path)
-    back = sio.read_raw_listing(spark, path, schema=sio.schema_of(train.select(*cols)))
-    return rounded(back)
+    """S1 + S3 + V4: listings written as raw files and read by their headers with the
+    trainer's scan (empty fields -> NULL, ranges checked)."""
+    train, test = sio.load_data(spark, *_raw_files(spark, sf))
+    cols = ["SaleID", "name", "regDate", "creatDate", "model", "brand", "bodyType", "power", "kilometer", "notRepairedDamage"]
+    return rounded(train.select(*cols, "price").unionByName(test.select(*cols), allowMissingColumns=True))
+
+
+@query("make_data", O.with_ctes() + f"""
+SELECT {_RAW_SQL.replace("notRepairedDamage", "nullif(notRepairedDamage, '-') AS notRepairedDamage")
+        .replace("regDate, creatDate", "CAST(regDate AS DOUBLE) AS regDate, CAST(creatDate AS DOUBLE) AS creatDate")}, {r('price')} AS price
+FROM listings WHERE is_train""")
+def q_make_data(spark, sf):
+    """S2 + S5 + S11 + V1 + V3 + C5: raw files checked, cleaned, written as Parquet and read back (train)."""
+    train, _ = jobs.make_data(spark, *_raw_files(spark, sf), scratch_path(spark, "data"))
+    cols = ["SaleID", "name", "model", "brand", "bodyType", "power", "kilometer", "notRepairedDamage", "price"]
+    return rounded(train.select(*cols, F.col("regDate").cast("double").alias("regDate"), F.col("creatDate").cast("double").alias("creatDate")))
+
+
+@query("make_features", "SELECT * FROM (" + _proxy_sql("price", "_price_mean", oof=True) + ") UNION ALL SELECT * FROM ("
+       + _proxy_sql("price", "_price_mean", oof=False) + ")")
+def q_make_features(spark, sf):
+    """P3 + S12: features of the cleaned tables with out-of-fold and full-train price
+    means, written as Parquet and read back (the price means of train and test rows)."""
+    out = scratch_path(spark, "features")
+    jobs.make_data(spark, *_raw_files(spark, sf), f"{out}/data")
+    train, test = jobs.make_features(spark, f"{out}/data", f"{out}/features", price_proxies=True)
+    cols = [C.ID_COL, "brand_price_mean", "model_price_mean"]
+    return rounded(train.select(*cols).unionByName(test.select(*cols)))
 
 
 @query("submission_projection", _proxy_sql("price", "_price_mean", oof=False).replace(
     f"SELECT a.SaleID, {r(_sm('brand'))} AS brand_price_mean, {r(_sm('model'))} AS model_price_mean",
     f"SELECT a.SaleID, {r(_sm('brand'))} AS price"))
 def q_submission_projection(spark, sf):
-    """Test predictions (full-train brand price means) written as a
-    submission (SaleID, price), read back with the submission loader."""
+    """S7 + S8 + C9: test predictions (full-train brand price means) written as a
+    submission (SaleID, price) to two places, read back with the submission loader."""
     df = enc_frame(spark, sf)
     train, test = df.where(F.col("is_train")), df.where(~F.col("is_train")).drop(C.TARGET_COL)
     enc = encode.fit_price_proxy_encoder(train, C.TARGET_COL, ("brand",), SMOOTH)
     pred = enc.transform(test).withColumnRenamed("brand_price_mean", "price")
-    path = sio.scratch_path(spark, "submission")
-    sio.save_csv(clean.submission_projection(pred), path)
-    return rounded(sio.load_submission(spark, "price", path))
+    path = scratch_path(spark, "submission")
+    jobs.make_submission(pred, f"{path}/latest", f"{path}/kept")
+    return rounded(sio.load_submission(spark, "price", f"{path}/kept"))
 
 
 # ===================================================================== flagship

@@ -26,30 +26,56 @@ LISTING_SCHEMA = T.StructType(
     + [T.StructField(f"v_{i}", T.DoubleType()) for i in range(15)])
 
 
-def schema_of(df: DataFrame) -> T.StructType:
-    return df.schema
-
-
-def read_raw_listing(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                     dataset_name: str = "data", validate: bool = False, require_target: bool | None = None) -> DataFrame:
-    """Exactly one space between fields, header row; consecutive
-    separators give NULL fields. Optional V3 validation."""
-    df = (spark.read.option("sep", RAW_SEPARATOR).option("header", True)
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .schema(schema or LISTING_SCHEMA).csv(path))
+MALFORMED = "_malformed"
+TYPES = {f.name: f.dataType for f in LISTING_SCHEMA}
+
+
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names as the file's first line has them."""
+    return spark.read.option("sep", RAW_SEPARATOR).option("header", True).csv(path).columns
+
+
+def read_raw_listing(spark: SparkSession, path: str, dataset_name: str = "data", validate: bool = False,
+                     require_target: bool | None = None, types: dict[str, T.DataType] | None = None) -> DataFrame:
+    """Exactly one space between fields, so consecutive separators give NULL fields.
+
+    Columns are taken by the names in the header, whatever their order, and get the
+    types of `types` (default: the listing columns; `v_*` are doubles; others stay
+    text). Cells that their type cannot hold become NULL. With `validate`, required
+    columns, the target and value ranges are checked (V3) and rows with more or fewer
+    fields than the header are an error."""
+    names = header_of(spark, path)
+    file_schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+    rows = (spark.read.option("sep", RAW_SEPARATOR).option("header", True).option("enforceSchema", False)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .option("columnNameOfCorruptRecord", MALFORMED).schema(file_schema).csv(path))
+    known = types or TYPES
+    kind = lambda n: known.get(n, T.DoubleType() if n.startswith("v_") else T.StringType())
+    df = rows.select(*[F.col(f"`{n}`").try_cast(kind(n)).alias(n) for n in names])
     if validate:
         V.validate_raw_dataframe(df, dataset_name, require_target)
+        bad = rows.agg(F.count(F.col(f"`{names[0]}`")).alias("n"), F.count(MALFORMED).alias("bad")).first()["bad"]
+        if bad:
+            raise ValueError(f"{dataset_name} has {bad} rows whose number of fields is not that of its header")
     return df
 
 
 def load_train_data(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
     """Train scan; the target is required."""
-    return read_raw_listing(spark, path, dataset_name="train", validate=validate, require_target=True)
+    df = read_raw_listing(spark, path, "train", validate, True)
+    if C.TARGET_COL not in df.columns:
+        raise ValueError(f"{path} has no column {C.TARGET_COL}")
+    return df
 
 
 def load_test_data(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
-    schema = T.StructType([f for f in LISTING_SCHEMA.fields if f.name != C.TARGET_COL])
-    return read_raw_listing(spark, path, schema, dataset_name="test", validate=validate, require_target=False)
+    return read_raw_listing(spark, path, "test", validate, False)
+
+
+def load_data(spark: SparkSession, train_path: str, test_path: str) -> tuple[DataFrame, DataFrame]:
+    """S3: the trainer's own scan, checked for value ranges only (V4)."""
+    train, test = (read_raw_listing(spark, p) for p in (train_path, test_path))
+    return V.validate_ranges_only(train, "train"), V.validate_ranges_only(test, "test")
 
 
 def save_raw_listing(df: DataFrame, path: str) -> None:

@@ -14,6 +14,7 @@ from foldframe.functions.targets import inverse_target, transform_target
 from foldframe.operators import blend, clean, encode, features, folds, keyed, learners, ml, weights
 from foldframe.operators.metrics import exact_quantiles
 from foldframe.operators.quantiles import grouped_quantiles
+from foldframe.sources import io
 from foldframe.operators.ranking import global_rank, price_quantile_bin
 
 
@@ -256,3 +257,33 @@ def test_grouped_quantiles_match_numpy(spark):
         v = [x for key, x in rows if key == k and x is not None]
         for p in (0.0, 0.5, 0.83, 1.0):
             assert got[k, p] == pytest.approx(np.quantile(v, p))
+
+
+def raw_file(path, header, *rows):
+    path.write_text("\n".join([header, *rows]) + "\n")
+    return str(path)
+
+
+def test_raw_reader_follows_the_header(spark, tmp_path):
+    names = list(C.COMMON_REQUIRED_COLUMNS) + ["price", "v_0"]
+    cells = {n: str(i % 2) for i, n in enumerate(names)} | {"SaleID": "7", "brand": "3", "model": "11", "regDate": "20040402", "creatDate": "20160404",
+                                                           "price": "120", "kilometer": "12.5", "v_0": "1.5", "bodyType": ""}
+    swapped = [n if n not in ("brand", "model") else {"brand": "model", "model": "brand"}[n] for n in names]
+    for order in (names, swapped):
+        df = io.load_train_data(spark, raw_file(tmp_path / "x.csv", " ".join(order), " ".join(cells[n] for n in order)))
+        row = df.first()
+        assert (row["brand"], row["model"], row["price"], row["bodyType"], row["v_0"]) == (3, 11.0, 120.0, None, 1.5)
+    no_price = [n for n in names if n != "price"]
+    file = raw_file(tmp_path / "y.csv", " ".join(no_price), " ".join(cells[n] for n in no_price))
+    for check in (True, False):
+        with pytest.raises(ValueError):
+            io.load_train_data(spark, file, check)
+    assert io.load_test_data(spark, file).count() == 1
+    few = [n for n in names if n != "gearbox"]
+    with pytest.raises(ValueError):
+        io.load_train_data(spark, raw_file(tmp_path / "z.csv", " ".join(few), " ".join(cells[n] for n in few)))
+    whole = " ".join(cells[n] for n in names)
+    with pytest.raises(ValueError):
+        io.load_train_data(spark, raw_file(tmp_path / "s.csv", " ".join(names), whole, whole.rsplit(" ", 2)[0]))
+    with pytest.raises(ValueError):
+        io.load_data(spark, raw_file(tmp_path / "r.csv", " ".join(names), whole.replace("12.5", "99")), file)
