@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.dates import age_bin as age_bin_expr
 from ..functions.dates import frequency_bin
+from ..session import saved
 from . import keyed
 from .ranking import global_rank, price_quantile_bin, rank_within
 
@@ -127,7 +128,8 @@ def stratified_assign(df: DataFrame, n_splits: int = 5, repeats: int = 3, seed:
     if repeats < 1:
         raise ValueError("cv_repeats must be at least 1.")
     labelled = stratification_labels(df.select(id_col, target_col, "car_age_years", "model"), n_splits,
-                                     price_bins, target_col, id_col, label_col=label_col).persist()
+                                     price_bins, target_col, id_col, label_col=label_col)
+    labelled = saved(labelled, "labels")
     per_repeat = labelled.select(id_col, label_col).withColumn(
         "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     per_repeat = per_repeat.withColumn("__h", hash_order(id_col, F.col("repeat") + F.lit(seed - 1)))
@@ -144,3 +146,12 @@ def cv_plan(df: DataFrame, n_splits: int = 5, strategy: str = "repeated_stratifi
     if strategy != "repeated_stratified":
         raise ValueError(f"Unsupported cv_strategy: {strategy}")
     return stratified_assign(df, n_splits, repeats, seed, price_bins, id_col)
+
+
+def plan_summary(plan: DataFrame, label_col: str = "strat_label") -> DataFrame:
+    """K4 metadata of an assignment table: one row (total_folds, label_count, smallest_label);
+    a plan without labels has one."""
+    label = F.col(label_col) if label_col in plan.columns else F.lit(C.ALL_LABEL)
+    sizes = plan.groupBy("repeat", label.alias("label")).agg(F.count(F.lit(1)).alias("n"), F.max("fold").alias("k"))
+    return sizes.agg((F.countDistinct("repeat") * F.max("k")).alias("total_folds"), F.countDistinct("label").alias("label_count"),
+                     F.min("n").alias("smallest_label"))

@@ -42,7 +42,7 @@ def error_report(df: DataFrame, abs_error: str, id_col: str) -> DataFrame:
     total error held by the worst 10 % of rows (max(1, int(0.1 n)) rows).
     One distributed ranking serves both the quantiles and the top share."""
     vals = df.where(F.col(abs_error).isNotNull()).select(id_col, abs_error)
-    ranked = global_rank(vals, [F.col(abs_error), F.col(id_col)], "__qrank").persist()
+    ranked = global_rank(vals, [F.col(abs_error), F.col(id_col)], "__qrank")
     n = ranked.count()
     qs = [0.5, 0.75, 0.9, 0.95, 0.99]
     qv = exact_quantiles(vals, abs_error, qs)

@@ -14,12 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import DEFAULT_EXECUTION
+from ..session import saved
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
 
@@ -38,15 +38,9 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "r
     (end it with the id column)."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     parts = _partitions(df, num_partitions)
-    # range partitioning reads its input twice (bound sampling, shuffle)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    tagged = (
-        src.repartitionByRange(parts, *cols)
-        .sortWithinPartitions(*cols)
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    # written once: the row numbers must not be made again with other partitions
+    tagged = saved(df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+                   .withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id()), "ranked")
     sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: the running total is a window over a tiny table
     offsets = sizes.select(
@@ -65,7 +59,6 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[str | Colum
     (group, order) minus the group's start offset. `group` must have a
     bounded number of distinct values (labels, repeats): the offset table is
     broadcast."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranked = global_rank(df, [*group, *order], "__grank", num_partitions)
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__gn"))
     w = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
@@ -83,7 +76,7 @@ def price_quantile_bin(df: DataFrame, price_col: str, id_col: str, bucket_count:
     missing price -> `__PRICE_MISSING__`."""
     if bucket_count < 2:
         raise ValueError("bucket_count must be at least 2.")
-    present = df.where(F.col(price_col).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    present = df.where(F.col(price_col).isNotNull())
     n = present.count()
     missing = df.where(F.col(price_col).isNull()).withColumn(out_col, F.lit(C.PRICE_MISSING))
     if n == 0:

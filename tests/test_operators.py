@@ -287,3 +287,9 @@ def test_raw_reader_follows_the_header(spark, tmp_path):
         io.load_train_data(spark, raw_file(tmp_path / "s.csv", " ".join(names), whole, whole.rsplit(" ", 2)[0]))
     with pytest.raises(ValueError):
         io.load_data(spark, raw_file(tmp_path / "r.csv", " ".join(names), whole.replace("12.5", "99")), file)
+
+
+def test_plan_summary(spark):
+    plan = spark.createDataFrame([(i, r, i % 3 + 1, "a" if i < 7 else "b") for r in (1, 2) for i in range(12)], "SaleID long, repeat int, fold int, strat_label string")
+    assert tuple(folds.plan_summary(plan).first()) == (6, 2, 5)
+    assert tuple(folds.plan_summary(plan.drop("strat_label")).first()) == (6, 1, 12)
