@@ -202,6 +202,18 @@ class PriceProxyEncoder:
     target_space: str
     stats: FittedStats
 
+    def save(self, path: str) -> None:
+        self.stats.save(f"{path}/stats")
+        row = (list(self.columns), self.feature_suffix, float(self.smoothing), self.target_space)
+        (self.stats.keys.sparkSession.createDataFrame([row], "columns array<string>, suffix string, smoothing double, space string")
+         .write.mode("overwrite").parquet(f"{path}/numbers"))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "PriceProxyEncoder":
+        r = spark.read.parquet(f"{path}/numbers").first()
+        stats = FittedStats.load(spark, f"{path}/stats", {c: norm_key(c) for c in r["columns"]})
+        return cls(tuple(r["columns"]), r["suffix"], r["smoothing"], r["space"], stats)
+
     def transform(self, df: DataFrame) -> DataFrame:
         return _proxy_apply(df, self.stats, self.columns, self.feature_suffix, self.smoothing, F.lit(NO_FOLD))
 

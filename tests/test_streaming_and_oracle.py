@@ -23,6 +23,8 @@ def test_stream_matches_batch(spark):
     train, test = fixture.split_train_test(fixture.listings(spark, SF))
     enc = encode.fit_price_proxy_encoder(clean_keys(train), columns=("brand", "model"))
     src = tempfile.mkdtemp(prefix="ff-src-")
+    enc.save(src + "/encoder")  # the stream starts from the saved encoder
+    enc = encode.PriceProxyEncoder.load(spark, src + "/encoder")
     test.write.mode("overwrite").parquet(src + "/in")
     sink, ck = tempfile.mkdtemp(prefix="ff-sink-"), tempfile.mkdtemp(prefix="ff-ck-")
     q = start_scoring(spark, src + "/in", test.schema, enc, sink + "/out", ck)
@@ -39,7 +41,7 @@ def clean_keys(df):
 
 
 @pytest.mark.parametrize("name", ["date_parts", "count_encoding", "model_age_stats", "stratified_assign",
-                                  "te_all", "blend_grid", "fold_metrics"])
+                                  "te_all", "blend_grid", "fold_metrics", "mean_cv_oof", "make_data"])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in TABLES:
