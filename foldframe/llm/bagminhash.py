@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import saved
 from .components import connected_components
@@ -140,7 +141,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int
 
 def compared(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFrame:
     """Weighted overlap of each pair (a, b): a, b, n_a, n_b, overlap, and the
-    shingles that b has beyond a's (`rest`, one entry per distinct shingle).
+    shingles that b has beyond a's (`rest`, with `weight`, how often beyond).
 
     Both texts are fetched by plain joins, so a document in very many pairs is
     split over tasks; texts are compared whole, a batch of pairs at a time."""
@@ -164,12 +165,12 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFram
                 (s1, c1), (s2, c2) = held, bag(y)
                 at = np.minimum(np.searchsorted(s1, s2), len(s1) - 1)
                 common = np.where(s1[at] == s2, np.minimum(c1[at], c2), 0)
-                out.append((a, b, int(c1.sum()), int(c2.sum()), int(common.sum()), signed(s2[common < c2])))
-            names = ["a", "b", "n_a", "n_b", "overlap", "rest"]
-            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())]
+                out.append((a, b, int(c1.sum()), int(c2.sum()), int(common.sum()), signed(s2[common < c2]), (c2 - common)[common < c2]))
+            names = ["a", "b", "n_a", "n_b", "overlap", "rest", "weight"]
+            kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    return one.mapInArrow(emit, "a long, b long, n_a long, n_b long, overlap long, rest array<long>")
+    return one.mapInArrow(emit, "a long, b long, n_a long, n_b long, overlap long, rest array<long>, weight array<long>")
 
 
 def _similar(n_a: Column, n_b: Column, overlap: Column, similarity: float) -> Column:
@@ -177,56 +178,84 @@ def _similar(n_a: Column, n_b: Column, overlap: Column, similarity: float) -> Co
     return overlap * (1 + similarity) >= (n_a + n_b) * similarity - 1e-9
 
 
-def _relabelled(reps: DataFrame, links: DataFrame) -> DataFrame:
+def _relabelled(links: DataFrame) -> DataFrame:
     """(c_id, component) of the documents that links join; others are their own."""
     c = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     return c.select(F.col("node").alias("c_id"), "component")
 
 
-def _left_out(stars: DataFrame, component: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of documents compared with one centre, which may be similar
-    although they are in different components.
-
-    Let e be the weight that a document has beyond the centre's. If two documents
-    share nothing beyond the centre, their overlap is at most min(n - e) of the two;
-    so a similar pair either shares a shingle that both have beyond the centre, or
-    both n - e reach the overlap that their sizes ask for. Where both are similar to
-    the centre they are in one component already. Pairs come from equal keys, (centre,
-    shingle) or (centre, size), and only from keys that meet more than one component."""
-    f = similarity / (1 + similarity)
+def _mixed(stars: DataFrame, component: DataFrame, similarity: float) -> DataFrame:
+    """Rows of `stars` whose members are in more than one component, with `label` (the
+    component of b) and `linked` (b is similar to the centre a)."""
     label = F.coalesce("component", F.col("b"))
     s = stars.join(component.hint("shuffle_merge"), F.col("b") == F.col("c_id"), "left").withColumn("label", label).drop("c_id", "component")
-    # stars whose members are all in one component have nothing left out
     mixed = s.groupBy("a").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select(F.col("a").alias("m_a"))
-    s = saved(s.join(saved(mixed, "near-mixed").hint("shuffle_merge"), F.col("a") == F.col("m_a"), "left_semi")
-              .withColumn("linked", _similar(F.col("n_a"), F.col("n_b"), F.col("overlap"), similarity)), "near-stars")
-
-    def pairs(rows: DataFrame, keys: list[str], fits: Column) -> DataFrame:
-        meet = rows.groupBy(*keys).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-        meet = saved(meet.select(*[F.col(k).alias(f"k_{k}") for k in keys]), "near-meet")
-        on = [F.col(k) == F.col(f"k_{k}") for k in keys]
-        rows = saved(rows.join(meet.hint("shuffle_merge"), on, "left_semi"), "near-rows")
-        x = rows.where(~F.col("linked")).select(*[F.col(k).alias(f"k_{k}") for k in keys], F.col("b").alias("x"), F.col("n_b").alias("x_n"),
-                                                F.col("overlap").alias("x_o"), F.col("label").alias("x_l"))
-        both = rows.join(x.hint("shuffle_merge"), on).where((F.col("x") != F.col("b")) & (F.col("x_l") != F.col("label")) & fits)
-        # the exact bound by sizes: no overlap can exceed the smaller text
-        both = both.where(F.least("n_b", "x_n") >= (F.col("n_b") + F.col("x_n")) * f - 1e-9)
-        return both.select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct()
-
-    shared = pairs(s.select("a", "b", "n_b", "overlap", "label", "linked", F.explode("rest").alias("shingle")), ["a", "shingle"], F.lit(True))
-    # partner sizes that a document not similar to the centre can still reach
+    linked = _similar(F.col("n_a"), F.col("n_b"), F.col("overlap"), similarity)
+    return saved(s.join(saved(mixed, "near-mixed").hint("shuffle_merge"), F.col("a") == F.col("m_a"), "left_semi").withColumn("linked", linked), "near-stars")
+
+
+def _beyond(mixed: DataFrame, similarity: float) -> DataFrame:
+    """Where members of one star may meet that are similar for what they share beyond
+    its centre c: rows (a, shingle, b, label, n_b, overlap, linked).
+
+    The overlap of two documents is at most the smaller one of their overlaps with c
+    plus the weight that they share beyond c. A similar partner needs an overlap of at
+    least `similarity` times a document's own size, so they share at least r = that
+    size less the overlap with c (pairs that need nothing beyond c are left to
+    `_by_size`). In one order of all shingles, rarest first, two such documents then meet
+    in the shingles that come before the last r of weight. Shingles that only one
+    component has, and all but one of those that the same documents have, are left out."""
+    beyond = mixed.select("a", "b", "label", "n_b", "overlap", "linked",
+                          F.greatest(F.ceil(F.col("n_b") * similarity - 1e-6) - F.col("overlap"), F.lit(1)).alias("r"),
+                          F.explode(F.arrays_zip("rest", "weight")).alias("x"))
+    beyond = beyond.select("*", F.col("x.rest").alias("shingle"), F.col("x.weight").alias("weight")).drop("x")
+    often = saved(beyond.groupBy("a", "shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+                  .select(F.col("a").alias("o_a"), F.col("shingle").alias("o_shingle"), "often"), "near-often")
+    ranked = beyond.join(often.hint("shuffle_merge"), (F.col("a") == F.col("o_a")) & (F.col("shingle") == F.col("o_shingle")), "left")
+    order = Window.partitionBy("a", "b").orderBy(F.coalesce("often", F.lit(1)).desc(), F.col("shingle").desc())
+    behind = F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    each = saved(ranked.withColumn("behind", behind).where((F.col("behind") >= F.col("r")) & (F.col("often") > 1))
+                 .select("a", "shingle", "b", "label", "n_b", "overlap", "linked"), "near-beyond")
+    h = F.xxhash64("b")
+    meet = (each.groupBy("a", "shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                             F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y"))
+            .where("lo < hi").groupBy("a", "n", "x", "y").agg(F.min("shingle").alias("shingle")))
+    meet = saved(meet.select(F.col("a").alias("k_a"), F.col("shingle").alias("k_shingle")), "near-meet")
+    return saved(each.join(meet.hint("shuffle_merge"), (F.col("a") == F.col("k_a")) & (F.col("shingle") == F.col("k_shingle")), "left_semi"), "near-meeting")
+
+
+def _pairs_left(meeting: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of documents that meet and are in different components, at least one
+    of them not similar to the star's centre, and whose sizes and overlaps with it allow
+    the similarity: all that a comparison with centres may have left out."""
+    f = similarity / (1 + similarity)
+    need = (F.col("n_b") + F.col("x_n")) * f - 1e-9
+    x = meeting.where("not linked").select(F.col("a").alias("x_a"), F.col("shingle").alias("x_shingle"), F.col("b").alias("x"),
+                                           F.col("n_b").alias("x_n"), F.col("overlap").alias("x_o"), F.col("label").alias("x_l"))
+    most = F.least("overlap", "x_o") + F.least(F.col("n_b") - F.col("overlap"), F.col("x_n") - F.col("x_o"))
+    once = F.col("linked") | (F.col("x") < F.col("b"))
+    return (meeting.join(x.hint("shuffle_merge"), (F.col("a") == F.col("x_a")) & (F.col("shingle") == F.col("x_shingle")) & once
+                         & (F.col("x") != F.col("b")) & (F.col("x_l") != F.col("label")) & (F.least("n_b", "x_n", most) >= need))
+            .select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct())
+
+
+def _by_size(mixed: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of one star that can be similar although they share nothing beyond
+    the centre: in different components, one of them not similar to the centre, and both
+    overlaps with the centre as large as their sizes ask for. They meet by equal keys,
+    (centre, size): the sizes of its partners lie between a document's own size times
+    the similarity and what its overlap with the centre allows."""
+    f = similarity / (1 + similarity)
     need = (F.col("n_b") + F.col("x_n")) * f - 1e-9
     most = F.floor(F.col("overlap") / f - F.col("n_b") + 1e-6)
     least = F.ceil(F.col("n_b") * similarity - 1e-6)
-    sized = s.select("a", "b", "n_b", "overlap", "label", "linked")
-    seek = sized.where(~F.col("linked") & (most >= least)).withColumn("size", F.explode(F.sequence(least.cast("long"), most.cast("long"))))
-    offer = sized.withColumn("size", F.col("n_b"))
+    seek = mixed.where(~F.col("linked") & (most >= least)).withColumn("size", F.explode(F.sequence(least.cast("long"), most.cast("long"))))
     x = seek.select(F.col("a").alias("x_a"), F.col("size").alias("x_size"), F.col("b").alias("x"), F.col("n_b").alias("x_n"),
                     F.col("overlap").alias("x_o"), F.col("label").alias("x_l"))
-    by_size = (offer.join(x.hint("shuffle_merge"), (F.col("a") == F.col("x_a")) & (F.col("size") == F.col("x_size")))
-               .where((F.col("x") != F.col("b")) & (F.col("x_l") != F.col("label")) & (F.least("overlap", "x_o") >= need))
-               .select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct())
-    return shared.unionByName(by_size).distinct()
+    offer = mixed.select("a", "b", "n_b", "overlap", "label")
+    return (offer.join(x.hint("shuffle_merge"), (F.col("a") == F.col("x_a")) & (F.col("n_b") == F.col("x_size"))
+                       & (F.col("x") != F.col("b")) & (F.col("x_l") != F.col("label")) & (F.least("overlap", "x_o") >= need))
+            .select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
@@ -257,21 +286,21 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS
     on = (F.col("band") == F.col("s_band")) & (F.col("key") == F.col("s_key"))
     full = saved(band.join(size.hint("shuffle_merge"), on).select("doc_id", "n", "band", "key", "size"), "near-bands")
     # the centre of a band is the text that shares its bands with most others
-    fame = full.groupBy("doc_id").agg(F.sum("size").alias("fame")).select(F.col("doc_id").alias("f_id"), "fame")
-    famed = full.join(fame, F.col("doc_id") == F.col("f_id"))
-    centre = saved(famed.groupBy("band", "key").agg(F.max(F.struct("fame", (-F.col("doc_id")).alias("neg"), "doc_id", "n")).alias("c"))
-                   .select(F.col("band").alias("s_band"), F.col("key").alias("s_key"), F.col("c.doc_id").alias("a")), "near-centres")
+    fame = saved(full.groupBy("doc_id").agg(F.sum("size").alias("fame")).select(F.col("doc_id").alias("f_id"), "fame"), "near-fame")
+    famed = full.join(fame.hint("shuffle_merge"), F.col("doc_id") == F.col("f_id"))
+    centre = saved(famed.groupBy("band", "key").agg(F.max(F.struct("fame", (-F.col("doc_id")).alias("neg"))).alias("c"))
+                   .select(F.col("band").alias("s_band"), F.col("key").alias("s_key"), (-F.col("c.neg")).alias("a")), "near-centres")
     pairs = saved(full.join(centre.hint("shuffle_merge"), on).where("doc_id != a").select("a", F.col("doc_id").alias("b")).distinct(), "near-pairs")
 
-    stars = saved(compared(pairs, base, words), "near-compared")
     linked = _similar(F.col("n_a"), F.col("n_b"), F.col("overlap"), similarity)
-    links = stars.where(linked).select("a", "b")
-    component = saved(_relabelled(reps, links), "near-components")
-    rest = saved(_left_out(stars, component, similarity), "near-left-out")
-    if not rest.isEmpty():
-        more = compared(rest, base, words).where(linked).select("a", "b")
-        links = saved(links.unionByName(more), "near-links")
-        component = saved(_relabelled(reps, links), "near-components")
+    first = saved(compared(pairs, base, words), "near-compared")
+    links = first.where(linked).select("a", "b")
+    component = saved(_relabelled(links), "near-components")
+    mixed = _mixed(first, component, similarity)
+    pairs = saved(_pairs_left(_beyond(mixed, similarity), similarity).unionByName(_by_size(mixed, similarity)).distinct(), "near-pairs")
+    if not pairs.isEmpty():
+        links = links.unionByName(compared(pairs, base, words).where(linked).select("a", "b"))
+        component = saved(_relabelled(links), "near-components")
     out = member.join(component.hint("shuffle_merge"), F.col("rep") == F.col("c_id"), "left")
     return out.select("doc_id", F.coalesce("component", "rep").alias("class_id"), F.col("n").alias("n_shingles"))
 
