@@ -307,7 +307,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """`docs` with one document of each near-duplicate class, the one with the
-    smallest doc_id; all columns are kept. Rows with a null doc_id stay."""
+    smallest doc_id; all columns are kept. Repeated rows of a kept document and rows with
+    a null doc_id stay."""
     classes = near_duplicates(docs, similarity).where("doc_id = class_id").select(F.col("doc_id").alias("keep_id")).distinct()
     known = docs.join(classes.hint("shuffle_merge"), docs["doc_id"] == F.col("keep_id"), "left_semi")
     return known.unionByName(docs.where("doc_id is null"))
