@@ -25,8 +25,10 @@ from ..session import saved
 BLANKS = r"[\x20\x09-\x0D]+"
 FIELD = "<*>"
 LEAD, MIN_TOKENS = 3, 4
-# a template needs so many families, in so large a part of its documents, and so many constant tokens
-MIN_FAMILIES, FAMILY_SHARE, CONSTANT_SHARE = 8, 0.15, 0.6
+# a template needs so many families and so large a part of constant tokens
+MIN_FAMILIES, CONSTANT_SHARE = 8, 0.6
+# least part that the families are of a template's documents: 0, however many copies one of them has
+FAMILY_SHARE = 0.0
 # ways to tell families apart
 WAYS = 4
 
