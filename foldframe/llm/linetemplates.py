@@ -24,7 +24,7 @@ from ..session import saved
 
 BLANKS = r"[\x20\x09-\x0D]+"
 FIELD = "<*>"
-LEAD, MIN_TOKENS = 3, 4
+LEAD, MIN_TOKENS = 3, 1
 # a template needs so many families and so large a part of constant tokens
 MIN_FAMILIES, CONSTANT_SHARE = 8, 0.6
 # least part that the families are of a template's documents: 0, however many copies one of them has
@@ -40,14 +40,15 @@ def tokens_of(line: Column) -> Column:
 
 def leaf_of(tokens: Column, lead: int = LEAD) -> Column:
     """Leaf of a line in the tree, by token count and leading tokens."""
-    path = F.regexp_replace(F.array_join(F.slice(tokens, 1, lead), " "), r"[^ ]*[0-9][^ ]*", FIELD)
+    # tried at the start of a token only: linear in a long one
+    path = F.regexp_replace(F.array_join(F.slice(tokens, 1, lead), " "), r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)
     return F.xxhash64(F.size(tokens), path)
 
 
 def parsed(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
-    """(doc_id, pos, leaf) of every line that has enough tokens."""
+    """(doc_id, pos, leaf) of every line that has enough tokens and is not blank."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    tokens = lines.select("doc_id", "pos", tokens_of(F.col("line")).alias("tokens")).where(F.size("tokens") >= min_tokens)
+    tokens = lines.select("doc_id", "pos", tokens_of(F.col("line")).alias("tokens")).where((F.size("tokens") >= min_tokens) & (F.element_at("tokens", 1) != ""))
     return tokens.select("doc_id", "pos", leaf_of(F.col("tokens"), lead).alias("leaf"))
 
 
@@ -107,8 +108,8 @@ def drop_recurring(docs: DataFrame, **settings) -> DataFrame:
     n_lines and n_dropped; other columns stay.
 
     `docs` needs doc_id and text; a column that is called n_lines or n_dropped is
-    replaced. Lines end at \\n. Lines of fewer than `min_tokens` tokens are never
-    dropped. A null text stays null with no lines; an empty text has one empty line. A
+    replaced. Lines end at \\n. Blank lines and lines of fewer than `min_tokens` tokens
+    are never dropped. A null text stays null with no lines; an empty text has one empty line. A
     document that loses all lines keeps an empty text. doc_id identifies a text:
     repeated rows lose the same lines, rows with a null doc_id none. An empty table
     gives an empty result."""

@@ -1,7 +1,5 @@
 """Which lines recur: copies, short lines, pages of mostly shared lines, variable fields."""
 
-import pytest
-
 from foldframe.llm import linetemplates
 
 
@@ -19,3 +17,10 @@ def test_a_page_of_many_copies_keeps_no_footer_in_the_others(spark):
     footer = "Brought to you by the people of the valley"
     docs = {i: f"{own(i)}\n{footer}" for i in range(40)} | {i: f"{own(50)}\n{footer}" for i in range(100, 400)}
     assert left(spark, docs) == {i: t.split("\n")[0] for i, t in docs.items()}
+
+
+def test_short_lines_that_recur_are_dropped(spark):
+    block = "All rights reserved.\nRead more\nMenu"
+    docs = {i: f"{own(i)}\n{block}\n\n \nonly{chr(97 + i)}" for i in range(20)} | {30: "Menus\nMenu", 31: " Menu\n"}
+    want = {i: f"{own(i)}\n\n \nonly{chr(97 + i)}" for i in range(20)} | {30: "Menus", 31: ""}
+    assert left(spark, docs) == want
