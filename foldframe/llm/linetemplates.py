@@ -7,10 +7,12 @@ other positions are variable fields. Lines whose template recurs across many
 documents are dropped from all of them.
 
 Copies of one document repeat all its lines, which makes none of them a
-template: recurrence is counted over families of documents, told apart by the
-smallest leaf hash of a document, which copies share. As a recurring line may itself
-have the smallest hash, families are told apart in several ways and the largest
-count holds.
+template: recurrence is counted over families of documents, told apart by what is
+rare: the smallest hash of a document's leaves that fewer than `min_families`
+different documents hold. Documents that share some rare leaves may or may not fall
+into one family, so families are told apart in several ways and the largest count
+holds. A document without a rare leaf is told apart by all its leaves, so that near
+copies of it, which differ inside their lines only, stay one family.
 
 Only DataFrame and SQL functions are used.
 """
@@ -52,21 +54,34 @@ def parsed(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
     return tokens.select("doc_id", "pos", leaf_of(F.col("tokens"), lead).alias("leaf"))
 
 
-def families(leaves: DataFrame) -> DataFrame:
-    """(f_id, family): for each way to tell families apart, a document's smallest leaf hash."""
+def whole_of(leaves: DataFrame) -> DataFrame:
+    """(f_id, whole): a hash of all leaves of a document, which its copies share."""
+    h = F.xxhash64("leaf")
+    sums = leaves.groupBy("doc_id").agg(F.sum(h.bitwiseAND(F.lit(0x7FFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned(h, 32)).alias("high"))
+    return sums.select(F.col("doc_id").alias("f_id"), F.xxhash64("low", "high").alias("whole"))
+
+
+def families(wholes: DataFrame, held: DataFrame, common: DataFrame) -> DataFrame:
+    """`wholes` with `family`: for each way to tell families apart, the smallest hash of
+    the leaves held that are not common; the hash of all leaves where none is left."""
+    rare = held.join(common.hint("shuffle_merge"), F.col("leaf") == F.col("b_leaf"), "left_anti")
     least = [F.min(F.xxhash64("leaf", F.lit(way))) for way in range(WAYS)]
-    return leaves.groupBy("doc_id").agg(F.array(*least).alias("family")).select(F.col("doc_id").alias("f_id"), "family")
+    own = saved(rare.groupBy("whole").agg(F.array(*least).alias("own")).withColumnRenamed("whole", "o_whole"), "lines-own")
+    d = wholes.join(own.hint("shuffle_merge"), F.col("whole") == F.col("o_whole"), "left").drop("o_whole")
+    return d.withColumn("family", F.coalesce("own", F.array_repeat("whole", WAYS))).drop("own")
 
 
 def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOKENS, min_families: int = MIN_FAMILIES,
                     family_share: float = FAMILY_SHARE, constant_share: float = CONSTANT_SHARE) -> DataFrame:
     """(doc_id, pos, template): the lines of recurring templates."""
     leaves = saved(parsed(docs, lead, min_tokens), "lines-leaves")
-    known = saved(families(leaves).withColumn("whole", F.xxhash64("family")), "lines-families")
-    lines = leaves.join(known.select("f_id", "whole").hint("shuffle_merge"), F.col("doc_id") == F.col("f_id")).drop("f_id")
+    wholes = saved(whole_of(leaves), "lines-wholes")
+    lines = leaves.join(wholes.hint("shuffle_merge"), F.col("doc_id") == F.col("f_id")).drop("f_id")
+    held = saved(lines.select("leaf", "whole").distinct(), "lines-held")
     # leaves that cannot hold a recurring template end here: most lines are not looked at again
-    busy = saved(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("lo"), F.max("whole").alias("hi"))
-                 .where((F.col("n") >= min_families) & (F.col("lo") < F.col("hi"))).select(F.col("leaf").alias("b_leaf")), "lines-busy")
+    busy = saved(held.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_families)
+                 .select(F.col("leaf").alias("b_leaf")), "lines-busy")
+    known = saved(families(wholes, held, busy), "lines-families")
     at = (leaves.join(busy.hint("shuffle_merge"), F.col("leaf") == F.col("b_leaf"), "left_semi")
           .groupBy("doc_id").agg(F.collect_list(F.struct("pos", "leaf")).alias("at")).select(F.col("doc_id").alias("a_id"), "at"))
     with_at = docs.select("doc_id", "text").join(at.hint("shuffle_merge"), F.col("doc_id") == F.col("a_id"))

@@ -24,3 +24,12 @@ def test_short_lines_that_recur_are_dropped(spark):
     docs = {i: f"{own(i)}\n{block}\n\n \nonly{chr(97 + i)}" for i in range(20)} | {30: "Menus\nMenu", 31: " Menu\n"}
     want = {i: f"{own(i)}\n\n \nonly{chr(97 + i)}" for i in range(20)} | {30: "Menus", 31: ""}
     assert left(spark, docs) == want
+
+
+def test_pages_of_mostly_shared_lines_lose_them(spark):
+    block = "\n".join(f"shared block {chr(97 + j)} of the site menu" for j in range(20))
+    docs = {i: f"{block}\n{own(i)}" for i in range(12)}
+    docs |= {i: f"{block}\n{own(0, 1)}" for i in range(20, 30)}  # copies of one more page
+    assert left(spark, docs) == {i: t.split("\n")[-1] for i, t in docs.items()}
+    few = {i: t for i, t in docs.items() if i < 6 or i >= 20}  # 7 different pages, 10 of them copies
+    assert left(spark, few) == few
