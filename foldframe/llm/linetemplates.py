@@ -3,7 +3,10 @@
 A line goes down the tree by its number of tokens and its first `lead` tokens,
 where tokens with digits count as a variable field. In a leaf, a token stays part
 of the template if it recurs at its position in lines of different documents; the
-other positions are variable fields. Lines whose template recurs across many
+other positions are variable fields. Tokens with digits recur as a field: it counts as
+matched in lines that also have a recurring word. A line of recurring tokens without
+one (numbers, table rows) is a template of its own, so that it takes the very same
+line to recur. Lines whose template recurs across many
 documents are dropped from all of them.
 
 Copies of one document repeat all its lines, which makes none of them a
@@ -27,7 +30,7 @@ from ..session import saved
 BLANKS = r"[\x20\x09-\x0D]+"
 FIELD = "<*>"
 LEAD, MIN_TOKENS = 3, 1
-# a template needs so many families and so large a part of constant tokens
+# a template needs so many families and so large a part of constant or, beside a word, matched tokens
 MIN_FAMILIES, CONSTANT_SHARE = 8, 0.6
 # least part that the families are of a template's documents: 0, however many copies one of them has
 FAMILY_SHARE = 0.0
@@ -93,18 +96,23 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
     distinct = saved(live.groupBy("leaf", "tokens").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("lo"), F.max("whole").alias("hi"))
                      .withColumn("line", F.md5(F.encode(F.concat_ws("\n", F.col("leaf").cast("string"), "tokens"), "UTF-8"))), "lines-distinct")
     token = distinct.select("line", "leaf", "n", "lo", "hi", F.posexplode("tokens").alias("at", "token"))
-    constant = saved(token.where(~F.col("token").rlike(r"[0-9]")).groupBy("leaf", "at", "token")
+    token = token.withColumn("key", F.when(F.col("token").rlike(r"[0-9]"), F.lit(FIELD)).otherwise(F.col("token")))
+    constant = saved(token.groupBy("leaf", "at", "key")
                      .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
                      .where((F.col("n") >= min_families) & (F.col("lo") < F.col("hi")))
-                     .select(F.col("leaf").alias("c_leaf"), F.col("at").alias("c_at"), F.col("token").alias("c_token")), "lines-constant")
-    seen = token.join(constant, (F.col("leaf") == F.col("c_leaf")) & (F.col("at") == F.col("c_at")) & (F.col("token") == F.col("c_token")), "left")
-    field = F.coalesce("c_token", F.lit(FIELD))
-    template = (seen.groupBy("line").agg(F.array_sort(F.collect_list(F.struct("at", field.alias("t")))).alias("parts"),
-                                         F.avg(F.col("c_token").isNotNull().cast("int")).alias("constant"))
-                .where(F.col("constant") >= constant_share)
-                .select(F.col("line").alias("t_line"), F.array_join(F.col("parts.t"), " ").alias("template")))
+                     .select(F.col("leaf").alias("c_leaf"), F.col("at").alias("c_at"), F.col("key").alias("c_key")), "lines-constant")
+    seen = token.join(constant, (F.col("leaf") == F.col("c_leaf")) & (F.col("at") == F.col("c_at")) & (F.col("key") == F.col("c_key")), "left")
+    matched = F.col("c_key").isNotNull()
+    fixed = matched & (F.col("key") != FIELD)
+    template = (seen.groupBy("line").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("c_key", F.lit(FIELD)).alias("t")))).alias("parts"),
+                                         F.avg(fixed.cast("int")).alias("constant"), F.avg(matched.cast("int")).alias("matched"),
+                                         F.max(fixed & F.col("key").rlike(r"\p{L}")).alias("worded"))
+                .withColumn("general", (F.col("constant") >= constant_share) | (F.col("worded") & (F.col("matched") >= constant_share)))
+                .where(F.col("general") | (F.col("matched") == 1))
+                .select(F.col("line").alias("t_line"), F.when(F.col("general"), F.array_join(F.col("parts.t"), " ")).alias("template")))
     of_line = saved(distinct.join(template, F.col("line") == F.col("t_line"))
-                    .select(F.col("leaf").alias("l_leaf"), F.col("tokens").alias("l_tokens"), "template"), "lines-templates")
+                    .select(F.col("leaf").alias("l_leaf"), F.col("tokens").alias("l_tokens"),
+                            F.coalesce("template", F.array_join("tokens", " ")).alias("template")), "lines-templates")
     found = saved(live.join(of_line.hint("shuffle_merge"), (F.col("leaf") == F.col("l_leaf")) & (F.col("tokens") == F.col("l_tokens")))
                   .select("doc_id", "pos", "family", "template"), "lines-found")
 

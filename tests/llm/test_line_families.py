@@ -33,3 +33,10 @@ def test_pages_of_mostly_shared_lines_lose_them(spark):
     assert left(spark, docs) == {i: t.split("\n")[-1] for i, t in docs.items()}
     few = {i: t for i, t in docs.items() if i < 6 or i >= 20}  # 7 different pages, 10 of them copies
     assert left(spark, few) == few
+
+
+def test_lines_of_many_digit_fields_are_dropped_and_numbers_stay(spark):
+    fields = lambda i: [f"Last updated 2024-01-{i + 1:02} 12:{i + 10}", f"Posted {i + 1} May 2024", f"Page {i} of {i + 9}", "Tel 0800 123 456", "0800 123 456"]
+    numbers = lambda i: [f"{i} {i * 7} {i * 9}", f"| {i} | {i * 3} | {i * 5} |", f"{1900 + i}"]
+    docs = {i: "\n".join([own(i), *fields(i), *numbers(i)]) for i in range(20)}
+    assert left(spark, docs) == {i: "\n".join([own(i), *numbers(i)]) for i in docs}
