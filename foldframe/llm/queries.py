@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bagminhash, exacttopk, linetemplates, mixing, packing, permutation, quality, sharding, substring, urlfilter
+from . import bagminhash, exacttopk, linetemplates, mixing, packing, periodic, permutation, quality, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -88,6 +88,27 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"), similarity=0.8)
 
 
+def repeated_tail(text: Column, doc_id: Column) -> Column:
+    """The text; for the tenth of documents with h % 10 = 0, h = crc32 of the decimal
+    doc_id, its words with those from number a on replaced by the p words there, again
+    and again: g = floor(h / 10), a = g % n, p = 1 + floor((n - a) / (3 + g % 8))."""
+    h = F.crc32(F.encode(doc_id.cast("string"), "UTF-8"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.greatest(F.size(words), F.lit(1)).cast("long"), F.floor(h / 10)
+    a = F.pmod(g, n)
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+    one = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    tail = F.flatten(F.array_repeat(one, F.ceil((n - a) / p).cast("int")))
+    new = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(tail, F.lit(1), (n - a).cast("int")))
+    return F.when((F.pmod(h, F.lit(10)) == 0) & text.isNotNull() & F.coalesce(F.size(words) > 0, F.lit(False)), F.array_join(new, " ")).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of them with a repeated tail."""
+    docs = table(spark, sf_dir, "documents")
+    return periodic.periodic_runs(docs.select("doc_id", repeated_tail(F.col("text"), F.col("doc_id")).alias("text")), keep_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_log_templates": op2_log_templates,
@@ -99,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_no_random_access": op8_no_random_access,
     "op9_empirical_bayes": op9_empirical_bayes,
     "op10_bag_minhash": op10_bag_minhash,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # The others are beyond SQL (hashes of Spark's own, fitted models, tokenizers, components)
