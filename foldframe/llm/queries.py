@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bagminhash, exacttopk, linetemplates, mixing, packing, periodic, permutation, quality, sharding, substring, urlfilter
+from . import bagminhash, collocations, exacttopk, linetemplates, mixing, packing, periodic, permutation, quality, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -88,6 +88,12 @@ def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"), similarity=0.8)
 
 
+def op11_vertical_partitioning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of every language: phrases of 2 to 5 words that occur
+    100 times or more."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def repeated_tail(text: Column, doc_id: Column) -> Column:
     """The text; for the tenth of documents with h % 10 = 0, h = crc32 of the decimal
     doc_id, its words with those from number a on replaced by the p words there, again
@@ -120,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_no_random_access": op8_no_random_access,
     "op9_empirical_bayes": op9_empirical_bayes,
     "op10_bag_minhash": op10_bag_minhash,
+    "op11_vertical_partitioning": op11_vertical_partitioning,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -144,4 +151,22 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_vertical_partitioning": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, words FROM (
+       SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words FROM documents)),
+w AS (SELECT lang, piece, generate_subscripts(words, 1) AS at, words FROM p WHERE len(words) > 0),
+f AS MATERIALIZED (SELECT lang, words[at:at + d - 1] AS words, d, count(*) AS f FROM w, range(1, 6) AS x(d) WHERE at + d - 1 <= len(words)
+      GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+c AS (SELECT * FROM f WHERE d > 1 AND NOT EXISTS (SELECT 1 FROM f AS g WHERE g.lang = f.lang AND g.d = f.d + 1 AND g.f = f.f
+      AND (g.words[1:f.d] = f.words OR g.words[2:f.d + 1] = f.words))),
+k AS (SELECT lang, words, f AS a, unnest(range(1, d)) AS k FROM c),
+s AS (SELECT k.lang, k.words, k.a, k.k, l.f AS l, r.f AS r, n.n, 1000::HUGEINT * k.a * n.n // (l.f::HUGEINT * r.f) AS score
+      FROM k JOIN f l ON l.lang = k.lang AND l.words = k.words[1:k.k] JOIN f r ON r.lang = k.lang AND r.words = k.words[k.k + 1:] JOIN n ON n.lang = k.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, k) AS cut FROM s),
+t AS (SELECT *, array_to_string(words, ' ') AS phrase FROM b WHERE cut = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM t)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM o WHERE rank <= 2000""",
 }

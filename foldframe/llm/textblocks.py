@@ -71,9 +71,10 @@ class Block(NamedTuple):
         return np.diff(self.word_from)
 
 
-def block_of(first: int, data: np.ndarray, offsets: np.ndarray) -> Block:
-    """The block of texts that lie in `data` one after the other."""
-    word = ~SPACE[data]
+def block_of(first: int, data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> Block:
+    """The block of texts that lie in `data` one after the other; words end at the bytes
+    that `between` marks."""
+    word = ~between[data]
     head, tail = word.copy(), word.copy()
     head[1:] &= ~word[:-1]
     tail[:-1] &= ~word[1:]
@@ -84,7 +85,7 @@ def block_of(first: int, data: np.ndarray, offsets: np.ndarray) -> Block:
     return Block(first, data, offsets, starts, np.flatnonzero(tail) + 1, np.searchsorted(starts, offsets))
 
 
-def blocks(texts: pa.Array) -> Iterator[Block]:
+def blocks(texts: pa.Array, between: np.ndarray = SPACE) -> Iterator[Block]:
     """Blocks of a string column in order; a null text has no words."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     n = len(texts)
@@ -97,7 +98,7 @@ def blocks(texts: pa.Array) -> Iterator[Block]:
     while i < n:
         j = min(n, max(i + 1, int(np.searchsorted(off, off[i] + BLOCK_BYTES, "right")) - 1))
         part, o = data[off[i]:off[j]], off[i:j + 1] - off[i]
-        yield block_of(i, part, o)
+        yield block_of(i, part, o, between)
         i = j
 
 
