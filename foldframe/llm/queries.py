@@ -155,15 +155,15 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, words FROM (
        SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
               '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words FROM documents)),
-w AS (SELECT lang, piece, generate_subscripts(words, 1) AS at, words FROM p WHERE len(words) > 0),
-f AS MATERIALIZED (SELECT lang, words[at:at + d - 1] AS words, d, count(*) AS f FROM w, range(1, 6) AS x(d) WHERE at + d - 1 <= len(words)
+w AS (SELECT lang, piece, generate_subscripts(words, 1) AS i, words FROM p WHERE len(words) > 0),
+f AS MATERIALIZED (SELECT lang, list_slice(words, i, i + d - 1) AS words, d, count(*) AS f FROM w, range(1, 6) AS x(d) WHERE i + d - 1 <= len(words)
       GROUP BY ALL HAVING count(*) >= 100),
 n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
 c AS (SELECT * FROM f WHERE d > 1 AND NOT EXISTS (SELECT 1 FROM f AS g WHERE g.lang = f.lang AND g.d = f.d + 1 AND g.f = f.f
-      AND (g.words[1:f.d] = f.words OR g.words[2:f.d + 1] = f.words))),
+      AND f.words IN (list_slice(g.words, 1, f.d), list_slice(g.words, 2, f.d + 1)))),
 k AS (SELECT lang, words, f AS a, unnest(range(1, d)) AS k FROM c),
 s AS (SELECT k.lang, k.words, k.a, k.k, l.f AS l, r.f AS r, n.n, 1000::HUGEINT * k.a * n.n // (l.f::HUGEINT * r.f) AS score
-      FROM k JOIN f l ON l.lang = k.lang AND l.words = k.words[1:k.k] JOIN f r ON r.lang = k.lang AND r.words = k.words[k.k + 1:] JOIN n ON n.lang = k.lang),
+      FROM k JOIN f l ON l.lang = k.lang AND l.words = list_slice(k.words, 1, k.k) JOIN f r ON r.lang = k.lang AND r.words = list_slice(k.words, k.k + 1, len(k.words)) JOIN n ON n.lang = k.lang),
 b AS (SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, k) AS cut FROM s),
 t AS (SELECT *, array_to_string(words, ' ') AS phrase FROM b WHERE cut = 1),
 o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM t)
