@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bagminhash, collocations, exacttopk, linetemplates, mixing, packing, periodic, permutation, quality, sharding, substring, urlfilter
+from . import bagminhash, collocations, exacttopk, linetemplates, mixing, packing, periodic, permutation, pii, quality, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -94,6 +94,11 @@ def op11_vertical_partitioning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the strict rules' spans and what the trees add."""
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
 def repeated_tail(text: Column, doc_id: Column) -> Column:
     """The text; for the tenth of documents with h % 10 = 0, h = crc32 of the decimal
     doc_id, its words with those from number a on replaced by the p words there, again
@@ -127,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_empirical_bayes": op9_empirical_bayes,
     "op10_bag_minhash": op10_bag_minhash,
     "op11_vertical_partitioning": op11_vertical_partitioning,
+    "op12_candidate_boosting": op12_candidate_boosting,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
