@@ -39,13 +39,16 @@ NO_LANG = "und"
 
 class Settings(NamedTuple):
     """A phrase needs `least` occurrences and 2 to `longest` words. Bit maps have
-    2**filter_bits bits. A task builds subtrees of about `budget` leaves; prefixes are
-    told apart in `units` hash units, and a unit above the budget by `fan` units of the
-    next word. A task puts equal leaves together in blocks of `buffer`."""
+    2**filter_bits bits. A tree holds about `budget` leaves, on small tables no less than
+    `least_share`; prefixes are told apart in `units` hash units, and a unit above the
+    budget by `fan` units of the next word; up to `listed` such units are named in the
+    plan. A task puts equal leaves together in blocks of `buffer`."""
     least: int = 100
     longest: int = 5
     filter_bits: int = 26
     budget: int = 1 << 18
+    least_share: int = 1024
+    listed: int = 10_000
     units: int = 4096
     fan: int = 64
     buffer: int = 1 << 20
@@ -204,29 +207,34 @@ def partitioned(leaf: DataFrame, s: Settings) -> DataFrame:
     """`leaf` with `level`, the words of the prefix that it is dealt by, and `tree`, the
     group of prefixes that are built together.
 
-    A unit is a hash of prefixes; there are at most units + fan * (levels) * leaves /
-    budget of them. The tables of units are joined by their measured size."""
+    A unit is a hash of prefixes. One that holds more leaves than the budget (on small
+    tables: than a task's share of them) is told apart by a word more; at most leaves /
+    budget of each level are. Units, none above the budget, are dealt to twice as many
+    trees as the budget asks for, so that a tree holds about half of it."""
+    total, tasks = leaf.count(), int(leaf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(s.budget, max(s.least_share, total // (2 * tasks)))
     d = leaf.withColumn("unit", F.pmod("w1", F.lit(s.units))).withColumn("level", F.lit(1))
     for level in range(2, s.longest + 1):
         load = d.where(F.col("level") == level - 1).groupBy("unit").agg(F.count(F.lit(1)).alias("load"))
-        over = saved(load.where(F.col("load") > s.budget).select(F.col("unit").alias("o_unit")), "phrases-over")
-        if over.isEmpty():
+        over = saved(load.where(F.col("load") > share).select(F.col("unit").alias("o_unit")), "phrases-over")
+        n = over.count()
+        if not n:
             break
+        # few prefixes become part of the plan, very many are a table of their own
+        if n <= s.listed:
+            split = F.col("unit").isin([r["o_unit"] for r in over.collect()])
+        else:
+            d = d.join(over, F.col("unit") == F.col("o_unit"), "left")
+            split = F.col("o_unit").isNotNull()
         word = F.col(f"w{level}")
         child = F.when(word == 0, F.lit(0)).otherwise(F.lit(1) + F.pmod(F.xxhash64(word), F.lit(s.fan - 1)))
-        split = F.col("o_unit").isNotNull() & (F.col("level") == level - 1)
-        d = d.join(over, F.col("unit") == F.col("o_unit"), "left").withColumn("_split", split)
         # units of different levels never meet: each level has a range of its own
-        d = (d.withColumn("unit", F.when(F.col("_split"), F.lit(level << 48) + F.pmod(F.xxhash64("unit"), F.lit(1 << 40)) * s.fan + child).otherwise(F.col("unit")))
-             .withColumn("level", F.when(F.col("_split"), F.lit(level)).otherwise(F.col("level"))).drop("_split", "o_unit"))
-    load = saved(d.groupBy("unit").agg(F.count(F.lit(1)).alias("load")), "phrases-units")
-    # units are put together in bands, so that no task sees them all
-    bands = int(leaf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    band = F.pmod(F.xxhash64("unit"), F.lit(bands))
-    before = F.sum("load").over(Window.partitionBy("band").orderBy("unit").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("load")
-    tree = saved(load.withColumn("band", band).withColumn("tree", F.floor(before / s.budget) * bands + F.col("band"))
-                 .select(F.col("unit").alias("t_unit"), "tree"), "phrases-trees")
-    return d.join(tree, F.col("unit") == F.col("t_unit")).drop("t_unit", "unit")
+        finer = F.lit(level << 48) + F.pmod(F.xxhash64("unit"), F.lit(1 << 40)) * s.fan + child
+        d = d.withColumn("_split", split & (F.col("level") == level - 1))
+        d = d.select(*leaf.columns, F.when(F.col("_split"), finer).otherwise(F.col("unit")).alias("unit"),
+                     F.when(F.col("_split"), F.lit(level)).otherwise(F.col("level")).alias("level"))
+    trees = max(1, -(-2 * total // share))
+    return d.withColumn("tree", F.pmod(F.xxhash64("unit", F.lit(3)), F.lit(trees))).drop("unit")
 
 
 def subtree(words: np.ndarray, n: np.ndarray, level: np.ndarray, least: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
