@@ -173,22 +173,27 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 5
     return w
 
 
+def row_group(doc_id: Column, host: Column, path: Column, text: Column) -> Column:
+    """A hash of what the judgement on a row depends on: rows of one group are judged alike."""
+    return F.xxhash64(doc_id.cast("long"), F.lit(0), host.cast("string"), F.lit(1), path.cast("string"), F.lit(2), text)
+
+
 def evidence(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, host, path, evidence) for `docs` (doc_id, host, path, text): log-odds of
-    being good by the text alone. Without a model they are 0; a text without words has
+    """(doc_id, host, path, row_group, evidence) for `docs` (doc_id, host, path, row_group,
+    text): log-odds of being good by the text alone. Without a model they are 0; a text without words has
     NO_WORDS."""
     if model is None:
-        return docs.select("doc_id", "host", "path", F.lit(0.0).alias("evidence"))
+        return docs.select("doc_id", "host", "path", "row_group", F.lit(0.0).alias("evidence"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in blocks(batch.column(3)):
+            for b in blocks(batch.column(4)):
                 x = np.clip((shapes(b, model.words, model.odds) - model.mean) / model.scale, -8, 8)
                 score = np.where(b.counts() > 0, x @ model.weight[:-1] + model.weight[-1], NO_WORDS)
                 rows = slice(b.first, b.first + len(score))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i)[rows] for i in range(3)), pa.array(np.clip(score, -20, 20))], ["doc_id", "host", "path", "evidence"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i)[rows] for i in range(4)), pa.array(np.clip(score, -20, 20))], ["doc_id", "host", "path", "row_group", "evidence"])
 
-    return docs.select("doc_id", "host", "path", "text").mapInArrow(emit, "doc_id long, host string, path string, evidence double")
+    return docs.select("doc_id", "host", "path", "row_group", "text").mapInArrow(emit, "doc_id long, host string, path string, row_group long, evidence double")
 
 
 def _strength(groups: DataFrame, n: str, mean: str, prior: str, within: float) -> float:
@@ -221,18 +226,20 @@ def site_posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
 
 
 def classify(docs: DataFrame, labels: DataFrame, good: Column, host: Column, path: Column, most: int = SAMPLE) -> DataFrame:
-    """doc_id, host, path, evidence, site_prior, posterior, keep for every document.
+    """doc_id, host, path, row_group, evidence, site_prior, posterior, keep for every document.
 
     `docs` needs doc_id, text and what `host` and `path` use; `labels` doc_id and what
     the condition `good` uses; other columns are ignored. The posterior log-odds are the
     evidence plus the log-odds of the site's rate against the global one; the site's
-    rate leaves the document itself out. `keep` means a posterior of one half or more.
+    rate leaves the document itself out. `keep` means a posterior of one half or more; one of exactly one half is kept.
 
     The classifier is fitted on at most `most` labelled rows; all else covers all
-    documents. Null texts and texts without words are rejected. Null hosts or paths are
-    sites of their own. Repeated rows are separate documents. Without labels of both
-    kinds all evidence is 0 and everything is kept. An empty table gives an empty result."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), "text")
+    documents. Null texts and texts without words are rejected, if there is a classifier.
+    Null hosts or paths are sites of their own. Repeated rows and rows with a null doc_id
+    are separate documents; equal ones are judged alike. Without labels of both kinds all
+    evidence is 0 and everything is kept, texts without words too. An empty table gives an empty result."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"),
+                       row_group(F.col("doc_id"), host, path, F.col("text")).alias("row_group"), "text")
     model = fit(base.select("doc_id", "text"), labels, good, most)
     scored = saved(evidence(base, model), "quality-scored")
     sites, mean = site_posteriors(scored)
@@ -244,4 +251,4 @@ def classify(docs: DataFrame, labels: DataFrame, good: Column, host: Column, pat
     shift = F.log(F.col("site_prior") / (1 - F.col("site_prior"))) - F.log(edge(F.lit(float(mean))) / (1 - edge(F.lit(float(mean)))))
     post = 1 / (1 + F.exp(-(F.col("evidence") + shift)))
     out = d.withColumn("site_prior", edge(rate)).withColumn("posterior", F.when(F.col("evidence") <= NO_WORDS, F.lit(0.0)).otherwise(post))
-    return out.select("doc_id", "host", "path", "evidence", "site_prior", "posterior", (F.col("posterior") >= 0.5).alias("keep"))
+    return out.select("doc_id", "host", "path", "row_group", "evidence", "site_prior", "posterior", (F.col("posterior") >= 0.5).alias("keep"))

@@ -79,7 +79,7 @@ def acceptable() -> Column:
 def op9_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior quality of every document; its source stands for the host, its source
     and language for the path. Fitted on at most 20,000 labelled rows."""
-    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), acceptable(), F.col("source"), F.col("lang"))
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), acceptable(), F.col("source"), F.col("lang")).drop("row_group")
 
 
 def op10_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,8 +36,7 @@ def test_mix_prefers_by_weight_and_takes_no_empty_tables(spark, nothing):
     often, seldom = s[s.doc_id % 2 == 0].copies.mean(), s[s.doc_id % 2 == 1].copies.mean()
     assert often / seldom == pytest.approx(3, rel=0.15)
     assert s.taken.sum() == pytest.approx(s.target.iloc[0], rel=0.01)
-    copies = mixing.repeat_rows(rows, mixing.mix(rows).select("doc_id", "copies"))
-    assert copies.columns == rows.columns
+    assert mixing.mixed_rows(rows).columns == rows.columns
 
 
 def test_components_equal_brute_force(spark):
