@@ -17,10 +17,12 @@ from foldframe.session import saved
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: the documents that the quality classifier keeps."""
+    """Operator 9: the documents that the quality classifier keeps, repeated rows and rows
+    with a null doc_id too, each as often as it is there."""
     judged = quality.classify(docs, table(spark, sf_dir, "labels"), acceptable(), F.col("source"), F.col("lang"))
-    kept = judged.where("keep").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(saved(kept, "kept").hint("shuffle_merge"), F.col("doc_id") == F.col("_kept_id"), "left_semi")
+    kept = saved(judged.where("keep").select(F.col("row_group").alias("_kept")).distinct(), "kept")
+    group = quality.row_group(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("text"))
+    return docs.join(kept.hint("shuffle_merge"), group == F.col("_kept"), "left_semi")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +41,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: the mix of sources at weights 1, 2, 3; a document that it takes
     several times is there as often."""
-    copies = mixing.mix(docs, weights=(1.0, 2.0, 3.0), max_copies=3, preference=mixing.longer_first(F.col("text")))
-    return mixing.repeat_rows(docs, copies.select("doc_id", "copies"))
+    return mixing.mixed_rows(docs, weights=(1.0, 2.0, 3.0), max_copies=3, preference=mixing.longer_first(F.col("text")))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
