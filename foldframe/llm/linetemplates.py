@@ -50,18 +50,33 @@ def leaf_of(tokens: Column, lead: int = LEAD) -> Column:
     return F.xxhash64(F.size(tokens), path)
 
 
+def text_key(text: Column) -> Column:
+    """What happens to a line depends on its text alone, so equal texts share one key."""
+    return F.xxhash64(text)
+
+
 def parsed(docs: DataFrame, lead: int, min_tokens: int) -> DataFrame:
-    """(doc_id, pos, leaf) of every line that has enough tokens and is not blank."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    tokens = lines.select("doc_id", "pos", tokens_of(F.col("line")).alias("tokens")).where((F.size("tokens") >= min_tokens) & (F.element_at("tokens", 1) != ""))
-    return tokens.select("doc_id", "pos", leaf_of(F.col("tokens"), lead).alias("leaf"))
+    """(text_key, pos, leaf) of every line; leaf is null for blank lines and those that
+    have too few tokens."""
+    lines = docs.select(text_key(F.col("text")).alias("text_key"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    tokens = lines.select("text_key", "pos", tokens_of(F.col("line")).alias("tokens"))
+    takes_part = (F.size("tokens") >= min_tokens) & (F.element_at("tokens", 1) != "")
+    return tokens.select("text_key", "pos", F.when(takes_part, leaf_of(F.col("tokens"), lead)).alias("leaf"))
+
+
+def by_line(marks: DataFrame, value: str, out: str) -> DataFrame:
+    """(m_key, `out`): for each text key in `marks` (text_key, pos, value; a row for every
+    line, also several equal ones) the values of its lines in order."""
+    each = marks.groupBy("text_key", "pos").agg(F.max(value).alias(value))
+    lists = each.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("pos", value))).alias(out))
+    return lists.select(F.col("text_key").alias("m_key"), F.transform(out, lambda x: x[value]).alias(out))
 
 
 def whole_of(leaves: DataFrame) -> DataFrame:
-    """(f_id, whole): a hash of all leaves of a document, which its copies share."""
+    """(f_key, whole): a hash of all leaves of a text, which near copies of it share."""
     h = F.xxhash64("leaf")
-    sums = leaves.groupBy("doc_id").agg(F.sum(h.bitwiseAND(F.lit(0x7FFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned(h, 32)).alias("high"))
-    return sums.select(F.col("doc_id").alias("f_id"), F.xxhash64("low", "high").alias("whole"))
+    sums = leaves.select("text_key", "pos", "leaf").distinct().groupBy("text_key").agg(F.sum(h.bitwiseAND(F.lit(0x7FFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned(h, 32)).alias("high"))
+    return sums.select(F.col("text_key").alias("f_key"), F.xxhash64("low", "high").alias("whole"))
 
 
 def families(wholes: DataFrame, held: DataFrame, common: DataFrame) -> DataFrame:
@@ -76,21 +91,23 @@ def families(wholes: DataFrame, held: DataFrame, common: DataFrame) -> DataFrame
 
 def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOKENS, min_families: int = MIN_FAMILIES,
                     family_share: float = FAMILY_SHARE, constant_share: float = CONSTANT_SHARE) -> DataFrame:
-    """(doc_id, pos, template): the lines of recurring templates."""
-    leaves = saved(parsed(docs, lead, min_tokens), "lines-leaves")
+    """(text_key, pos, template): the lines of recurring templates, once for equal texts."""
+    every = saved(parsed(docs, lead, min_tokens), "lines-leaves")
+    leaves = every.where("leaf is not null")
     wholes = saved(whole_of(leaves), "lines-wholes")
-    lines = leaves.join(wholes.hint("shuffle_merge"), F.col("doc_id") == F.col("f_id")).drop("f_id")
-    held = saved(lines.select("leaf", "whole").distinct(), "lines-held")
+    held = saved(leaves.join(wholes.hint("shuffle_merge"), F.col("text_key") == F.col("f_key")).select("leaf", "whole").distinct(), "lines-held")
     # leaves that cannot hold a recurring template end here: most lines are not looked at again
     busy = saved(held.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_families)
                  .select(F.col("leaf").alias("b_leaf")), "lines-busy")
     known = saved(families(wholes, held, busy), "lines-families")
-    at = (leaves.join(busy.hint("shuffle_merge"), F.col("leaf") == F.col("b_leaf"), "left_semi")
-          .groupBy("doc_id").agg(F.collect_list(F.struct("pos", "leaf")).alias("at")).select(F.col("doc_id").alias("a_id"), "at"))
-    with_at = docs.select("doc_id", "text").join(at.hint("shuffle_merge"), F.col("doc_id") == F.col("a_id"))
-    one = with_at.select("doc_id", F.split("text", "\n").alias("lines"), F.explode("at").alias("at"))
-    live = one.select("doc_id", F.col("at.pos").alias("pos"), F.col("at.leaf").alias("leaf"), tokens_of(F.element_at("lines", F.col("at.pos") + 1)).alias("tokens"))
-    live = saved(live.join(known.hint("shuffle_merge"), F.col("doc_id") == F.col("f_id")).drop("f_id"), "lines-live")
+    # a text's lines and their busy leaves, line by line: nothing is looked up in a list
+    marked = saved(every.join(busy.hint("shuffle_merge"), F.col("leaf") == F.col("b_leaf"), "left").select("text_key", "pos", "b_leaf"), "lines-marked")
+    some = marked.where("b_leaf is not null").select(F.col("text_key").alias("s_key")).distinct()
+    at = by_line(marked.join(some.hint("shuffle_merge"), F.col("text_key") == F.col("s_key"), "left_semi"), "b_leaf", "leaves")
+    with_at = docs.select(text_key(F.col("text")).alias("text_key"), "text").join(at.hint("shuffle_merge"), F.col("text_key") == F.col("m_key"))
+    one = with_at.select("text_key", F.posexplode(F.arrays_zip(F.split("text", "\n").alias("line"), F.col("leaves").alias("leaf"))).alias("pos", "x"))
+    live = one.where("x.leaf is not null").select("text_key", "pos", F.col("x.leaf").alias("leaf"), tokens_of(F.col("x.line")).alias("tokens"))
+    live = saved(live.join(known.hint("shuffle_merge"), F.col("text_key") == F.col("f_key")).drop("f_key"), "lines-live")
 
     # equal lines are put together before tokens are counted by position
     distinct = saved(live.groupBy("leaf", "tokens").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("lo"), F.max("whole").alias("hi"))
@@ -114,36 +131,42 @@ def recurring_lines(docs: DataFrame, lead: int = LEAD, min_tokens: int = MIN_TOK
                     .select(F.col("leaf").alias("l_leaf"), F.col("tokens").alias("l_tokens"),
                             F.coalesce("template", F.array_join("tokens", " ")).alias("template")), "lines-templates")
     found = saved(live.join(of_line.hint("shuffle_merge"), (F.col("leaf") == F.col("l_leaf")) & (F.col("tokens") == F.col("l_tokens")))
-                  .select("doc_id", "pos", "family", "template"), "lines-found")
+                  .select("text_key", "pos", "family", "template"), "lines-found")
 
-    docs_of = saved(found.select("template", "doc_id", "family").distinct(), "lines-docs")
+    docs_of = saved(found.select("template", "text_key", "family").distinct(), "lines-docs")
     spread = (docs_of.select("template", F.posexplode("family").alias("way", "family"))
               .groupBy("template", "way", "family").agg(F.count(F.lit(1)).alias("docs"))
               .groupBy("template", "way").agg(F.count(F.lit(1)).alias("families"), F.sum("docs").alias("docs"))
               .groupBy("template").agg(F.max("families").alias("families"), F.max("docs").alias("docs")))
     recurring = saved(spread.where((F.col("families") >= min_families) & (F.col("families") >= F.col("docs") * family_share))
                       .select(F.col("template").alias("r_template")), "lines-recurring")
-    return found.join(recurring.hint("shuffle_merge"), F.col("template") == F.col("r_template"), "left_semi").select("doc_id", "pos", "template")
+    return found.join(recurring.hint("shuffle_merge"), F.col("template") == F.col("r_template"), "left_semi").select("text_key", "pos", "template").distinct()
 
 
 def drop_recurring(docs: DataFrame, **settings) -> DataFrame:
     """`docs` with the lines of recurring templates taken out of `text`, and the columns
     n_lines and n_dropped; other columns stay.
 
-    `docs` needs doc_id and text; a column that is called n_lines or n_dropped is
-    replaced. Lines end at \\n. Blank lines and lines of fewer than `min_tokens` tokens
-    are never dropped. A null text stays null with no lines; an empty text has one empty line. A
-    document that loses all lines keeps an empty text. doc_id identifies a text:
-    repeated rows lose the same lines, rows with a null doc_id none. An empty table
-    gives an empty result."""
+    `docs` needs text; a column that is called n_lines or n_dropped is replaced. Lines end
+    at \\n. Blank lines and lines of fewer than `min_tokens` tokens are never dropped. A
+    null text stays null with no lines; an empty text has one empty line. A document that
+    loses all lines keeps an empty text. Equal texts lose the same lines, so repeated rows
+    and rows with a null or repeated doc_id need no rule of their own. Pages that differ
+    in numbers only are one family. An empty table gives an empty result. The cost of a
+    text is linear in its lines."""
     cols = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    lost = (recurring_lines(docs.select("doc_id", "text"), **settings).groupBy("doc_id")
-            .agg(F.collect_set("pos").alias("_lost")).select(F.col("doc_id").alias("_lost_id"), "_lost"))
-    lost = saved(lost, "lines-lost")
-    d = docs.select(*[F.col(f"`{c}`") for c in cols]).join(lost.hint("shuffle_merge"), F.col("doc_id") == F.col("_lost_id"), "left")
+    lost = saved(recurring_lines(docs.select("text"), **settings).select("text_key", "pos", F.lit(True).alias("gone")), "lines-lost")
+    # the texts that lose lines, with a mark for each of their lines
+    some = lost.select(F.col("text_key").alias("s_key")).distinct()
+    whole = docs.select(text_key(F.col("text")).alias("text_key"), F.size(F.split("text", "\n")).alias("n")).distinct()
+    whole = whole.join(some.hint("shuffle_merge"), F.col("text_key") == F.col("s_key"), "left_semi")
+    each = whole.select("text_key", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("pos"), F.lit(False).alias("gone"))
+    marks = saved(by_line(each.unionByName(lost), "gone", "_gone"), "lines-marks")
+    d = docs.select(*[F.col(f"`{c}`") for c in cols]).join(marks.hint("shuffle_merge"), text_key(F.col("text")) == F.col("m_key"), "left")
     lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_lost", i)), "\n")
+    # a null line is left out of the joined text
+    kept = F.array_join(F.zip_with(lines, F.col("_gone"), lambda x, gone: F.when(~gone, x)), "\n")
     d = d.withColumn("n_lines", F.coalesce(F.when(F.col("text").isNotNull(), F.size(lines)), F.lit(0)))
-    d = d.withColumn("n_dropped", F.coalesce(F.when(F.col("_lost").isNotNull(), F.size("_lost")), F.lit(0)))
-    text = F.when(F.col("_lost").isNull(), F.col("text")).otherwise(kept)
+    d = d.withColumn("n_dropped", F.coalesce(F.when(F.col("_gone").isNotNull(), F.size(F.filter("_gone", lambda x: x))), F.lit(0)))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)
     return d.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in cols], "n_lines", "n_dropped")

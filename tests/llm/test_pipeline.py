@@ -2,7 +2,8 @@ import corpus_pipeline
 import pytest
 
 from brute import classes
-from foldframe.llm import linetemplates, mixing, quality
+from test_texts import brute_templates
+from foldframe.llm import mixing, quality
 from foldframe.llm.queries import acceptable
 from foldframe.session import saved
 from pyspark.sql import functions as F
@@ -31,8 +32,8 @@ def test_stage_decisions_take_effect(spark, stages):
     keep = quality.classify(docs, labels, acceptable(), F.col("source"), F.col("lang")).where("keep")
     ids = lambda d: sorted(r.doc_id for r in d.select("doc_id").collect())
     assert ids(good) == ids(keep)
-    lost = {(r.doc_id, r.pos) for r in linetemplates.recurring_lines(good).collect()}
     before, after = ({r.doc_id: r.text for r in d.collect()} for d in (good, lined))
+    lost = brute_templates(before)
     assert after == {i: "\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in lost) for i, t in before.items()}
     assert ids(single) == sorted(i for i, c in classes(after).items() if i == c)
     copies = {r.doc_id: r.copies for r in mixing.mix(single, preference=mixing.longer_first(F.col("text"))).collect()}

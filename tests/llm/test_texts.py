@@ -1,3 +1,7 @@
+import random
+import time
+from collections import Counter, defaultdict
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -80,47 +84,67 @@ def test_shingles_count_repeats(texts):
         assert sorted(c.tolist()) == sorted(bag(texts[i]).values())
 
 
-def brute_templates(docs, min_families):
-    """The rule of linetemplates on plain lists, one step after the other."""
-    from collections import defaultdict
-
+def brute_templates(docs, min_families=linetemplates.MIN_FAMILIES, share=linetemplates.CONSTANT_SHARE):
+    """(doc_id, pos) of the lines of recurring templates, by the rules as they stand: families
+    by rare leaves, digit tokens that match beside a word, lines of numbers only if equal."""
     import xxhash
 
     def xx(seed, raw):
         h = xxhash.xxh64(raw, seed=seed % 2**64).intdigest()
         return h - 2**64 if h >= 2**63 else h
 
-    lines = []
+    digit = lambda x: any(c in "0123456789" for c in x)
+    lines, leaves_of = [], defaultdict(list)
     for i, t in docs.items():
-        rows = []
         for p, line in enumerate((t or "").split("\n") if t is not None else []):
-            w = words(line)
+            w = tuple(words(line))
             if len(w) >= linetemplates.MIN_TOKENS:
-                lead = " ".join("<*>" if any(c in "0123456789" for c in x) else x for x in w[:linetemplates.LEAD])
-                rows.append((i, p, xx(xx(42, len(w).to_bytes(4, "little")), lead.encode()), tuple(w)))
-        leaf = lambda x, way: xx(xx(42, x.to_bytes(8, "little", signed=True)), way.to_bytes(4, "little"))
-        family = tuple(min(leaf(x[2], way) for x in rows) for way in range(linetemplates.WAYS)) if rows else ()
-        lines += [(*r, family) for r in rows]
-    busy, tokens = defaultdict(list), defaultdict(list)
-    for _, _, leaf, _, fam in lines:
-        busy[leaf].append(fam)
-    live = [x for x in lines if len(busy[x[2]]) >= min_families and len(set(busy[x[2]])) > 1]
-    for _, _, leaf, w, fam in live:
+                lead = " ".join("<*>" if digit(x) else x for x in w[:linetemplates.LEAD])
+                leaf = xx(xx(42, len(w).to_bytes(4, "little")), lead.encode())
+                lines.append((i, p, leaf, w))
+                leaves_of[i].append(leaf)
+    whole = {i: tuple(sorted(x)) for i, x in leaves_of.items()}
+    holders = defaultdict(set)
+    for i, x in whole.items():
+        for leaf in x:
+            holders[leaf].add(x)
+    busy = {leaf for leaf, x in holders.items() if len(x) >= min_families}
+    order = lambda leaf, way: xx(xx(42, leaf.to_bytes(8, "little", signed=True)), way.to_bytes(4, "little"))
+    family = {}
+    for i, x in whole.items():
+        rare = set(x) - busy
+        family[i] = [min(order(leaf, way) for leaf in rare) if rare else x for way in range(linetemplates.WAYS)]
+    live = [x for x in lines if x[2] in busy]
+    seen = defaultdict(list)
+    for i, _, leaf, w in live:
         for at, x in enumerate(w):
-            if not any(c in "0123456789" for c in x):
-                tokens[leaf, at, x].append(fam)
-    fixed = {k for k, v in tokens.items() if len(v) >= min_families and len(set(v)) > 1}
-    found, of = [], defaultdict(set)
-    for i, p, leaf, w, fam in live:
-        t = [x if (leaf, at, x) in fixed else "<*>" for at, x in enumerate(w)]
-        if sum((leaf, at, x) in fixed for at, x in enumerate(w)) >= linetemplates.CONSTANT_SHARE * len(w):
-            found.append((i, p, " ".join(t)))
-            of[" ".join(t)].add((i, fam))
-    ways = range(linetemplates.WAYS)
-    good = {t for t, v in of.items() if (n := max(len({f[k] for _, f in v}) for k in ways)) >= min_families and n >= linetemplates.FAMILY_SHARE * len(v)}
+            seen[leaf, at, "<*>" if digit(x) else x].append(whole[i])
+    constant = {k for k, v in seen.items() if len(v) >= min_families and len(set(v)) > 1}
+    found = []
+    for i, p, leaf, w in live:
+        keys = ["<*>" if digit(x) else x for x in w]
+        match = [(leaf, at, k) in constant for at, k in enumerate(keys)]
+        fixed = [m and k != "<*>" for m, k in zip(match, keys)]
+        worded = any(f and any(c.isalpha() for c in k) for f, k in zip(fixed, keys))
+        if sum(fixed) >= share * len(w) or worded and sum(match) >= share * len(w):
+            found.append((i, p, " ".join(k if m else "<*>" for k, m in zip(keys, match))))
+        elif all(match):
+            found.append((i, p, " ".join(w)))
+    spread = defaultdict(set)
+    for i, _, t in found:
+        for way in range(linetemplates.WAYS):
+            spread[t, way].add(family[i][way])
+    good = {t for (t, _), x in spread.items() if len(x) >= min_families}
     return {(i, p) for i, p, t in found if t in good}
 
 
+def lost_lines(table, docs):
+    """(doc_id, pos) of the lines that go, by the operator."""
+    keyed = table.select("doc_id", linetemplates.text_key(table["text"]).alias("k")).distinct()
+    lost = linetemplates.recurring_lines(table)
+    return {(r.doc_id, r.pos) for r in keyed.join(lost, keyed["k"] == lost["text_key"]).collect()}
+
+
 @pytest.fixture(scope="session")
 def lined(spark, texts):
     docs = dict(texts)
@@ -133,9 +157,8 @@ def lined(spark, texts):
 
 def test_line_templates_equal_brute_force(lined):
     docs, table = lined
-    lost = brute_templates(docs, linetemplates.MIN_FAMILIES)
-    got = {(r.doc_id, r.pos) for r in linetemplates.recurring_lines(table).collect()}
-    assert got == lost
+    lost = brute_templates(docs)
+    assert lost_lines(table, docs) == lost
     boilerplate = {(i, p) for i in range(100, 130) for p, x in enumerate(docs[i].split("\n")) if x.startswith(("Page", "Released", "Copyright"))}
     assert boilerplate <= lost
     out = {r.doc_id: r for r in linetemplates.drop_recurring(table).collect()}
@@ -146,6 +169,40 @@ def test_line_templates_equal_brute_force(lined):
             assert out[i].n_dropped == sum(j == i for j, _ in lost)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rare_leaves_and_digit_rules_equal_brute_force(spark, seed):
+    """Shared blocks, near copies, tables of numbers, lines with digit fields, few own lines."""
+    r = random.Random(seed)
+    docs = {}
+    for i in range(120):
+        block = [f"shared block {chr(97 + j)} of the menu" for j in range(r.choice([0, 3, 12]))]
+        own = [f"{r.choice('abcdefgh')}{r.choice('abcdefgh')} goes its own way {r.randint(0, 3)}" for _ in range(r.randint(0, 3))]
+        fields = [f"Page {i} of {i % 9 + 9}", f"Posted {i % 30 + 1} May 2024", "0800 123 456", f"{i} {i * 7} {i * 9}", f"| {i % 4} | {r.randint(0, 2)} |", "Menu", "", "  "]
+        docs[i] = "\n".join(r.sample(block + own + fields, r.randint(1, len(block + own + fields))))
+    docs |= {200 + k: docs[k % 5] for k in range(40)} | {300 + k: docs[7] + f"\n{k}" for k in range(15)}
+    table = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    want = brute_templates(docs)
+    assert lost_lines(table, docs) == want
+    # the old rules, all leaves and no digit matches, would tell otherwise
+    assert any(x in docs[i].split("\n")[p] for i, p in want for x in ("May 2024", "0800")) and want
+
+
+def test_line_dedup_of_very_many_lines_repeated_rows_and_null_ids(spark):
+    """A document of 200,000 lines costs time in proportion to them."""
+    footer = "Brought to you by the people of the valley"
+    long = "\n".join(f"own line {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)} {i} of it" if i % 5 else footer for i in range(200_000))
+    rows = [(i, f"w{chr(97 + i)} goes its own way here\n{footer}", "x") for i in range(12)] + [(None, f"no id here at all\n{footer}", "x")] * 2
+    rows += [(3, f"w{chr(97 + 3)} goes its own way here\n{footer}", "y"), (3, "another text of the same id", "z"), (50, long, "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, text_key string").repartition(3)
+    began = time.time()
+    out = linetemplates.drop_recurring(table)
+    got = Counter((r.doc_id, r.text, r.text_key) for r in out.where("doc_id is null or doc_id < 50").collect())
+    assert got == Counter((i, t.split("\n")[0], k) for i, t, k in rows if i != 50)
+    big = out.where("doc_id = 50").first()
+    assert big.n_lines == 200_000 and big.n_dropped >= 40_000 and footer not in big.text
+    assert time.time() - began < 120
+
+
 def test_copies_of_one_document_make_no_template(spark):
     body = "\n".join(f"the line number of this text is w{i} a b c d" for i in range(30))
     rows = [(i, body) for i in range(40)]
