@@ -7,9 +7,9 @@ a word, small ones are put together up to the budget, and every such group of pr
 a subtree that one task builds on its own. The totals of a node's leaves are the
 occurrences of its phrase.
 
-Leaves that can't reach a frequent node are not made: a suffix ends before a word, or a
-pair of adjacent words, that is not frequent. Which ones are is told by bit maps of fixed
-size, filled from hashed counts, that may let through too much but never too little.
+Leaves that can't reach a frequent node are not made: a suffix ends before a word, a pair
+or three words that are not frequent. Which ones are is told by bit maps of fixed size,
+filled from hashed counts, that may let through too much but never too little.
 """
 
 from __future__ import annotations
@@ -39,13 +39,14 @@ NO_LANG = "und"
 
 class Settings(NamedTuple):
     """A phrase needs `least` occurrences and 2 to `longest` words. Bit maps have
-    2**filter_bits bits. A tree holds about `budget` leaves, on small tables no less than
+    2**filter_bits bits; there is one for phrases of each length up to `mapped`. A tree holds about `budget` leaves, on small tables no less than
     `least_share`; prefixes are told apart in `units` hash units, and a unit above the
     budget by `fan` units of the next word; up to `listed` such units are named in the
     plan. A task puts equal leaves together in blocks of `buffer`."""
     least: int = 100
     longest: int = 5
     filter_bits: int = 26
+    mapped: int = 3
     budget: int = 1 << 18
     least_share: int = 1024
     listed: int = 10_000
@@ -124,19 +125,31 @@ def inside(found: np.ndarray, bucket: np.ndarray) -> np.ndarray:
     return (found[bucket >> 6] >> (bucket & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
-def pair_hashes(w: Words, known: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of two adjacent words that may both be frequent, and the pairs' hashes."""
-    ok = inside(known, bucket_of(w.ids, bits))
-    at = np.flatnonzero(w.follows[:-1] & ok[:-1] & ok[1:]) if len(ok) else np.zeros(0, np.int64)
-    return at, mix64(w.ids[at] * np.uint64(3) + w.ids[at + 1])
+def frequent_at(w: Words, maps: list[np.ndarray], bits: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a phrase of `length` words starts whose shorter parts may all be
+    frequent by `maps` (of single words, pairs, ...), and the phrases' hashes."""
+    ok = inside(maps[0], bucket_of(w.ids, bits))
+    at, h = np.flatnonzero(ok), w.ids[ok]
+    for k in range(2, length + 1):
+        shorter = np.zeros(len(w.ids) + 1, dtype=bool)
+        shorter[at] = True
+        # the phrase without its last word and without its first one start here and one on
+        both = w.follows[at + k - 2] & shorter[at + 1]
+        h = mix64(h[both] * np.uint64(3) + w.ids[at[both] + k - 1])
+        at = at[both]
+        if k < length:
+            known = inside(maps[k - 1], bucket_of(h, bits))
+            at, h = at[known], h[known]
+    return at, h
 
 
-def pair_counts(docs: DataFrame, known: np.ndarray, s: Settings) -> DataFrame:
-    """(bucket, n) of pairs of adjacent words."""
+def phrase_buckets(docs: DataFrame, maps: list[np.ndarray], length: int, s: Settings) -> DataFrame:
+    """(bucket, n) of the phrases of `length` words whose parts may be frequent."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, n in summed((bucket_of(pair_hashes(w, known, s.filter_bits)[1], s.filter_bits) for batch in batches
-                                 for w, _ in words_of(batch.column(0), batch.column(1).to_pylist())), s.buffer):
+        found = (bucket_of(frequent_at(w, maps, s.filter_bits, length)[1], s.filter_bits)
+                 for batch in batches for w, _ in words_of(batch.column(0), batch.column(1).to_pylist()))
+        for bucket, n in summed(found, s.buffer):
             yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], ["bucket", "n"])
 
     def summed(parts: Iterator[np.ndarray], buffer: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -153,19 +166,23 @@ def pair_counts(docs: DataFrame, known: np.ndarray, s: Settings) -> DataFrame:
     return docs.select("text", "lang").mapInArrow(emit, "bucket long, n long")
 
 
-def suffixes(w: Words, known: np.ndarray, pairs: np.ndarray, s: Settings) -> np.ndarray:
+def suffixes(w: Words, maps: list[np.ndarray], s: Settings) -> np.ndarray:
     """A row for each suffix of two or more words: its first words, cut before what can't
     be frequent; 0 behind the end."""
-    at, h = pair_hashes(w, known, s.filter_bits)
-    goes_on = np.zeros(len(w.ids) + s.longest, dtype=bool)
-    goes_on[at] = inside(pairs, bucket_of(h, s.filter_bits))
-    start = np.flatnonzero(goes_on)
+    goes = {}
+    for k in range(2, len(maps) + 1):
+        at, h = frequent_at(w, maps, s.filter_bits, k)
+        goes[k] = np.zeros(len(w.ids) + s.longest, dtype=bool)
+        goes[k][at] = inside(maps[k - 1], bucket_of(h, s.filter_bits))
+    start = np.flatnonzero(goes[2])
     rows = np.zeros((len(start), s.longest), dtype=np.uint64)
     rows[:, 0] = w.ids[start]
     live = np.arange(len(start))
-    for k in range(1, s.longest):
-        live = live[goes_on[start[live] + k - 1]]
-        rows[live, k] = w.ids[start[live] + k]
+    for k in range(2, s.longest + 1):
+        # the last words of the longer suffix, as many as the longest map tells of
+        known = min(k, len(maps))
+        live = live[goes[known][start[live] + k - known]]
+        rows[live, k - 1] = w.ids[start[live] + k - 1]
     return rows
 
 
@@ -178,7 +195,7 @@ def together(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[at], np.bincount(of, weights=n, minlength=len(at)).astype(np.int64)
 
 
-def leaves(docs: DataFrame, known: np.ndarray, pairs: np.ndarray, s: Settings) -> DataFrame:
+def leaves(docs: DataFrame, maps: list[np.ndarray], s: Settings) -> DataFrame:
     """(w1, w2, ..., n): the leaves of the tree, those of one task put together."""
     names = [f"w{k}" for k in range(1, s.longest + 1)]
 
@@ -191,7 +208,7 @@ def leaves(docs: DataFrame, known: np.ndarray, pairs: np.ndarray, s: Settings) -
 
         for batch in batches:
             for w, _ in words_of(batch.column(0), batch.column(1).to_pylist()):
-                rows = suffixes(w, known, pairs, s)
+                rows = suffixes(w, maps, s)
                 held.append(rows)
                 size += len(rows)
                 if size >= s.buffer:
@@ -297,9 +314,10 @@ def collocations(docs: DataFrame, top: int = 2000, settings: Settings = Settings
     counts = saved(counts.where(F.col("id").isNull() | (F.col("n") >= s.least)), "phrases-words")
     words = counts.where(F.col("id").isNotNull())
     bucket = F.shiftrightunsigned("id", 64 - s.filter_bits)
-    known = bit_map(words.select(bucket.alias("bucket"), "n"), s.least, s.filter_bits)
-    pairs = bit_map(pair_counts(docs, known, s), s.least, s.filter_bits)
-    leaf = saved(leaves(docs, known, pairs, s), "phrases-leaves")
+    maps = [bit_map(words.select(bucket.alias("bucket"), "n"), s.least, s.filter_bits)]
+    for length in range(2, min(s.mapped, s.longest) + 1):
+        maps.append(bit_map(phrase_buckets(docs, maps, length, s), s.least, s.filter_bits))
+    leaf = saved(leaves(docs, maps, s), "phrases-leaves")
     phrases = saved(phrase_counts(leaf, s), "phrases-counts")
     f = saved(phrases.unionByName(words.select(F.array("id").alias("words"), F.col("n").alias("f"))), "phrases-all")
 

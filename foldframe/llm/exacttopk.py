@@ -83,15 +83,19 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     product, equal scores go by the smaller vec_id, and candidates are all rows but the
     query's own. Vectors that are null, hold null or non-finite components or differ in
     length from `dim` (default: the most frequent length) take no part. Equal integer
-    vectors are searched once, with their k + 1 smallest ids. Scores must stay below
-    2**53. An empty table gives an empty result."""
+    vectors are searched once, with their k + 1 smallest ids. Rows with a
+    null vec_id take no part. Components so large that a score could reach 2**53 raise.
+    An empty table gives an empty result."""
     dim = dim or usual_length(vectors, "embedding")
-    rows = saved(vectors.where(takes_part(F.col("embedding"), dim, False))
+    rows = saved(vectors.where(takes_part(F.col("embedding"), dim, False) & F.col("vec_id").isNotNull())
                  .select(F.col("vec_id").cast("long").alias("vec_id"),
                          F.transform("embedding", lambda v: F.floor(v.cast("double") * scale).cast("long")).alias("vec"),
                          F.coalesce(is_query, F.lit(False)).alias("is_query")), "topk-rows")
     distinct, queries = distinct_vectors(rows, k + 1)
-    n, nq = distinct.agg(F.count(F.lit(1)), F.count(F.when(F.col("asked"), 1))).first()
+    n, nq, most = distinct.agg(F.count(F.lit(1)), F.count(F.when(F.col("asked"), 1)),
+                               F.max(F.array_max(F.transform("vec", lambda v: F.abs(v.cast("double")))))).first()
+    if dim * (most or 0.0) ** 2 >= 2.0 ** 53:
+        raise ValueError(f"a component of {most:g} in {dim} dimensions can give scores of 2**53 and more")
     bx, bq = max(1, -(-n // BLOCK)), max(1, -(-nq // QUERY_BLOCK))
     # the stated query set against all rows, block by block
     own = lambda blocks: F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int")

@@ -22,15 +22,21 @@ from .vectors import best_of, distinct_vectors, list_column, matrix, takes_part,
 
 class Settings(NamedTuple):
     """pivots = per_root * sqrt(distinct vectors), at most most_pivots; a vector is posted
-    under `posted` pivots and a query opens `opened`; orders are compared over `order`
-    pivots and the `reranked` best of each file are scored exactly. Files are worked on in
-    blocks of about `block` vectors by `query_block` queries."""
+    under `posted` pivots, a query opens `opened` files or, if that is more, `opened_share`
+    of all; orders are compared over `order` pivots, and the `reranked` best of a file's
+    block or, if that is more, `reranked_share` of it are scored exactly. So the share of
+    the table that a query sees stays the same at every size, and with it the recall (the
+    README has figures). Beyond (most_pivots / per_root)**2 = 256 million vectors files
+    grow with the table. Files are worked on in blocks of about `block` vectors by
+    `query_block` queries."""
     per_root: float = 2.0
-    most_pivots: int = 4096
+    most_pivots: int = 32_000
     posted: int = 12
     opened: int = 32
+    opened_share: float = 0.032
     order: int = 64
     reranked: int = 300
+    reranked_share: float = 0.085
     block: int = 4096
     query_block: int = 1024
 
@@ -110,19 +116,22 @@ def rank_file(file: int, q: np.ndarray, q_seen: np.ndarray, x: np.ndarray, x_see
 
 def search(distinct: DataFrame, asked: DataFrame, pivots: np.ndarray, s: Settings, k: int) -> DataFrame:
     """(q, x, score) of distinct vectors found for the distinct query vectors."""
-    length = max(s.order, s.posted, s.opened)
-    posted = saved(postings(distinct, pivots, s.posted, length, False)
-                   .unionByName(postings(asked, pivots, s.opened, length, True)), "ann-postings")
+    opened = max(s.opened, int(np.ceil(s.opened_share * len(pivots))))
+    posted = saved(postings(distinct, pivots, s.posted, max(s.order, s.posted), False)
+                   .unionByName(postings(asked, pivots, opened, max(s.order, opened), True)), "ann-postings")
     count = len(pivots)
 
     def meet(key: tuple, t: pa.Table) -> pa.Table:
         is_q = t.column("is_query").to_numpy()
-        rep, vec, seen = t.column("rep").to_numpy(), matrix(t.column("vec"), np.float64), matrix(t.column("seen"), np.int16)
-        x = ~is_q
         # rows in the order of their ids, so that ties fall alike in every run
-        xs, qs = np.flatnonzero(x)[np.argsort(rep[x])], np.flatnonzero(is_q)
-        out = [(np.full(len(rows), rep[qs[i]]), rep[xs[rows]], score) for i, rows, score in rank_file(
-            key[0].as_py(), vec[qs], seen[qs], vec[xs], seen[xs], count, s.posted, s.order, s.reranked, k + 1)]
+        tx, tq = t.filter(pa.array(~is_q)).sort_by("rep"), t.filter(pa.array(is_q))
+        if not len(tx) or not len(tq):
+            return pa.table({"q": pa.array([], pa.int64()), "x": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        q_rep, x_rep = tq.column("rep").to_numpy(), tx.column("rep").to_numpy()
+        q, q_seen, x, x_seen = (matrix(c.column(n), kind) for c in (tq, tx) for n, kind in (("vec", np.float64), ("seen", np.int16)))
+        reranked = max(s.reranked, int(np.ceil(s.reranked_share * len(x_rep))))
+        out = [(np.full(len(rows), q_rep[i]), x_rep[rows], score) for i, rows, score in rank_file(
+            key[0].as_py(), q, q_seen, x, x_seen, count, s.posted, s.order, reranked, k + 1)]
         cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table({"q": pa.array(cols[0], pa.int64()), "x": pa.array(cols[1], pa.int64()), "score": pa.array(cols[2], pa.float64())})
 
@@ -137,11 +146,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, settings: Setting
     candidates are all rows but the query's own. Vectors that are null, zero, hold null
     or non-finite components or differ in length from `dim` (default: the most frequent
     length) take no part. Equal vectors are indexed once, with their k + 1 smallest ids.
-    A query whose files held fewer than `k` candidates is compared with all rows. An
-    empty table gives an empty result. All rows are indexed; the pivots are a bounded
+    A query whose files held fewer than `k` candidates is compared with all rows. Rows
+    with a null vec_id take no part; repeated rows of one vec_id are separate rows, and a
+    query leaves out all of its own id. An empty table gives an empty result. All rows are indexed; the pivots are a bounded
     sample (Settings)."""
     dim = dim or usual_length(vectors, "embedding")
-    rows = saved(vectors.where(takes_part(F.col("embedding"), dim, True))
+    rows = saved(vectors.where(takes_part(F.col("embedding"), dim, True) & F.col("vec_id").isNotNull())
                  .select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda v: v.cast("double") + 0.0).alias("vec"),
                          F.coalesce(is_query, F.lit(False)).alias("is_query")), "ann-rows")
     distinct, queries = distinct_vectors(rows, k + 1)

@@ -48,7 +48,7 @@ def corpus(seed: int, n: int) -> list[tuple]:
     return docs
 
 
-@pytest.mark.parametrize("settings", [Settings(least=20), Settings(least=20, budget=40, units=4, fan=4, buffer=300, filter_bits=8, listed=1), Settings(least=3, least_share=10)])
+@pytest.mark.parametrize("settings", [Settings(least=20), Settings(least=20, budget=40, units=4, fan=4, buffer=300, filter_bits=8, listed=1, mapped=2), Settings(least=3, least_share=10), Settings(least=20, mapped=5)])
 def test_collocations_equal_brute_force(spark, settings):
     docs = [*corpus(3, 250), (None, "en"), ("", None), ("word", "fr"), (" \t.", "it"), ("long " * 40_000, "xx")]
     docs += [docs[0]] * 60

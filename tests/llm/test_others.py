@@ -131,6 +131,44 @@ def test_top_k_is_exact(vectors):
     assert exacttopk.top_k(table.where("vec_id = 0"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_searches_of_null_and_repeated_ids_and_clashing_columns(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(60, 6))
+    rows = [(None if i in (7, 8) else 10 if i in (10, 11, 12) else i, v[i].tolist(), i, 1.0) for i in range(60)]
+    rows += [(20, v[20].tolist(), 0, 1.0)] * 2
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, score double").repartition(3)
+    by_id = [(i, np.array(x)) for i, x, *_ in rows if i is not None]
+    once = {0: v[0], 30: v[30], 40: v[40], 50: v[50]}
+
+    def want(scale):
+        out = []
+        for q, x in once.items():
+            scores = sorted((-float(scale(x) @ scale(y)), i) for i, y in by_id if i != q)[:5]
+            out += [(q, k, i, round(-s, 9)) for k, (s, i) in enumerate(scores, 1)]
+        return out
+
+    def got(df):
+        return sorted((r.query_id, r.rank, r.vec_id, round(float(r.score), 9)) for r in df.collect() if r.query_id in once)
+
+    # so few vectors that every file is opened: the index is exact
+    near, top = permutation.nearest(table, F.col("vec_id") % 10 == 0, 5), exacttopk.top_k(table, F.col("vec_id") % 10 == 0, 5)
+    assert got(near) == want(lambda x: x) and got(top) == want(lambda x: np.floor(256 * x))
+    for df in (near, top):
+        assert {r.query_id for r in df.collect()} == {0, 10, 20, 30, 40, 50}
+        assert not any(r.vec_id is None or r.vec_id == r.query_id for r in df.collect())
+    with pytest.raises(ValueError, match="2\\*\\*53"):
+        exacttopk.top_k(spark.createDataFrame([(1, [1e9, 0.0])], "vec_id long, embedding array<double>"), F.lit(True)).count()
+
+
+def test_shares_of_files_and_reranks_grow_with_the_table():
+    s = permutation.Settings()
+    for n in (10_000, 1_000_000, 100_000_000):
+        pivots = min(s.most_pivots, int(s.per_root * n ** 0.5))
+        opened, held = max(s.opened, int(s.opened_share * pivots)), s.posted * n / pivots
+        seen = opened * max(s.reranked, s.reranked_share * held) / n
+        assert opened / pivots >= s.opened_share * 0.99 and seen >= 0.03
+
+
 def test_bounds_hold_at_every_depth():
     rng = np.random.default_rng(2)
     x, q = rng.integers(-50, 50, (80, 6)), rng.integers(-50, 50, (9, 6)).astype(float)
