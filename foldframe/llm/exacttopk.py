@@ -84,7 +84,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     query's own. Vectors that are null, hold null or non-finite components or differ in
     length from `dim` (default: the most frequent length) take no part. Equal integer
     vectors are searched once, with their k + 1 smallest ids. Rows with a
-    null vec_id take no part. Components so large that a score could reach 2**53 raise.
+    null vec_id take no part; rows of one vec_id are separate candidates, equal ones
+    one query, which leaves out all of its own id. Components so large that a score could reach 2**53 raise.
     An empty table gives an empty result."""
     dim = dim or usual_length(vectors, "embedding")
     rows = saved(vectors.where(takes_part(F.col("embedding"), dim, False) & F.col("vec_id").isNotNull())

@@ -147,8 +147,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, settings: Setting
     or non-finite components or differ in length from `dim` (default: the most frequent
     length) take no part. Equal vectors are indexed once, with their k + 1 smallest ids.
     A query whose files held fewer than `k` candidates is compared with all rows. Rows
-    with a null vec_id take no part; repeated rows of one vec_id are separate rows, and a
-    query leaves out all of its own id. An empty table gives an empty result. All rows are indexed; the pivots are a bounded
+    with a null vec_id take no part; rows of one vec_id are
+    separate candidates, equal ones one query, and a query leaves out all of its own id. An empty table gives an empty result. All rows are indexed; the pivots are a bounded
     sample (Settings)."""
     dim = dim or usual_length(vectors, "embedding")
     rows = saved(vectors.where(takes_part(F.col("embedding"), dim, True) & F.col("vec_id").isNotNull())

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.ranking import global_rank
 from ..session import saved
 
 
@@ -27,7 +28,9 @@ def usual_length(df: DataFrame, vector: str) -> int:
 
 def distinct_vectors(rows: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
     """For `rows` (vec_id, vec, is_query): the distinct vectors, (rep, vec, ids, asked)
-    with the `keep` smallest ids of each, and the queries, (query_id, rep).
+    with the `keep` smallest ids of each, and the queries, (query_id, rep), equal ones
+    once. `rep` is a key in the order of the smallest ids: that id itself, or its rank
+    where different vectors have one id.
 
     A nearest list of fewer than `keep` entries never needs more of equal vectors,
     whose scores tie. The limit on ids acts in the map tasks, so a vector that very
@@ -38,7 +41,9 @@ def distinct_vectors(rows: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
     asked = rows.where("is_query").select(F.col("vec").alias("q_vec")).distinct().withColumn("asked", F.lit(True))
     distinct = saved(ids.join(asked, F.col("vec") == F.col("q_vec"), "left")
                      .select(F.col("ids")[0].alias("rep"), "vec", "ids", F.coalesce("asked", F.lit(False)).alias("asked")), "vectors")
-    who = rows.where("is_query").select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q_vec"))
+    if not distinct.groupBy("rep").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        distinct = saved(global_rank(distinct, ["rep", F.xxhash64("vec"), "vec"], "place").select(F.col("place").alias("rep"), "vec", "ids", "asked"), "vectors")
+    who = rows.where("is_query").select(F.col("vec_id").alias("query_id"), F.col("vec").alias("q_vec")).distinct()
     queries = who.join(distinct.where("asked").select("rep", "vec").hint("shuffle_merge"), F.col("q_vec") == F.col("vec")).select("query_id", "rep")
     return distinct, saved(queries, "vector-queries")
 
@@ -66,7 +71,7 @@ def best_of(found: DataFrame, distinct: DataFrame, queries: DataFrame, k: int) -
                  .groupBy("q").agg(F.collect_list(F.struct("score", "ids")).alias("hits")), "nearest")
     # at most (k + 1) ** 2 rows for a distinct query vector
     each = queries.join(rows.hint("shuffle_merge"), F.col("rep") == F.col("q")).select(
-        "query_id", F.explode("hits").alias("h")).select("query_id", F.col("h.score").alias("score"), F.explode("h.ids").alias("vec_id"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        "query_id", "rep", F.explode("hits").alias("h")).select("query_id", "rep", F.col("h.score").alias("score"), F.explode("h.ids").alias("vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "rep").orderBy(F.desc("score"), "vec_id"))
     return (each.where(F.col("vec_id") != F.col("query_id")).withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

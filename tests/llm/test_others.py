@@ -138,7 +138,7 @@ def test_searches_of_null_and_repeated_ids_and_clashing_columns(spark):
     rows += [(20, v[20].tolist(), 0, 1.0)] * 2
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, score double").repartition(3)
     by_id = [(i, np.array(x)) for i, x, *_ in rows if i is not None]
-    once = {0: v[0], 30: v[30], 40: v[40], 50: v[50]}
+    once = {0: v[0], 20: v[20], 30: v[30], 40: v[40], 50: v[50]}
 
     def want(scale):
         out = []
@@ -154,7 +154,7 @@ def test_searches_of_null_and_repeated_ids_and_clashing_columns(spark):
     near, top = permutation.nearest(table, F.col("vec_id") % 10 == 0, 5), exacttopk.top_k(table, F.col("vec_id") % 10 == 0, 5)
     assert got(near) == want(lambda x: x) and got(top) == want(lambda x: np.floor(256 * x))
     for df in (near, top):
-        assert {r.query_id for r in df.collect()} == {0, 10, 20, 30, 40, 50}
+        assert {r.query_id for r in df.collect()} == {0, 10, 20, 30, 40, 50} and df.where('query_id = 10').count() == 15
         assert not any(r.vec_id is None or r.vec_id == r.query_id for r in df.collect())
     with pytest.raises(ValueError, match="2\\*\\*53"):
         exacttopk.top_k(spark.createDataFrame([(1, [1e9, 0.0])], "vec_id long, embedding array<double>"), F.lit(True)).count()
