@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import scratch_path, ship_package
 from . import bagminhash, collocations, exacttopk, linetemplates, mixing, packing, periodic, permutation, pii, quality, sharding, substring, urlfilter
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -54,8 +54,9 @@ def op5_exact_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in one of 8 shards of nearly equal bytes, by 4096 virtual slots."""
-    records, _ = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
+    """Every document in one of 8 shards of nearly equal bytes, by 4096 virtual slots; the
+    slot map is kept as a table of versions."""
+    records, _ = sharding.shard(table(spark, sf_dir, "documents"), shards=8, map_path=scratch_path(spark, "slot-map"))
     return records.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                           F.lit(None).cast("int").alias("grown_shard"), "vslot")
 

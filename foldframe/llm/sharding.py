@@ -11,14 +11,15 @@ Only DataFrame and SQL functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import saved
 
 SLOTS = 4096
-# a slot heavier than one shard's fair share is dealt by doc_id into this many parts
+# a slot heavier than one shard's fair share is split into so many parts by a second hash of
+# the text, and a text heavier than that by its rows into so many more
 PARTS = 64
 # record numbers inside a shard are counted in so many groups
 NUMBER_GROUPS = 1024
@@ -30,25 +31,35 @@ def record_size(text: Column) -> Column:
 
 
 def with_slots(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, slot, part of every record."""
+    """doc_id, size, text_crc32, slot of every record; text_key and spread, a key of its
+    text and one that differs among the rows of a text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         "doc_id", record_size(F.col("text")).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.pmod(F.xxhash64(text), F.lit(slots)).cast("int").alias("vslot"),
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(PARTS)).cast("int").alias("part"))
+        F.pmod(F.xxhash64(text), F.lit(slots)).cast("int").alias("vslot"), F.xxhash64(text, F.lit(5)).alias("text_key"),
+        F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))).alias("spread"))
 
 
-def slot_bytes(records: DataFrame, shards: int) -> DataFrame:
-    """Bytes per slot, at most SLOTS * PARTS rows: (vslot, part, bytes), part -1
-    for a whole slot; a slot above a shard's fair share appears by its parts."""
-    per_part = saved(records.groupBy("vslot", "part").agg(F.sum("size").alias("bytes")), "shard-parts")
-    fair = (per_part.agg(F.sum("bytes")).first()[0] or 0) / shards
-    # at most SLOTS rows, a bound set by a parameter
-    heavy = F.broadcast(per_part.groupBy("vslot").agg(F.sum("bytes").alias("whole")).where(F.col("whole") > fair)
-                        .select("vslot", F.lit(True).alias("heavy")))
-    part = F.when(F.col("heavy"), F.col("part")).otherwise(F.lit(-1))
-    return (per_part.join(heavy, "vslot", "left").select("vslot", part.alias("part"), "bytes")
-            .groupBy("vslot", "part").agg(F.sum("bytes").alias("bytes")))
+def with_parts(records: DataFrame, shards: int) -> DataFrame:
+    """Adds `part`: -1 for the records of a slot up to a shard's fair share. In a heavier
+    slot a text stays in one part, by a second hash; only a text that is heavier than the
+    share itself, which no shard could hold, is dealt by its rows. There are fewer heavy
+    slots and texts than shards."""
+    whole = saved(records.groupBy("vslot").agg(F.sum("size").alias("bytes")), "shard-slots")
+    fair = (whole.agg(F.sum("bytes")).first()[0] or 0) / shards
+    heavy = F.broadcast(whole.where(F.col("bytes") > fair).select(F.col("vslot").alias("h_slot")))
+    of_heavy = records.join(heavy, F.col("vslot") == F.col("h_slot"), "left_semi").groupBy("vslot", "text_key").agg(F.sum("size").alias("bytes"))
+    hot = F.broadcast(saved(of_heavy.where(F.col("bytes") > fair).select(F.col("vslot").alias("t_slot"), F.col("text_key").alias("t_key")), "shard-hot"))
+    d = records.join(heavy, F.col("vslot") == F.col("h_slot"), "left").join(hot, (F.col("vslot") == F.col("t_slot")) & (F.col("text_key") == F.col("t_key")), "left")
+    part = (F.when(F.col("h_slot").isNull(), F.lit(-1)).when(F.col("t_key").isNull(), F.pmod(F.xxhash64("text_key", F.lit(7)), F.lit(PARTS)))
+            .otherwise(F.lit(PARTS) + F.pmod(F.xxhash64("spread", F.lit(7)), F.lit(PARTS))).cast("int"))
+    return d.withColumn("part", part).drop("h_slot", "t_slot", "t_key")
+
+
+def slot_bytes(records: DataFrame) -> DataFrame:
+    """Bytes of every slot and part, at most SLOTS + 2 * PARTS * shards rows: (vslot, part,
+    bytes), part -1 for a whole slot."""
+    return records.groupBy("vslot", "part").agg(F.sum("size").alias("bytes"))
 
 
 def newest(slot_map: DataFrame) -> DataFrame:
@@ -117,7 +128,7 @@ def place(records: DataFrame, slot_map: DataFrame) -> DataFrame:
 def numbered(records: DataFrame) -> DataFrame:
     """Adds `slot`: the record's place in its shard, gapless from 0. Each shard is
     counted in NUMBER_GROUPS groups, so no task holds a whole shard."""
-    g = records.withColumn("_group", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(NUMBER_GROUPS)).cast("int"))
+    g = records.withColumn("_group", F.pmod(F.xxhash64("spread", F.lit(3)), F.lit(NUMBER_GROUPS)).cast("int"))
     counts = g.groupBy("shard", "_group").agg(F.count(F.lit(1)).alias("n"))
     starts = counts.select(F.col("shard").alias("s_shard"), F.col("_group").alias("s_group"), (F.sum("n").over(
         Window.partitionBy("shard").orderBy("_group").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")).alias("start"))
@@ -128,14 +139,28 @@ def numbered(records: DataFrame) -> DataFrame:
             .drop("_group", "_at", "s_shard", "s_group", "start"))
 
 
-def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def write_map(slot_map: DataFrame, path: str) -> None:
+    """Appends the newest version of `slot_map` to the table of versions at `path`."""
+    newest(slot_map).write.mode("append").partitionBy("version").parquet(path)
+
+
+def read_map(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of the slot map at `path`."""
+    return spark.read.parquet(path).select(F.col("version").cast("int").alias("version"), "vslot", "part", "bytes", "shard")
+
+
+def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS, map_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(records with shard and slot, version 1 of the slot map).
 
     `docs` needs doc_id and text; other columns are ignored. Shards get nearly
-    equal bytes. Equal texts share a slot and so a shard; only a slot heavier than
-    a shard's fair share is dealt by doc_id, as no shard could hold it. A null text
-    counts as an empty one (size 1). Repeated rows are separate records. An empty
-    table gives no records and an empty map."""
+    equal bytes. Equal texts share a slot and so a shard; only a text heavier than
+    a shard's fair share is dealt by its rows, as no shard could hold it; other texts of its
+    slot stay whole. A null text counts as an empty one (size 1). Repeated rows and rows
+    with a null doc_id are separate records. An empty table gives no records and an empty
+    map. With `map_path` the map is written there as a table of versions."""
     records = saved(with_slots(docs, slots), "shard-records")
-    slot_map = saved(build_map(slot_bytes(records, shards), shards), "shard-map")
-    return numbered(place(records, slot_map)), slot_map
+    records = saved(with_parts(records, shards), "shard-parts")
+    slot_map = saved(build_map(slot_bytes(records), shards), "shard-map")
+    if map_path:
+        write_map(slot_map, map_path)
+    return numbered(place(records, slot_map)).drop("text_key", "spread"), slot_map
