@@ -173,6 +173,22 @@ def compared(pairs: DataFrame, texts: DataFrame, words: int = WORDS) -> DataFram
     return one.mapInArrow(emit, "a long, b long, n_a long, n_b long, overlap long, rest array<long>, weight array<long>")
 
 
+def one_text(base: DataFrame, sig: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`base` and `sig` with one row for each doc_id: of several rows the one whose text has
+    the smallest digest. Where ids are unique, both are left as they are."""
+    several = sig.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("digest").alias("first")).where("rows > 1")
+    several = saved(several.select(F.col("doc_id").alias("s_id"), "first"), "near-several")
+    if several.isEmpty():
+        return base, sig
+    again = lambda d: d.join(several.hint("shuffle_merge"), F.col("doc_id") == F.col("s_id"))
+    alone = lambda d: d.join(several.hint("shuffle_merge"), F.col("doc_id") == F.col("s_id"), "left_anti")
+    chosen = again(base).where(F.unhex(F.md5(F.encode("text", "UTF-8"))) == F.col("first"))
+    texts = saved(chosen.groupBy("doc_id").agg(F.first("text").alias("text")), "near-texts")
+    signs = again(sig).where(F.col("digest") == F.col("first")).drop("s_id", "first")
+    signs = signs.groupBy("doc_id", "digest").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+    return alone(base).unionByName(texts), saved(alone(sig).unionByName(signs.select(*sig.columns)), "near-signs")
+
+
 def _similar(n_a: Column, n_b: Column, overlap: Column, similarity: float) -> Column:
     """overlap / (n_a + n_b - overlap) >= similarity, without a division."""
     return overlap * (1 + similarity) >= (n_a + n_b) * similarity - 1e-9
@@ -239,21 +255,28 @@ def _pairs_left(meeting: DataFrame, similarity: float) -> DataFrame:
             .select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct())
 
 
+def size_class(n: Column) -> Column:
+    """Sizes in steps of one per cent; below a hundred every size is a class."""
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.01)) + 1e-9)
+
+
 def _by_size(mixed: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of one star that can be similar although they share nothing beyond
     the centre: in different components, one of them not similar to the centre, and both
     overlaps with the centre as large as their sizes ask for. They meet by equal keys,
-    (centre, size): the sizes of its partners lie between a document's own size times
-    the similarity and what its overlap with the centre allows."""
+    (centre, class of size): the sizes of its partners lie between a document's own size
+    times the similarity and what its overlap with the centre allows, which are at most
+    some 50 classes however long the text is."""
     f = similarity / (1 + similarity)
     need = (F.col("n_b") + F.col("x_n")) * f - 1e-9
     most = F.floor(F.col("overlap") / f - F.col("n_b") + 1e-6)
-    least = F.ceil(F.col("n_b") * similarity - 1e-6)
-    seek = mixed.where(~F.col("linked") & (most >= least)).withColumn("size", F.explode(F.sequence(least.cast("long"), most.cast("long"))))
-    x = seek.select(F.col("a").alias("x_a"), F.col("size").alias("x_size"), F.col("b").alias("x"), F.col("n_b").alias("x_n"),
+    least = F.greatest(F.ceil(F.col("n_b") * similarity - 1e-6), F.lit(1))
+    seek = (mixed.where(~F.col("linked")).withColumns({"most": most, "least": least}).where("most >= least")
+            .withColumn("size", F.explode(F.sequence(size_class(F.col("least")), size_class(F.col("most"))))))
+    x = seek.select(F.col("a").alias("x_a"), F.col("size").alias("x_size"), "least", "most", F.col("b").alias("x"), F.col("n_b").alias("x_n"),
                     F.col("overlap").alias("x_o"), F.col("label").alias("x_l"))
-    offer = mixed.select("a", "b", "n_b", "overlap", "label")
-    return (offer.join(x.hint("shuffle_merge"), (F.col("a") == F.col("x_a")) & (F.col("n_b") == F.col("x_size"))
+    offer = mixed.select("a", "b", "n_b", "overlap", "label", size_class(F.col("n_b")).alias("size"))
+    return (offer.join(x.hint("shuffle_merge"), (F.col("a") == F.col("x_a")) & (F.col("size") == F.col("x_size")) & F.col("n_b").between(F.col("least"), F.col("most"))
                        & (F.col("x") != F.col("b")) & (F.col("x_l") != F.col("label")) & (F.least("overlap", "x_o") >= need))
             .select(F.least("b", "x").alias("a"), F.greatest("b", "x").alias("b")).distinct())
 
@@ -269,10 +292,12 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS
 
     `docs` needs doc_id and text; other columns are ignored. Null texts and texts
     without words are classes of their own. Shorter texts than `words` words count as
-    one shingle. Repeated rows come out repeated; rows with a null doc_id have a null
-    class. An empty table gives an empty result."""
-    base = docs.select("doc_id", "text")
-    sig = saved(signatures(base, bands, rows, words), "near-signatures")
+    one shingle. Repeated rows come out repeated and are compared once; a doc_id with
+    different texts stands for the one with the smallest MD5 digest, whose class all its
+    rows get; rows with a null doc_id have a null class. An empty table gives an empty
+    result."""
+    every = saved(signatures(docs.select("doc_id", "text"), bands, rows, words), "near-signatures")
+    base, sig = one_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), every)
     copies = saved(sig.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
                    .select(F.col("digest").alias("r_digest"), "rep"), "near-copies")
     member = saved(sig.join(copies.hint("shuffle_merge"), (F.col("digest") == F.col("r_digest")) & (F.col("n") > 0), "left")
@@ -302,13 +327,18 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = BANDS
         links = links.unionByName(compared(pairs, base, words).where(linked).select("a", "b"))
         component = saved(_relabelled(links), "near-components")
     out = member.join(component.hint("shuffle_merge"), F.col("rep") == F.col("c_id"), "left")
-    return out.select("doc_id", F.coalesce("component", "rep").alias("class_id"), F.col("n").alias("n_shingles"))
+    out = out.select("doc_id", F.coalesce("component", "rep").alias("class_id"), F.col("n").alias("n_shingles"))
+    if sig is every:
+        return out
+    # each row of a repeated id gets the id's class, and its own count of shingles
+    of = out.select(F.col("doc_id").alias("o_id"), "class_id").where("o_id is not null")
+    return every.select("doc_id", "n").join(of.hint("shuffle_merge"), F.col("doc_id") == F.col("o_id"), "left").select("doc_id", "class_id", F.col("n").alias("n_shingles"))
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """`docs` with one document of each near-duplicate class, the one with the
-    smallest doc_id; all columns are kept. Repeated rows of a kept document and rows with
-    a null doc_id stay."""
+    smallest doc_id; all columns are kept. All rows of a kept doc_id, also those with
+    another text, and rows with a null doc_id stay."""
     classes = near_duplicates(docs, similarity).where("doc_id = class_id").select(F.col("doc_id").alias("keep_id")).distinct()
     known = docs.join(classes.hint("shuffle_merge"), docs["doc_id"] == F.col("keep_id"), "left_semi")
     return known.unionByName(docs.where("doc_id is null"))
