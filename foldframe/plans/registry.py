@@ -1407,6 +1407,130 @@ def q_submission_projection(spark, sf):
     return rounded(sio.load_submission(spark, "price", f"{path}/kept"))
 
 
+# ============================================ residuals: calibration, slices, promotion
+from ..operators import residuals  # noqa: E402
+
+
+def oof_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """An OOF table with its fold and the columns that slices and cells use: `oof_pred` is
+    the model encoding, `other_pred` the brand encoding."""
+    rows = folds.kfold_assign(enc_frame(spark, sf).where(F.col("is_train")), 5, 42)
+    oof = encode.build_oof_price_proxy_features(rows, "fold", 5, C.TARGET_COL, ("brand", "model"), SMOOTH)
+    return saved(oof.select(C.ID_COL, C.TARGET_COL, "fold", "car_age_years", "power", "brand", F.col("model_price_mean").alias("oof_pred"),
+                            F.col("brand_price_mean").alias("other_pred")), "oof-rows")
+
+
+def _oof_ctes() -> list[str]:
+    ex = {"brand": _sm("brand"), "model": _sm("model")}
+    return [O.base_cte(), _enc_rows_cte("er", "price"), "tr AS (SELECT * FROM er WHERE is_train)",
+            _kfold_cte("tr", "kf"), "ap AS (SELECT kf.*, kf.fold AS afold FROM kf)", *_enc_stat_ctes("kf", "ap", ["brand", "model"]),
+            f"""oo AS MATERIALIZED (SELECT a.SaleID, a.t AS price, a.fold, a.car_age_years, a.power, a.brand, {ex['model']} AS oof_pred,
+  {ex['brand']} AS other_pred FROM ap a {_enc_joins(['brand', 'model'])})"""]
+
+
+def _calibration_ctes(kind: str, shrink: float = 50.0) -> list[str]:
+    """Cells, medians without each fold by brute force, shrunk level by level, and `cal`."""
+    value = "price - oof_pred" if kind == "additive" else "CASE WHEN oof_pred > 0 THEN price / oof_pred END"
+    new = "oof_pred + correction" if kind == "additive" else "oof_pred * correction"
+    ctes = [*_oof_ctes(), "ed AS (SELECT DISTINCT unnest(quantile_cont(oof_pred, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS x FROM oo)",
+            f"""cl AS MATERIALIZED (SELECT *, b AS cell1, b || '|' || {O.age_bin('car_age_years')} AS cell2,
+  b || '|' || {O.age_bin('car_age_years')} || '|' || {O.power_bin('power')} AS cell3, {value} AS v FROM (
+  SELECT *, 'b' || (SELECT count(*) FROM ed WHERE oo.oof_pred > ed.x) AS b FROM oo) t)""",
+            "gs AS (SELECT DISTINCT fold AS g FROM cl UNION ALL SELECT 0)",
+            "m0 AS (SELECT g, quantile_cont(v, 0.5) AS c FROM gs JOIN cl ON cl.fold <> gs.g WHERE v IS NOT NULL GROUP BY g)"]
+    for i in (1, 2, 3):
+        up = "JOIN m0 u ON u.g = x.g" if i == 1 else f"JOIN l{i - 1} u ON u.g = x.g AND u.k = array_to_string(string_split(x.k, '|')[1:{i - 1}], '|')"
+        ctes.append(f"""l{i} AS (SELECT x.g, x.k, (x.n * x.m + {shrink} * u.c) / (x.n + {shrink}) AS c FROM (
+  SELECT g, cell{i} AS k, quantile_cont(v, 0.5) AS m, count(*) AS n FROM gs JOIN cl ON cl.fold <> gs.g WHERE v IS NOT NULL GROUP BY 1, 2) x {up})""")
+    ctes.append(f"""cal AS MATERIALIZED (SELECT *, greatest({new}, 0) AS calibrated FROM (SELECT cl.*, coalesce(l3.c, l2.c, l1.c, m0.c) AS correction FROM cl
+  JOIN m0 ON m0.g = cl.fold LEFT JOIN l1 ON l1.g = cl.fold AND l1.k = cell1 LEFT JOIN l2 ON l2.g = cl.fold AND l2.k = cell2
+  LEFT JOIN l3 ON l3.g = cl.fold AND l3.k = cell3) t)""")
+    return ctes
+
+
+def _calibration_sql(kind: str) -> str:
+    return O.with_ctes(*_calibration_ctes(kind)) + f"""
+SELECT SaleID, fold, {r('oof_pred')} AS oof_pred, {r('correction')} AS correction, {r('calibrated')} AS calibrated FROM cal"""
+
+
+def _calibrated(spark, sf, kind: str) -> DataFrame:
+    out = residuals.calibrate(oof_rows(spark, sf), "oof_pred", kind)
+    return rounded(out.select(C.ID_COL, "fold", "oof_pred", "correction", "calibrated"))
+
+
+@query("calibrate_additive", _calibration_sql("additive"))
+def q_calibrate_additive(spark, sf):
+    """Every OOF prediction plus the median residual of its cell (prediction bucket, age,
+    power) on the other folds, shrunk toward the cells above."""
+    return _calibrated(spark, sf, "additive")
+
+
+@query("calibrate_ratio", _calibration_sql("ratio"))
+def q_calibrate_ratio(spark, sf):
+    """The same with the median quotient of price and prediction."""
+    return _calibrated(spark, sf, "ratio")
+
+
+def _slices_sql() -> str:
+    keys = ["age_bin", "power_bin", "price_band", "brand"]
+    sets = ", ".join("(" + ", ".join(x) + ")" for x in residuals.SLICES)
+    told = {k: f"(gid & {1 << (3 - i)}) = 0" for i, k in enumerate(keys)}
+    counts = ", ".join(f"count(CASE WHEN abs(e) <= {x} THEN 1 END) AS c{i}" for i, x in enumerate(residuals.ERROR_EDGES))
+    first = lambda q: "CASE " + " ".join(f"WHEN c{i} >= {q} * n THEN {x}" for i, x in enumerate(residuals.ERROR_EDGES)) + " END"
+    band = "'b' || (" + " + ".join(f"(price > {x})::INT" for x in (1000, 5000, 20000, 100000)) + ")"
+    return O.with_ctes(*_oof_ctes(), f"""el AS (SELECT {O.age_bin('car_age_years')} AS age_bin, {O.power_bin('power')} AS power_bin,
+  CASE WHEN price IS NULL THEN '__PRED_MISSING__' ELSE {band} END AS price_band, brand, oof_pred - price AS e FROM oo WHERE price IS NOT NULL)""",
+        f"""gg AS (SELECT grouping(age_bin, power_bin, price_band, brand) AS gid, age_bin, power_bin, price_band, brand, count(*) AS n, sum(e) AS se, sum(abs(e)) AS sa,
+  sum(e * e) AS sq, {counts} FROM el GROUP BY GROUPING SETS ({sets}))""") + f"""
+SELECT concat_ws('|', {', '.join(f"CASE WHEN {t} THEN '{k}' END" for k, t in told.items())}) AS slice, {', '.join(f"CASE WHEN {t} THEN {k} ELSE '*' END AS {k}" for k, t in told.items())},
+  n, {r('se / n')} AS bias, {r('sa / n')} AS mae, {r('sqrt(sq / n)')} AS rmse, {r("sa / (SELECT sa FROM gg WHERE gid = 15)")} AS share,
+  {', '.join(f'c{i} AS within_{x:g}' for i, x in enumerate(int(v) for v in residuals.ERROR_EDGES))}, {first(0.5)} + 0.0 AS p50_below, {first(0.9)} + 0.0 AS p90_below FROM gg"""
+
+
+@query("error_slices", _slices_sql().replace(":g}", "}"))
+def q_error_slices(spark, sf):
+    """Errors of the OOF table by slices of age, power, price and brand."""
+    out = residuals.error_slices(oof_rows(spark, sf), "oof_pred")
+    edges = [F.col("within")[i].alias(f"within_{int(x):g}") for i, x in enumerate(residuals.ERROR_EDGES)]
+    return rounded(out.select("slice", "age_bin", "power_bin", "price_band", "brand", "n", "bias", "mae", "rmse", "share",
+                              *edges, "p50_below", "p90_below"))
+
+
+@query("selective_uplift", O.with_ctes(
+    *_calibration_ctes("additive"),
+    "ga AS (SELECT fold, cell2 AS cell, sum(abs(price - oof_pred) - abs(price - calibrated)) AS gain, count(*) AS n FROM cal WHERE price IS NOT NULL GROUP BY 1, 2)",
+    "ot AS (SELECT f.g AS fold, a.cell, sum(a.gain) AS gain, sum(a.n) AS n FROM gs f JOIN ga a ON a.fold <> f.g WHERE f.g > 0 GROUP BY 1, 2)",
+    "ru AS (SELECT *, sum(gain) OVER w AS running, row_number() OVER w AS place FROM ot WINDOW w AS (PARTITION BY fold ORDER BY gain / n DESC, cell ROWS UNBOUNDED PRECEDING))",
+    "be AS (SELECT fold, arg_max(place, running) AS last FROM (SELECT fold, place, running FROM ru ORDER BY fold, place DESC) t WHERE running > 0 GROUP BY fold)",
+    "ch AS (SELECT ru.fold, ru.cell FROM ru JOIN be USING (fold) WHERE ru.place <= be.last)") + f"""
+SELECT SaleID, cal.fold, ch.cell IS NOT NULL AS chosen, {r('CASE WHEN ch.cell IS NULL THEN oof_pred ELSE calibrated END')} AS uplifted
+FROM cal LEFT JOIN ch ON ch.fold = cal.fold AND ch.cell = cal.cell2""")
+def q_selective_uplift(spark, sf):
+    """The calibrated prediction only in the cells that gained by it on the other folds."""
+    out = residuals.selective_uplift(oof_rows(spark, sf), "oof_pred")
+    return rounded(out.select(C.ID_COL, "fold", "chosen", "uplifted"))
+
+
+def _promotion_sql(replicates: int = 100, seed: int = 42) -> str:
+    steps = residuals._poisson_steps()
+    w = " + ".join(f"(u >= {s})::INT" for s in steps)
+    return O.with_ctes(*_oof_ctes(), "pg AS (SELECT SaleID, abs(price - other_pred) - abs(price - oof_pred) AS g FROM oo WHERE price IS NOT NULL)",
+        f"""pw AS (SELECT g, b, {w} AS w FROM (SELECT g, b, CAST('0x' || substr(md5(SaleID || ':{seed}:' || ((b - 1) // 4)), 8 * ((b - 1) % 4) + 1, 8) AS BIGINT) / 4294967296.0 AS u
+  FROM pg, range(1, {replicates + 1}) t(b)) x UNION ALL SELECT g, 0, 1 FROM pg)""",
+        "pr AS (SELECT b, sum(w) AS n, sum(w * g) / sum(w) AS gain FROM pw WHERE w > 0 GROUP BY b)",
+        """po AS (SELECT max(CASE WHEN b = 0 THEN n END) AS n_rows, max(CASE WHEN b = 0 THEN gain END) AS gain, quantile_cont(CASE WHEN b > 0 THEN gain END, 0.025) AS low,
+  quantile_cont(CASE WHEN b > 0 THEN gain END, 0.975) AS high, avg(CASE WHEN b > 0 THEN (gain > 0)::INT::DOUBLE END) AS better FROM pr)""") + f"""
+SELECT CAST(n_rows AS BIGINT) AS n_rows, {r('gain')} AS gain, {r('low')} AS low, {r('high')} AS high, {r('better')} AS better, better >= 0.95 AND gain > 0 AS promote FROM po"""
+
+
+@query("promote_model", _promotion_sql())
+def q_promote_model(spark, sf):
+    """Paired Poisson bootstrap: may the model encoding replace the brand encoding?"""
+    out = residuals.promote_model(oof_rows(spark, sf), "other_pred", "oof_pred")
+    return rounded(out.select(F.col("rows").alias("n_rows"), "gain", "low", "high", "better", "promote"))
+
+
+
 # ===================================================================== flagship
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """listings -> default feature frame (counts, group statistics, dates,
