@@ -130,5 +130,5 @@ def submission_projection(df: DataFrame, id_col: str = C.ID_COL, pred_col: str =
     """(SaleID, price) submission table."""
     missing = {id_col, pred_col} - set(df.columns)
     if missing:
-        raise ValueError(f"prediction table missing columns: {sorted(missing)}")
+        raise ValueError(f"a prediction table has {id_col} and {pred_col}; this one lacks {sorted(missing)}")
     return df.select(F.col(id_col), F.col(pred_col).alias("price"))

@@ -10,7 +10,9 @@ it. The fitted table has one row per key, with the folds' parts as a map of at m
 as many entries as there are folds. Rows join it by key alone, and "without fold g"
 is the total minus entry g, taken at the row. Apply rows carry the fold that must not
 count (`apply_fold`): their own one for out-of-fold validation rows, another for the
-fit rows of a CV fold (T14), 0 for holdout and test rows.
+fit rows of a CV fold (T14), 0 for holdout and test rows. In the strict form of T14 a
+fit row also leaves its own fold out, so no row has a part in its own encoding: the total
+minus two entries of the same map.
 """
 
 from __future__ import annotations
@@ -56,11 +58,12 @@ def key_expressions(age_col: str = "car_age_years", power_col: str = "power") ->
 class FittedStats:
     """Fitted encoder state: per (key name, key value) the target sum, target count and
     row count over all fit rows and by fold, and the global mean without each fold
-    (0: none left out)."""
+    (0: none left out) and without each pair of folds."""
 
     keys: DataFrame
     means: dict[int, float | None]
     key_exprs: dict[str, Column] = field(default_factory=dict)
+    pair_means: dict[tuple[int, int], float | None] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
         self.keys.write.mode("overwrite").parquet(f"{path}/keys")
@@ -77,6 +80,13 @@ class FittedStats:
         pairs = [F.lit(x).cast(t) for g, m in self.means.items() for x, t in ((g, "int"), (m, "double"))]
         return F.try_element_at(F.create_map(*pairs), fold)
 
+    def mean_of_pair(self, one: Column, two: Column) -> Column:
+        """Global mean without two different folds: a literal map of an entry per pair."""
+        if not self.pair_means:
+            raise ValueError("statistics without folds have no pairs to leave out")
+        pairs = [F.lit(x).cast(t) for (g, h), m in self.pair_means.items() for x, t in ((f"{g}|{h}", "string"), (m, "double"))]
+        return F.try_element_at(F.create_map(*pairs), F.concat_ws("|", F.least(one, two), F.greatest(one, two)))
+
 
 def fit_stats(fit: DataFrame, target: Column, key_exprs: dict[str, Column], fold_col: str | None = None) -> FittedStats:
     """One stacked aggregation over the fit rows, written to the shared scratch folder."""
@@ -94,15 +104,22 @@ def fit_stats(fit: DataFrame, target: Column, key_exprs: dict[str, Column], fold
             .groupBy("fold").agg(F.sum("__t").alias("s"), F.count("__t").alias("n")).collect()}
     total, count = sum(s for s, _ in sums.values()), sum(n for _, n in sums.values())
     left = {NO_FOLD: (total, count)} | ({g: (total - s, count - n) for g, (s, n) in sums.items()} if fold_col else {})
-    return FittedStats(saved(keys, "encoder-keys"), {g: s / n if n else None for g, (s, n) in left.items()}, key_exprs)
+    pairs = {(g, h): (total - sums[g][0] - sums[h][0], count - sums[g][1] - sums[h][1]) for g in sums for h in sums if g < h} if fold_col else {}
+    means, pair_means = ({k: s / n if n else None for k, (s, n) in x.items()} for x in (left, pairs))
+    return FittedStats(saved(keys, "encoder-keys"), means, key_exprs, pair_means)
 
 
 def _attach_key(df: DataFrame, stats: FittedStats, name: str, prefix: str) -> DataFrame:
-    """Sum, count and rows of the row's key without the fold in `__afold`."""
+    """Sum, count and rows of the row's key without the fold in `__afold` and, where that
+    column is there, the one in `__bfold`."""
     sub = stats.keys.where(F.col("kname") == name).select("kval", F.struct("s", "n", "r", "folds").alias("__k"))
     out = keyed.attach(df, sub, [(stats.key_exprs[name].cast("string"), "kval")])
     own = F.try_element_at("__k.folds", F.when(F.col("__afold") != NO_FOLD, F.col("__afold")))
-    return out.withColumns({f"{prefix}_{x}": F.col(f"__k.{x}") - F.coalesce(own[x], F.lit(0)) for x in ("s", "n", "r")}).drop("__k")
+    left = {x: F.col(f"__k.{x}") - F.coalesce(own[x], F.lit(0)) for x in ("s", "n", "r")}
+    if "__bfold" in df.columns:
+        other = F.try_element_at("__k.folds", F.when((F.col("__bfold") != NO_FOLD) & (F.col("__bfold") != F.col("__afold")), F.col("__bfold")))
+        left = {x: c - F.coalesce(other[x], F.lit(0)) for x, c in left.items()}
+    return out.withColumns({f"{prefix}_{x}": c for x, c in left.items()}).drop("__k")
 
 
 def _with_fold(df: DataFrame, stats: FittedStats, fold: Column) -> DataFrame:
@@ -158,6 +175,29 @@ def apply_encodings(apply: DataFrame, stats: FittedStats, cfg: Encodings,
     return df.drop(*[c for c in df.columns if c.startswith("__") and c not in apply.columns])
 
 
+def apply_strict(apply: DataFrame, stats: FittedStats, cfg: Encodings, outer: Column, own: Column) -> DataFrame:
+    """T14, strict: encodings of `apply` without the rows of the `outer` fold, which the
+    model is validated on, and of the row's `own` fold. For validation rows, whose own fold
+    is the outer one, that is the same as `apply_encodings`."""
+    _check_smoothing(cfg.smoothing)
+    df = apply.withColumns({"__afold": outer.cast("int"), "__bfold": own.cast("int")})
+    two = F.col("__afold") != F.col("__bfold")
+    df = df.withColumn("__gmean", F.when(two, stats.mean_of_pair(F.col("__afold"), F.col("__bfold"))).otherwise(stats.mean_of(F.col("__afold"))))
+    for name in keys_for(cfg.outputs):
+        df = _attach_key(df, stats, name, f"__{name}")
+    df = df.withColumns({o: ENCODINGS[o][1](cfg) for o in cfg.outputs})
+    return df.drop(*[c for c in df.columns if c.startswith("__") and c not in apply.columns])
+
+
+def strict_frames(rows: DataFrame, stats: FittedStats, cfg: Encodings, fold_col: str, n_splits: int) -> DataFrame:
+    """Every row once for each outer fold (`outer`, and `role` fit or valid), encoded
+    strictly: the training and validation frames of all folds as one table, from one fit
+    of the statistics and without a loop over folds."""
+    each = rows.withColumn("outer", F.explode(F.sequence(F.lit(1), F.lit(n_splits))))
+    each = each.withColumn("role", F.when(F.col(fold_col) == F.col("outer"), "valid").otherwise("fit"))
+    return apply_strict(each, stats, cfg, F.col("outer"), F.col(fold_col))
+
+
 def _check_smoothing(smoothing: float) -> None:
     if smoothing < 0:
         raise ValueError(f"smoothing is {smoothing}; it must be 0 or more")
@@ -181,7 +221,7 @@ def smoothed_target_encoding_with_backoff(fit: DataFrame, apply: DataFrame, key:
     """Own encoding when the key has >= min_count fit targets, else the
     per-row `fallback` (itself filled with the global mean)."""
     if min_count < 1:
-        raise ValueError("min_count must be positive.")
+        raise ValueError(f"min_count is {min_count}; a key needs 1 or more rows")
     stats = fit_stats(fit, target, {"k": key})
     df = _with_fold(apply, stats, F.lit(NO_FOLD)).withColumn("__fb", fallback)
     df = _attach_key(df, stats, "k", "__k")
@@ -249,7 +289,7 @@ def build_oof_price_proxy_features(train: DataFrame, fold_col: str, n_splits: in
     from the other folds only; the fold's own global mean is the fallback)."""
     _check_columns(train, columns)
     if n_splits < 2:
-        raise ValueError("n_splits must be at least 2 for OOF target encoding.")
+        raise ValueError(f"{n_splits} folds: rows are encoded from the other ones, so 2 or more are needed")
     _check_smoothing(smoothing)
     stats = fit_stats(train, _proxy_target(train, target_col, target_space),
                       {c: norm_key(c) for c in columns}, fold_col)
@@ -272,7 +312,7 @@ def build_oof_and_apply_price_proxy_features(train: DataFrame, apply: DataFrame,
 
 def _check_columns(df: DataFrame, columns) -> None:
     if not columns:
-        raise ValueError("At least one encoding column is required.")
+        raise ValueError("no column to encode is named")
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"Encoding columns not found: {missing}")
+        raise ValueError(f"the rows have no column {missing} to encode")

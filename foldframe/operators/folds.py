@@ -20,7 +20,7 @@ from ..functions.dates import age_bin as age_bin_expr
 from ..functions.dates import frequency_bin
 from ..session import saved
 from . import keyed
-from .ranking import global_rank, price_quantile_bin, rank_within
+from .ranking import price_quantile_bin
 
 
 def hash_order(id_col: str, seed: int | Column) -> Column:
@@ -29,14 +29,50 @@ def hash_order(id_col: str, seed: int | Column) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(":"), s))
 
 
+# rows that are put in order to find one place among them, and digits that a step tells apart
+MARGIN, DIGITS = 100_000, 3
+
+
+def nth_in_hash_order(ids: DataFrame, n: int, seed: int, id_col: str) -> tuple[str, object] | None:
+    """(hash, id) of the n-th row in hash order, None if there are fewer rows.
+
+    Rows are counted by the leading digits of their hashes (16**DIGITS counts), which
+    tells the digits of the n-th; again below these until few rows are left, and only those are
+    put in order. No row is moved for it."""
+    d = ids.select(hash_order(id_col, seed).alias("h"), F.col(id_col).alias("i"))
+    known, before = "", 0
+    while True:
+        step = F.substring("h", 1, len(known) + DIGITS)
+        counts = sorted((r["p"], r["n"]) for r in d.where(F.col("h").startswith(known)).groupBy(step.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+        for prefix, size in counts:
+            if before + size >= n:
+                break
+            before += size
+        else:
+            return None
+        known = prefix
+        if size <= MARGIN or len(known) >= 30:
+            break
+    row = d.where(F.col("h").startswith(known)).orderBy("h", "i").limit(n - before).agg(F.max(F.struct("h", "i")).alias("last")).first()["last"]
+    return row["h"], row["i"]
+
+
+def _up_to(place: tuple[str, object] | None, seed: int, id_col: str) -> Column:
+    """Whether a row comes up to `place` in hash order (None: all do)."""
+    if place is None:
+        return F.lit(True)
+    h = hash_order(id_col, seed)
+    return (h < F.lit(place[0])) | ((h == F.lit(place[0])) & (F.col(id_col) <= F.lit(place[1])))
+
+
 def sample_rows(df: DataFrame, n: int | None, seed: int = 42, id_col: str = C.ID_COL) -> DataFrame:
-    """K1: exactly n rows without replacement (None or n >= rows -> all)."""
+    """K1: exactly n rows without replacement (None or n >= rows -> all): a filter by the
+    hash of the n-th row; rows are neither sorted nor written."""
     if n is None:
         return df
-    if n <= 0:
-        raise ValueError("sample_size must be a positive integer.")
-    ranked = global_rank(df, [hash_order(id_col, seed), F.col(id_col)], "__srank")
-    return ranked.where(F.col("__srank") <= n).drop("__srank")
+    if n < 1:
+        raise ValueError(f"a sample of {n} rows: 1 or more are needed")
+    return df.where(_up_to(nth_in_hash_order(df, n, seed, id_col), seed, id_col))
 
 
 def train_valid_split(df: DataFrame, valid_size: float | int = 0.2, seed: int = 42, shuffle: bool = True,
@@ -46,28 +82,50 @@ def train_valid_split(df: DataFrame, valid_size: float | int = 0.2, seed: int =
     unshuffled: the last rows in id order."""
     n = df.count()
     if n < 2:
-        raise ValueError("At least two rows are required for a train/valid split.")
+        raise ValueError(f"{n} rows can't be split into train and valid")
     n_valid = math.ceil(n * valid_size) if isinstance(valid_size, float) and valid_size < 1 else int(valid_size)
     if not 0 < n_valid < n:
-        raise ValueError("valid_size must leave rows on both sides.")
-    order = [hash_order(id_col, seed), F.col(id_col)] if shuffle else [F.col(id_col)]
-    ranked = global_rank(df, order, "__vrank")
-    is_valid = (F.col("__vrank") <= n_valid) if shuffle else (F.col("__vrank") > n - n_valid)
-    return ranked.withColumn(split_col, F.when(is_valid, "valid").otherwise("train")).drop("__vrank")
+        raise ValueError(f"valid_size {valid_size} makes {n_valid} of {n} rows valid; both sides need rows")
+    if shuffle:
+        is_valid = _up_to(nth_in_hash_order(df, n_valid, seed, id_col), seed, id_col)
+    else:
+        is_valid = F.col(id_col) > F.lit(_nth_id(df, n, n - n_valid, id_col))
+    return df.withColumn(split_col, F.when(is_valid, "valid").otherwise("train"))
+
+
+def _nth_id(df: DataFrame, n: int, place: int, id_col: str) -> object:
+    """The id at `place` (from 1) of n: a sketch encloses it, and only ids between its two
+    values are put in order."""
+    ends = df.agg(F.percentile_approx(id_col, [max(place / n - 2e-4, 0.0), min(place / n + 2e-4, 1.0)], 10_000)).first()[0]
+    i = F.col(id_col)
+    below = df.where(i < ends[0]).count()
+    return df.where(i.between(*ends)).select(i.alias("i")).orderBy("i").offset(place - below - 1).limit(1).first()["i"]
 
 
 def kfold_assign(df: DataFrame, n_splits: int = 5, seed: int = 42, id_col: str = C.ID_COL,
                  fold_col: str = "fold") -> DataFrame:
     """K3/K7: shuffled k-fold, fold numbers 1..k (one repeat)."""
     if n_splits < 2:
-        raise ValueError("n_splits must be at least 2.")
-    ranked = global_rank(df, [hash_order(id_col, seed), F.col(id_col)], "__krank")
-    return ranked.withColumn(fold_col, ((F.col("__krank") - 1) % n_splits + 1).cast("int")).drop("__krank")
-
-
-def kfold_frames(assigned: DataFrame, fold: int, fold_col: str = "fold") -> tuple[DataFrame, DataFrame]:
-    """K3: (fit rows, validation rows) of one fold."""
-    return assigned.where(F.col(fold_col) != fold), assigned.where(F.col(fold_col) == fold)
+        raise ValueError(f"{n_splits} splits: folds need 2 or more")
+    ids = df.select(F.col(id_col).alias("__id"), hash_order(id_col, seed).alias("__h"))
+    dealt = counted_rank(ids, [], "__h", "__id").select("__id", ((F.col("__rank") - 1) % n_splits + 1).cast("int").alias(fold_col))
+    return df.join(dealt, df[id_col].eqNullSafe(F.col("__id"))).drop("__id")
+
+
+def counted_rank(ids: DataFrame, group: list[str], h: str, id_col: str) -> DataFrame:
+    """Adds `__rank`, the place in hash order within each `group`, from counts: rows fall
+    into 65,536 classes by their hashes' first digits; a row's place is the number of
+    rows in the classes before (a running sum over the counts) plus its place in its
+    class. Nothing is sorted as a whole, and only ids, groups and hashes are moved."""
+    d = ids.withColumn("__class", F.substring(h, 1, 4))
+    counts = d.groupBy(*group, "__class").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*group).orderBy("__class").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = counts.withColumn("__start", F.sum("__n").over(w) - F.col("__n")).drop("__n")
+    within = F.row_number().over(Window.partitionBy(*group, "__class").orderBy(h, id_col))
+    renamed = starts.withColumnsRenamed({c: f"__s_{c}" for c in [*group, "__class"]})
+    on = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in [*group, "__class"]]
+    out = d.withColumn("__within", within).join(renamed, on, "left")
+    return out.withColumn("__rank", F.col("__start") + F.col("__within")).drop("__class", "__start", "__within", *[f"__s_{c}" for c in [*group, "__class"]])
 
 
 # ------------------------------------------------------- stratification labels
@@ -101,7 +159,7 @@ def stratification_labels(df: DataFrame, n_splits: int = 5, price_bins: int = 5,
     price, age; rare labels collapsed on the combination table, which is
     joined back by broadcast (at most (price_bins+1) x 6 x 8 rows)."""
     if price_bins < 2:
-        raise ValueError("price_bins must be at least 2 for stratified CV.")
+        raise ValueError(f"{price_bins} price bins: strata need 2 or more")
     rows = price_quantile_bin(df, target_col, id_col, price_bins, "__pbin")
     rows = rows.withColumn("__abin", age_bin_expr(age_col))
     mkey = F.coalesce(F.trim(F.col(model_col).cast("string")), F.lit(C.MISSING_CATEGORY))
@@ -123,19 +181,16 @@ def stratified_assign(df: DataFrame, n_splits: int = 5, repeats: int = 3, seed:
     """K4: repeated stratified assignment table (id, repeat, fold, label).
     Repeat r uses seed + r - 1; inside each label rows are dealt round-robin
     in hash order."""
-    if n_splits < 2:
-        raise ValueError("n_splits must be at least 2.")
-    if repeats < 1:
-        raise ValueError("cv_repeats must be at least 1.")
+    if n_splits < 2 or repeats < 1:
+        raise ValueError(f"{n_splits} splits, {repeats} repeats: folds need 2 or more splits and 1 or more repeats")
     labelled = stratification_labels(df.select(id_col, target_col, "car_age_years", "model"), n_splits,
                                      price_bins, target_col, id_col, label_col=label_col)
     labelled = saved(labelled, "labels")
     per_repeat = labelled.select(id_col, label_col).withColumn(
         "repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     per_repeat = per_repeat.withColumn("__h", hash_order(id_col, F.col("repeat") + F.lit(seed - 1)))
-    ranked = rank_within(per_repeat, ["repeat", label_col], [F.col("__h"), F.col(id_col)], "__lrank")
-    return ranked.select(id_col, "repeat", ((F.col("__lrank") - 1) % n_splits + 1).cast("int").alias("fold"),
-                         label_col)
+    ranked = counted_rank(per_repeat, ["repeat", label_col], "__h", id_col)
+    return ranked.select(id_col, "repeat", ((F.col("__rank") - 1) % n_splits + 1).cast("int").alias("fold"), label_col)
 
 
 def cv_plan(df: DataFrame, n_splits: int = 5, strategy: str = "repeated_stratified", repeats: int = 3,
@@ -144,7 +199,7 @@ def cv_plan(df: DataFrame, n_splits: int = 5, strategy: str = "repeated_stratifi
     if strategy == "kfold":
         return kfold_assign(df.select(id_col), n_splits, seed, id_col).withColumn("repeat", F.lit(1))
     if strategy != "repeated_stratified":
-        raise ValueError(f"Unsupported cv_strategy: {strategy}")
+        raise ValueError(f"a plan is kfold or repeated_stratified, not {strategy}")
     return stratified_assign(df, n_splits, repeats, seed, price_bins, id_col)
 
 

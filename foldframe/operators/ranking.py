@@ -75,7 +75,7 @@ def price_quantile_bin(df: DataFrame, price_col: str, id_col: str, bucket_count:
     Q1..Qk (pandas qcut on ranks: bucket = max(ceil((r-1)k/(n-1)) - 1, 0));
     missing price -> `__PRICE_MISSING__`."""
     if bucket_count < 2:
-        raise ValueError("bucket_count must be at least 2.")
+        raise ValueError(f"{bucket_count} buckets: ranks are cut into 2 or more")
     present = df.where(F.col(price_col).isNotNull())
     n = present.count()
     missing = df.where(F.col(price_col).isNull()).withColumn(out_col, F.lit(C.PRICE_MISSING))

@@ -16,7 +16,7 @@ def validate_required_columns(df: DataFrame, required: Iterable[str], dataset_na
     """V1: raise if any required column is absent (no Spark job)."""
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"{dataset_name} is missing required columns: {missing}")
+        raise ValueError(f"{dataset_name} lacks {missing}")
     return df
 
 
@@ -56,8 +56,7 @@ def validate_value_ranges(df: DataFrame, dataset_name: str = "data", strict: boo
     bad = [r for r in range_report(df, strict).collect() if r["failed"]]
     if bad:
         details = "; ".join(f"{r['check']} out-of-range rate={r['bad_rate']:.4%}" for r in bad)
-        raise ValueError(f"{dataset_name} looks column-shifted or malformed: {details}. "
-                         "Read space-separated raw files with a single-space separator.")
+        raise ValueError(f"{dataset_name} has too many values out of range ({details}); are its fields split at every single space?")
     return df
 
 
@@ -65,12 +64,12 @@ def validate_raw_dataframe(df: DataFrame, dataset_name: str = "data", require_ta
                            strict: bool = False) -> DataFrame:
     """V3: non-empty, required columns, target presence, value ranges."""
     if df.isEmpty():
-        raise ValueError(f"{dataset_name} is empty.")
+        raise ValueError(f"{dataset_name} has no rows")
     validate_required_columns(df, C.COMMON_REQUIRED_COLUMNS, dataset_name)
     if require_target is None:
         require_target = dataset_name.strip().lower() in ("train", "training")
     if require_target and C.TARGET_COL not in df.columns:
-        raise ValueError(f"{dataset_name} must contain target column '{C.TARGET_COL}'.")
+        raise ValueError(f"{dataset_name} has no target {C.TARGET_COL}")
     return validate_value_ranges(df, dataset_name, strict)
 
 

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
-from ..operators import blend, clean, folds
+from ..operators import blend, clean, folds, metrics, ml
 from ..operators.quantiles import whole_quantiles
 from ..session import saved
 from ..sources import io
@@ -108,3 +109,40 @@ def make_submission(predictions: DataFrame, *paths: str) -> None:
     table = saved(clean.submission_projection(predictions), "submission")
     for path in paths:
         io.save_csv(table, path)
+
+
+# ------------------------------------------------------------ S9: training, prediction
+def train_job(train: DataFrame, test: DataFrame, plan: DataFrame, numeric: Sequence[str], categorical: Sequence[str], learner, out_dir: str, **how) -> DataFrame:
+    """Cross-validation and full fit with all that they leave under `out_dir`:
+    oof_predictions, valid_predictions, submission (csv), fold_metrics and metrics (csv,
+    the latter long form, with the overall OOF error) and the model bundle. `how`: seg,
+    target_mode, enc and rules. Returns the metrics as they were written."""
+    spark = train.sparkSession
+    predictions, per_fold = ml.cross_validate(train, plan, numeric, categorical, learner, **how)
+    oof = saved(ml.oof_table(predictions), "train-oof")
+    per_fold = saved(per_fold, "train-folds")
+    full, details = ml.fit_full_and_predict(train, test, numeric, categorical, learner, bundle=f"{out_dir}/model", **how)
+    submission = clean.submission_projection(full.select(C.ID_COL, F.col("prediction").alias(C.TARGET_COL)))
+    io.write_standard_outputs(out_dir, oof, submission, oof.withColumn("prediction", F.col("oof_pred")))
+    io.save_csv(per_fold, f"{out_dir}/fold_metrics")
+    summary = metrics.cv_summary(per_fold, oof).first().asDict()
+    numbers = {**summary, **{k: v for k, v in details.items() if isinstance(v, (int, float)) and not isinstance(v, bool)}}
+    rows = [(k, None if v is None else float(v)) for k, v in sorted(numbers.items())]
+    io.save_csv(spark.createDataFrame(rows, "metric string, value double").coalesce(1), f"{out_dir}/metrics")
+    return io.read_csv(spark, f"{out_dir}/metrics", T.StructType([T.StructField("metric", T.StringType()), T.StructField("value", T.DoubleType())]))
+
+
+def predict_job(rows: DataFrame, bundle: str, out_path: str, routed: bool = False) -> DataFrame:
+    """Predictions of `rows` from a saved bundle, written as a submission file; returns
+    what was written."""
+    spark = rows.sparkSession
+    found = ml.predict_bundle(spark, bundle, rows, routed)
+    io.save_csv(clean.submission_projection(found.select(C.ID_COL, F.col("prediction").alias(C.TARGET_COL))), out_path)
+    return io.load_submission(spark, "prediction", out_path)
+
+
+def blend_files_job(spark: SparkSession, oof_paths: dict[str, str], submission_paths: dict[str, str] | None, out_dir: str, **how) -> DataFrame:
+    """`blend_job` on OOF and submission files by model name."""
+    oof = [(n, io.load_oof(spark, n, p).withColumnRenamed(n, "oof_pred")) for n, p in oof_paths.items()]
+    subs = {n: io.load_submission(spark, n, p).withColumnRenamed(n, C.TARGET_COL) for n, p in submission_paths.items()} if submission_paths else None
+    return blend_job(oof, subs, out_dir, **how)

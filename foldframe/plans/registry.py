@@ -8,6 +8,7 @@ grows with the data. Double outputs are rounded to 9 decimals on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -672,6 +673,31 @@ def q_te_all(spark, sf):
     return _cv_enc(spark, sf, _ALL_COLS, fit_roles=True)
 
 
+def _strict_sql(cols: list[str]) -> str:
+    """By brute force: for each pair (outer fold, own fold) the statistics of the rows in neither."""
+    keys = sorted({k for c in cols for k in _KEYS_FOR[c]})
+    ctes = ["ag AS (SELECT DISTINCT afold, g, h FROM ap)",
+            "gm AS (SELECT ag.afold, avg(f.t) AS gmean FROM ag JOIN kf f ON f.fold <> ag.g AND f.fold <> ag.h GROUP BY ag.afold)"]
+    for k in keys:
+        ctes.append(f"ks_{k} AS (SELECT ag.afold, {_sql_on(k, 'f')} AS kval, sum(f.t) AS s, count(f.t) AS n, count(*) AS r "
+                    f"FROM ag JOIN kf f ON f.fold <> ag.g AND f.fold <> ag.h GROUP BY 1, 2)")
+    ex = _enc_exprs()
+    return O.with_ctes(O.base_cte(), _enc_rows_cte("er", "ln(1 + " + O.clip0("price") + ")"), "tr AS (SELECT * FROM er WHERE is_train)", _kfold_cte("tr", "kf"),
+                       "ap AS (SELECT kf.*, g.fold AS g, kf.fold AS h, g.fold * 10 + kf.fold AS afold FROM kf, (SELECT DISTINCT fold FROM kf) g)", *ctes) + f"""
+SELECT a.SaleID, CAST(a.g AS BIGINT) AS fold, CASE WHEN a.g = a.h THEN 'valid' ELSE 'fit' END AS role, {", ".join(f"{r(ex[c])} AS {c}" for c in cols)}
+FROM ap a
+{_enc_joins(keys)}"""
+
+
+@query("te_strict", _strict_sql(_ALL_COLS))
+def q_te_strict(spark, sf):
+    """T14 strict: fit rows of every fold encoded without that fold and without their own."""
+    rows = folds.kfold_assign(enc_frame(spark, sf).where(F.col("is_train")), 5, 42)
+    stats = encode.fit_stats(rows, transform_target(F.col(C.TARGET_COL), "log1p"), encode.keys_for(_ALL_COLS), "fold")
+    out = encode.strict_frames(rows, stats, Encodings(tuple(_ALL_COLS)), "fold", 5)
+    return rounded(out.select(C.ID_COL, F.col("outer").alias("fold"), "role", *_ALL_COLS))
+
+
 def _full_enc_sql(cols: list[str], target: str) -> str:
     keys = sorted({k for c in cols for k in _KEYS_FOR[c]})
     ex = _enc_exprs()
@@ -1112,6 +1138,24 @@ def q_blend_report(spark, sf):
     return rounded(jobs.blend_summary(m, PRED_COLS, "meta_fold", BLEND_STEP)[0].withColumn("value", F.round("value", 6)))
 
 
+@query("blend_continuous", O.with_ctes(*_pred_ctes(), _GRID_SQL) + f"""
+SELECT count(*) AS n_rows, (SELECT {r('min(m)', 6)} FROM (SELECT avg(abs(price - {_BLEND_EXPR})) AS m FROM preds, grid g GROUP BY g.cand_id) t) AS grid_mae,
+  TRUE AS no_worse, TRUE AS on_simplex FROM preds
+""")
+def q_blend_continuous(spark, sf):
+    """B8 without a grid: reweighted least squares on the simplex. The weights have no SQL
+    form; compared are the grid's best error and that they are no worse (to a part in a
+    million) and lie on the simplex."""
+    m = saved(oof_matrix(spark, sf), "matrix")
+    w, mae, _ = blend.continuous_weights(m, BLEND_MODELS)
+    grid = blend.weight_grid(spark, BLEND_MODELS, BLEND_STEP).select("cand_id", "w")
+    best = blend.score_candidates(m, grid).groupBy("cand_id").agg((F.sum("err") / F.sum("n")).alias("mae")).agg(F.min("mae").alias("grid_mae"))
+    n = m.agg(F.count(F.lit(1)).alias("n_rows"))
+    out = best.join(F.broadcast(n)).select("n_rows", F.round("grid_mae", 6).alias("grid_mae"), (F.lit(mae) <= F.col("grid_mae") * (1 + 1e-6)).alias("no_worse"),
+                                           F.lit(abs(sum(w) - 1) < 1e-9 and min(w) >= 0).alias("on_simplex"))
+    return rounded(out)
+
+
 @query("submission_matrix", O.with_ctes(*_pred_ctes()) + f"""
 SELECT SaleID, {', '.join(f"{r(c)} AS {c}" for c in PRED_COLS)} FROM preds
 """)
@@ -1186,7 +1230,7 @@ NUM_FEATURES = ["power", "kilometer", "v_0", "v_1", "v_2", "v_3", "v_4", "car_ag
 CAT_FEATURES = list(C.CATEGORICAL_COLUMNS)
 # MLlib grows trees one after the other, so the registered queries fit few of them; folds,
 # repeats and grid sizes are the full ones
-FEW_TREES = learners.BoostedTrees(trees=5, rate=0.3, depth=4)
+FEW_TREES = replace(ml.learner("lightgbm"), trees=5)
 
 
 @query("median_impute", O.with_ctes(O.base_cte(), "tr AS (SELECT * FROM base WHERE is_train)",
@@ -1407,6 +1451,73 @@ def q_submission_projection(spark, sf):
     return rounded(sio.load_submission(spark, "price", f"{path}/kept"))
 
 
+@query("leafwise_predict")
+def q_leafwise_predict(spark, sf):
+    """M6 + M7 with leaf-wise trees of 63 leaves at the preset's rate (rows-only check; 2
+    trees instead of 400); tests hold the grower against a plain one."""
+    df = _model_rows(spark, sf)
+    model = ml.fit_model(df.where(F.col("is_train")), NUM_FEATURES, CAT_FEATURES, replace(ml.learner("leafwise"), trees=2))
+    return model.predict(df.where(~F.col("is_train")), "price").select(C.ID_COL, F.round("price", 6).alias("price"))
+
+
+def _trained(spark, sf) -> tuple[str, DataFrame]:
+    """The training job with brand means as the learner, on 5 folds."""
+    df = _model_rows(spark, sf)
+    train, test = df.where(F.col("is_train")), df.where(~F.col("is_train"))
+    plan = folds.kfold_assign(train.select(C.ID_COL), 5, 42).withColumn("repeat", F.lit(1))
+    out = scratch_path(spark, "trained")
+    return out, jobs.train_job(train, test, plan, [], [], learners.GroupMean("brand"), out, seg=Segment(enabled=True))
+
+
+_FULL_FIT = ["fa AS (SELECT *, 0 AS f FROM tr)", "ta AS (SELECT *, 0 AS f FROM er WHERE NOT is_train)", *_means_sql("fa", "ta", "SaleID")]
+
+
+@query("train_outputs", "SELECT * FROM (" + O.with_ctes(*_cv_means_sql()) + f" SELECT 'oof' AS kind, SaleID, {r('price')} AS price, {r('pred')} AS prediction, {r('abs(price - pred)')} AS abs_error FROM fi) UNION ALL SELECT * FROM ("
+       + O.with_ctes(*_mean_frames(), *_FULL_FIT) + f" SELECT 'submission', SaleID, {r('pred')}, NULL, NULL FROM fi)")
+def q_train_outputs(spark, sf):
+    """The training job's validation predictions and submission, read from its files."""
+    out, _ = _trained(spark, sf)
+    valid = sio.load_oof(spark, "oof_pred", f"{out}/oof_predictions").select(C.ID_COL)
+    told = spark.read.option("header", True).csv(f"{out}/valid_predictions").select(
+        F.col(C.ID_COL).cast("long").alias(C.ID_COL), *[F.col(c).cast("double").alias(c) for c in (C.TARGET_COL, "prediction", "abs_error")])
+    both = told.join(valid, C.ID_COL).select(F.lit("oof").alias("kind"), C.ID_COL, C.TARGET_COL, "prediction", "abs_error")
+    sub = sio.load_submission(spark, C.TARGET_COL, f"{out}/submission")
+    none = F.lit(None).cast("double")
+    return rounded(both.unionByName(sub.select(F.lit("submission").alias("kind"), C.ID_COL, C.TARGET_COL, none.alias("prediction"), none.alias("abs_error"))))
+
+
+@query("train_metrics", O.with_ctes(*_cv_means_sql(), "fo AS (SELECT f, avg(abs(price - pred)) AS mae, avg(abs(price - g)) AS gmae FROM fi GROUP BY f)") + f"""
+SELECT metric, {r('value')} AS value FROM (
+  SELECT 'mae_mean' AS metric, avg(mae) AS value FROM fo UNION ALL SELECT 'mae_std', stddev_pop(mae) FROM fo
+  UNION ALL SELECT 'global_mae_mean', avg(gmae) FROM fo UNION ALL SELECT 'global_mae_std', stddev_pop(gmae) FROM fo
+  UNION ALL SELECT 'total_folds', count(*) FROM fo UNION ALL SELECT 'aggregated_oof_mae', avg(abs(price - pred)) FROM fi
+  UNION ALL SELECT 'aggregated_global_oof_mae', avg(abs(price - g)) FROM fi)""")
+def q_train_metrics(spark, sf):
+    """E4 in the training job's metrics file: fold errors and the overall OOF error."""
+    _, found = _trained(spark, sf)
+    names = ["mae_mean", "mae_std", "global_mae_mean", "global_mae_std", "total_folds", "aggregated_oof_mae", "aggregated_global_oof_mae"]
+    return rounded(found.where(F.col("metric").isin(names)))
+
+
+@query("predict_bundle", O.with_ctes(*_mean_frames(), *_FULL_FIT) + f" SELECT SaleID, {r('pred')} AS prediction FROM fi")
+def q_predict_bundle(spark, sf):
+    """Test predictions from the saved bundle, its segment model included."""
+    out, _ = _trained(spark, sf)
+    test = _model_rows(spark, sf).where(~F.col("is_train"))
+    return rounded(jobs.predict_job(test, f"{out}/model", scratch_path(spark, "predicted"), routed=True))
+
+
+@query("blend_files", ORACLE["blend_report"])
+def q_blend_files(spark, sf):
+    """S6 + B10: the blend job on OOF files; its summary equals that of the tables."""
+    p = saved(predictions(spark, sf), "predictions")
+    paths = {c: scratch_path(spark, "oof-file") for c in PRED_COLS}
+    for c, path in paths.items():
+        sio.save_csv(p.select(C.ID_COL, C.TARGET_COL, F.col(c).alias("oof_pred")), path)
+    out = jobs.blend_files_job(spark, paths, None, scratch_path(spark, "blended"), step=BLEND_STEP)
+    return rounded(out.withColumn("value", F.round("value", 6)))
+
+
 # ============================================ residuals: calibration, slices, promotion
 from ..operators import residuals  # noqa: E402
 

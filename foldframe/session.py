@@ -85,10 +85,3 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.join("foldframe", os.path.relpath(full, root)))
     sc.addPyFile(target)
     sc._foldframe_shipped = True
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor
-    loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -87,12 +87,21 @@ def save_raw_listing(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """S4 source: comma-separated with header."""
+    """S4 source: comma-separated with header; without a schema columns are inferred, which
+    reads the file once more."""
     r = spark.read.option("header", True)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     return r.csv(path)
 
 
+def _typed_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """The columns of a comma-separated file in the types given, read once."""
+    df = spark.read.option("header", True).csv(path)
+    if lacking := sorted(set(columns) - set(df.columns)):
+        raise ValueError(f"{path} has no column {', '.join(lacking)}")
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()])
+
+
 def save_csv(df: DataFrame, path: str) -> None:
     """S4 sink: comma-separated with header, no index."""
     df.write.mode("overwrite").option("header", True).csv(path)
@@ -108,21 +117,13 @@ def save_parquet(df: DataFrame, path: str) -> None:
 
 def load_oof(spark: SparkSession, name: str, path: str) -> DataFrame:
     """(SaleID, price, oof_pred -> name); raises when a column is missing."""
-    df = read_csv(spark, path)
-    missing = {C.ID_COL, C.TARGET_COL, "oof_pred"} - set(df.columns)
-    if missing:
-        raise ValueError(f"{path} missing columns: {sorted(missing)}")
-    return df.select(F.col(C.ID_COL).cast("long"), F.col(C.TARGET_COL).cast("double"),
-                     F.col("oof_pred").cast("double").alias(name))
+    df = _typed_csv(spark, path, {C.ID_COL: "long", C.TARGET_COL: "double", "oof_pred": "double"})
+    return df.withColumnRenamed("oof_pred", name)
 
 
 def load_submission(spark: SparkSession, name: str, path: str) -> DataFrame:
     """(SaleID, price -> name)."""
-    df = read_csv(spark, path)
-    missing = {C.ID_COL, C.TARGET_COL} - set(df.columns)
-    if missing:
-        raise ValueError(f"{path} missing columns: {sorted(missing)}")
-    return df.select(F.col(C.ID_COL).cast("long"), F.col(C.TARGET_COL).cast("double").alias(name))
+    return _typed_csv(spark, path, {C.ID_COL: "long", C.TARGET_COL: "double"}).withColumnRenamed(C.TARGET_COL, name)
 
 
 def write_standard_outputs(out_dir: str, oof: DataFrame | None = None, submission: DataFrame | None = None,

@@ -293,3 +293,94 @@ def test_plan_summary(spark):
     plan = spark.createDataFrame([(i, r, i % 3 + 1, "a" if i < 7 else "b") for r in (1, 2) for i in range(12)], "SaleID long, repeat int, fold int, strat_label string")
     assert tuple(folds.plan_summary(plan).first()) == (6, 2, 5)
     assert tuple(folds.plan_summary(plan.drop("strat_label")).first()) == (6, 1, 12)
+
+
+def test_strict_encodings_have_no_part_of_the_row_or_the_outer_fold(spark):
+    """T14 strict: own targets and those of the outer fold do not reach a fit row."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from foldframe.config import Encodings
+    from foldframe.operators import encode
+
+    r = random.Random(1)
+    base = [(i, "abc"[i % 3], "mn"[i % 2], 2.0, 80.0, i % 5 + 1, float(r.randint(100, 900))) for i in range(200)]
+    cols = "SaleID long, brand string, model string, car_age_years double, power double, fold int, price double"
+    outputs = ("brand_target_mean", "model_backoff_target_mean")
+
+    def strict(rows):
+        df = spark.createDataFrame(rows, cols)
+        stats = encode.fit_stats(df, F.col("price"), encode.keys_for(outputs), "fold")
+        return {(x.outer, x.SaleID): (x.role, x.brand_target_mean, x.model_backoff_target_mean) for x in encode.strict_frames(df, stats, Encodings(outputs), "fold", 5).collect()}
+
+    plain = strict(base)
+    spoilt = strict([(*x[:6], x[6] * 1000 if x[5] in (2, 4) else x[6]) for x in base])
+    assert len(plain) == 1000 and plain[2, 1][0] == "valid" and plain[3, 1][0] == "fit"
+    for (outer, i), v in plain.items():
+        hidden = {outer, i % 5 + 1}
+        same = v[1:] == pytest.approx(spoilt[outer, i][1:])
+        assert same == ({2, 4} <= hidden)
+
+
+def test_continuous_weights_are_no_worse_than_the_grid(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from foldframe.operators import blend
+
+    r = random.Random(4)
+    rows = []
+    for i in range(400):
+        y = r.uniform(10, 1000)
+        rows.append((i, y if i else None, [y * r.uniform(0.8, 1.3), y + r.gauss(0, 80), r.uniform(0, 900)]))
+    df = spark.createDataFrame(rows, "SaleID long, price double, preds array<double>")
+    w, mae, rounds = blend.continuous_weights(df, 3)
+    assert abs(sum(w) - 1) < 1e-9 and min(w) >= 0 and rounds < 100
+    assert mae == pytest.approx(blend.mae_for_weights(df, w))
+    known = df.where(F.col("price").isNotNull())
+    grid = blend.search_best_weights(known, blend.weight_grid(spark, 3, 0.025), 1).first()
+    assert mae <= grid.mae * (1 + 1e-6)
+    one, _, _ = blend.continuous_weights(spark.createDataFrame([(i, 5.0 * i, [5.0 * i, 9.0 * i]) for i in range(1, 50)], "SaleID long, price double, preds array<double>"), 2)
+    assert one[0] == pytest.approx(1.0, abs=1e-6)
+
+
+def test_samples_splits_and_folds_without_a_sort(spark, monkeypatch):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from foldframe.operators import folds
+
+    df = spark.range(3000).select(F.col("id").alias("SaleID"), (F.col("id") % 7).alias("x")).repartition(5)
+    order = sorted(range(3000), key=lambda i: (hashlib.md5(f"{i}:42".encode()).hexdigest(), i))
+    for margin in (100_000, 1):  # one step of digits, and down to single rows
+        monkeypatch.setattr(folds, "MARGIN", margin)
+        sample = folds.sample_rows(df, 123)
+        assert {r.SaleID for r in sample.collect()} == set(order[:123])
+        assert {r.SaleID for r in folds.train_valid_split(df, 0.1).where("split = 'valid'").collect()} == set(order[:300])
+    assert "Sort" not in sample._jdf.queryExecution().executedPlan().toString() and "Exchange hashpartitioning" not in sample._jdf.queryExecution().executedPlan().toString()
+    assert folds.sample_rows(df, 5000).count() == 3000
+    last = folds.train_valid_split(df, 0.1, shuffle=False)
+    assert {r.SaleID for r in last.where("split = 'valid'").collect()} == set(range(2700, 3000))
+    assigned = {r.SaleID: r.fold for r in folds.kfold_assign(df, 5, 42).collect()}
+    assert assigned == {i: k % 5 + 1 for k, i in enumerate(order)}
+
+
+def test_worst_share_and_bundles_of_every_learner(spark, tmp_path):
+    from foldframe.operators import learners, leafwise, metrics, ml
+
+    for errors in ([5.0] * 30, [float(i) for i in range(57)], [1.0], [1.0, 1.0, 1.0, 9.0] * 10):
+        df = spark.createDataFrame(list(enumerate(errors)), "id long, e double")
+        got = {r.metric: r.value for r in metrics.error_report(df, "e", "id").collect()}
+        worst = sorted(errors)[-max(1, int(len(errors) * 0.1)):]
+        assert got["worst_10pct_abs_error_share"] == pytest.approx(sum(worst) / sum(errors))
+    rows = spark.createDataFrame([(i, "ab"[i % 2], float(i % 5), 100.0 + 10 * (i % 5)) for i in range(80)], "SaleID long, brand string, x double, price double")
+    for k, (learner, features) in enumerate([(learners.GroupMean("brand"), []), (leafwise.LeafwiseTrees(trees=2, leaves=4, min_rows=5), ["x"])]):
+        model = ml.fit_model(rows, features, ["brand"] if features else [], learner)
+        model.save(str(tmp_path / str(k)))
+        before, after = ({r.SaleID: r.prediction for r in m.predict(rows).collect()} for m in (model, ml.FittedModel.load(spark, str(tmp_path / str(k)))))
+        assert before == pytest.approx(after)
+    with pytest.raises(ValueError):
+        ml.learner("none of them")
