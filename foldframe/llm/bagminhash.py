@@ -257,7 +257,8 @@ def _pairs_left(meeting: DataFrame, similarity: float) -> DataFrame:
 
 def size_class(n: Column) -> Column:
     """Sizes in steps of a thousandth; below a thousand every size is a class."""
-    return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.001)) + 1e-9)
+    steps = F.floor(F.log(n / F.lit(1000.0)) / F.log(F.lit(1.001)) + 1e-9)
+    return F.when(n < 1000, n.cast("long")).otherwise(F.lit(1000) + steps)
 
 
 def _by_size(mixed: DataFrame, similarity: float) -> DataFrame:
@@ -266,7 +267,7 @@ def _by_size(mixed: DataFrame, similarity: float) -> DataFrame:
     overlaps with the centre as large as their sizes ask for. They meet by equal keys,
     (centre, class of size): the sizes of its partners lie between a document's own size
     times the similarity and what its overlap with the centre allows, which are at most
-    some 450 classes however long the text is."""
+    some 600 classes however long the text is."""
     f = similarity / (1 + similarity)
     need = (F.col("n_b") + F.col("x_n")) * f - 1e-9
     most = F.floor(F.col("overlap") / f - F.col("n_b") + 1e-6)
