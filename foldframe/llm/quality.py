@@ -241,7 +241,12 @@ def classify(docs: DataFrame, labels: DataFrame, good: Column, host: Column, pat
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"),
                        row_group(F.col("doc_id"), host, path, F.col("text")).alias("row_group"), "text")
     model = fit(base.select("doc_id", "text"), labels, good, most)
-    scored = saved(evidence(base, model), "quality-scored")
+    return posteriors(saved(evidence(base, model), "quality-scored"))
+
+
+def posteriors(scored: DataFrame) -> DataFrame:
+    """The judgement on every row of `scored` (doc_id, host, path, row_group, evidence): its
+    evidence and the rate of its site without itself, shrunk toward the host and the whole."""
     sites, mean = site_posteriors(scored)
     s = sites.select(F.col("host").alias("s_host"), F.col("path").alias("s_path"), "site_n", "site_sum", "host_post", "path_strength")
     d = scored.join(s, F.col("host").eqNullSafe(F.col("s_host")) & F.col("path").eqNullSafe(F.col("s_path")))

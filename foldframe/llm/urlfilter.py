@@ -109,8 +109,10 @@ def judge(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None, de
     of its alias component decide, targets outside `pages` included: any allow,
     else any block, else `default`; `alias_rule` says whether they did.
 
-    A null url or html gives empty host and path or no links. Repeated rows are
-    judged alike. Empty tables give empty results; rules may be empty."""
+    As a member of a component an address without a path is its host's root, so a rule
+    on `/` fits it there; as a page it has an empty path, which no rule's path begins. A
+    null url or html gives empty host and path or no links. Repeated rows are judged
+    alike; of equally long rules an allow wins. Empty tables give empty results; rules may be empty."""
     base = pages.select("page_id", "url", "html")
     edges = page_links(base)
     if links is not None:

@@ -1,3 +1,6 @@
+import random
+import re
+
 import numpy as np
 import pytest
 
@@ -74,6 +77,92 @@ def test_urls_are_judged_by_rules_and_aliases(spark):
     assert {r.verdict for r in urlfilter.judge(pages, rules.where("false")).collect()} == {"allow"}
 
 
+def brute_verdicts(pages, rules) -> dict:
+    """page_id -> (rule, verdict), by trying every rule on every page and every alias."""
+    def parts(url):
+        if url is None or "://" not in url:
+            return "", ""
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group()
+        return host.translate({c: c + 32 for c in range(65, 91)}), re.match(r"[^?#]*", rest[len(host):]).group()
+
+    def best(host, path):
+        fit = [(-len(h + p), v, h + p) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return min(fit)[1:] if fit else None
+
+    def node(url):
+        host, _ = parts(url)
+        tail = re.match(r"[^#]*", url.split("://", 1)[1][len(host):]).group()
+        return host + (tail if tail.startswith("/") else "/" + tail)
+
+    edges = [(node(u), node(m.group(1))) for _, u, h in pages if u and (m := re.search(r'rel="canonical" href="([^"]*)"', h or ""))]
+    group, verdicts = components(edges), {}
+    for n, c in group.items():
+        host, tail = n.split("/", 1)
+        if hit := best(host, re.match(r"[^?]*", "/" + tail).group()):
+            verdicts.setdefault(c, []).append(hit[0])
+    out = {}
+    for i, u, _ in pages:
+        hit, alias = best(*parts(u)), verdicts.get(group.get(node(u))) if u else None
+        out[i] = (hit[1], hit[0]) if hit else (None, min(alias) if alias else "allow")
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_verdicts_equal_brute_force(spark, seed):
+    r = random.Random(seed)
+    hosts = ["net", "a.net", "example.net", "www.Example.net", "example.com", "de.example.com", "org", "x.org", "other.io", "q.io", "z.dev"]
+    paths = ["", "/", "/en/", "/en/x", "/de/1", "/fr/", "/fr/2?q=1", "/p?b=2", "?only=1", "/en"]
+    url = lambda: f"http://{r.choice(hosts)}{r.choice(paths)}{r.choice(['', '', '#top'])}"
+    html = lambda: f'<html><link rel="canonical" href="{url()}"></html>' if r.random() < 0.25 else r.choice(["<p>", None, "x" * 50_000])
+    pages = [(i, url(), html()) for i in range(250)] + [(900, None, "<p>")]
+    # with equally long rules: an allow goes first
+    rules = [*RULES, ("other.io", "/en/", "block"), ("io", "/en/x", "block"), ("q.io", "/en", "allow"), ("q.io", "/e", "block"), ("z.dev", "/fr/", "block"), ("z.dev", "/fr/", "allow")]
+    table = spark.createDataFrame(pages + pages[:5], "page_id long, url string, html string").repartition(3)
+    got = {x.page_id: (x.rule, x.verdict) for x in urlfilter.judge(table, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    want = brute_verdicts(pages, rules)
+    assert got == want and {v for _, v in want.values()} == {"allow", "block"}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_posteriors_equal_brute_force(spark, seed):
+    """Host and path means, their strengths and every document's posterior, summed in plain loops."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, f"h{rng.integers(6)}" if rng.random() < 0.9 else None, ["en", None, "de"][rng.integers(3)], float(rng.normal(1, 2))) for i in range(400)]
+    rows += [(400, "lone", "en", 3.0), (401, "h1", "en", -20.0), (None, "h2", "en", 0.5)] + [(7, "h3", "de", 0.0)] * 3
+    scored = spark.createDataFrame([(*x[:3], n, x[3]) for n, x in enumerate(rows)], "doc_id long, host string, path string, row_group long, evidence double")
+    p = [1 / (1 + np.exp(-x[3])) for x in rows]
+    paths, hosts = {}, {}
+    for x, v in zip(rows, p, strict=True):
+        paths.setdefault((x[1], x[2]), []).append(v)
+        hosts.setdefault(x[1], []).append(v)
+    mean = np.mean(p)
+    within = np.mean(np.square(p)) - mean ** 2
+
+    def strength(groups):  # (n, mean, prior)
+        n = np.array([g[0] for g in groups], float)
+        spread = sum(k * (m - q) ** 2 for k, m, q in groups)
+        between = (spread - (len(groups) - 1) * within) / (n.sum() - (n ** 2).sum() / n.sum())
+        return float(np.clip(within / between, 1, 1e6)) if between > 0 else 1e6
+
+    outer = strength([(len(v), np.mean(v), mean) for v in hosts.values()])
+    host_post = {h: (sum(v) + outer * mean) / (len(v) + outer) for h, v in hosts.items()}
+    inner = strength([(len(v), np.mean(v), host_post[k[0]]) for k, v in paths.items()])
+    sites, found = quality.site_posteriors(scored)
+    assert found == pytest.approx(mean)
+    for s in sites.collect():
+        v = paths[s.host, s.path]
+        assert (s.site_n, s.site_sum, s.host_post, s.path_strength) == pytest.approx((len(v), sum(v), host_post[s.host], inner))
+    out = {(r.row_group): r for r in quality.posteriors(scored).collect()}
+    edge = lambda x: min(max(x, 1e-6), 1 - 1e-6)
+    for n, (x, v) in enumerate(zip(rows, p, strict=True)):
+        site = paths[x[1], x[2]]
+        prior = edge((sum(site) - v + inner * host_post[x[1]]) / (len(site) - 1 + inner))
+        logit = x[3] + np.log(prior / (1 - prior)) - np.log(edge(mean) / (1 - edge(mean)))
+        want = 0.0 if x[3] <= quality.NO_WORDS else 1 / (1 + np.exp(-logit))
+        assert out[n].site_prior == pytest.approx(prior) and out[n].posterior == pytest.approx(want) and out[n].keep == (out[n].posterior >= 0.5)
+
+
 @pytest.fixture(scope="session")
 def vectors(spark):
     rng = np.random.default_rng(8)
