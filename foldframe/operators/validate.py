@@ -3,9 +3,9 @@ run as a single aggregate job over the table."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -20,9 +20,9 @@ def validate_required_columns(df: DataFrame, required: Iterable[str], dataset_na
     return df
 
 
-def range_report(df: DataFrame, strict: bool = False) -> DataFrame:
-    """V2 as a table: one row per check with bad count, row count, bad rate and
-    whether it fails. Missing values count as in range. One aggregate job."""
+def _range_sums(df: DataFrame) -> tuple[list[Column], list[tuple[str, str, bool]]]:
+    """Aggregates that count rows and values out of range, and (check, column, whether a
+    single one fails) of each check."""
     aggs = [F.count(F.lit(1)).alias("__rows")]
     checks = []
     if C.TARGET_COL in df.columns:
@@ -35,6 +35,13 @@ def range_report(df: DataFrame, strict: bool = False) -> DataFrame:
         v = to_double(col)
         aggs.append(F.sum(F.when((v < lo) | (v > hi), 1).otherwise(0)).alias(f"__bad_{col}"))
         checks.append((col, f"__bad_{col}", False))
+    return aggs, checks
+
+
+def range_report(df: DataFrame, strict: bool = False) -> DataFrame:
+    """V2 as a table: one row per check with bad count, row count, bad rate and
+    whether it fails. Missing values count as in range. One aggregate job."""
+    aggs, checks = _range_sums(df)
     if not checks:
         return df.sparkSession.createDataFrame(
             [], "check string, bad_count bigint, row_count bigint, bad_rate double, failed boolean")
@@ -53,11 +60,38 @@ def range_report(df: DataFrame, strict: bool = False) -> DataFrame:
 def validate_value_ranges(df: DataFrame, dataset_name: str = "data", strict: bool = False) -> DataFrame:
     """V2: raise when a check fails (price < 0 anywhere; other ranges when the
     out-of-range share exceeds 0.1 %, or any in strict mode)."""
-    bad = [r for r in range_report(df, strict).collect() if r["failed"]]
+    _raise_for([(r["check"], r["bad_rate"]) for r in range_report(df, strict).collect() if r["failed"]], dataset_name)
+    return df
+
+
+def _raise_for(bad: list[tuple[str, float]], dataset_name: str) -> None:
     if bad:
-        details = "; ".join(f"{r['check']} out-of-range rate={r['bad_rate']:.4%}" for r in bad)
+        details = "; ".join(f"{check} out-of-range rate={rate:.4%}" for check, rate in bad)
         raise ValueError(f"{dataset_name} has too many values out of range ({details}); are its fields split at every single space?")
-    return df
+
+
+def observed(df: DataFrame, dataset_name: str = "data", require_target: bool = False, strict: bool = False,
+             bad_rows: str | None = None) -> tuple[DataFrame, Callable[[], None]]:
+    """V2/V3 without a pass of their own: `df` with its checks observed, and a function that
+    raises for them once the frame has been written. Columns are checked at once.
+    `bad_rows` names a column that is set on malformed rows."""
+    validate_required_columns(df, C.COMMON_REQUIRED_COLUMNS, dataset_name)
+    if require_target and C.TARGET_COL not in df.columns:
+        raise ValueError(f"{dataset_name} has no target {C.TARGET_COL}")
+    aggs, checks = _range_sums(df)
+    seen = Observation(f"checks of {dataset_name}")
+    malformed = F.count(bad_rows) if bad_rows else F.sum(F.lit(0))
+
+    def check() -> None:
+        got = seen.get
+        if not got["__rows"]:
+            raise ValueError(f"{dataset_name} has no rows")
+        if got["__malformed"]:
+            raise ValueError(f"{dataset_name} has {got['__malformed']} rows whose number of fields is not that of its header")
+        rates = [(name, got[alias] / got["__rows"], one) for name, alias, one in checks]
+        _raise_for([(name, rate) for name, rate, one in rates if rate > (0 if one or strict else C.MAX_OUT_OF_RANGE_RATE)], dataset_name)
+
+    return df.observe(seen, *aggs, malformed.alias("__malformed")), check
 
 
 def validate_raw_dataframe(df: DataFrame, dataset_name: str = "data", require_target: bool | None = None,

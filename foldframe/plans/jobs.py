@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config as C
-from ..operators import blend, clean, folds, metrics, ml
+from ..operators import blend, clean, folds, metrics, ml, validate
 from ..operators.quantiles import whole_quantiles
-from ..session import saved
+from ..session import delete, saved
 from ..sources import io
 from . import feature_frame
 
@@ -87,11 +87,19 @@ def blend_job(oof: Sequence[tuple[str, DataFrame]], submissions: dict[str, DataF
 
 # ------------------------------------------------------------ S11 / S12 / S8
 def make_data(spark: SparkSession, train_path: str, test_path: str, out_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Raw train and test files, checked and cleaned, to out_dir/train and out_dir/test."""
-    parts = (("train", io.load_train_data(spark, train_path), clean.clean_train_data),
-             ("test", io.load_test_data(spark, test_path), clean.clean_test_data))
-    for name, raw, tidy in parts:
-        io.save_parquet(tidy(raw), f"{out_dir}/{name}")
+    """Raw train and test files, checked and cleaned, to out_dir/train and out_dir/test.
+
+    Each file is read once: fields, target and ranges are observed while the cleaned rows are
+    written, and a table that fails a check is deleted again."""
+    for name, path, target in (("train", train_path, True), ("test", test_path, False)):
+        raw = io.read_raw_listing(spark, path, name, keep_malformed=True)
+        rows, check = validate.observed(clean.clean_dataframe(raw, name, validate=False), name, target, bad_rows=io.MALFORMED)
+        io.save_parquet(rows.drop(io.MALFORMED), f"{out_dir}/{name}")
+        try:
+            check()
+        except ValueError:
+            delete(spark, f"{out_dir}/{name}")
+            raise
     return io.read_parquet(spark, f"{out_dir}/train"), io.read_parquet(spark, f"{out_dir}/test")
 
 

@@ -53,9 +53,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """This run's folder for scratch tables, under the shared checkpoint folder."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_foldframe_run"):
+        sc._foldframe_run = uuid.uuid4().hex
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/foldframe-tables/run-{sc._foldframe_run}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/foldframe-tables/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder where Spark sees it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes the scratch tables of this run. Frames that read them are of no use
+    afterwards, so results are to be written first."""
+    delete(spark, _scratch_root(spark))
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -36,14 +36,15 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_raw_listing(spark: SparkSession, path: str, dataset_name: str = "data", validate: bool = False,
-                     require_target: bool | None = None, types: dict[str, T.DataType] | None = None) -> DataFrame:
+                     require_target: bool | None = None, types: dict[str, T.DataType] | None = None,
+                     keep_malformed: bool = False) -> DataFrame:
     """Exactly one space between fields, so consecutive separators give NULL fields.
 
     Columns are taken by the names in the header, whatever their order, and get the
     types of `types` (default: the listing columns; `v_*` are doubles; others stay
     text). Cells that their type cannot hold become NULL. With `validate`, required
     columns, the target and value ranges are checked (V3) and rows with more or fewer
-    fields than the header are an error."""
+    fields than the header are an error; `keep_malformed` marks them in a column instead."""
     names = header_of(spark, path)
     file_schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
     rows = (spark.read.option("sep", RAW_SEPARATOR).option("header", True).option("enforceSchema", False)
@@ -51,7 +52,7 @@ def read_raw_listing(spark: SparkSession, path: str, dataset_name: str = "data",
             .option("columnNameOfCorruptRecord", MALFORMED).schema(file_schema).csv(path))
     known = types or TYPES
     kind = lambda n: known.get(n, T.DoubleType() if n.startswith("v_") else T.StringType())
-    df = rows.select(*[F.col(f"`{n}`").try_cast(kind(n)).alias(n) for n in names])
+    df = rows.select(*[F.col(f"`{n}`").try_cast(kind(n)).alias(n) for n in names], *([MALFORMED] if keep_malformed else []))
     if validate:
         V.validate_raw_dataframe(df, dataset_name, require_target)
         # the checksum reads every column: a scan of some of them does not count the fields

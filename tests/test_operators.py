@@ -384,3 +384,46 @@ def test_worst_share_and_bundles_of_every_learner(spark, tmp_path):
         assert before == pytest.approx(after)
     with pytest.raises(ValueError):
         ml.learner("none of them")
+
+
+def test_checks_are_observed_while_the_rows_are_written(spark, tmp_path):
+    """One pass; a table that fails a check leaves nothing behind."""
+    import os
+
+    from foldframe import config as C
+    from foldframe.plans import jobs
+
+    names = [*C.COMMON_REQUIRED_COLUMNS, "price"]
+
+    def file(name, change=None, rows=60, columns=names):
+        lines = [" ".join(columns)]
+        for i in range(rows):
+            row = {c: "1" for c in columns} | {"SaleID": str(i), "regDate": "20100101", "creatDate": "20160101", "price": "900"}
+            lines.append(" ".join((change or (lambda _, r: r))(i, row)[c] for c in columns))
+        path = str(tmp_path / name)
+        with open(path, "w") as f:
+            f.write("\n".join(lines) + "\n")
+        return path
+
+    good, test = file("good"), file("test", columns=names[:-1])
+    train, _ = jobs.make_data(spark, good, test, str(tmp_path / "out"))
+    assert train.count() == 60 and "_malformed" not in train.columns
+    bad = {"price": file("a", lambda i, r: r | {"price": "-5"} if i == 3 else r), "gearbox": file("b", lambda i, r: r | {"gearbox": "7"}),
+           "header": file("c", lambda i, r: r | {"price": "1 2"} if i == 4 else r), "no rows": file("d", rows=0), "target": file("e", columns=names[:-1])}
+    for word, path in bad.items():
+        with pytest.raises(ValueError, match=word):
+            jobs.make_data(spark, path, test, str(tmp_path / f"out-{os.path.basename(path)}"))
+        assert not os.path.exists(tmp_path / f"out-{os.path.basename(path)}" / "train")
+
+
+def test_scratch_tables_of_a_run_are_deleted(spark):
+    import os
+
+    from foldframe import session
+
+    path = session.scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file://")
+    assert os.path.exists(local)
+    session.delete(spark, path)
+    assert not os.path.exists(local) and os.path.basename(os.path.dirname(local)).startswith("run-")
