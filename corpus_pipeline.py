@@ -59,8 +59,9 @@ STAGES: list[tuple[str, Stage]] = [
     ("best-fit packing", packing_stage),
 ]
 
-# a fitted classifier, BagMinHash and a tokenizer are beyond SQL; tests/llm holds
-# every stage against a brute-force version
+# a fitted classifier, BagMinHash and a tokenizer are beyond SQL; tests/llm holds the line
+# and near-duplicate stages against brute force, the others against their operators, and these
+# against brute force, held-out labels or a round trip
 ORACLE_SQL = None
 
 
