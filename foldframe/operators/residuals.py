@@ -14,15 +14,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil, exp, factorial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.columns import edges_below
 from ..functions.dates import age_bin, power_bin
 from ..session import saved
 from . import keyed
-from .quantiles import grouped_quantiles, whole_quantiles
+from .quantiles import whole_quantiles
 
 ALL_ROWS = 0
 CELLS = ("cell1", "cell2", "cell3")
@@ -78,6 +80,45 @@ class Calibration:
         return df.drop(*[f"__{level}" for level in CELLS])
 
 
+# classes of values by which a median's neighbourhood is found
+VALUE_CLASSES = 128
+
+
+def _medians_without(rows: DataFrame) -> DataFrame:
+    """(level, key, g, m, n): median and number of the values v in each cell without fold g
+    (ALL_ROWS: with all of them), exactly; `rows` have fold, v and CELLS.
+
+    Rows are counted once by cell, fold and class of value; these counts, bounded by the
+    label domains, tell for every cell and fold the class that holds the median. Only rows
+    of such a class are put in order: a few in a hundred of the table."""
+    cuts = rows.where(~F.isnan("v")).agg(F.percentile_approx("v", [k / VALUE_CLASSES for k in range(1, VALUE_CLASSES)], 10_000)).first()[0]
+    rows = saved(rows.withColumn("class", F.when(~F.isnan("v"), edges_below("v", sorted(set(cuts or []))))), "residual-rows")
+    # one row per fold comes to the driver
+    folds = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
+    out_of = F.filter(F.array(*[F.lit(g) for g in [ALL_ROWS, *folds]]), lambda g: g != F.col("fold"))
+    levels = F.array(*[F.struct(F.lit(i + 1).alias("level"), F.col(c).alias("key")) for i, c in enumerate(CELLS)], F.struct(F.lit(0).alias("level"), F.lit("").alias("key")))
+    cell = ["level", "key", "g"]
+    counts = saved(rows.groupBy(*CELLS, "fold", "class").agg(F.count(F.lit(1)).alias("c")), "residual-counts")
+    each = counts.select("class", "c", F.explode(out_of).alias("g"), levels.alias("levels")).select("class", "c", "g", F.inline("levels"))
+    each = each.groupBy(*cell, "class").agg(F.sum("c").alias("c"))
+    whole, real = Window.partitionBy(*cell), F.when(F.col("class").isNotNull(), F.col("c")).otherwise(F.lit(0))
+    upto = F.sum(real).over(whole.orderBy("class").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    each = each.withColumns({"n": F.sum("c").over(whole), "reals": F.sum(real).over(whole), "upto": upto}).where(F.col("class").isNotNull())
+    middle = 0.5 * (F.col("reals") - 1)
+    holds = lambda k: (F.col("upto") > k) & (F.col("upto") - F.col("c") <= k)
+    want = saved(each.groupBy(*cell, "n", "reals").agg(
+        F.max(F.when(holds(F.floor(middle)), F.col("class"))).alias("first"), F.max(F.when(holds(F.ceil(middle)), F.col("class"))).alias("last"),
+        F.max(F.when(holds(F.floor(middle)), F.col("upto") - F.col("c"))).alias("before")), "residual-classes")
+    wanted = want.groupBy("level", "key").agg(F.collect_list(F.struct("g", "first", "last")).alias("wanted"))
+    stacked = rows.select("v", "fold", "class", F.inline(levels)).where(F.col("class").isNotNull())
+    near = F.filter("wanted", lambda x: (x["g"] != F.col("fold")) & ((x["first"] == F.col("class")) | (x["last"] == F.col("class"))))
+    found = keyed.attach(stacked, wanted, ["level", "key"]).select("level", "key", "v", F.inline(near)).groupBy(*cell, "v").agg(F.count(F.lit(1)).alias("c"))
+    found = keyed.attach(found, want, cell)
+    found = found.withColumn("upto", F.col("before") + F.sum("c").over(whole.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ends = found.groupBy(*cell, "n", "reals").agg(F.max(F.when(holds(F.floor(middle)), F.col("v"))).alias("lo"), F.max(F.when(holds(F.ceil(middle)), F.col("v"))).alias("hi"))
+    return ends.select(*cell, (F.col("lo") + (F.col("hi") - F.col("lo")) * (middle - F.floor(middle))).alias("m"), "n")
+
+
 def fit_calibration(oof: DataFrame, pred: str, kind: str = "additive", target_col: str = C.TARGET_COL, fold_col: str = "fold", buckets: int = 10,
                     shrink: float = 50.0, age_col: str = "car_age_years", power_col: str = "power") -> Calibration:
     """Corrections from an OOF table, cross-fitted by `fold_col` (numbers from 1).
@@ -94,14 +135,7 @@ def fit_calibration(oof: DataFrame, pred: str, kind: str = "additive", target_co
     value = y - p if kind == "additive" else F.when(p > 0, y / p)
     keys = cells(F.col(pred), edges, age_col, power_col)
     rows = oof.select(F.col(fold_col).cast("int").alias("fold"), value.alias("v"), *[k.alias(c) for c, k in keys.items()]).where("v is not null")
-    # one row per fold comes to the driver
-    folds = sorted(r["fold"] for r in rows.select("fold").distinct().collect())
-    out_of = F.filter(F.array(*[F.lit(g) for g in [ALL_ROWS, *folds]]), lambda g: g != F.col("fold"))
-    levels = F.array(*[F.struct(F.lit(i + 1).alias("level"), F.col(c).alias("key")) for i, c in enumerate(CELLS)], F.struct(F.lit(0).alias("level"), F.lit("").alias("key")))
-    each = rows.select("v", F.explode(out_of).alias("g"), "fold", levels.alias("levels")).select("v", "g", F.inline("levels"))
-    medians = grouped_quantiles(each, ["level", "key", "g"], ["v"], [0.5]).select("level", "key", "g", F.col("value").alias("m"))
-    counts = each.groupBy("level", "key", "g").agg(F.count("v").alias("n"))
-    known = saved(medians.join(counts, ["level", "key", "g"]), "residual-cells")
+    known = saved(_medians_without(rows), "residual-cells")
 
     # label domains times folds: a bounded number of rows from here on
     above = known.where("level = 0").select("g", F.col("m").alias("up"))
@@ -206,8 +240,6 @@ def selective_uplift(oof: DataFrame, pred: str, kind: str = "additive", fold_col
 # ------------------------------------------------------------------ promotion
 # P(N <= k) of a Poisson number of mean 1, k = 0, 1, ...
 def _poisson_steps(most: int = 9) -> list[float]:
-    from math import exp, factorial
-
     p, out = 0.0, []
     for k in range(most):
         p += exp(-1.0) / factorial(k)
@@ -215,28 +247,48 @@ def _poisson_steps(most: int = 9) -> list[float]:
     return out
 
 
+def _weight_of(digits: Column) -> Column:
+    """Poisson(1) number of eight hexadecimal digits, read as a share u of 16**8: how many of
+    the steps u reaches. Digits of one length compare as their numbers do; without any, 0."""
+    least = [f"{ceil(x * 2.0 ** 32):08x}" for x in _poisson_steps() if ceil(x * 2.0 ** 32) < 2 ** 32]
+    # most numbers are small, so the steps are asked for from the first one on
+    first = F.when(digits.isNull() | (digits < F.lit(least[0])), F.lit(0))
+    return reduce(lambda a, k: a.when(digits < F.lit(least[k]), F.lit(k)), range(1, len(least)), first).otherwise(F.lit(len(least)))
+
+
+def with_blocks(rows: DataFrame, id_col: str, replicates: int, seed: int) -> DataFrame:
+    """`rows` once for each block of four bootstrap replicates, with `block` and their Poisson(1)
+    weights `w0` to `w3`: from the md5 of `id:seed:block`, whose 32 digits make four
+    replicates. Block -1 is the table itself, of weight 1 in `w0`."""
+    d = rows.withColumn("block", F.explode(F.sequence(F.lit(-1), F.lit(-(-replicates // 4) - 1))))
+    d = d.withColumn("_h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}:"), F.col("block").cast("string"))))
+    weight = lambda j: F.when(F.col("block") < 0, F.lit(int(j == 0))).otherwise(_weight_of(F.substring("_h", 8 * j + 1, 8)))
+    return d.select(*rows.columns, "block", *[weight(j).alias(f"w{j}") for j in range(4)])
+
+
+def _by_replicate(blocks: DataFrame, replicates: int, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """`keep`, `replicate` and `columns` of the four replicates (0: the table itself) that
+    each row of `blocks` holds as `columns` with the numbers 0 to 3."""
+    number = lambda j: F.when(F.col("block") < 0, F.lit(0)).otherwise(F.col("block") * 4 + j + 1)
+    each = F.array(*[F.struct(number(j).alias("replicate"), *[F.col(f"{c}{j}").alias(c) for c in columns]) for j in range(4)])
+    return blocks.select(*keep, F.inline(each)).where(F.col("replicate") <= replicates)
+
+
 def with_replicates(rows: DataFrame, id_col: str, replicates: int, seed: int) -> DataFrame:
-    """`rows` once for each bootstrap replicate, with `replicate` and its Poisson(1) weight
-    `w`: from the md5 of `id:seed:block`, whose 32 digits make four replicates."""
-    blocks = -(-replicates // 4)
-    d = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    d = d.withColumn("_h", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}:"), F.col("_block").cast("string"))))
-    digits = F.array(*[F.struct((F.col("_block") * 4 + j + 1).alias("replicate"), F.substring("_h", 8 * j + 1, 8).alias("_digits")) for j in range(4)])
-    d = d.select(*rows.columns, F.inline(digits)).where(F.col("replicate") <= replicates)
-    u = F.conv("_digits", 16, 10).cast("double") / F.lit(2.0 ** 32)
-    steps = F.array(*[F.lit(x) for x in _poisson_steps()])
-    return d.withColumn("w", F.size(F.filter(steps, lambda x: x <= u))).drop("_digits")
+    """`rows` once for each bootstrap replicate, with `replicate` (from 1) and its weight `w`."""
+    return _by_replicate(with_blocks(rows, id_col, replicates, seed), replicates, rows.columns, ["w"]).where("replicate > 0")
 
 
 def promotion_replicates(pairs: DataFrame, old: str, new: str, id_col: str = C.ID_COL, target_col: str = C.TARGET_COL, replicates: int = 100, seed: int = 42) -> DataFrame:
     """(replicate, n, gain): the mean absolute error that `new` takes off, in every
-    bootstrap replicate; replicate 0 is the table itself. One aggregate; a row's weights
-    come from its id, so both predictions are resampled alike."""
+    bootstrap replicate; replicate 0 is the table itself. A row's weights come from its id,
+    so both predictions are resampled alike. Rows are summed by blocks of four replicates."""
     gain = F.abs(F.col(target_col) - F.col(old)) - F.abs(F.col(target_col) - F.col(new))
     rows = pairs.select(id_col, gain.alias("g")).where("g is not null")
-    drawn = with_replicates(rows, id_col, replicates, seed).where("w > 0")
-    rows = drawn.unionByName(rows.withColumns({"replicate": F.lit(0), "w": F.lit(1)}))
-    return rows.groupBy("replicate").agg(F.sum("w").alias("n"), (F.sum(F.col("w") * F.col("g")) / F.sum("w")).alias("gain"))
+    drawn = lambda j: F.sum(F.when(F.col(f"w{j}") > 0, F.col(f"w{j}") * F.col("g")))
+    sums = with_blocks(rows, id_col, replicates, seed).groupBy("block").agg(*[x for j in range(4) for x in (F.sum(f"w{j}").alias(f"n{j}"), drawn(j).alias(f"s{j}"))])
+    each = _by_replicate(sums, replicates, [], ["n", "s"]).where("n > 0")
+    return each.select("replicate", "n", (F.col("s") / F.col("n")).alias("gain"))
 
 
 def promote_model(pairs: DataFrame, old: str, new: str, share: float = 0.95, least_gain: float = 0.0, **how) -> DataFrame:

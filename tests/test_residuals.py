@@ -96,3 +96,25 @@ def test_promotion_is_paired_and_weights_are_poisson(spark):
     assert same.gain == 0.0 and not same.promote
     w = Counter(x.w for x in residuals.with_replicates(rows.select("SaleID"), "SaleID", 10, 1).collect())
     assert sum(w.values()) == 40_000 and w[0] / 40_000 == pytest.approx(0.3679, abs=0.01) and sum(k * v for k, v in w.items()) / 40_000 == pytest.approx(1.0, abs=0.02)
+
+
+def test_medians_without_each_fold_equal_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 2, 3]), rng.choice([1.5, rng.gauss(0, 9), float("nan")]), f"b{i % 2}", f"b{i % 2}|x{i % 3}", f"b{i % 2}|x{i % 3}|y") for i in range(400)]
+    df = spark.createDataFrame(rows, "fold int, v double, cell1 string, cell2 string, cell3 string")
+    got = {(r["level"], r["key"], r["g"]): (r["m"], r["n"]) for r in residuals._medians_without(df).collect()}
+    want = {}
+    for g in (0, 1, 2, 3):
+        for level in (0, 1, 2, 3):
+            for key in {"" if level == 0 else r[level + 1] for r in rows}:
+                own = [r[1] for r in rows if r[0] != g and (level == 0 or r[level + 1] == key)]
+                want[level, key, g] = (median([v for v in own if v == v]), len(own))
+    assert got.keys() == want.keys()
+    assert all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want)
+
+
+def test_bootstrap_rows_are_copied_for_blocks_of_replicates_only(spark):
+    rows = spark.createDataFrame([(1, 2.0), (None, 3.0)], "SaleID long, g double")
+    blocks = residuals.with_blocks(rows, "SaleID", 100, 42).collect()
+    assert len(blocks) == 2 * 26
+    assert all(r.w0 + r.w1 + r.w2 + r.w3 == (r.block < 0) for r in blocks if r.SaleID is None)
