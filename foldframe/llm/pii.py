@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.quantiles import grouped_quantiles
 from ..session import saved
 
 KINDS = ("email", "ip", "card", "phone")
@@ -57,11 +58,9 @@ CUES = (r"mail|contact|write", r"call|tel|phone|fax|mobil|ring", r"card|visa|pay
 
 
 class Settings(NamedTuple):
-    """The trees are fitted on at most `sample` proposals of each label, the first by a
-    hash, and calibrated on as many others. A proposal is redacted at a probability of
-    `sure` or more, and never below the score that `spared` of the held-out negatives of
-    its kind stay under."""
-    sample: int = 10_000
+    """Half of all proposals fit the trees, the others calibrate them. A proposal is redacted
+    at a probability of `sure` or more, and never below the score that `spared` of the
+    held-out negatives of its kind stay under."""
     trees: int = 20
     depth: int = 4
     rate: float = 0.2
@@ -171,32 +170,20 @@ class Model(NamedTuple):
     least: dict[str, float]  # per kind, the score from which a proposal is redacted
 
 
-def lowest(rows: DataFrame, n: int, most: int) -> DataFrame:
-    """The `most` of `n` rows with the lowest hashes h; of very many rows only about four
-    times as many as asked for are put in order."""
-    rows = rows.withColumn("h", F.shiftrightunsigned("h", 1))
-    if n > 8 * most:
-        rows = rows.where(F.col("h") < F.lit(int(2.0 ** 63 * 4.0 * most / n)))
-    return rows.orderBy("h", "kind", "hit", "tail").limit(most)
-
-
 def fitted(proposals: DataFrame, s: Settings) -> Model | None:
-    """Trees and thresholds from proposals; None if positives or others are missing. The
-    sample is bounded by `s.sample`, the first proposals of each label by a hash; near
-    halves of it fit and calibrate."""
+    """Trees and thresholds from all proposals; None if positives or others are missing. A
+    hash tells near halves of them apart: one fits the trees, the other calibrates."""
     h = F.xxhash64("hit", "tail", "head", "kind", F.lit(5))
-    known = proposals.select("kind", "own", "other", "x", "hit", "tail", h.alias("h"))
-    size = known.agg(F.count(F.when(F.col("own"), 1)), F.count(F.when(~F.col("own"), 1))).first()
-    label = [lowest(known.where(c), n, 2 * s.sample) for c, n in zip((F.col("own"), ~F.col("own")), size, strict=True)]
-    sample = saved(label[0].unionByName(label[1]).withColumn("label", F.col("own").cast("double")).withColumn("fit", F.pmod("h", F.lit(2)) == 0)
-                   .repartition(1).sortWithinPartitions("h", "kind", "hit", "tail"), "pii-sample")
-    if sample.where("fit").select("label").distinct().count() < 2:
+    # the last bit of the hash shifted, as the halves have always been told apart
+    known = saved(proposals.select("kind", "own", "other", "x", F.col("own").cast("double").alias("label"),
+                                   (F.pmod(F.shiftrightunsigned(h, 1), F.lit(2)) == 0).alias("fit")), "pii-labelled")
+    if known.where("fit").select("label").distinct().count() < 2:
         return None
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=s.trees, maxDepth=s.depth, stepSize=s.rate, seed=7).fit(sample.where("fit").select("x", "label"))
-    held = scored(sample.where(~F.col("fit")), trees)
-    at = held.groupBy("kind").agg(F.avg(F.when(F.col("own"), F.col("score"))).alias("c"),
-                                  F.percentile(F.when(~F.col("own") & F.col("other"), F.col("score")), s.spared).alias("spared")).collect()
-    return Model(trees, {r["kind"]: max(s.sure * r["c"], (r["spared"] or 0.0) + 1e-9) for r in at if r["c"] is not None})
+    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=s.trees, maxDepth=s.depth, stepSize=s.rate, seed=7).fit(known.where("fit").select("x", "label"))
+    held = saved(scored(known.where("not fit"), trees).drop("x"), "pii-held")
+    sure = {r["kind"]: r["c"] for r in held.where("own").groupBy("kind").agg(F.avg("score").alias("c")).collect()}
+    spared = {r["kind"]: r["value"] for r in grouped_quantiles(held.where("not own and other"), ["kind"], ["score"], [s.spared]).collect()}
+    return Model(trees, {k: max(s.sure * c, (spared.get(k) or 0.0) + 1e-9) for k, c in sure.items()})
 
 
 def scored(proposals: DataFrame, trees: GBTClassificationModel) -> DataFrame:
@@ -247,7 +234,7 @@ def personal_data(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
 
     Starts and ends are code points, the end exclusive. `docs` needs doc_id and text; other
     columns are ignored. A null or empty text has no spans. Repeated rows and null ids come
-    out one row each. Without positives or without other proposals in the sample no trees
+    out one row each. Without positives or without other proposals in the fitting half no trees
     are fitted and the strict spans are the result. Of selected proposals
     that overlap the longest stays. An empty table gives an empty result. Texts are matched
     whole; a document's matches are placed by one window."""
