@@ -427,3 +427,23 @@ def test_scratch_tables_of_a_run_are_deleted(spark):
     assert os.path.exists(local)
     session.delete(spark, path)
     assert not os.path.exists(local) and os.path.basename(os.path.dirname(local)).startswith("run-")
+
+
+def test_quantiles_count_a_row_once_however_often_a_probability_is_asked_for(spark):
+    df = spark.range(11).selectExpr("cast(id as double) AS v")
+    got = {(r["prob"]): r["value"] for r in grouped_quantiles(df, [], ["v"], [0.9, 0.5, 0.9]).collect()}
+    assert got == {0.5: 5.0, 0.9: 9.0}
+
+
+def test_raw_files_hold_region_codes_within_their_range(spark, tmp_path):
+    import datetime
+
+    from foldframe.plans import registry
+
+    day, customers = datetime.date(1995, 3, 1), [7, 99_999, 100_000, 100_001, 450_000, 900_000]
+    spark.createDataFrame([(c, 3, 900.0) for c in customers], "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = [(i, c, "F", 1000.0 + i, day) for i, c in enumerate(customers, 1)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(i, day, 20.0, 0.1, 0.1, 5.0) for i, *_ in orders]
+    spark.createDataFrame(lines, "l_orderkey long, l_shipdate date, l_quantity double, l_discount double, l_tax double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert {r["name"] for r in registry.q_csv_roundtrip(spark, str(tmp_path)).collect()} == set(customers)
