@@ -141,3 +141,21 @@ def test_query_equals_brute_force(spark, sf):
     for k, t in docs.items():
         r = rows[k]
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == expected(t)
+
+
+def test_trees_are_fitted_on_half_of_all_proposals(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    class Trees:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, rows):
+            raise Seen(rows.count())
+
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    made = spark.range(50_000).selectExpr("'ip' AS kind", "id % 2 = 0 AS own", "id % 2 = 1 AS other", "string(id) AS hit", "'' AS tail", "'' AS head", "0.0 AS x")
+    with pytest.raises(Seen) as seen:
+        pii.fitted(made, pii.Settings())
+    assert 24_000 < seen.value.args[0] < 26_000
