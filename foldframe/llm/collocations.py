@@ -42,7 +42,7 @@ class Settings(NamedTuple):
     2**filter_bits bits; there is one for phrases of each length up to `mapped`. A tree holds about `budget` leaves, on small tables no less than
     `least_share`; prefixes are told apart in `units` hash units, and a unit above the
     budget by `fan` units of the next word; up to `listed` such units are named in the
-    plan. A task puts equal leaves together in blocks of `buffer`."""
+    plan. A task puts equal leaves together whenever it holds `buffer`."""
     least: int = 100
     longest: int = 5
     filter_bits: int = 26
@@ -196,28 +196,37 @@ def together(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def leaves(docs: DataFrame, maps: list[np.ndarray], s: Settings) -> DataFrame:
-    """(w1, w2, ..., n): the leaves of the tree, those of one task put together."""
+    """(w1, w2, ..., n): the leaves of the tree, those of one task put together.
+
+    A task for each core reads all of its part before it gives out its leaves, unless more
+    than half a buffer of them are different: rows are at most tasks times different
+    leaves. With a task for each split both factors would grow with the input."""
     names = [f"w{k}" for k in range(1, s.longest + 1)]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, count, size = [], [], 0
 
-        def out() -> pa.RecordBatch:
-            rows, n = together(np.concatenate(held), np.ones(size))
+        def out(rows: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(rows[:, k]))) for k in range(s.longest)] + [pa.array(n)], [*names, "n"])
 
         for batch in batches:
             for w, _ in words_of(batch.column(0), batch.column(1).to_pylist()):
                 rows = suffixes(w, maps, s)
                 held.append(rows)
+                count.append(np.ones(len(rows), np.int64))
                 size += len(rows)
                 if size >= s.buffer:
-                    yield out()
-                    held, size = [], 0
+                    rows, n = together(np.concatenate(held), np.concatenate(count))
+                    if len(rows) > s.buffer // 2:
+                        yield out(rows, n)
+                        held, count, size = [], [], 0
+                    else:
+                        held, count, size = [rows], [n], len(rows)
         if size:
-            yield out()
+            yield out(*together(np.concatenate(held), np.concatenate(count)))
 
-    return docs.select("text", "lang").mapInArrow(emit, ", ".join(f"{x} long" for x in [*names, "n"]))
+    parts = docs.select("text", "lang").coalesce(docs.sparkSession.sparkContext.defaultParallelism)
+    return parts.mapInArrow(emit, ", ".join(f"{x} long" for x in [*names, "n"]))
 
 
 def partitioned(leaf: DataFrame, s: Settings) -> DataFrame:

@@ -93,6 +93,25 @@ def test_prefixes_are_extended_and_subtrees_stay_small(spark, listed):
     assert got == {w: n for w, n in want.items() if n >= s.least}
 
 
+def test_leaf_rows_do_not_grow_with_the_number_of_splits(spark):
+    """Equal leaves of many splits meet in a task for each core before they become rows."""
+    docs = spark.createDataFrame([(text, lang) for text, lang in corpus(5, 200)] * 8, "text string, lang string").repartition(40)
+    every = [np.full(1 << 2, -1, np.int64).view(np.uint64)] * 3
+    s = Settings(filter_bits=8)
+    leaf = collocations.leaves(docs, every, s)
+    names = [f"w{k}" for k in range(1, 6)]
+    different = leaf.select(names).distinct().count()
+    assert 0 < leaf.count() <= spark.sparkContext.defaultParallelism * different
+    total = lambda df: {tuple(r) for r in df.groupBy(names).agg({"n": "sum"}).collect()}
+    want = total(leaf)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 20)
+    try:
+        for buffer in (500, 3000, 5000):
+            assert total(collocations.leaves(docs, every, s._replace(buffer=buffer))) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_subtree_counts_come_from_leaf_totals():
     words = np.array([[1, 2, 0], [1, 2, 3], [1, 2, 3], [4, 5, 6]])
     nodes, totals = collocations.subtree(words, np.array([1, 2, 3, 1]), np.array([1, 1, 1, 3]), 5)
