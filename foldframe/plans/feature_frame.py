@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators import clean, encode, features
 from ..operators.folds import kfold_assign
+from ..session import saved
 
 
 @dataclass(frozen=True)
@@ -68,6 +69,8 @@ def build_features(df: DataFrame, steps: Sequence[str] = DEFAULT_STEPS, power_bi
     out = features.add_date_features(features.normalize_numeric_columns(df, power_bin))
     stats = None
     if set(steps) & set(KEYED_STEPS):
+        # read by every statistic and by the rows themselves: made once
+        out = saved(out, "listing-rows")
         stats = features.listing_statistics(out, C.FREQUENCY_COLUMNS if "counts" in steps else (), "group_stats" in steps,
                                             "brand_relative" in steps, "model_age_stats" in steps)
     for name, step in STEPS.items():

@@ -447,3 +447,25 @@ def test_raw_files_hold_region_codes_within_their_range(spark, tmp_path):
     lines = [(i, day, 20.0, 0.1, 0.1, 5.0) for i, *_ in orders]
     spark.createDataFrame(lines, "l_orderkey long, l_shipdate date, l_quantity double, l_discount double, l_tax double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
     assert {r["name"] for r in registry.q_csv_roundtrip(spark, str(tmp_path)).collect()} == set(customers)
+
+
+def test_a_key_with_few_groups_is_broadcast_beside_one_with_many(spark):
+    rows = [(f"n{i}", "ab"[i % 2], float(i % 7)) for i in range(20_000)] + [(None, None, None)]
+    df = spark.createDataFrame(rows, "name string, brand string, v double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        st = keyed.KeyStatistics(df, {"name": F.col("name"), "brand": F.col("brand")}, ["v"], [("brand", "v")], ["name"])
+        assert st.parts["name"].columns == ["kval", "count"]
+        out = st.onto(df, "brand", {"m": "v_median", "c": "count"})
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().sparkPlan().toString()
+        got = {r["brand"]: (r["m"], r["c"]) for r in out.select("brand", "m", "c").distinct().collect()}
+        assert got == {"a": (3.0, 10_000.0), "b": (3.0, 10_000.0), None: (None, 1.0)}
+        out = st.onto(df, "name", {"c": "count"})
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+        assert {r["c"] for r in out.select("c").distinct().collect()} == {1.0}
+        assert st.onto(df.limit(0), "brand", {"c": "count"}).count() == 0
+        none = keyed.KeyStatistics(df.limit(0), {"brand": F.col("brand")}, ["v"], [("brand", "v")])
+        assert none.onto(df.limit(1), "brand", {"m": "v_median"}).collect()[0]["m"] is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
