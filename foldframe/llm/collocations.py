@@ -35,6 +35,8 @@ BETWEEN[[9, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 NO_LANG = "und"
+# rows that a task gives out at once
+GIVEN = 1 << 16
 
 
 class Settings(NamedTuple):
@@ -42,7 +44,7 @@ class Settings(NamedTuple):
     2**filter_bits bits; there is one for phrases of each length up to `mapped`. A tree holds about `budget` leaves, on small tables no less than
     `least_share`; prefixes are told apart in `units` hash units, and a unit above the
     budget by `fan` units of the next word; up to `listed` such units are named in the
-    plan. A task puts equal leaves together whenever it holds `buffer`."""
+    plan. A task holds no more than about `buffer` different leaves."""
     least: int = 100
     longest: int = 5
     filter_bits: int = 26
@@ -150,7 +152,14 @@ def phrase_buckets(docs: DataFrame, maps: list[np.ndarray], length: int, s: Sett
         found = (bucket_of(frequent_at(w, maps, s.filter_bits, length)[1], s.filter_bits)
                  for batch in batches for w, _ in words_of(batch.column(0), batch.column(1).to_pylist()))
         for bucket, n in summed(found, s.buffer):
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n)], ["bucket", "n"])
+            yield from given({"bucket": bucket, "n": n})
+
+    def counted(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        x = np.concatenate(held)
+        held.clear()
+        x.sort()
+        first = firsts(x)
+        return x[first], np.diff(first, append=len(x))
 
     def summed(parts: Iterator[np.ndarray], buffer: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         held, size = [], 0
@@ -158,10 +167,10 @@ def phrase_buckets(docs: DataFrame, maps: list[np.ndarray], length: int, s: Sett
             held.append(x)
             size += len(x)
             if size >= 4 * buffer:
-                yield np.unique(np.concatenate(held), return_counts=True)
-                held, size = [], 0
+                yield counted(held)
+                size = 0
         if size:
-            yield np.unique(np.concatenate(held), return_counts=True)
+            yield counted(held)
 
     return docs.select("text", "lang").mapInArrow(emit, "bucket long, n long")
 
@@ -186,44 +195,76 @@ def suffixes(w: Words, maps: list[np.ndarray], s: Settings) -> np.ndarray:
     return rows
 
 
-def together(rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal rows once, with the sum of their n."""
+def firsts(x: np.ndarray) -> np.ndarray:
+    """Where each value of sorted `x` comes first."""
+    new = np.ones(len(x), dtype=bool)
+    new[1:] = x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def given(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The columns in batches of `GIVEN` rows, as the other side holds a batch whole."""
+    for k in range(0, len(next(iter(columns.values()))), GIVEN):
+        yield pa.RecordBatch.from_arrays([pa.array(x[k:k + GIVEN]) for x in columns.values()], list(columns))
+
+
+def together(rows: np.ndarray) -> list[np.ndarray]:
+    """Equal rows once, by columns: a hash of the row, ascending, its words, how often it is there."""
     h = np.zeros(len(rows), dtype=np.uint64)
     for k in range(rows.shape[1]):
         h = mix64(h ^ rows[:, k])
-    _, at, of = np.unique(h, return_index=True, return_inverse=True)
-    return rows[at], np.bincount(of, weights=n, minlength=len(at)).astype(np.int64)
+    order = np.argsort(h)
+    h = h[order]
+    first = firsts(h)
+    return [h[first], *(rows[order[first], k] for k in range(rows.shape[1])), np.diff(first, append=len(h))]
+
+
+def put_in(held: list[np.ndarray], more: list[np.ndarray]) -> None:
+    """Adds the rows of `more` to `held`, both as `together` gives them. A column is
+    replaced at a time, so that never all of them are there twice."""
+    at = np.searchsorted(held[0], more[0])
+    known = at < len(held[0])
+    known[known] = held[0][at[known]] == more[0][known]
+    held[-1][at[known]] += more[-1][known]
+    at, new = at[~known], ~known
+    for k in range(len(held)):
+        held[k] = np.insert(held[k], at, more[k][new])
 
 
 def leaves(docs: DataFrame, maps: list[np.ndarray], s: Settings) -> DataFrame:
     """(w1, w2, ..., n): the leaves of the tree, those of one task put together.
 
-    A task for each core reads all of its part before it gives out its leaves, unless more
-    than half a buffer of them are different: rows are at most tasks times different
-    leaves. With a task for each split both factors would grow with the input."""
+    A task for each core reads all of its part before it gives out its leaves, unless
+    more than a buffer of them are different: rows are at most tasks times different
+    leaves. With a task for each split both factors would grow with the input. Suffixes
+    are put to the different leaves by an eighth of a buffer, so a task's memory is that
+    of its different leaves, a buffer at most, and a block of texts."""
     names = [f"w{k}" for k in range(1, s.longest + 1)]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count, size = [], [], 0
+        held, fresh, size = together(np.zeros((0, s.longest), np.uint64)), [], 0
+
+        def settle() -> None:
+            more = together(np.concatenate(fresh))
+            fresh.clear()
+            put_in(held, more)
 
-        def out(rows: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(signed(np.ascontiguousarray(rows[:, k]))) for k in range(s.longest)] + [pa.array(n)], [*names, "n"])
+        def out() -> Iterator[pa.RecordBatch]:
+            return given({x: signed(y) if x != "n" else y for x, y in zip([*names, "n"], held[1:])})
 
         for batch in batches:
             for w, _ in words_of(batch.column(0), batch.column(1).to_pylist()):
-                rows = suffixes(w, maps, s)
-                held.append(rows)
-                count.append(np.ones(len(rows), np.int64))
-                size += len(rows)
-                if size >= s.buffer:
-                    rows, n = together(np.concatenate(held), np.concatenate(count))
-                    if len(rows) > s.buffer // 2:
-                        yield out(rows, n)
-                        held, count, size = [], [], 0
-                    else:
-                        held, count, size = [rows], [n], len(rows)
+                fresh.append(suffixes(w, maps, s))
+                size += len(fresh[-1])
+                if 8 * size >= s.buffer:
+                    settle()
+                    size = 0
+                    if len(held[0]) > s.buffer:
+                        yield from out()
+                        held = together(np.zeros((0, s.longest), np.uint64))
         if size:
-            yield out(*together(np.concatenate(held), np.concatenate(count)))
+            settle()
+        yield from out()
 
     parts = docs.select("text", "lang").coalesce(docs.sparkSession.sparkContext.defaultParallelism)
     return parts.mapInArrow(emit, ", ".join(f"{x} long" for x in [*names, "n"]))

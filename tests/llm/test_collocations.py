@@ -1,8 +1,11 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from foldframe.llm import collocations
@@ -112,6 +115,57 @@ def test_leaf_rows_do_not_grow_with_the_number_of_splits(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+class Given:
+    """A table that keeps the function it is to be mapped by."""
+
+    def __init__(self, spark):
+        self.sparkSession = spark
+
+    def select(self, *_):
+        return self
+
+    coalesce = select
+
+    def mapInArrow(self, emit, _):
+        return emit
+
+
+@pytest.mark.parametrize("step", ["leaves", "pairs"])
+def test_tasks_hold_leaves_once_and_give_them_out_in_parts(spark, step):
+    """No batch that a task gives out is large, and to collect leaves it takes no more memory
+    than twice its different ones (seven numbers each)."""
+    every = [np.full(1 << 2, -1, np.int64).view(np.uint64)] * 3
+    s = Settings(filter_bits=8, buffer=1 << 17)
+    r = random.Random(4)
+    texts = [" ".join(f"w{r.randrange(40_000)}" for _ in range(1_000)) for _ in range(150)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([x]), pa.array(["en"])], ["text", "lang"]) for x in texts]
+    if step == "leaves":
+        emit = collocations.leaves(Given(spark), every, s)
+    else:
+        emit = collocations.phrase_buckets(Given(spark), [np.full(1 << 14, -1, np.int64).view(np.uint64)], 2, s._replace(filter_bits=20))
+    list(emit(iter(batches[:1])))
+    sizes, total = [], 0
+    tracemalloc.start()
+    for out in emit(iter(batches)):
+        sizes.append(len(out))
+        total += pc.sum(out.column(out.num_columns - 1)).as_py()
+        del out
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == len(texts) * 999 and max(sizes) <= 1 << 16
+    assert step != "leaves" or peak <= 2 * 7 * 8 * total
+
+
+def test_leaves_put_in_bit_by_bit_are_those_put_together_at_once():
+    r = np.random.default_rng(1)
+    rows = r.integers(0, 6, (5000, 3)).astype(np.uint64) << np.uint64(60)
+    held = collocations.together(rows[:0])
+    for part in np.split(rows, [0, 1, 2, 50, 50, 1000, 4999]):
+        collocations.put_in(held, collocations.together(part))
+    assert all(a.dtype == b.dtype and a.tolist() == b.tolist() for a, b in zip(held, collocations.together(rows), strict=True))
+    assert Counter(map(tuple, rows.tolist())) == {tuple(w): n for *w, n in zip(*(x.tolist() for x in held[1:]))}
+
+
 def test_subtree_counts_come_from_leaf_totals():
     words = np.array([[1, 2, 0], [1, 2, 3], [1, 2, 3], [4, 5, 6]])
     nodes, totals = collocations.subtree(words, np.array([1, 2, 3, 1]), np.array([1, 1, 1, 3]), 5)
